@@ -1,6 +1,6 @@
 """Every checked query, by name, with its SQL counterpart where one exists."""
 
-from bidscope.catalog import insights  # noqa: F401
+from bidscope.catalog import insights, lookup, writes  # noqa: F401
 from bidscope.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

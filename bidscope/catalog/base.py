@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidscope.session import pin_utc
+from bidscope.session import prepare
 from bidscope.sources.tables import as_instants
 
 NOW = datetime(2000, 6, 15, 12, tzinfo=timezone.utc)
@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return comparable(build(pin_utc(spark), sf_dir))
+            return comparable(build(prepare(spark), sf_dir))
 
         QUERIES[name] = run
         if sql is not None:

@@ -5,39 +5,35 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def running_offset(
-    df: DataFrame,
-    keys: list[str],
-    bucket: Column,
-    order: list,
-    value: Column,
-    name: str = "before",
+def running_totals(
+    df: DataFrame, keys: list[str], bucket: Column, order: list[str], **values: Column
 ) -> DataFrame:
-    """Add ``name``: the sum of ``value`` over the rows before this one, within ``keys``.
+    """Add one column per value: its sum over the rows before this one, within ``keys``.
 
-    ``bucket`` must never decrease along ``order`` and should cover a bounded number of rows.
-    Totals per bucket are combined map-side; only these totals are scanned in order across a
-    whole group, and rows are only ordered inside their bucket. So a group holding a third of
-    the table is spread over as many tasks as it has buckets.
+    Rows are taken in the order of ``bucket``, then ``order``; a bucket should cover a bounded
+    number of rows. Totals per bucket are combined map-side; only those totals are scanned in
+    order across a whole group, and rows are ordered only inside their bucket. So a group that
+    holds a third of the table is spread over as many tasks as it has buckets.
     """
-    rows = df.withColumn("_bucket", bucket).withColumn("_value", value)
-    totals = rows.groupBy(*keys, "_bucket").agg(F.sum("_value").alias("_total"))
-    before_bucket = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select(
-        *keys, "_bucket", F.coalesce(F.sum("_total").over(before_bucket), F.lit(0)).alias("_start")
-    )
-    before_row = (
-        W.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    )
+    rows = df.withColumns({"_bucket": bucket, **{f"_{name}": v for name, v in values.items()}})
+    totals = rows.groupBy(*keys, "_bucket").agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in values])
+    earlier = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+
+    def before(name: str, window) -> Column:
+        return F.coalesce(F.sum(f"_{name}").over(window), F.lit(0).cast("bigint"))
+
+    starts = totals.select(*keys, "_bucket", *[before(n, earlier).alias(f"_start_{n}") for n in values])
     return (
-        rows.withColumn("_inside", F.coalesce(F.sum("_value").over(before_row), F.lit(0)))
+        rows.withColumns({f"_in_{n}": before(n, inside) for n in values})
         .join(starts, [*keys, "_bucket"])
-        .withColumn(name, F.col("_start") + F.col("_inside"))
-        .drop("_bucket", "_value", "_start", "_inside")
+        .select(*df.columns, *[(F.col(f"_start_{n}") + F.col(f"_in_{n}")).alias(n) for n in values])
     )
 
 
-def dense_ids(df: DataFrame, bucket: Column, order: list, start: Column, name: str = "id") -> DataFrame:
-    """Number the rows ``start + 1, start + 2, …`` along ``order``."""
-    numbered = running_offset(df, [], bucket, order, F.lit(1).cast("bigint"), "_before")
-    return numbered.withColumn(name, start + F.col("_before") + 1).drop("_before")
+def dense_ids(
+    df: DataFrame, bucket: Column, order: list[str], start: Column, name: str = "id"
+) -> DataFrame:
+    """Number the rows ``start + 1, start + 2, …`` in the order of ``bucket``, then ``order``."""
+    numbered = running_totals(df, [], bucket, order, rows_before=F.lit(1).cast("bigint"))
+    return numbered.withColumn(name, start + F.col("rows_before") + 1).drop("rows_before")

@@ -28,30 +28,36 @@ REFRESHED = ["tender_object", "public_buyer", "publication_date"]
 NUMBERING_RUN = 1_000_000
 
 
-def dedupe_last(tenders: DataFrame, seq: str = "seq") -> DataFrame:
-    """One row per identity: the values of its last occurrence, and ``first_seq`` of its first.
+def dedupe_last(tenders: DataFrame, order: list[str]) -> DataFrame:
+    """One row per identity: the values of its last occurrence, and ``first_seen`` of its first.
 
     An aggregate rather than a window: repeats of one tender collapse before the shuffle.
     """
-    others = [name for name in tenders.columns if name not in (*IDENTITY, seq)]
+    place = F.struct(*order)
+    others = [name for name in tenders.columns if name not in (*IDENTITY, *order)]
     return (
         tenders.groupBy(*IDENTITY)
-        .agg(
-            F.max_by(F.struct(*others), F.col(seq)).alias("last"),
-            F.min(seq).alias("first_seq"),
-        )
-        .select(*IDENTITY, "last.*", "first_seq")
+        .agg(F.max_by(F.struct(*others), place).alias("last"), F.min(place).alias("first_seen"))
+        .select(*IDENTITY, "last.*", "first_seen")
     )
 
 
-def upsert(tenders: DataFrame, batch: DataFrame, now: datetime, strict: bool = True) -> DataFrame:
-    """The table after saving ``batch``: the ten tender fields plus an ascending ``seq`` number.
+def upsert(
+    tenders: DataFrame,
+    batch: DataFrame,
+    now: datetime,
+    order: list[str] = ["seq"],
+    run: int = NUMBERING_RUN,
+    strict: bool = True,
+) -> DataFrame:
+    """The table after saving ``batch``: the ten tender fields, and what puts them in ``order``.
 
     A known tender takes a new object, buyer and publication date and nothing else; a new one is
-    DISCOVERED and numbered after the highest id, in order of first appearance.
+    DISCOVERED and numbered after the highest id, in order of first appearance. ``run`` is the
+    span of the first order column, a whole number, that one task numbers.
     """
     valid, _ = identified(batch, strict)
-    incoming = dedupe_last(valid.select(*FIELDS, "seq"))
+    incoming = dedupe_last(valid.select(*FIELDS, *order), order)
     clock = instant(now)
 
     fresh = incoming.select(
@@ -66,17 +72,15 @@ def upsert(tenders: DataFrame, batch: DataFrame, now: datetime, strict: bool = T
 
     unknown = incoming.join(tenders.select(*IDENTITY), IDENTITY, "left_anti")
     highest = F.coalesce(tenders.agg(F.max("id")).scalar(), F.lit(0))
-    added = dense_ids(
-        unknown, F.floor(F.col("first_seq") / NUMBERING_RUN), ["first_seq"], highest
-    ).select(
+    bucket = F.floor(F.col("first_seen")[order[0]] / run)
+    added = dense_ids(unknown, bucket, ["first_seen"], highest).select(
         *FIELDS,
         "id",
         F.lit("DISCOVERED").alias("status"),
-        F.lit(None).cast("string").alias("last_status"),
         clock.alias("created_at"),
         clock.alias("updated_at"),
     )
-    return kept.unionByName(added.select(*tenders.columns))
+    return kept.unionByName(added, allowMissingColumns=True)
 
 
 def status_rule() -> Column:
@@ -115,19 +119,27 @@ def latest_updates(updates: DataFrame) -> DataFrame:
 def apply_status_updates(
     tenders: DataFrame, updates: DataFrame, now: datetime, strict: bool = True
 ) -> DataFrame:
-    """The table after the updates. Strict refuses all of them if any would be rejected."""
+    """The table after the updates. Strict refuses all of them if any would be rejected.
+
+    Where the table has ``status_seq``, the number of the last update applied, an update that
+    comes late changes nothing.
+    """
     if strict and not rejected_updates(tenders, updates).isEmpty():
         raise InvalidRowsError("some updates break the status rule or name an unknown tender")
+    latest = latest_updates(updates).withColumnRenamed("seq", "new_seq")
     changed = F.col("new").isNotNull()
     new = {
-        "status": F.when(changed, F.col("new.status")).otherwise(F.col("status")),
+        "status": F.col("new.status"),
         # A status other than FAILED clears the last status.
-        "last_status": F.when(changed, F.col("new.last_status")).otherwise(F.col("last_status")),
-        "updated_at": F.when(changed, instant(now)).otherwise(F.col("updated_at")),
+        "last_status": F.col("new.last_status"),
+        "updated_at": instant(now),
     }
-    latest = latest_updates(updates).select(*IDENTITY, "new")
+    if "status_seq" in tenders.columns:
+        changed = changed & (F.col("new_seq") > F.coalesce("status_seq", F.lit(-1)))
+        new["status_seq"] = F.col("new_seq")
+    applied = {c: F.when(changed, value).otherwise(F.col(c)) for c, value in new.items()}
     return tenders.join(latest, IDENTITY, "left").select(
-        *[new.get(c, F.col(c)).alias(c) for c in tenders.columns]
+        *[applied.get(c, F.col(c)).alias(c) for c in tenders.columns]
     )
 
 

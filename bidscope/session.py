@@ -28,9 +28,14 @@ def build_session(app_name: str = "bidscope", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Local-date rules assume a UTC session; set it on sessions built elsewhere."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set the library's run-time settings on a session built elsewhere.
+
+    Local-date rules need a UTC session.
+    """
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 
