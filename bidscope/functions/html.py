@@ -10,6 +10,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bidscope.functions.text import clean, strip
 
@@ -23,48 +24,61 @@ SILENT = frozenset(("script", "style", "template", "rt", "rp"))
 # Attributes that are kept.
 ATTRIBUTES = ("id", "name", "value", "class", "headers", "href")
 
-_NODE = pa.struct(
-    [("tag", pa.string()), ("parent", pa.int32()), ("last", pa.int32()), ("row", pa.int32())]
-    + [(name, pa.string()) for name in ATTRIBUTES]
-    + [("text", pa.string())]
-)
-_NODE_SQL = (
-    "struct<tag:string,parent:int,last:int,row:int,"
-    + "".join(f"{name}:string," for name in ATTRIBUTES)
-    + "text:string>"
+# A node: its place, its parent, the last node inside it, and the nearest enclosing table row.
+_NUMBERS = ("at", "parent", "last", "row")
+_TEXTS = ("tag", *ATTRIBUTES, "text")
+_NODES = T.ArrayType(
+    T.StructType(
+        [T.StructField(name, T.IntegerType()) for name in _NUMBERS]
+        + [T.StructField(name, T.StringType()) for name in _TEXTS]
+    )
 )
 
 
-class _Nodes(HTMLParser):
-    """Collects nodes. ``last`` is the last node inside, ``row`` the nearest enclosing ``tr``."""
+class _Reader(HTMLParser):
+    """Collects the nodes of many pages, one list per field."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.nodes: list[dict] = []
-        self.open: list[int] = []
-        self.silent = 0
-
-    def _add(self, tag: str, **values) -> None:
-        here = len(self.nodes)
-        parent = self.open[-1] if self.open else -1
-        row = -1
+        self.fields = {name: [] for name in (*_NUMBERS, *_TEXTS)}
+
+    def read(self, page: str) -> int:
+        """Take in one page; returns how many nodes there are so far."""
+        self.reset()
+        self.first = len(self.fields["at"])
+        self.open, self.silent = [], 0
+        self.feed(page)
+        self.close()
+        self._close_to(0)
+        return len(self.fields["at"])
+
+    def _add(self, tag: str, text: str | None = None, attributes: dict = {}) -> int:
+        fields = self.fields
+        here = len(fields["at"]) - self.first
+        parent, row = (self.open[-1] if self.open else -1), -1
         if parent >= 0:
-            above = self.nodes[parent]
-            row = parent if above["tag"] == "tr" else above["row"]
-        self.nodes.append({"tag": tag, "parent": parent, "last": here, "row": row, **values})
+            above = self.first + parent
+            row = parent if fields["tag"][above] == "tr" else fields["row"][above]
+        for name, value in zip(_NUMBERS, (here, parent, here, row)):
+            fields[name].append(value)
+        fields["tag"].append(tag)
+        for name in ATTRIBUTES:
+            fields[name].append(attributes.get(name))
+        fields["text"].append(text)
+        return here
 
     def _close_to(self, depth: int) -> None:
+        last = len(self.fields["at"]) - self.first - 1
         for position in self.open[depth:]:
-            self.nodes[position]["last"] = len(self.nodes) - 1
-            self.silent -= self.nodes[position]["tag"] in SILENT
+            self.fields["last"][self.first + position] = last
+            self.silent -= self.fields["tag"][self.first + position] in SILENT
         del self.open[depth:]
 
     def handle_starttag(self, tag, attrs):
         # Of a repeated attribute the last one counts; one without a value is empty.
-        kept = {name: value or "" for name, value in attrs if name in ATTRIBUTES}
-        self._add(tag, **kept)
+        here = self._add(tag, attributes={name: value or "" for name, value in attrs})
         if tag not in VOID:
-            self.open.append(len(self.nodes) - 1)
+            self.open.append(here)
             self.silent += tag in SILENT
 
     def handle_startendtag(self, tag, attrs):
@@ -74,43 +88,39 @@ class _Nodes(HTMLParser):
 
     def handle_endtag(self, tag):
         # Closes everything opened inside; an end tag without a start is ignored.
+        tags = self.fields["tag"]
         for depth in range(len(self.open) - 1, -1, -1):
-            if self.nodes[self.open[depth]]["tag"] == tag:
+            if tags[self.first + self.open[depth]] == tag:
                 self._close_to(depth)
                 return
 
     def handle_data(self, data):
-        self._add("#silent" if self.silent else "#text", text=data)
+        if not self.silent and not data.isspace():  # blank text never counts
+            self._add("#text", data)
 
     def handle_comment(self, data):
-        self._add("#comment", text=data)
+        self._add("#comment", data)
 
-    def finish(self) -> list[dict]:
-        self.close()
-        self._close_to(0)
-        return self.nodes
+
+def _read_pages(pages: list[str | None]) -> pa.Array:
+    reader, offsets = _Reader(), [0]
+    for page in pages:
+        offsets.append(reader.read(page) if page else offsets[-1])
+    arrays = [pa.array(reader.fields[name], pa.int32()) for name in _NUMBERS]
+    arrays += [pa.array(reader.fields[name], pa.string()) for name in _TEXTS]
+    nodes = pa.StructArray.from_arrays(arrays, [*_NUMBERS, *_TEXTS])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), nodes)
 
 
 def html_nodes(html: Column) -> Column:
-    """The nodes of each page, in document order; null for an empty page."""
+    """The nodes of each page, in document order; none for an empty page."""
 
-    @F.arrow_udf(f"array<{_NODE_SQL}>")
-    def parse(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf(_NODES)
+    def read(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in pages:
-            parsed = []
-            for page in batch.to_pylist():
-                parser = _Nodes()
-                parser.feed(page or "")
-                parsed.append(parser.finish() if page else None)
-            yield pa.array(parsed, pa.list_(_NODE))
-
-    return F.transform(
-        parse(html), lambda node, at: F.struct(at.alias("at"), *[node[n].alias(n) for n in _names()])
-    )
-
+            yield _read_pages(batch.to_pylist())
 
-def _names() -> list[str]:
-    return [field.name for field in _NODE]
+    return read(html)
 
 
 # A run of nodes is a slice of a page, so it knows the position ("at") of its first node.

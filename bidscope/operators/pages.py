@@ -14,7 +14,7 @@ from bidscope.functions.html import (
     strings,
     subtree,
 )
-from bidscope.functions.text import SPACE, strip
+from bidscope.functions.text import clean, strip
 from bidscope.schemas import TENDER_FIELDS
 
 # How the platform marks its fields, as ends of element ids and input names.
@@ -28,38 +28,53 @@ CURRENT_PAGE, TOTAL_PAGES, TOTAL_RESULTS = "numPageTop", "nombrePageTop", "nombr
 LABEL_EDGES = r"^[ :\x{a0}]+|[ :\x{a0}]+$"
 
 
+COUNTERS = ["current_page", "total_pages", "total_results"]
+
+
 def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
-    """One row per page: its tenders in order, its counters, or the error of an empty page.
+    """A row per tender of each page: its place ``row_no``, the ten fields and the page counters.
+
+    A page without tenders keeps one row without ``row_no``; an empty page has an ``error``. The
+    other columns of ``pages`` are kept, the HTML is not. Nothing is shuffled.
 
-    The other columns of ``pages`` are kept, the HTML is not.
+    The steps are columns of their own, since Spark computes a shared column once but repeats
+    what is nested inside a lambda.
     """
     others = [name for name in pages.columns if name != html]
     empty = F.col(html).isNull() | (F.col(html) == "")
-    parsed = pages.select(
-        *others, html_nodes(F.col(html)).alias("nodes"), F.when(empty, "empty page").alias("error")
-    )
-    nodes = F.col("nodes")
+    nodes, row, content = F.col("nodes"), F.col("row"), F.col("content")
     cells = F.filter(nodes, lambda n: (n["tag"] == "td") & has_token(n["headers"], REFERENCE_CELL))
-    rows = F.transform(
+    table_rows = F.transform(
         F.filter(cells, lambda cell: cell["row"] >= 0),
         lambda cell: subtree(nodes, F.get(nodes, cell["row"])),
     )
-    rows = F.filter(rows, lambda row: ~F.exists(row, lambda n: n["tag"] == "th"))
-    return parsed.select(*others, "error", nodes, rows.alias("rows")).select(
-        *others,
-        "error",
-        F.transform("rows", _tender).alias("tenders"),
-        _counter(_by_id(nodes, CURRENT_PAGE)["value"]).alias("current_page"),
-        _counter(_text_at(nodes, TOTAL_PAGES)).alias("total_pages"),
-        _counter(_text_at(nodes, TOTAL_RESULTS)).alias("total_results"),
+    data_rows = F.filter(table_rows, lambda run: ~F.exists(run, lambda n: n["tag"] == "th"))
+    exploded = (
+        pages.select(
+            *others, F.when(empty, "empty page").alias("error"), html_nodes(F.col(html)).alias("nodes")
+        )
+        .select(
+            *others,
+            "error",
+            _counter(_by_id(nodes, CURRENT_PAGE)["value"]).alias("current_page"),
+            _counter(_text_at(nodes, TOTAL_PAGES)).alias("total_pages"),
+            _counter(_text_at(nodes, TOTAL_RESULTS)).alias("total_results"),
+            data_rows.alias("rows"),
+        )
+        .select(*others, "error", *COUNTERS, F.posexplode_outer("rows").alias("row_no", "row"))
+        .withColumn("content", F.slice(row, 2, F.size(row)))
     )
-
-
-def _tender(row: Column) -> Column:
-    """The ten fields of one table row, given as its run of nodes."""
-    content = F.slice(row, 2, F.size(row))
-    cell = first(content, lambda n: (n["tag"] == "td") & has_token(n["headers"], REFERENCE_CELL))
-    within = inside(row, cell)
+    found = {
+        "cell": first(content, lambda n: (n["tag"] == "td") & has_token(n["headers"], REFERENCE_CELL)),
+        "reference": first(
+            content, lambda n: (n["tag"] == "span") & has_token(n["class"], REFERENCE_CLASS)
+        ),
+        "closes": first(content, lambda n: (n["tag"] == "div") & has_token(n["class"], DEADLINE_CLASS)),
+        "object": _by_id(content, OBJECT),
+        "buyer": _by_id(content, BUYER),
+        "place": _by_id(content, LOCATION),
+    }
+    cell, within = F.col("cell"), F.col("within")
     dates = F.filter(
         F.transform(
             F.filter(within, lambda n: (n["tag"] == "div") & (n["parent"] == cell["at"])),
@@ -67,24 +82,38 @@ def _tender(row: Column) -> Column:
         ),
         lambda text: text.rlike(PUBLICATION_DATE),
     )
-    deadline = first(
-        content, lambda n: (n["tag"] == "div") & has_token(n["class"], DEADLINE_CLASS)
-    )
+    texts = {
+        "object_text": clean_text(row, F.col("object")),
+        "object_label": _label(row, F.col("object")),
+        "buyer_text": clean_text(row, F.col("buyer")),
+        "buyer_label": _label(row, F.col("buyer")),
+        "published": F.get(dates, F.lit(0)),
+        "closing": F.array_join(strings(inside(row, F.col("closes"))), " "),
+    }
     fields = {
         "tender_id": _input(content, TENDER_INPUT),
         "organization_acronym": _input(content, ORGANIZATION_INPUT),
         "procurement_type": _text_at(within, PROCEDURE),
         "category": _text_at(within, CATEGORY),
-        "publication_date": parse_publication_date(F.get(dates, F.lit(0))),
-        "reference_number": clean_text(
-            row, first(content, lambda n: (n["tag"] == "span") & has_token(n["class"], REFERENCE_CLASS))
-        ),
-        "tender_object": _labelled(content, OBJECT),
-        "public_buyer": _labelled(content, BUYER),
-        "location": _location(content),
-        "deadline": parse_deadline(F.array_join(strings(inside(row, deadline)), " ")),
+        "publication_date": parse_publication_date(F.col("published")),
+        "reference_number": clean_text(row, F.col("reference")),
+        "tender_object": _unlabelled(F.col("object_text"), F.col("object_label")),
+        "public_buyer": _unlabelled(F.col("buyer_text"), F.col("buyer_label")),
+        "location": _location(row, F.col("place")),
+        "deadline": parse_deadline(F.col("closing")),
     }
-    return F.struct(*[fields[name].alias(name) for name in TENDER_FIELDS.fieldNames()])
+    return (
+        exploded.withColumns(found)
+        .withColumn("within", inside(row, cell))
+        .withColumns(texts)
+        .select(
+            *others,
+            "error",
+            *COUNTERS,
+            "row_no",
+            *[fields[name].alias(name) for name in TENDER_FIELDS.fieldNames()],
+        )
+    )
 
 
 def _by_id(nodes: Column, end: str) -> Column:
@@ -100,11 +129,12 @@ def _input(nodes: Column, name_end: str) -> Column:
     return F.nullif(found["value"], F.lit(""))
 
 
-def _labelled(nodes: Column, id_end: str) -> Column:
-    """Text of a block without its bold label."""
-    block = _by_id(nodes, id_end)
-    full = clean_text(nodes, block)
-    label = clean_text(nodes, first(inside(nodes, block), lambda n: n["tag"] == "strong"))
+def _label(nodes: Column, block: Column) -> Column:
+    return clean_text(nodes, first(inside(nodes, block), lambda n: n["tag"] == "strong"))
+
+
+def _unlabelled(full: Column, label: Column) -> Column:
+    """Text of a block without the first occurrence of its bold label."""
     before = F.call_function("substring_index", full, label, F.lit(1))
     after = F.substring(full, F.length(before) + F.length(label) + 1, F.length(full))
     # A label that is not in the text leaves all of it before, and nothing after.
@@ -112,18 +142,13 @@ def _labelled(nodes: Column, id_end: str) -> Column:
     return F.nullif(F.when(label.isNull(), full).otherwise(bare), F.lit(""))
 
 
-def _location(nodes: Column) -> Column:
+def _location(nodes: Column, block: Column) -> Column:
     """The block's first own text; a second one, in a tooltip, only repeats it."""
-    block = _by_id(nodes, LOCATION)
     own = F.filter(
         inside(nodes, block),
         lambda n: (n["parent"] == block["at"]) & n["tag"].isin("#text", "#comment") & (strip(n["text"]) != ""),
     )
-    text = F.get(own, F.lit(0))["text"]
-    return F.coalesce(
-        F.nullif(strip(F.regexp_replace(text, f"{SPACE}+", " ")), F.lit("")),
-        clean_text(nodes, block),
-    )
+    return F.coalesce(clean(F.get(own, F.lit(0))["text"]), clean_text(nodes, block))
 
 
 def _counter(text: Column) -> Column:
@@ -139,8 +164,15 @@ def strict_pages(parsed: DataFrame) -> DataFrame:
 
 def page_tenders(parsed: DataFrame, page: str = "page_id") -> DataFrame:
     """The tenders of all pages, each with its page and its row on the page."""
-    rows = parsed.select(page, F.posexplode("tenders").alias("row_no", "tender"))
-    return rows.select(page, "row_no", "tender.*")
+    return parsed.filter(F.col("row_no").isNotNull()).select(
+        page, "row_no", *TENDER_FIELDS.fieldNames()
+    )
+
+
+def page_counters(parsed: DataFrame) -> DataFrame:
+    """One row per page: its counters, or its error."""
+    kept = [c for c in parsed.columns if c not in ("row_no", *TENDER_FIELDS.fieldNames())]
+    return parsed.filter(F.coalesce("row_no", F.lit(0)) == 0).select(*kept)
 
 
 def page_text(pages: DataFrame, html: str = "html") -> DataFrame:
