@@ -13,7 +13,7 @@ from bidscope.catalog.base import (
     READY_SQL,
     WITH_TENDERS,
     query,
-    table,
+    spread_table,
     tenders,
 )
 from bidscope.catalog.texts import DIMENSION
@@ -60,7 +60,7 @@ def _archive(texts: pa.Array, sources: pa.Array) -> pa.Array:
 def archives(spark, sf_dir):
     """One archive per document, named after the tender with the document's number."""
     owners = tenders(spark, sf_dir).select("id", "tender_id", "organization_acronym")
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_table(spark, sf_dir, "documents")
     name = archive_name(F.col("tender_id"), F.col("organization_acronym"))
     return documents.join(owners, documents.doc_id == owners.id).select(
         "doc_id",

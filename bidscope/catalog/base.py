@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidscope.session import prepare
+from bidscope.session import prepare, spread
 from bidscope.sources.tables import as_instants
 
 NOW = datetime(2000, 6, 15, 12, tzinfo=timezone.utc)
@@ -52,6 +52,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return as_instants(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are costly to work on, spread over the cores if it is small."""
+    return spread(table(spark, sf_dir, name))
+
+
 _VIEW = """
   SELECT o_orderkey AS id, CAST(o_orderkey AS {text}) AS tender_id,
     'ORG' || CAST(c_nationkey AS {text}) AS organization_acronym,

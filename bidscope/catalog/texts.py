@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from bidscope.catalog.base import WITH_TENDERS, query, table, tenders
+from bidscope.catalog.base import WITH_TENDERS, query, spread_table, table, tenders
 from bidscope.operators import chunking
 from bidscope.operators.embedding import HashEmbedder, embed
 from bidscope.operators.writes import remove_files
@@ -25,7 +25,7 @@ _CHUNKS = _CHUNKED.format(size=512)
     f"WITH {_CHUNKS} SELECT doc_id, chunk_index, text, n_words FROM chunks",
 )
 def chunk_documents(spark, sf_dir):
-    return chunking.chunk_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return chunking.chunk_texts(spread_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 # Conversations as documents: a section per three turns, a page per two.
@@ -78,7 +78,7 @@ def chunk_blocks(spark, sf_dir):
 )
 def chunk_document_lines(spark, sf_dir):
     """Documents as one block per line, four lines to a page."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_table(spark, sf_dir, "documents")
     blocks = chunking.text_blocks(documents, "doc_id", "text", 4, F.array(F.lit("Text")))
     pages = F.array_join(F.col("page_numbers").cast("array<string>"), ",")
     return chunking.chunk_blocks(blocks).select("doc_id", "chunk_index", "text", pages.alias("pages"))
@@ -179,7 +179,7 @@ def document_files(documents, position, path):
 
 def replaced_store(spark, sf_dir):
     """Every document stored, then those of two sources replaced: one anew, one by nothing."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_table(spark, sf_dir, "documents")
     store = FileStore(spark, scratch_path(spark, "files"))
     owners = documents.select(F.col("doc_id").alias("tender_record_id"), "source")
     embedder = HashEmbedder(DIMENSION)

@@ -14,6 +14,7 @@ from bidscope.catalog.base import (
 from bidscope.functions.dates import parse_deadline, parse_publication_date
 from bidscope.operators import contract, writes
 from bidscope.operators.insights import file_report
+from bidscope.session import staged
 
 # What was known at NOW, and every line item as a later sighting of its tender.
 KNOWN = "(publication_date IS NULL OR publication_date <= DATE '2000-06-15')"
@@ -82,7 +83,7 @@ _STATE = """id, tender_id, organization_acronym, category, publication_date, ref
     SELECT {_STATE} FROM kept UNION ALL SELECT {_STATE} FROM added""",
 )
 def upsert_tenders(spark, sf_dir):
-    known = tenders(spark, sf_dir).filter(KNOWN)
+    known = staged(tenders(spark, sf_dir).filter(KNOWN), "known-tenders")
     return writes.upsert(known, sightings(spark, sf_dir), NOW).select(
         *[name.strip() for name in _STATE.split(",")]
     )

@@ -5,16 +5,16 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from bidscope.functions.text import SPACE, has_text, strip
+from bidscope.functions.text import SPACE, has_text
 
 MOROCCO = "Africa/Casablanca"
 
-# The platform's date forms. Year 0000 is no year.
-_DATE = r"(\d{2})/(\d{2})/((?!0000)\d{4})"
-PUBLICATION_DATE = f"^{_DATE}$"
-DEADLINE = rf"(?i)^{_DATE}(?:(?:{SPACE}|<br{SPACE}*/?>)*(\d{{2}}):(\d{{2}}))?$"
+# The platform's date forms, groups day, month, year, hour, minute. Year 0000 is none.
+_DATE = rf"^{SPACE}*(\d{{2}})/(\d{{2}})/((?!0000)\d{{4}})"
+DAY = rf"{_DATE}{SPACE}*$"
+DAY_AND_TIME = rf"(?i){_DATE}(?:{SPACE}|<br{SPACE}*/?>)*(\d{{2}}):(\d{{2}}){SPACE}*$"
 # A deadline without a time closes at the end of its day.
-END_OF_DAY = (23, 59)
+END_OF_DAY = "23:59"
 
 
 def instant(now: datetime) -> Column:
@@ -35,29 +35,19 @@ def local_date(value: Column) -> Column:
 
 def parse_publication_date(text: Column) -> Column:
     """``DD/MM/YYYY`` to a date; anything else, or a day that does not exist, is null."""
-    shown = strip(text)
-    day, month, year = (_group(shown, PUBLICATION_DATE, i) for i in (1, 2, 3))
-    zero = F.lit(0)
-    return F.to_date(F.try_make_timestamp(year, month, day, zero, zero, zero))
+    return F.to_date(_moment(text, DAY, "00:00"))
 
 
 def parse_deadline(text: Column) -> Column:
     """``DD/MM/YYYY`` with an optional ``HH:mm`` to an instant; anything else is null."""
-    shown = strip(text)
-    day, month, year, hour, minute = (_group(shown, DEADLINE, i) for i in range(1, 6))
-    return F.try_make_timestamp(
-        year,
-        month,
-        day,
-        F.coalesce(hour, F.lit(END_OF_DAY[0])),
-        F.coalesce(minute, F.lit(END_OF_DAY[1])),
-        F.lit(0),
-        F.lit(MOROCCO),
-    )
+    local = F.coalesce(_moment(text, DAY_AND_TIME, "$4:$5"), _moment(text, DAY, END_OF_DAY))
+    return F.to_utc_timestamp(local, MOROCCO)
 
 
-def _group(text: Column, pattern: str, number: int) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, number), F.lit("")).cast("int")
+def _moment(text: Column, pattern: str, time: str) -> Column:
+    """Text of one form as a time without zone; one pass to test it and one to rearrange it."""
+    rearranged = F.regexp_replace(text, pattern, f"$3-$2-$1 {time}")
+    return F.when(text.rlike(pattern), F.try_to_timestamp(rearranged, F.lit("yyyy-MM-dd HH:mm")))
 
 
 def unreadable(text: Column, parsed: Column) -> Column:

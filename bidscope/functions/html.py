@@ -4,6 +4,7 @@ Python does the one thing Spark cannot: find the tags. What a page means is deci
 over the nodes, in ``bidscope.operators.pages``.
 """
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -35,50 +36,51 @@ _NODES = T.ArrayType(
 )
 
 
+_LAST, _TAG = _NUMBERS.index("last"), len(_NUMBERS)
+_ROW = _NUMBERS.index("row")
+
+
 class _Reader(HTMLParser):
-    """Collects the nodes of many pages, one list per field."""
+    """Collects the nodes of many pages, one list of values per node."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.fields = {name: [] for name in (*_NUMBERS, *_TEXTS)}
+        self.nodes: list[list] = []
 
     def read(self, page: str) -> int:
         """Take in one page; returns how many nodes there are so far."""
         self.reset()
-        self.first = len(self.fields["at"])
+        self.first = len(self.nodes)
         self.open, self.silent = [], 0
         self.feed(page)
         self.close()
         self._close_to(0)
-        return len(self.fields["at"])
-
-    def _add(self, tag: str, text: str | None = None, attributes: dict = {}) -> int:
-        fields = self.fields
-        here = len(fields["at"]) - self.first
-        parent, row = (self.open[-1] if self.open else -1), -1
-        if parent >= 0:
-            above = self.first + parent
-            row = parent if fields["tag"][above] == "tr" else fields["row"][above]
-        for name, value in zip(_NUMBERS, (here, parent, here, row)):
-            fields[name].append(value)
-        fields["tag"].append(tag)
-        for name in ATTRIBUTES:
-            fields[name].append(attributes.get(name))
-        fields["text"].append(text)
-        return here
+        return len(self.nodes)
+
+    def _add(self, *texts) -> list:
+        here = len(self.nodes) - self.first
+        parent = row = -1
+        if self.open:
+            above = self.open[-1]
+            parent = above[0]
+            row = parent if above[_TAG] == "tr" else above[_ROW]
+        node = [here, parent, here, row, *texts]
+        self.nodes.append(node)
+        return node
 
     def _close_to(self, depth: int) -> None:
-        last = len(self.fields["at"]) - self.first - 1
-        for position in self.open[depth:]:
-            self.fields["last"][self.first + position] = last
-            self.silent -= self.fields["tag"][self.first + position] in SILENT
+        last = len(self.nodes) - self.first - 1
+        for node in self.open[depth:]:
+            node[_LAST] = last
+            self.silent -= node[_TAG] in SILENT
         del self.open[depth:]
 
     def handle_starttag(self, tag, attrs):
         # Of a repeated attribute the last one counts; one without a value is empty.
-        here = self._add(tag, attributes={name: value or "" for name, value in attrs})
+        kept = {name: value or "" for name, value in attrs}
+        node = self._add(tag, *[kept.get(name) for name in ATTRIBUTES], None)
         if tag not in VOID:
-            self.open.append(here)
+            self.open.append(node)
             self.silent += tag in SILENT
 
     def handle_startendtag(self, tag, attrs):
@@ -88,26 +90,29 @@ class _Reader(HTMLParser):
 
     def handle_endtag(self, tag):
         # Closes everything opened inside; an end tag without a start is ignored.
-        tags = self.fields["tag"]
         for depth in range(len(self.open) - 1, -1, -1):
-            if tags[self.first + self.open[depth]] == tag:
+            if self.open[depth][_TAG] == tag:
                 self._close_to(depth)
                 return
 
     def handle_data(self, data):
         if not self.silent and not data.isspace():  # blank text never counts
-            self._add("#text", data)
+            self._add("#text", *_NO_ATTRIBUTES, data)
 
     def handle_comment(self, data):
-        self._add("#comment", data)
+        self._add("#comment", *_NO_ATTRIBUTES, data)
+
+
+_NO_ATTRIBUTES = (None,) * len(ATTRIBUTES)
 
 
 def _read_pages(pages: list[str | None]) -> pa.Array:
     reader, offsets = _Reader(), [0]
     for page in pages:
         offsets.append(reader.read(page) if page else offsets[-1])
-    arrays = [pa.array(reader.fields[name], pa.int32()) for name in _NUMBERS]
-    arrays += [pa.array(reader.fields[name], pa.string()) for name in _TEXTS]
+    columns = list(zip(*reader.nodes)) or [()] * len(_NODES.elementType)
+    kinds = [pa.int32()] * len(_NUMBERS) + [pa.string()] * len(_TEXTS)
+    arrays = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
     nodes = pa.StructArray.from_arrays(arrays, [*_NUMBERS, *_TEXTS])
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), nodes)
 
@@ -142,7 +147,7 @@ def first(nodes: Column, test) -> Column:
 
 def has_token(value: Column, token: str) -> Column:
     """Whether a space-separated attribute has the token."""
-    return F.array_contains(F.split(value, r"\s+"), token)
+    return value.rlike(rf"(?:^|\s){re.escape(token)}(?:\s|$)")
 
 
 def strings(nodes: Column) -> Column:

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidscope.errors import InvalidRowsError
-from bidscope.functions.dates import PUBLICATION_DATE, parse_deadline, parse_publication_date
+from bidscope.functions.dates import DAY, parse_deadline, parse_publication_date
 from bidscope.functions.html import (
     clean_text,
     first,
@@ -80,7 +80,7 @@ def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
             F.filter(within, lambda n: (n["tag"] == "div") & (n["parent"] == cell["at"])),
             lambda div: clean_text(row, div),
         ),
-        lambda text: text.rlike(PUBLICATION_DATE),
+        lambda text: text.rlike(DAY),
     )
     texts = {
         "object_text": clean_text(row, F.col("object")),

@@ -20,6 +20,7 @@ from bidscope.functions.dates import (
 from bidscope.operators.filters import identified
 from bidscope.operators.numbering import dense_ids
 from bidscope.schemas import IDENTITY, STATUSES, TENDER_FIELDS
+from bidscope.session import staged
 
 FIELDS = TENDER_FIELDS.fieldNames()
 #: Columns a repeated tender overwrites; every other column keeps its first value.
@@ -56,8 +57,9 @@ def upsert(
     DISCOVERED and numbered after the highest id, in order of first appearance. ``run`` is the
     span of the first order column, a whole number, that one task numbers.
     """
-    valid, _ = identified(batch, strict)
-    incoming = dedupe_last(valid.select(*FIELDS, *order), order)
+    # Written once, since it is joined twice and numbered; the batch itself is read only once.
+    latest = staged(dedupe_last(batch.select(*FIELDS, *order), order), "upsert-batch")
+    incoming, _ = identified(latest, strict)
     clock = instant(now)
 
     fresh = incoming.select(

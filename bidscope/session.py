@@ -66,3 +66,13 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small scan that feeds costly per-row work.
+
+    For a frame read straight from files. A file with one row group is one task however many
+    cores wait. A table of many splits is returned as it is: nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 4 * cores else df.repartition(2 * cores)
