@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from bidscope.catalog.base import (
     NOW,
     NOW_SQL,
+    ORACLES,
     WINDOW_SQL,
     WITH_TENDERS,
     key_sql,
@@ -17,6 +18,8 @@ from bidscope.functions.dates import days_left, days_left_label, format_date, ur
 from bidscope.functions.text import days_text, plural
 from bidscope.operators import insights
 from bidscope.operators.filters import PERIODS, InsightsFilter
+from bidscope.plans.insights_page import InsightsPage
+from bidscope.session import staged
 
 
 def _variants():
@@ -267,3 +270,39 @@ def days_left_query(spark, sf_dir):
 )
 def status_report(spark, sf_dir):
     return insights.status_report(tenders(spark, sf_dir))
+
+
+_SECTIONS = {
+    "coverage": "coverage_all",
+    "closing_soon": "closing_soon_buckets",
+    "new_this_week": "new_this_week",
+    "short_response_windows": "short_response_windows_all_time",
+    "response_windows_category": "response_window_category",
+    "response_windows_public_buyer": "response_window_public_buyer",
+}
+
+
+@query(
+    "insights_page",
+    " UNION ALL ".join(
+        f"SELECT '{section}' AS section, count(*) AS row_count FROM ({ORACLES[name]}) AS s"
+        for section, name in _SECTIONS.items()
+    )
+    + "".join(
+        f""" UNION ALL SELECT 'top_{dimension}', least(10, count(*)) FROM ({WITH_TENDERS}
+        SELECT DISTINCT {key_sql(dimension)} AS key FROM tenders
+        WHERE publication_date IS NOT NULL AND {key_sql(dimension)} <> '') AS s"""
+        for dimension in ("category", "location", "public_buyer")
+    ),
+)
+def insights_page(spark, sf_dir):
+    """How many rows each section of the all-time page has, all from one projection."""
+    with InsightsPage(tenders(spark, sf_dir), NOW, InsightsFilter("all")) as page:
+        counts = [
+            rows.agg(F.count("*").alias("row_count")).withColumn("section", F.lit(section))
+            for section, rows in page.sections().items()
+        ]
+        combined = counts[0]
+        for other in counts[1:]:
+            combined = combined.unionByName(other)
+        return staged(combined.select("section", "row_count"), "insights-page")

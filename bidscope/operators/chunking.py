@@ -56,57 +56,60 @@ def chunk_blocks(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
 
     Blocks are laid end to end in each section (``section_no``, then ``position``) and cut every
     ``max_tokens`` words. Where a block begins is a running total of words, so no document is
-    ever gathered: the only rows brought together are those of one chunk.
+    ever gathered: blocks meet by runs of positions, and then by the chunk they belong to.
     """
     in_range("max_tokens", max_tokens, 1)
-    section = ["doc_id", "section_no"]
-    split = blocks.withColumn("_words", words(F.col("text"))).filter(F.size("_words") > 0)
+    section, run = ["doc_id", "section_no"], ["doc_id", "section_no", "run"]
+    split = (
+        blocks.select(*section, "position", "page", "headings", words(F.col("text")).alias("words"))
+        .filter(F.size("words") > 0)
+        .withColumn("run", F.floor(F.col("position") / BLOCK_RUN))
+    )
+    # Joined by run, not by section: a section may hold a third of all blocks.
+    numbers = split.select(*run).distinct().join(_first_parts(split, section, max_tokens), section)
     placed = running_totals(
-        split.select(*section, "position", "page", "headings", "_words"),
+        split.join(numbers, run),
         section,
-        F.floor(F.col("position") / BLOCK_RUN),
+        F.col("run"),
         ["position"],
-        begin=F.size("_words").cast("bigint"),
+        begin=F.size("words").cast("bigint"),
     )
-    end = F.col("begin") + F.size("_words")
+    end = F.col("begin") + F.size("words")
     first, last = F.floor(F.col("begin") / max_tokens), F.floor((end - 1) / max_tokens)
-    pieces = placed.select(
-        "*", F.explode(F.sequence(first, last)).alias("part")
-    )
+    pieces = placed.select("*", F.explode(F.sequence(first, last)).alias("part"))
     # The words of this block that fall into this part, which starts ``offset`` words in.
     offset = F.col("part") * max_tokens - F.col("begin")
     skip = F.greatest(offset, F.lit(0))
     taken = F.slice(
-        F.col("_words"), (skip + 1).cast("int"), (offset + max_tokens - skip).cast("int")
+        F.col("words"), (skip + 1).cast("int"), (offset + max_tokens - skip).cast("int")
     )
-    chunks = (
-        pieces.groupBy(*section, "part")
+    text = F.array_join(F.flatten("taken.words"), " ")
+    return (
+        pieces.groupBy(*section, "first_part", "part")
         .agg(
             F.array_sort(F.collect_list(F.struct("position", taken.alias("words")))).alias("taken"),
             F.array_sort(F.collect_set("page")).alias("page_numbers"),
-            F.first("headings").alias("headings"),
+            F.first("headings").alias("heading_path"),
+        )
+        .select(
+            "doc_id",
+            (F.col("first_part") + F.col("part")).cast("int").alias("chunk_index"),
+            text.alias("text"),
+            embedding_text(F.col("heading_path"), text).alias("embedding_text"),
+            "page_numbers",
+            "heading_path",
         )
-        .withColumn("_text", F.array_join(F.flatten("taken.words"), " "))
     )
-    return _number_parts(chunks, split, section, max_tokens)
 
 
-def _number_parts(chunks: DataFrame, split: DataFrame, section: list[str], max_tokens: int) -> DataFrame:
-    """Number the parts over the whole document: after all parts of the sections before."""
-    sections = split.groupBy(*section).agg(F.sum(F.size("_words")).alias("words"))
-    parts = F.ceil(F.col("words") / max_tokens).cast("bigint")
-    starts = running_totals(
-        sections, ["doc_id"], F.floor(F.col("section_no") / BLOCK_RUN), ["section_no"], start=parts
-    )
-    text = F.col("_text")
-    return chunks.join(starts.select(*section, "start"), section).select(
-        "doc_id",
-        (F.col("start") + F.col("part")).cast("int").alias("chunk_index"),
-        text.alias("text"),
-        embedding_text(F.col("headings"), text).alias("embedding_text"),
-        "page_numbers",
-        F.col("headings").alias("heading_path"),
+def _first_parts(split: DataFrame, section: list[str], max_tokens: int) -> DataFrame:
+    """Per section, how many parts the sections before it have: the number of its first part."""
+    sections = split.groupBy(*section).agg(F.sum(F.size("words")).alias("total"))
+    parts = F.ceil(F.col("total") / max_tokens).cast("bigint")
+    numbered = running_totals(
+        sections, ["doc_id"], F.floor(F.col("section_no") / BLOCK_RUN), ["section_no"], first_part=parts
     )
+    return numbered.select(*section, "first_part")
 
 
 def chunk_sections(sections: Column, max_tokens: int = MAX_TOKENS) -> Column:

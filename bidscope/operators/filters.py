@@ -144,6 +144,14 @@ def resolve(tenders: DataFrame, identities: DataFrame) -> tuple[DataFrame, DataF
     return identities.join(keys, IDENTITY), identities.join(keys, IDENTITY, "left_anti")
 
 
+def resolve_all(tenders: DataFrame, identities: DataFrame) -> DataFrame:
+    """``tender_record_id`` of every identity; an unknown one is an error."""
+    found, unknown = resolve(tenders, identities.select(*IDENTITY).distinct())
+    if not unknown.isEmpty():
+        raise NotFoundError("some tenders do not exist")
+    return found.select("tender_record_id")
+
+
 def one_of(name: str, value: str, allowed) -> str:
     if value not in allowed:
         raise ValueError(f"{name} must be one of {', '.join(allowed)}")

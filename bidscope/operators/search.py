@@ -22,6 +22,8 @@ RETRIEVE_LIMIT = 5
 BROADCAST_HITS = 10_000
 #: Up to this many bytes of query vectors go to every task; more are taken in blocks.
 QUERY_BYTES = 64 * 1024 * 1024
+#: Queries multiplied at a time.
+QUERY_SLICE = 256
 
 CHUNK_KEY = ["dce_file_id", "chunk_index"]
 
@@ -141,19 +143,25 @@ def _search_block(rows: DataFrame, loaded: list, limit: int) -> DataFrame:
     vectors = np.array([row.embedding for row in loaded], dtype=np.float64)
 
     def search_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(len(ids), limit)
+        # Queries are taken in slices, so that a matrix of distances stays small.
+        slices = [slice(at, at + QUERY_SLICE) for at in range(0, len(ids), QUERY_SLICE)]
+        best = [_Best(len(ids[part]), limit) for part in slices]
         for batch in batches:
-            if len(ids) and batch.num_rows:
-                found, _ = matrix(batch.column(2), vectors.shape[1])
-                keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
-                best.add(cosine_distances(found, vectors), *keys)
-        at, files, positions, distances = best.rows()
-        missing = ~np.isfinite(distances)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[at]), pa.array(files), pa.array(positions.astype(np.int32)), pa.array(distances, mask=missing)],
-            ["query_id", *CHUNK_KEY, "distance"],
-        )
-
+            found, _ = matrix(batch.column(2), vectors.shape[1])
+            keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
+            for part, kept in zip(slices, best):
+                kept.add(cosine_distances(found, vectors[part]), *keys)
+        for part, kept in zip(slices, best):
+            at, files, positions, distances = kept.rows()
+            missing = ~np.isfinite(distances)
+            columns = [ids[part][at], files, positions.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, columns), pa.array(distances, mask=missing)],
+                ["query_id", *CHUNK_KEY, "distance"],
+            )
+
+    if not loaded:
+        rows = rows.limit(0)
     return rows.mapInArrow(
         search_task, "query_id bigint, dce_file_id bigint, chunk_index int, distance double"
     )
@@ -219,8 +227,9 @@ class CellIndex:
         placed = means.transform(directed).unionByName(
             points.filter(~has_direction).withColumn("cell", F.lit(0))
         )
-        salt = F.pmod(F.xxhash64(*CHUNK_KEY), F.lit(8))
-        placed.drop("point").repartition("cell", salt).write.partitionBy("cell").parquet(f"{self.path}/chunks")
+        # Ranges are of equal size: a crowded cell is written by many tasks.
+        spread = placed.drop("point").repartitionByRange(F.col("cell"), F.xxhash64(*CHUNK_KEY))
+        spread.write.partitionBy("cell").parquet(f"{self.path}/chunks")
         centres = [(i, [float(x) for x in c]) for i, c in enumerate(means.clusterCenters())]
         self.spark.createDataFrame(centres, "cell int, centre array<double>").write.parquet(f"{self.path}/centres")
 

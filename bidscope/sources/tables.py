@@ -44,14 +44,10 @@ def result_page_files(spark: SparkSession, path: str) -> DataFrame:
 def write_tenders(tenders: DataFrame, path: str) -> None:
     """Partitioned by publication month and sorted inside, for skipping files and row groups.
 
-    Rows are spread by month and a salt from the id, so that one busy month fills several files.
+    Ranges of (month, date, id) are of equal size, so a busy month fills several files and a
+    quiet one shares its task with others.
     """
+    order = ["month", "publication_date", "id"]
     by_month = tenders.withColumn("month", F.trunc("publication_date", "month"))
-    salt = F.pmod(F.xxhash64("id"), F.lit(8))
-    (
-        by_month.repartition(F.col("month"), salt)
-        .sortWithinPartitions("month", "publication_date", "id")
-        .write.mode("errorifexists")
-        .partitionBy("month")
-        .parquet(path)
-    )
+    ranges = by_month.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges.write.mode("errorifexists").partitionBy("month").parquet(path)
