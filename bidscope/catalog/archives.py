@@ -28,7 +28,7 @@ from bidscope.operators.embedding import HashEmbedder
 from bidscope.operators.filters import has_archive
 from bidscope.plans.indexing import run_indexing
 from bidscope.schemas import TENDERS
-from bidscope.session import scratch_path, staged
+from bidscope.session import scratch_path, spread, staged
 from bidscope.sources.store import FileStore, TenderStore
 
 
@@ -142,7 +142,7 @@ def indexed(spark, sf_dir, rounds=1):
     tender_store = TenderStore(spark, scratch_path(spark, "tenders"))
     tender_store.write(tenders(spark, sf_dir).select(*TENDERS.fieldNames()))
     file_store = FileStore(spark, scratch_path(spark, "files"))
-    stored = staged(archives(spark, sf_dir).select("path", "content"), "archives")
+    stored = spread(staged(archives(spark, sf_dir).select("path", "content"), "archives"))
     for _ in range(rounds):
         report = run_indexing(
             tender_store, file_store, stored, TextConverter(), HashEmbedder(DIMENSION), NOW

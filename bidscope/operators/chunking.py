@@ -1,11 +1,13 @@
 """Cutting text into chunks of at most ``max_tokens`` words, each citable by page and headings."""
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bidscope.operators.embedding import WORD_BREAK
 from bidscope.operators.filters import in_range
 from bidscope.operators.numbering import running_totals
+from bidscope.session import staged
 
 # Most words in a chunk.
 MAX_TOKENS = 512
@@ -56,25 +58,24 @@ def chunk_blocks(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
 
     Blocks are laid end to end in each section (``section_no``, then ``position``) and cut every
     ``max_tokens`` words. Where a block begins is a running total of words, so no document is
-    ever gathered: blocks meet by runs of positions, and then by the chunk they belong to.
+    ever gathered: blocks meet by runs of positions, and then by the chunk they belong to. One
+    pass over the text counts words per run; the counts are written down, and a second pass cuts.
     """
     in_range("max_tokens", max_tokens, 1)
-    section, run = ["doc_id", "section_no"], ["doc_id", "section_no", "run"]
+    run = ["doc_id", "section_no", "run"]
     split = (
-        blocks.select(*section, "position", "page", "headings", words(F.col("text")).alias("words"))
+        blocks.select(*run[:2], "position", "page", "headings", words(F.col("text")).alias("words"))
         .filter(F.size("words") > 0)
         .withColumn("run", F.floor(F.col("position") / BLOCK_RUN))
     )
-    # Joined by run, not by section: a section may hold a third of all blocks.
-    numbers = split.select(*run).distinct().join(_first_parts(split, section, max_tokens), section)
-    placed = running_totals(
-        split.join(numbers, run),
-        section,
-        F.col("run"),
-        ["position"],
-        begin=F.size("words").cast("bigint"),
-    )
-    end = F.col("begin") + F.size("words")
+    size = F.size("words").cast("bigint")
+    counts = staged(split.groupBy(*run).agg(F.sum(size).alias("total")), "words-per-run")
+    starts = _run_starts(counts, max_tokens)
+
+    inside = W.partitionBy(*run).orderBy("position").rowsBetween(W.unboundedPreceding, -1)
+    begin = F.col("run_begin") + F.coalesce(F.sum(size).over(inside), F.lit(0))
+    placed = split.join(starts, run).withColumn("begin", begin)
+    end = F.col("begin") + size
     first, last = F.floor(F.col("begin") / max_tokens), F.floor((end - 1) / max_tokens)
     pieces = placed.select("*", F.explode(F.sequence(first, last)).alias("part"))
     # The words of this block that fall into this part, which starts ``offset`` words in.
@@ -85,7 +86,7 @@ def chunk_blocks(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     )
     text = F.array_join(F.flatten("taken.words"), " ")
     return (
-        pieces.groupBy(*section, "first_part", "part")
+        pieces.groupBy("doc_id", "section_no", "first_part", "part")
         .agg(
             F.array_sort(F.collect_list(F.struct("position", taken.alias("words")))).alias("taken"),
             F.array_sort(F.collect_set("page")).alias("page_numbers"),
@@ -102,14 +103,20 @@ def chunk_blocks(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     )
 
 
-def _first_parts(split: DataFrame, section: list[str], max_tokens: int) -> DataFrame:
-    """Per section, how many parts the sections before it have: the number of its first part."""
-    sections = split.groupBy(*section).agg(F.sum(F.size("words")).alias("total"))
+def _run_starts(counts: DataFrame, max_tokens: int) -> DataFrame:
+    """Per run: the words of its section before it, and the parts of all sections before that."""
+    section = ["doc_id", "section_no"]
+    sections = counts.groupBy(*section).agg(F.sum("total").alias("total"))
     parts = F.ceil(F.col("total") / max_tokens).cast("bigint")
     numbered = running_totals(
         sections, ["doc_id"], F.floor(F.col("section_no") / BLOCK_RUN), ["section_no"], first_part=parts
     )
-    return numbered.select(*section, "first_part")
+    earlier = W.partitionBy(*section).orderBy("run").rowsBetween(W.unboundedPreceding, -1)
+    return (
+        counts.withColumn("run_begin", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
+        .join(numbered.select(*section, "first_part"), section)
+        .select(*section, "run", "run_begin", "first_part")
+    )
 
 
 def chunk_sections(sections: Column, max_tokens: int = MAX_TOKENS) -> Column:
