@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidscope.functions.text import clean, strip
+from bidscope.functions.text import collapse, strip
 
 # Elements that never have content.
 VOID = frozenset(
@@ -156,6 +156,11 @@ def strings(nodes: Column) -> Column:
     return F.filter(texts, lambda text: text != "")
 
 
-def clean_text(nodes: Column, node: Column) -> Column:
+def joined_text(nodes: Column, node: Column) -> Column:
     """Text of a node: stripped pieces joined without separator, white space collapsed."""
-    return clean(F.array_join(strings(inside(nodes, node)), ""))
+    return collapse(F.array_join(strings(inside(nodes, node)), ""))
+
+
+def clean_text(nodes: Column, node: Column) -> Column:
+    """Text of a node; null when there is none."""
+    return F.nullif(joined_text(nodes, node), F.lit(""))

@@ -40,9 +40,14 @@ def strip(value: Column) -> Column:
     return F.regexp_replace(value, f"^{SPACE}+|{SPACE}+$", "")
 
 
+def collapse(value: Column) -> Column:
+    """Trim, and make each run of white space one space, no-break spaces included."""
+    return F.trim(F.regexp_replace(value, f"{SPACE}+", " "))
+
+
 def clean(value: Column) -> Column:
-    """Collapse white space, no-break spaces included; nothing left is null."""
-    return F.nullif(F.trim(F.regexp_replace(value, f"{SPACE}+", " ")), F.lit(""))
+    """The collapsed text; null when nothing is left."""
+    return F.nullif(collapse(value), F.lit(""))
 
 
 def has_text(value: Column) -> Column:

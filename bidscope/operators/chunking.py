@@ -122,38 +122,46 @@ def _run_starts(counts: DataFrame, max_tokens: int) -> DataFrame:
 def chunk_sections(sections: Column, max_tokens: int = MAX_TOKENS) -> Column:
     """Chunks of one converted file, as an array; local to the row.
 
-    ``sections`` is an array of struct(headings, pieces array of struct(page, text)).
+    ``sections`` is an array of struct(headings, pieces array of struct(page, text)). Every step
+    is a transform of its own: what a lambda names twice, Spark would compute twice.
     """
 
-    def cut(section: Column) -> Column:
-        tokens = F.flatten(
-            F.transform(
-                section["pieces"],
-                lambda piece: F.transform(
-                    words(piece["text"]),
-                    lambda word: F.struct(word.alias("word"), piece["page"].alias("page")),
-                ),
-            )
+    def tokens(section: Column) -> Column:
+        paged = F.transform(
+            section["pieces"],
+            lambda piece: F.transform(
+                words(piece["text"]),
+                lambda word: F.struct(word.alias("word"), piece["page"].alias("page")),
+            ),
         )
-        starts = F.when(
-            F.size(tokens) > 0, F.sequence(F.lit(1), F.size(tokens), F.lit(max_tokens))
-        ).otherwise(F.array().cast("array<int>"))
+        return F.struct(section["headings"].alias("headings"), F.flatten(paged).alias("tokens"))
+
+    def cut(section: Column) -> Column:
+        size = F.size(section["tokens"])
+        starts = F.when(size > 0, F.sequence(F.lit(1), size, F.lit(max_tokens)))
         return F.transform(
-            starts,
+            F.coalesce(starts, F.array().cast("array<int>")),
             lambda start: F.struct(
                 section["headings"].alias("headings"),
-                F.slice(tokens, start, max_tokens).alias("tokens"),
+                F.slice(section["tokens"], start, max_tokens).alias("tokens"),
             ),
         )
 
+    def join(chunk: Column) -> Column:
+        return F.struct(
+            F.array_join(chunk["tokens"]["word"], " ").alias("text"),
+            F.array_sort(F.array_distinct(chunk["tokens"]["page"])).alias("page_numbers"),
+            chunk["headings"].alias("headings"),
+        )
+
     def finish(chunk: Column, index: Column) -> Column:
-        text = F.array_join(chunk["tokens"]["word"], " ")
         return F.struct(
             index.alias("chunk_index"),
-            text.alias("text"),
-            embedding_text(chunk["headings"], text).alias("embedding_text"),
-            F.array_sort(F.array_distinct(chunk["tokens"]["page"])).alias("page_numbers"),
+            chunk["text"].alias("text"),
+            embedding_text(chunk["headings"], chunk["text"]).alias("embedding_text"),
+            chunk["page_numbers"].alias("page_numbers"),
             chunk["headings"].alias("heading_path"),
         )
 
-    return F.transform(F.flatten(F.transform(sections, cut)), finish)
+    cuts = F.flatten(F.transform(F.transform(sections, tokens), cut))
+    return F.transform(F.transform(cuts, join), finish)

@@ -11,6 +11,7 @@ from bidscope.functions.html import (
     has_token,
     html_nodes,
     inside,
+    joined_text,
     strings,
     subtree,
 )
@@ -78,7 +79,7 @@ def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     dates = F.filter(
         F.transform(
             F.filter(within, lambda n: (n["tag"] == "div") & (n["parent"] == cell["at"])),
-            lambda div: clean_text(row, div),
+            lambda div: joined_text(row, div),
         ),
         lambda text: text.rlike(DAY),
     )
@@ -182,9 +183,7 @@ def page_text(pages: DataFrame, html: str = "html") -> DataFrame:
 
     def texts(tag: str) -> Column:
         found = F.filter(nodes, lambda n: n["tag"] == tag)
-        return F.filter(
-            F.transform(found, lambda n: clean_text(nodes, n)), lambda text: text.isNotNull()
-        )
+        return F.filter(F.transform(found, lambda n: joined_text(nodes, n)), lambda text: text != "")
 
     links = F.filter(nodes, lambda n: (n["tag"] == "a") & n["href"].isNotNull())
     return pages.select(*others, html_nodes(F.col(html)).alias("nodes")).select(

@@ -9,14 +9,13 @@ from bidscope.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "tests",
         "local[4]",
         spark__sql__shuffle__partitions=4,
         spark__driver__memory="4g",
         spark__ui__showConsoleProgress="false",
-        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
