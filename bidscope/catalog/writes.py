@@ -50,7 +50,7 @@ def sightings(spark, sf_dir):
       publication_date, first_seq FROM latest""",
 )
 def dedupe_last_wins(spark, sf_dir):
-    return writes.dedupe_last(sightings(spark, sf_dir), ["seq"]).select(
+    return writes.dedupe_last(sightings(spark, sf_dir)).select(
         "tender_id",
         "organization_acronym",
         "tender_object",

@@ -29,7 +29,7 @@ REFRESHED = ["tender_object", "public_buyer", "publication_date"]
 NUMBERING_RUN = 1_000_000
 
 
-def dedupe_last(tenders: DataFrame, order: list[str]) -> DataFrame:
+def dedupe_last(tenders: DataFrame, order: tuple[str, ...] = ("seq",)) -> DataFrame:
     """One row per identity: the values of its last occurrence, and ``first_seen`` of its first.
 
     An aggregate rather than a window: repeats of one tender collapse before the shuffle.
@@ -47,7 +47,7 @@ def upsert(
     tenders: DataFrame,
     batch: DataFrame,
     now: datetime,
-    order: list[str] = ["seq"],
+    order: tuple[str, ...] = ("seq",),
     run: int = NUMBERING_RUN,
     strict: bool = True,
 ) -> DataFrame:

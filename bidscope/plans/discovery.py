@@ -31,6 +31,6 @@ def discover(
     found = page_tenders(parsed, page)
     if not found.isEmpty():
         store.write(
-            upsert(store.read(), found, now, order=[page, "row_no"], run=PAGE_RUN, strict=strict), batch
+            upsert(store.read(), found, now, order=(page, "row_no"), run=PAGE_RUN, strict=strict), batch
         )
     return found

@@ -37,7 +37,7 @@ def result_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def result_page_files(spark: SparkSession, path: str) -> DataFrame:
     """Saved result pages, one per text file; the file name orders them."""
-    pages = spark.read.option("wholetext", "true").text(path)
+    pages = spark.read.text(path, wholetext=True)
     return pages.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
 
 

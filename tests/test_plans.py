@@ -64,7 +64,7 @@ def test_medians_share_their_counts(stored):
 
 
 def test_repeats_collapse_before_the_shuffle(stored):
-    text = plan(dedupe_last(stored.withColumn("seq", F.col("id")), ["seq"]))
+    text = plan(dedupe_last(stored.withColumn("seq", F.col("id"))))
     assert text.count("Exchange") == 1 and "partial_max_by" in text
 
 
