@@ -30,8 +30,10 @@ class _Versions:
     def _commits(self) -> DataFrame:
         try:
             return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
-        except AnalysisException:  # no commit yet
-            return self.spark.createDataFrame([], _COMMITS)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], _COMMITS)  # no commit yet
 
     def _last(self) -> Row:
         found = self._commits().orderBy(F.desc("version")).take(1)

@@ -85,3 +85,14 @@ def test_scope_reaches_the_scan_of_the_store(spark, tmp_path):
     spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
     text = chunks.filter("tender_record_id = 7")._jdf.queryExecution().toString()
     assert "EqualTo(tender_record_id,7)" in text and "PartitionFilters: [isnotnull(version" in text
+
+
+def test_first_replacement_may_be_empty(spark, tmp_path):
+    store = FileStore(spark, str(tmp_path))
+    kind = "array<struct<chunk_index:int,text:string,embedding_text:string,page_numbers:array<int>,heading_path:array<string>>>"
+    none = spark.createDataFrame(
+        [], f"tender_record_id long, position int, path string, file_type string, status string, reason string, chunks {kind}"
+    )
+    outcome = store.replace(spark.range(1, 3).select(F.col("id").alias("tender_record_id")), none, HashEmbedder(4))
+    assert outcome.count() == 2 and store.version() == 1
+    assert store.files().isEmpty() and store.chunks().isEmpty()
