@@ -1,6 +1,5 @@
 """Session settings, and the shared folder for checkpoints and staged tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,16 +39,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a scratch folder only in local mode without one."""
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    scratch = tempfile.mkdtemp(prefix="bidscope-")
-    context.setCheckpointDir(scratch)
-    return scratch
+    """The cluster's checkpoint folder; where none is set, a folder in Spark's warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
