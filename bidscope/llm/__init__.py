@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline, and their registered queries."""
 
-from bidscope.llm import chat, mixing, near_dedup, quality, sharding, url_filter  # noqa: F401
+from bidscope.llm import chat, decontaminate, mixing, near_dedup, quality, sharding, url_filter  # noqa: F401
 from bidscope.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

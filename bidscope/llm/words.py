@@ -35,6 +35,8 @@ _BYTES = constants(256, 1)
 _BYTES[65:91] = _BYTES[97:123]
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[32, *range(9, 14)]] = True
+_PUNCTUATION = np.zeros(256, dtype=bool)
+_PUNCTUATION[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _BASE = int(constants(1, 2)[0])
 _POWERS: dict[int, np.ndarray] = {}
 
@@ -82,8 +84,23 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         at = to
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """The words of texts given as by ``raw``."""
+def _trimmed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words without ASCII punctuation at either end; words of nothing else disappear."""
+    start, end = start.copy(), end.copy()
+    rows = np.arange(len(start))
+    while len(rows):
+        rows = rows[(start[rows] < end[rows]) & _PUNCTUATION[data[np.minimum(start[rows], len(data) - 1)]]]
+        start[rows] += 1
+    rows = np.arange(len(start))
+    while len(rows):
+        rows = rows[(start[rows] < end[rows]) & _PUNCTUATION[data[end[rows] - 1]]]
+        end[rows] -= 1
+    some = start < end
+    return start[some], end[some]
+
+
+def words(data: np.ndarray, offsets: np.ndarray, trim: bool = False) -> Words:
+    """The words of texts given as by ``raw``; ``trim`` drops punctuation around them."""
     n, count = len(data), len(offsets) - 1
     inside = ~_SEPARATOR[data]
     begins = inside.copy()
@@ -94,6 +111,8 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     ends[:-1] &= ~inside[1:]
     ends[heads[1:] - 1] = inside[heads[1:] - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    if trim:
+        start, end = _trimmed(data, start, end)
     with np.errstate(over="ignore"):
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(_BYTES[data] * powers(_BASE, n), out=sums[1:])
@@ -104,12 +123,12 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(count, doc, start, end, hashes, first)
 
 
-def each(values: pa.Array) -> Iterator[tuple[int, np.ndarray, Words]]:
+def each(values: pa.Array, trim: bool = False) -> Iterator[tuple[int, np.ndarray, Words]]:
     """Number of the first text, bytes and words of slice after slice of a column of texts."""
     data, offsets = raw(values)
     for lo, hi in slices(offsets):
         part = data[offsets[lo] : offsets[hi]]
-        yield lo, part, words(part, offsets[lo : hi + 1] - offsets[lo])
+        yield lo, part, words(part, offsets[lo : hi + 1] - offsets[lo], trim)
 
 
 def windows(hashes: np.ndarray, size: int, seed: int) -> np.ndarray:
