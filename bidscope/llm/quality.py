@@ -49,7 +49,7 @@ def _word_chars(text: Column) -> Column:
 
 
 def judge(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add the measures, ``cleaned`` (the text of the lines that pass) and ``kept`` to each row.
+    """Add the measures, ``cleaned`` (the text without the lines that fail) and ``kept`` to each row.
 
     Base measures: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; ``base_failed``
     where there are under 10 words or over a fifth of them repeat. ``lost`` is the share of word
@@ -68,6 +68,7 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"),
+        "_all_lines",
         F.filter("_all_lines", _has_word).alias("_lines"),
     )
 
@@ -86,7 +87,8 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
         "word_chars",
         "_lines",
         F.when(F.col("n_words") >= 5, window(hashes)).otherwise(none).alias("_windows"),
-        F.filter("_lines", line_passes).alias("_good"),
+        F.size("_all_lines").alias("_n_lines"),
+        F.filter("_all_lines", lambda line: ~_has_word(line) | line_passes(line)).alias("_good"),
     )
     windows = F.col("_windows")
     pairs = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -112,7 +114,7 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
         F.regexp_count("_text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-        (F.size("_lines") - F.size("_good")).cast("long").alias("n_lines_dropped"),
+        (F.col("_n_lines") - F.size("_good")).cast("long").alias("n_lines_dropped"),
         F.array_join("_good", "\n").alias("cleaned"),
     )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -127,6 +129,19 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     return df.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in added], *added)
 
 
+def clean(docs: DataFrame) -> DataFrame:
+    """The documents that are kept, with their cleaned text, and ``n_chars`` where there is one.
+
+    The rows leave through a generator: a filter would be moved below the projections, and every
+    measure would be worked out again inside it.
+    """
+    text = F.col("cleaned")
+    own = {"text": text, "n_chars": F.length(text).cast("long")}
+    judged = judge(docs.select(F.struct(*docs.columns).alias("row"), "text"))
+    row = F.struct(*[own.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+    return judged.select(F.inline(F.when(F.col("kept"), F.array(row))))
+
+
 _SQL = r"""
 WITH docs AS (
   SELECT doc_id, coalesce(text, '') AS t FROM documents

@@ -131,24 +131,29 @@ def slot_sizes(records: DataFrame, slot: str = "virtual_slot", size: str = "size
     return {r[0]: r[1] for r in records.groupBy(slot).agg(F.sum(size)).collect()}
 
 
-def assign(docs: DataFrame, slot_map: SlotMap | None = None, shards: int = SHARDS) -> DataFrame:
-    """doc_id, size, text_crc32, virtual_slot, shard and slot of every row.
+def assign(
+    docs: DataFrame, slot_map: SlotMap | None = None, shards: int = SHARDS, keep: list[str] | tuple = ("doc_id",)
+) -> DataFrame:
+    """The columns to keep, and size, text_crc32, virtual_slot, shard and slot of every row.
 
     ``slot`` numbers the rows of a shard from 0 without gaps. Without a map, one is made from the
     bytes of this table. Every row gets a place: null ids share one slot, rows with the same id
     stay together, null and empty texts weigh one byte. Ties in id are ordered by checksum and
     size; rows equal in all three are interchangeable. An empty table gives an empty result.
-    Only ``doc_id`` and ``text`` are read, so other columns and their names do not matter.
+    Kept columns named like an added one are replaced.
     """
     spark = docs.sparkSession
+    added = ("size", "text_crc32", "virtual_slot", "shard", "slot")
+    kept = [c for c in keep if c not in added]
     rows = docs.select(
-        "doc_id",
+        F.struct(*kept).alias("_row"),
+        F.col("doc_id").alias("_id"),
         text_bytes(F.col("text")).alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
         virtual_slot(F.col("doc_id"), len(slot_map.owner) if slot_map else SLOTS).alias("virtual_slot"),
-        F.pmod(F.xxhash64(F.lit("part"), "doc_id", "text"), F.lit(PARTS)).cast("int").alias("part"),
+        F.pmod(F.xxhash64(F.lit("part"), "doc_id", "text"), F.lit(PARTS)).cast("int").alias("_part"),
     )
-    counted = rows.groupBy("virtual_slot", "part").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    counted = rows.groupBy("virtual_slot", "_part").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
     parts = sorted(counted.collect())  # at most slots x PARTS rows
     sizes: dict[int, int] = {}
     for slot, _, _, size in parts:
@@ -159,11 +164,16 @@ def assign(docs: DataFrame, slot_map: SlotMap | None = None, shards: int = SHARD
         shard = chosen.owner[slot]
         places.append((slot, part, shard, begins[shard]))
         begins[shard] += n
-    placed = spark.createDataFrame(places, "virtual_slot int, part int, shard int, begin long")
-    order = W.partitionBy("virtual_slot", "part").orderBy("doc_id", "text_crc32", "size")
+    placed = spark.createDataFrame(places, "virtual_slot int, _part int, shard int, _begin long")
+    order = W.partitionBy("virtual_slot", "_part").orderBy("_id", "text_crc32", "size")
     numbered = rows.withColumn("_n", F.row_number().over(order).cast("long") - 1)
-    return numbered.join(F.broadcast(placed), ["virtual_slot", "part"]).select(
-        "doc_id", "size", "text_crc32", "virtual_slot", "shard", (F.col("begin") + F.col("_n")).alias("slot")
+    return numbered.join(F.broadcast(placed), ["virtual_slot", "_part"]).select(
+        *[F.col("_row")[c].alias(c) for c in kept],
+        "size",
+        "text_crc32",
+        "virtual_slot",
+        "shard",
+        (F.col("_begin") + F.col("_n")).alias("slot"),
     )
 
 
