@@ -6,9 +6,11 @@
    the threshold miss every bucket with a chance below 1e-10.
 3. A bucket of n classes gives n - 1 candidates: its smallest class with each other one. Each is
    confirmed on the full sets, and the confirmed links are joined into components.
-4. A star can miss a link between two of its points. So buckets that still hold several components
-   give their pairs across components. A bucket too large for that is first split by further bands
-   until its parts are small; a pair of linked documents shares many parts.
+4. A star can miss a link between two of its points. So the classes of buckets that still hold
+   several components are joined exactly: of two sets that similar, the rarest shingles of one must
+   meet the rarest of the other, within bounds that follow from sizes and places. Only pairs
+   across components are confirmed. In a large group of copies the rare shingles are the edits, so
+   copies that differ too much never meet.
 """
 
 import hashlib
@@ -30,14 +32,12 @@ SHINGLE = 5
 BINS = 128
 BAND = 4
 BANDS = BINS // BAND
-#: A link: 100 * intersection >= THRESHOLD * union.
+#: A link, unless told otherwise: 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
-#: Pairs across components are listed within parts of at most this many classes.
-PART = 32
-#: Levels of splitting; at the last one, parts agree in this many bands more.
-LEVELS = 6
-#: Further bands tried per level: linked documents share about half of them.
-WAYS = 5
+#: Counters of the sketch that orders shingles by rarity; its size is fixed.
+SKETCH = 1 << 20
+#: Ratio of the largest to the smallest set of a size class.
+SIZE_STEP = 1.03
 
 _SHIFT = np.uint64(64 - (BINS - 1).bit_length())
 _BAND = constants(BAND, 11)
@@ -126,28 +126,32 @@ def _sign(batches):
             )
 
 
-def _confirm(batches):
+def _confirm(threshold: int):
     """Rows (a, b, text of a, text of b) whose sets are similar enough: (a, b)."""
-    for batch in batches:
-        a, b = batch.column(0), batch.column(1)
-        ids = a.to_numpy(zero_copy_only=False)
-        left, news = batch.column(2), np.ones(len(ids), dtype=bool)
-        same = pc.equal(left.slice(1), left.slice(0, max(len(ids) - 1, 0)))
-        news[1:] = (ids[1:] != ids[:-1]) | ~same.to_numpy(zero_copy_only=False)
-        left = _by_row(left.filter(pa.array(news)))
-        right, which = _by_row(batch.column(3)), np.cumsum(news) - 1
-        good = np.zeros(len(ids), dtype=bool)
-        for k in range(len(ids)):
-            x, y = left[which[k]], right[k]
-            if len(x) > len(y):
-                x, y = y, x
-            if 100 * len(x) < THRESHOLD * len(y) or not len(x):
-                continue
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            common = int(np.count_nonzero(y[at] == x))
-            good[k] = 100 * common >= THRESHOLD * (len(x) + len(y) - common)
-        mask = pa.array(good)
-        yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
+
+    def run(batches):
+        for batch in batches:
+            a, b = batch.column(0), batch.column(1)
+            ids = a.to_numpy(zero_copy_only=False)
+            left, news = batch.column(2), np.ones(len(ids), dtype=bool)
+            same = pc.equal(left.slice(1), left.slice(0, max(len(ids) - 1, 0)))
+            news[1:] = (ids[1:] != ids[:-1]) | ~same.to_numpy(zero_copy_only=False)
+            left = _by_row(left.filter(pa.array(news)))
+            right, which = _by_row(batch.column(3)), np.cumsum(news) - 1
+            good = np.zeros(len(ids), dtype=bool)
+            for k in range(len(ids)):
+                x, y = left[which[k]], right[k]
+                if len(x) > len(y):
+                    x, y = y, x
+                if 100 * len(x) < threshold * len(y) or not len(x):
+                    continue
+                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                common = int(np.count_nonzero(y[at] == x))
+                good[k] = 100 * common >= threshold * (len(x) + len(y) - common)
+            mask = pa.array(good)
+            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
+
+    return run
 
 
 def _by_row(texts: pa.Array) -> list[np.ndarray]:
@@ -162,35 +166,114 @@ def _distinct_pairs(x: DataFrame) -> DataFrame:
     return x.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) that are links, confirmed on the sets of their full texts."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(right, "b").join(left, "a").sortWithinPartitions("a")
     schema = T.StructType([f for f in pairs.schema.fields])
-    return staged(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, schema), "links")
+    return staged(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(threshold), schema), "links")
 
 
-def _mixed(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """Entries (class_id, bucket, …) of buckets with several components, and the bucket's size."""
-    known = entries.join(labels, F.col("class_id") == F.col("id"), "left").drop("id")
-    known = known.withColumn("label", F.coalesce("label", "class_id"))
-    sizes = known.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min("label").alias("_lo"), F.max("label").alias("_hi")
-    )
-    return known.join(sizes.filter(F.col("_lo") < F.col("_hi")).drop("_lo", "_hi"), "bucket")
+def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, label) of the classes that share a bucket with another component."""
+    known = buckets.join(labels, F.col("class_id") == F.col("id"), "left").drop("id")
+    known = known.select("bucket", F.col("class_id").alias("id"), F.coalesce("label", "class_id").alias("label"))
+    sizes = known.groupBy("bucket").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"))
+    return known.join(sizes.filter(F.col("_lo") < F.col("_hi")), "bucket").select("id", "label").distinct()
+
+
+def _slots(value: np.ndarray) -> np.ndarray:
+    return (mix(value) % np.uint64(SKETCH)).astype(np.int64)
+
+
+def _count(batches):
+    """Counts of shingles by slot, one row for each slot that a task has met."""
+    counts = np.zeros(SKETCH, dtype=np.int64)
+    for batch in batches:
+        for _, _, _, value in sets(batch.column(0)):
+            np.add.at(counts, _slots(value), 1)
+    some = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["slot", "n"])
+
 
+def _sketch(texts: DataFrame) -> np.ndarray:
+    """An upper bound of every shingle's documents, in a table of fixed size."""
+    rows = texts.select("text").mapInArrow(_count, "slot long, n long")
+    rows = rows.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SKETCH, dtype=np.uint16)
+    counts[rows["slot"].to_numpy()] = np.minimum(rows["n"].to_numpy(), 65535)
+    return counts
 
-def _across(entries: DataFrame) -> DataFrame:
-    """Pairs of one bucket with different labels."""
-    x = entries.select("bucket", F.col("class_id").alias("a"), F.col("label").alias("_la"))
-    y = entries.select("bucket", F.col("class_id").alias("b"), F.col("label").alias("_lb"))
-    return x.join(y, "bucket").filter((F.col("a") < F.col("b")) & (F.col("_la") != F.col("_lb"))).select("a", "b")
 
+PREFIX = "shingle long, size_class int, probe boolean, id long, label long, size long, rest long"
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+
+def _size_class(size):
+    return np.floor(np.log(size) / np.log(SIZE_STEP)).astype(np.int32)
+
+
+def _prefixes(counts: np.ndarray, threshold: int):
+    """The rarest shingles of each set, rarest first, as far as a link could begin with them.
+
+    ``rest`` counts a set's shingles from this one on. At a threshold of 85, a link needs 85/185 of
+    both sizes in common, so the first common shingle must leave that much in both. A set looks for smaller or equal ones
+    (``probe``) in the size classes that its rest allows. A shingle of one document is left out.
+    """
+    need, both = threshold, 100 + threshold
+
+    def run(batches):
+        for batch in batches:
+            for lo, rows, doc, value in sets(batch.column(2)):
+                seen = counts[_slots(value)]
+                order = np.lexsort((value, seen, doc))
+                value, seen = value[order], seen[order]
+                bounds = np.searchsorted(doc, np.arange(rows + 1))
+                size = np.diff(bounds)[doc]
+                rest = size - (np.arange(len(doc)) - bounds[doc])
+                least = -(-need * size // 100)
+                most = np.minimum(size, both * rest // need - size)
+                probes = np.flatnonzero((seen > 1) & (most >= least))
+                first, last = _size_class(least[probes]), _size_class(most[probes])
+                times = last - first + 1
+                probed = np.repeat(probes, times)
+                classes = np.arange(len(probed)) - np.repeat(np.cumsum(times) - times, times)
+                held = np.flatnonzero((seen > 1) & (both * rest >= 2 * need * size))
+                at = np.concatenate([probed, held])
+                row = pa.array(doc[at] + lo)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(value[at].view(np.int64)),
+                        pa.array(np.concatenate([np.repeat(first, times) + classes, _size_class(size[held])]).astype(np.int32)),
+                        pa.array(np.arange(len(at)) < len(probed)),
+                        batch.column(0).take(row),
+                        batch.column(1).take(row),
+                        pa.array(size[at]),
+                        pa.array(rest[at]),
+                    ],
+                    names=[f.split()[0] for f in PREFIX.split(", ")],
+                )
+
+    return run
+
+
+def _across(texts: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of texts (id, label, text) that may be links between different labels."""
+    rows = texts.select("id", "label", "text").mapInArrow(_prefixes(_sketch(texts), threshold), PREFIX)
+    rows = staged(rows, "prefixes")
+    x = rows.filter("probe").drop("probe").withColumnsRenamed({"id": "a", "label": "_la", "size": "_sa", "rest": "_ra"})
+    y = rows.filter("not probe").drop("probe").withColumnsRenamed(
+        {"id": "b", "label": "_lb", "size": "_sb", "rest": "_rb"}
+    )
+    keys = (x["shingle"] == y["shingle"]) & (x["size_class"] == y["size_class"]) & (F.col("_la") != F.col("_lb"))
+    enough = (100 + threshold) * F.least("_ra", "_rb") >= threshold * (F.col("_sa") + F.col("_sb"))
+    return x.join(y, keys & (F.col("_sb") <= F.col("_sa")) & enough).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text).
 
+    Two texts are linked when 100 * intersection >= threshold * union of their shingle sets.
     component_id is the smallest doc_id that links can reach; ``kept`` marks the documents that
     are their component's smallest. A text without a word is linked with nothing, not even with
     another such text. Rows with the same id are one node. A null id has no place in the order: it
@@ -215,7 +298,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("class_id"), F.any_value("bands").alias("bands")),
         "classes",
     )
-    entries = classes.select("class_id", F.posexplode("bands").alias("band", "bucket"))
+    entries = classes.select("class_id", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.min("class_id").alias("center"), F.max("class_id").alias("_last"))
     buckets = staged(
         entries.join(shared.filter(F.col("center") < F.col("_last")).drop("_last"), "bucket"), "buckets"
@@ -224,7 +307,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = buckets.filter(F.col("class_id") != F.col("center")).select(
         F.col("center").alias("a"), F.col("class_id").alias("b")
     )
-    links = _links(stars.distinct(), texts)
+    links = _links(stars.distinct(), texts, threshold)
     # Rows of one id with different texts are one node as well.
     identified = signed.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     several = identified.groupBy("doc_id").agg(F.min("set_key").alias("_lo"), F.max("set_key").alias("_hi"))
@@ -232,24 +315,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = identified.join(several, "doc_id").select("doc_id", "set_key").join(classes, "set_key")
     same = same.select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
     labels = staged(components(links), "labels")
-    rest, pairs = staged(_mixed(buckets.drop("center"), labels), "mixed"), None
-    for level in range(1, LEVELS + 1):
-        small = _across(rest.filter(F.col("size") <= PART))
-        pairs = small if pairs is None else pairs.union(small)
-        large = rest.filter(F.col("size") > PART)
-        if level == LEVELS or large.isEmpty():
-            break
-        split = large.drop("label", "size").join(classes.select("class_id", "bands"), "class_id")
-        ways = [
-            F.struct(
-                F.pmod(F.col("band") + k, F.lit(BANDS)).alias("band"),
-                F.xxhash64("bucket", F.get("bands", F.pmod(F.col("band") + k, F.lit(BANDS)))).alias("bucket"),
-            )
-            for k in range(1, WAYS + 1)
-        ]
-        split = split.select("class_id", F.explode(F.array(*ways)).alias("w")).select("class_id", "w.band", "w.bucket")
-        rest = staged(_mixed(split.distinct(), labels), "mixed")
-    more = _links(_distinct_pairs(pairs), texts)
+    mixed = _mixed(buckets, labels)
+    others = texts.join(mixed, F.col("doc_id") == F.col("id")).select("id", "label", "text")
+    more = _links(_distinct_pairs(_across(staged(others, "others"), threshold)), texts, threshold)
     labels = staged(components(links.union(more).union(same)), "labels")
     named = classes.join(labels, F.col("class_id") == F.col("id"), "left").select(
         "set_key", F.coalesce("label", "class_id").alias("component_id")

@@ -11,6 +11,9 @@ from bidscope.llm import decontaminate, mixing, near_dedup, quality, sharding
 from bidscope.llm.registry import query
 from bidscope.session import staged
 
+#: Documents of this similarity in per cent or more are near duplicates.
+SIMILAR = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failing lines go from the texts, and documents that the rules reject go as a whole.
@@ -29,7 +32,7 @@ def near_deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     late = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
     known = docs.select(F.coalesce("doc_id", late).alias("_id"), F.struct(*docs.columns).alias("_row"))
-    found = near_dedup.near_duplicates(known.select(F.col("_id").alias("doc_id"), "_row.text"))
+    found = near_dedup.near_duplicates(known.select(F.col("_id").alias("doc_id"), "_row.text"), SIMILAR)
     first = found.filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
     kept = known.join(first, F.col("_id") == F.col("_kept"), "left_semi")
     one = kept.groupBy("_id").agg(F.min_by("_row", F.struct("_row.text")).alias("_row"))
