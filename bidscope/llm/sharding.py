@@ -51,7 +51,7 @@ class SlotMap:
         while True:
             most, least = max(range(self.shards), key=loads.__getitem__), min(range(self.shards), key=loads.__getitem__)
             gap = loads[most] - loads[least]
-            fits = [x for x in held[most] if 0 < x[0] <= gap / 2]
+            fits = [x for x in held[most] if 0 < x[0] <= gap / 2] or [x for x in held[most] if 0 < x[0] < gap][:1]
             if gap <= tolerance * target or not fits:
                 return self.edited({s: o for s, o in moves.items() if o != self.owner[s]})
             size, slot = fits[-1]
