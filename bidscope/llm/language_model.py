@@ -26,7 +26,7 @@ from bidscope.llm.words import constants, each, mix
 from bidscope.session import staged
 
 #: Text bytes of a chunk; a longer document is a chunk of its own.
-CHUNK_BYTES = 1 << 23
+CHUNK_BYTES = 3 << 20
 #: Documents whose checksum leaves this remainder are held out of the counts.
 FOLDS, HELD_OUT = 7, 2
 #: Context counts from 2 ** (CONTEXTS - 2) on share the last bucket; bucket 0 is for unseen ones.
@@ -54,6 +54,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
+def _rows(batch):
+    """The rows of a batch one by one, since each may hold a whole chunk."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
+
+
 def _packed(values) -> bytes:
     """The length, then the bytes compressed."""
     data = values if isinstance(values, bytes) else np.ascontiguousarray(values).tobytes()
@@ -169,7 +175,7 @@ def _ask(parts: int):
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 keys, counts, _, _, _ = _asked(_texts(row))
                 bounds = np.searchsorted(_part_of(keys, parts), np.arange(parts + 1))
                 some = [(p, bounds[p], bounds[p + 1]) for p in range(parts) if bounds[p] < bounds[p + 1]]
@@ -253,7 +259,7 @@ def _histogram(total: int):
     def run(batches):
         counts = np.zeros((CONTEXTS, OCTAVES, RATIOS), dtype=np.int64)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 c = Counted(row, total)
                 octave = np.log2(np.maximum(c.single, 1)).astype(np.int64) + 1
                 octave = np.where(c.single > 0, np.minimum(octave, OCTAVES - 1), 0)
@@ -299,7 +305,7 @@ def _scored(weights: np.ndarray, total: int, distinct: int):
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 c = Counted(row, total)
                 w = weights[c.bucket]
                 mixed = w[:, 0] * c.p_pair + w[:, 1] * c.p_single + w[:, 2] * uniform
