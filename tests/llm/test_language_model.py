@@ -1,0 +1,113 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from bidscope.llm import language_model as L
+
+
+def counted(rows, words):
+    texts = [(i, words(t) + [None]) for i, t, _ in rows]
+    held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in texts]
+    single = Counter(w for (_, t), h in zip(texts, held) if not h for w in t)
+    pair = Counter(p for (_, t), h in zip(texts, held) if not h for p in zip([None, *t], t))
+    return texts, held, single, pair
+
+
+@pytest.fixture(scope="module")
+def rows(prose):
+    vocabulary = prose(60, 1)
+    rng = np.random.default_rng(2)
+    out = []
+    for i in range(160):
+        at, text = int(rng.integers(60)), []
+        for _ in range(int(rng.integers(0, 60))):
+            at = (at + int(rng.choice([1, 1, 1, 7, 13]))) % 60
+            text.append(vocabulary[at] + rng.choice(["", "", ",", "X"]))
+        out.append((i, " ".join(text), "s"))
+    return out + [(900, None, "s"), (901, "", "s"), (902, " \n", "s"), (None, "w", None), (3, "again", "s"), (903, "never " * 3, "s")]
+
+
+def test_counts_and_base_score(documents, words, rows):
+    texts, held, single, _ = counted(rows, words)
+    n, v = sum(single.values()), len(single)
+    got = L.score(documents(rows, held_out=F.lit("x"), score=F.lit(1)), parts=7).collect()
+    want = [
+        (i, h, len(t), sum(single[w] > 0 for w in t), n, round(sum(math.log10((single[w] + 1) / (n + v + 1)) for w in t), 9))
+        for (i, t), h in zip(texts, held)
+    ]
+    shown = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 9)) for r in got]
+    assert sorted(shown, key=str) == sorted(want, key=str)
+
+
+def test_score_is_a_mixture_of_the_estimates(documents, words, rows, monkeypatch):
+    """The model's score by hand, from the weights that were learnt."""
+    learnt = []
+    learn = L.learn_weights
+    monkeypatch.setattr(L, "learn_weights", lambda *a: learnt.append(learn(*a)) or learnt[-1])
+    monkeypatch.setattr(L, "CHUNK_BYTES", 500)  # many chunks
+    got = {r.doc_id: r.score for r in L.score(documents(rows), parts=5).collect()}
+    (weights,) = learnt
+    texts, _, single, pair = counted(rows, words)
+    n, v = sum(single.values()), len(single)
+
+    def probability(before, word):
+        c = single[before]
+        w = weights[min(int(math.log2(c)) + 1, L.CONTEXTS - 1) if c else 0]
+        return w[0] * (pair[before, word] / c if c else 0) + w[1] * single[word] / n + w[2] / (v + 1)
+
+    ids = Counter(i for i, _ in texts)
+    for i, t in texts:
+        if ids[i] == 1:
+            assert got[i] == pytest.approx(sum(math.log10(probability(a, b)) for a, b in zip([None, *t], t)), abs=1e-9)
+    # Over all words and one unknown word the mixture sums to one.
+    for before in [None, *list(single)[:5], "unseen"]:
+        known = sum(probability(before, w) for w in single)
+        assert known + probability(before, "unseen") == pytest.approx(1.0, abs=1e-9)
+
+
+def test_held_out_texts_are_likelier_than_under_single_tokens(documents, rows):
+    got = L.score(documents(rows)).filter("held_out and n_tokens > 1")
+    assert got.agg(F.sum("score") > F.sum("base_score")).first()[0]
+
+
+def test_weights_maximise_the_held_out_likelihood():
+    rng = np.random.default_rng(0)
+    histogram = np.zeros((L.CONTEXTS, L.OCTAVES, L.RATIOS), dtype=np.int64)
+    histogram[5, rng.integers(1, 8, 40), rng.integers(200, 330, 40)] = rng.integers(1, 50, 40)
+    histogram[5, 1:8, 0] = 9
+    total, distinct = 10_000, 900
+    w = L.learn_weights(histogram, total, distinct)
+    assert np.allclose(w.sum(axis=1), 1) and (w > 0)[1:].all() and w[0, 0] == 0
+
+    def likelihood(weights):
+        octave = np.arange(L.OCTAVES)[:, None]
+        single = np.where(octave > 0, 2.0 ** (octave - 0.5) / total, 0)
+        ratio = 2.0 ** ((np.arange(L.RATIOS) - L.RATIOS // 2) * L.RATIO_STEP)
+        ratio[0] = 0
+        p = weights[0] * single * ratio + weights[1] * single + weights[2] / (distinct + 1)
+        n = histogram[5].astype(float)
+        n[0, 0] += 1
+        return (n[n > 0] * np.log(p[n > 0])).sum()
+
+    best = likelihood(w[5])
+    for _ in range(200):
+        other = rng.dirichlet([1, 1, 1])
+        assert likelihood(other) <= best + 0.05
+
+
+def test_nothing_to_learn_from(documents):
+    only_held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    (row,) = L.score(documents([(only_held, "a b", "s")])).collect()
+    assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (True, 3, 0, 0, 0.0)
+    assert math.isfinite(row.score)
+    assert L.score(documents([(1, "a", "s")]).limit(0)).collect() == []
+
+
+def test_a_very_long_text(documents, words):
+    rows = [(4, "a b c " * 100_000, "s"), (2, "a b", "s")]
+    got = {r.doc_id: r for r in L.score(documents(rows)).collect()}
+    assert got[4].n_tokens == 300_001 == got[4].n_known and not got[4].held_out
