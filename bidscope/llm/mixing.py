@@ -114,7 +114,8 @@ def weights(sources: DataFrame, exponent: float, budget: int | None = None) -> D
     total = sources.agg(F.sum(F.pow("tokens", F.lit(exponent))), F.max(F.pow("tokens", F.lit(1.0 - exponent)))).first()
     norm = total[0] or 1.0
     weight = F.pow("tokens", F.lit(exponent)) / F.lit(norm)
-    wanted = F.floor(weight * F.lit(float(budget) if budget is not None else norm * (total[1] or 1.0)))
+    # The last digits of a product must not cost a source its last token.
+    wanted = F.floor(weight * F.lit((float(budget) if budget is not None else norm * (total[1] or 1.0)) * (1 + 1e-9)))
     wanted = F.greatest(wanted, F.col("tokens")) if budget is None else wanted
     full = F.floor(wanted / F.col("tokens"))
     return sources.select(
@@ -212,7 +213,7 @@ WITH units AS (
 ), normed AS (
   SELECT e, sum(pow(tokens, e)) AS norm, max(pow(tokens, 1 - e)) AS top FROM sources, found GROUP BY e
 ), wanted AS (
-  SELECT source_key, docs, tokens, greatest(floor(pow(tokens, e) / norm * (norm * top)), tokens) AS target
+  SELECT source_key, docs, tokens, greatest(floor(pow(tokens, e) / norm * (norm * top * (1 + 1e-9))), tokens) AS target
   FROM sources, normed
 ), planned AS (
   SELECT source_key, CAST(ceil(sqrt(docs)) AS BIGINT) AS blocks, CAST(floor(target / tokens) AS BIGINT) AS full_epochs,
