@@ -10,16 +10,20 @@ from pyspark.sql import types as T
 from bidscope.catalog.base import (
     HAS_ARCHIVE_SQL,
     NOW,
+    ORACLES,
     READY_SQL,
     WITH_TENDERS,
     query,
     spread_table,
+    table,
     tenders,
 )
 from bidscope.catalog.texts import DIMENSION
+from bidscope.functions.paths import filesystem
 from bidscope.functions.text import archive_name
 from bidscope.operators.archives import (
     TextConverter,
+    attach_archives,
     chunk_files,
     expand_archives,
     missing_archives,
@@ -29,6 +33,7 @@ from bidscope.operators.filters import has_archive
 from bidscope.plans.indexing import run_indexing
 from bidscope.schemas import TENDERS
 from bidscope.session import scratch_path, spread, staged
+from bidscope.sources.archives import archive_files
 from bidscope.sources.store import FileStore, TenderStore
 
 
@@ -49,8 +54,8 @@ def _archive(texts: pa.Array, sources: pa.Array) -> pa.Array:
         if source == "src3":  # not an archive at all
             made.append(body)
             continue
-        inner = _packed({"lots/RC.txt": b"# Rules\n" + body})
-        members = {"texts/": b"", "texts/CPS.md": body, "annexes.ZIP": inner, "plan.dwg": b"\x00\x01"}
+        inner = _packed({"parts/notes.txt": b"# Rules\n" + body})
+        members = {"papers/": b"", "papers/terms.md": body, "extra.ZIP": inner, "sketch.dwg": b"\x00\x01"}
         if source == "src7":
             members["bad.zip"] = b"not a zip"
         made.append(_packed(members))
@@ -69,8 +74,8 @@ def archives(spark, sf_dir):
     )
 
 
-_MEMBERS = """members AS (SELECT * FROM (VALUES (0, 'texts/CPS.md', 'md', ''),
-      (1, 'annexes.ZIP/lots/RC.txt', 'txt', '# Rules' || chr(10)), (2, 'plan.dwg', 'dwg', NULL),
+_MEMBERS = """members AS (SELECT * FROM (VALUES (0, 'papers/terms.md', 'md', ''),
+      (1, 'extra.ZIP/parts/notes.txt', 'txt', '# Rules' || chr(10)), (2, 'sketch.dwg', 'dwg', NULL),
       (3, 'bad.zip', 'zip', NULL)) AS m(position, path, file_type, prefix))"""
 _FILES = f"""{_MEMBERS}, files AS (
       SELECT doc_id, CAST(position AS BIGINT) AS position, path, file_type, prefix, text, source
@@ -87,7 +92,10 @@ _FILES = f"""{_MEMBERS}, files AS (
     SELECT doc_id, NULL, NULL, NULL, true, NULL, NULL FROM documents WHERE source = 'src3'""",
 )
 def zip_expand(spark, sf_dir):
-    files = expand_archives(archives(spark, sf_dir), "doc_id")
+    return _measured(expand_archives(archives(spark, sf_dir), "doc_id"))
+
+
+def _measured(files):
     return files.select(
         "doc_id",
         "position",
@@ -99,6 +107,33 @@ def zip_expand(spark, sf_dir):
     )
 
 
+def _written(folder: str):
+    """Writes each archive as a file under its name; a task run again writes the same bytes."""
+
+    def write(batches):
+        storage, path = filesystem(folder)
+        storage.create_dir(path)
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                with storage.open_output_stream(f"{path}/{name.rsplit('/', 1)[-1]}") as out:
+                    out.write(content.as_buffer())
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["path"])
+
+    return write
+
+
+@query("zip_expand_files", ORACLES["zip_expand"])
+def zip_expand_files(spark, sf_dir):
+    """The same archives as files in storage, found by name and opened by the tasks that read them."""
+    folder = scratch_path(spark, "archive-files")
+    made = archives(spark, sf_dir).select("path", "content").mapInArrow(_written(folder), "path string")
+    staged(made, "archives-written")
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    owners = tenders(spark, sf_dir).join(documents, "id").select("id", "tender_id", "organization_acronym")
+    attached = attach_archives(owners, archive_files(spark, folder)).withColumnRenamed("id", "doc_id")
+    return _measured(expand_archives(attached, "doc_id"))
+
+
 _WORD_COUNT = r"len(list_filter(regexp_split_to_array(text, '[ \t\n\r]+'), lambda w: w <> ''))"
 
 

@@ -53,7 +53,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are costly to work on, spread over the cores if it is small."""
+    """A table whose rows are costly to work on, dealt out evenly."""
     return spread(table(spark, sf_dir, name))
 
 

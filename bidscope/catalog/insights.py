@@ -14,12 +14,11 @@ from bidscope.catalog.base import (
     spelling_sql,
     tenders,
 )
-from bidscope.functions.dates import days_left, days_left_label, format_date, urgency
-from bidscope.functions.text import days_text, plural
+from bidscope.functions.dates import days_left, days_left_label, urgency
+from bidscope.functions.text import days_text
 from bidscope.operators import insights
 from bidscope.operators.filters import PERIODS, InsightsFilter
-from bidscope.plans.insights_page import InsightsPage
-from bidscope.session import staged
+from bidscope.plans.insights_page import insights_page
 
 
 def _variants():
@@ -218,29 +217,7 @@ def response_window_days_text(spark, sf_dir):
     FROM c""",
 )
 def coverage_sentence(spark, sf_dir):
-    return coverage_text(insights.coverage(tenders(spark, sf_dir), NOW), open_only=False)
-
-
-def coverage_text(row, open_only):
-    """The coverage row as the sentence and the note people read."""
-    noun = "open tender" if open_only else "tender"
-    earliest, latest = F.col("earliest_publication_date"), F.col("latest_publication_date")
-    based = F.concat(
-        F.lit("Based on "),
-        plural(F.col("tender_count"), noun),
-        F.lit(" published between "),
-        format_date(earliest),
-        F.lit(" and "),
-        format_date(latest),
-        F.lit("."),
-    )
-    without = F.col("without_deadline_count")
-    shown = earliest.isNotNull()
-    nothing = f"No {noun} was published in this period."
-    return row.select(
-        F.when(shown, based).otherwise(nothing).alias("sentence"),
-        F.when(shown & (without > 0), F.concat(plural(without, "tender"), F.lit(" without a deadline."))).alias("note"),
-    )
+    return insights.coverage_text(insights.coverage(tenders(spark, sf_dir), NOW), open_only=False)
 
 
 @query(
@@ -295,14 +272,13 @@ _SECTIONS = {
         for dimension in ("category", "location", "public_buyer")
     ),
 )
-def insights_page(spark, sf_dir):
-    """How many rows each section of the all-time page has, all from one projection."""
-    with InsightsPage(tenders(spark, sf_dir), NOW, InsightsFilter("all")) as page:
-        counts = [
-            rows.agg(F.count("*").alias("row_count")).withColumn("section", F.lit(section))
-            for section, rows in page.sections().items()
-        ]
-        combined = counts[0]
-        for other in counts[1:]:
-            combined = combined.unionByName(other)
-        return staged(combined.select("section", "row_count"), "insights-page")
+def insights_page_query(spark, sf_dir):
+    """How many rows each section of the all-time page has."""
+    counts = [
+        rows.agg(F.count("*").alias("row_count")).select(F.lit(section).alias("section"), "row_count")
+        for section, rows in insights_page(tenders(spark, sf_dir), NOW, InsightsFilter("all")).items()
+    ]
+    combined = counts[0]
+    for other in counts[1:]:
+        combined = combined.unionByName(other)
+    return combined

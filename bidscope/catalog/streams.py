@@ -23,3 +23,22 @@ def stream_status_query(spark, sf_dir):
         spark, f"{work}/updates", store, f"{work}/checkpoint", lambda: NOW, files_per_batch=2
     ).awaitTermination()
     return store.read().select("id", "status", "last_status", "updated_at")
+
+
+@query("stream_status_twice", UPDATED_SQL)
+def stream_status_twice(spark, sf_dir):
+    """Two streams with checkpoints of their own on one store, and the first one started again."""
+    work = scratch_path(spark, "status-streams")
+    events = status_events(spark, sf_dir).select(*STATUS_UPDATES.fieldNames())
+    store = TenderStore(spark, f"{work}/tenders", TRACKED_TENDERS)
+    untouched = tenders(spark, sf_dir).withColumn("status_seq", F.lit(None).cast("bigint"))
+    store.write(untouched.select(*TRACKED_TENDERS.fieldNames()))
+    for half in (0, 1):
+        own = events.filter(F.pmod("seq", F.lit(2)) == half)
+        own.repartition(2, F.xxhash64("seq")).write.parquet(f"{work}/updates-{half}")
+    for half in (0, 1, 0):
+        stream_status(
+            spark, f"{work}/updates-{half}", store, f"{work}/checkpoint-{half}", lambda: NOW, files_per_batch=1
+        ).awaitTermination()
+    store.compact()
+    return store.read().select("id", "status", "last_status", "updated_at")

@@ -35,9 +35,9 @@ _BLOCKS = """SELECT conv_id AS doc_id, CAST(floor(turn / 3) AS INT) AS section_n
   FROM {conversations}"""
 
 
-@query(
-    "chunk_blocks",
-    f"""WITH blocks AS (SELECT conv_id AS doc_id, CAST(floor(turn / 3) AS BIGINT) AS section_no,
+def _blocks_sql(section: str, headings: str) -> str:
+    """Chunks of 24 words of conversations whose turns lie in ``section`` under ``headings``."""
+    return f"""WITH blocks AS (SELECT conv_id AS doc_id, {section} AS section_no,
         CAST(floor(turn / 2) + 1 AS BIGINT) AS page, turn, {_WORDS} AS w FROM conversations),
     tokens AS (SELECT doc_id, section_no, page, turn, unnest(w) AS word,
       generate_subscripts(w, 1) AS k FROM blocks),
@@ -47,13 +47,14 @@ _BLOCKS = """SELECT conv_id AS doc_id, CAST(floor(turn / 3) AS INT) AS section_n
         string_agg(word, ' ' ORDER BY nth)
         AS text, string_agg(DISTINCT page, ',' ORDER BY page) AS pages
       FROM placed GROUP BY ALL)
-    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY section_no, part) - 1
-        AS chunk_index, text, pages, 'Conversation > ' || section_no AS headings,
-      'Conversation' || chr(10) || section_no || chr(10) || text AS embedding_text
-    FROM parts""",
-)
-def chunk_blocks(spark, sf_dir):
-    blocks = spark.sql(_BLOCKS, conversations=table(spark, sf_dir, "conversations"))
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY section_no NULLS FIRST, part) - 1
+        AS chunk_index, text, pages, {headings} AS headings,
+      CASE WHEN section_no IS NULL THEN text
+        ELSE 'Conversation' || chr(10) || section_no || chr(10) || text END AS embedding_text
+    FROM parts"""
+
+
+def _chunked_blocks(blocks):
     return chunking.chunk_blocks(blocks, max_tokens=24).select(
         "doc_id",
         "chunk_index",
@@ -64,6 +65,29 @@ def chunk_blocks(spark, sf_dir):
     )
 
 
+@query("chunk_blocks", _blocks_sql("CAST(floor(turn / 3) AS BIGINT)", "'Conversation > ' || section_no"))
+def chunk_blocks(spark, sf_dir):
+    return _chunked_blocks(spark.sql(_BLOCKS, conversations=table(spark, sf_dir, "conversations")))
+
+
+@query(
+    "chunk_blocks_unplaced",
+    _blocks_sql(
+        "CASE WHEN conv_id % 3 > 0 AND turn >= 3 THEN CAST(floor(turn / 3) AS BIGINT) END",
+        "CASE WHEN section_no IS NULL THEN '' ELSE 'Conversation > ' || section_no END",
+    ),
+)
+def chunk_blocks_unplaced(spark, sf_dir):
+    """Some blocks come without a section and without headings."""
+    blocks = spark.sql(_BLOCKS, conversations=table(spark, sf_dir, "conversations"))
+    placed = (F.col("doc_id") % 3 > 0) & (F.col("position") >= 3)
+    return _chunked_blocks(
+        blocks.withColumns(
+            {"section_no": F.when(placed, F.col("section_no")), "headings": F.when(placed, F.col("headings"))}
+        )
+    )
+
+
 @query(
     "chunk_document_lines",
     f"""WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text,

@@ -102,20 +102,29 @@ def cosine_distances(spark, sf_dir):
     )
 
 
+_MEANS = """means AS (SELECT label AS query_id, list(m ORDER BY k) AS qe FROM (
+      SELECT label, k, avg(CAST(x AS DOUBLE)) AS m FROM (SELECT label, unnest(embedding) AS x,
+        generate_subscripts(embedding, 1) AS k FROM embeddings) GROUP BY ALL) GROUP BY ALL)"""
+
+
 @query(
     "knn_batch",
-    f"""{_WITH}, v AS (SELECT vec_id, dce_file_id, chunk_index, CAST(c.embedding AS DOUBLE[]) AS e,
-        CAST(q.embedding AS DOUBLE[]) AS qe, embedding_model
-      FROM chunks c CROSS JOIN embeddings q WHERE embedding_model = '{MODEL}'),
-    d AS (SELECT vec_id, dce_file_id, chunk_index, round(1 - list_dot_product(e, qe)
+    f"""{_WITH}, {_MEANS}, v AS (SELECT query_id, dce_file_id, chunk_index, CAST(c.embedding AS DOUBLE[]) AS e, qe
+      FROM chunks c CROSS JOIN means WHERE embedding_model = '{MODEL}'),
+    d AS (SELECT query_id, dce_file_id, chunk_index, round(1 - list_dot_product(e, qe)
         / sqrt(list_dot_product(e, e) * list_dot_product(qe, qe)), 12) AS distance FROM v),
-    r AS (SELECT *, row_number() OVER (PARTITION BY vec_id
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id
       ORDER BY distance, dce_file_id, chunk_index) AS rank FROM d)
-    SELECT vec_id AS query_id, dce_file_id, chunk_index, rank, round(distance, 6) + 0 AS distance
+    SELECT query_id, dce_file_id, chunk_index, rank, round(distance, 6) + 0 AS distance
     FROM r WHERE rank <= 5""",
 )
 def knn_batch(spark, sf_dir):
-    queries = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
+    """The five chunks nearest to the mean vector of each label."""
+    values = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("k", "x"))
+    means = values.groupBy("label", "k").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    queries = means.groupBy(F.col("label").cast("bigint").alias("query_id")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("k", "m"))), lambda x: x["m"]).alias("embedding")
+    )
     hits = search.search_many(chunks(spark, sf_dir), queries, MODEL, limit=5)
     return hits.withColumn("distance", F.round("distance", 6) + 0)
 
@@ -161,12 +170,14 @@ def unit_vectors(spark, sf_dir):
     )
 
 
-@query("knn_approximate")
+@query(
+    "knn_approximate",
+    f"""{_WITH} SELECT dce_file_id, chunk_index, round(distance, 6) + 0 AS distance FROM measured
+      WHERE embedding_model = '{MODEL}' ORDER BY distance, dce_file_id, chunk_index LIMIT 10""",
+)
 def knn_approximate(spark, sf_dir):
-    """Recall of the ten nearest for four of ten cells, beside the exact search."""
-    rows = chunks(spark, sf_dir)
+    """The search by cells with every cell probed, which must be the exact one."""
     index = search.CellIndex(spark, scratch_path(spark, "cells"))
-    index.build(rows, MODEL, cells=10)
-    vector = query_vector(spark, sf_dir)
-    approximate = index.search(vector, MODEL, probes=4)
-    return search.recall(approximate, search.nearest(rows, vector, MODEL))
+    index.build(chunks(spark, sf_dir), MODEL, cells=10)
+    hits = index.search(query_vector(spark, sf_dir), MODEL, probes=10)
+    return hits.select("dce_file_id", "chunk_index", (F.round("distance", 6) + 0).alias("distance"))

@@ -96,6 +96,7 @@ def urgency(days: Column) -> Column:
 
 
 def days_left_label(days: Column) -> Column:
+    # The words of the label.
     return (
         F.when(days == 0, "Under 1 day left")
         .when(days == 1, "1 day left")

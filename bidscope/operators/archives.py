@@ -9,12 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bidscope.functions.paths import filesystem
 from bidscope.functions.text import archive_name, file_type
 from bidscope.operators.chunking import MAX_TOKENS, chunk_sections
 from bidscope.schemas import IDENTITY
 
 #: Output is handed over whenever this many bytes of files have gathered.
 FLUSH_BYTES = 16 * 1024 * 1024
+#: A larger file of an archive is reported rather than read: a row cannot hold it.
+MEMBER_BYTES = 1 << 30
 
 # Types read as text unless the caller names others.
 TEXT_TYPES = ("txt", "md", "text", "csv")
@@ -65,15 +68,19 @@ _SECTIONS_SQL = "array<struct<headings:array<string>,pieces:array<struct<page:in
 
 
 def attach_archives(tenders: DataFrame, archives: DataFrame) -> DataFrame:
-    """Tenders with the bytes of their archive, null where storage has none of that name.
+    """Tenders with the path of their archive, null where storage has none of that name.
 
-    ``archives`` is ``binaryFile`` shaped: path and content. Found and missing are separate
-    joins: an inner join lets Spark broadcast a small batch of tenders instead of shuffling
-    contents, which an outer join could not.
+    ``archives`` has a ``path`` and, where archives are not files that tasks can open, their
+    ``content``; the content then comes along. The join knows names only: no archive is opened
+    for it. Of several objects of one name the one with the least path counts.
     """
-    found = _named(tenders).join(_stored(archives, "content"), "archive_name")
-    missing = missing_archives(tenders, archives)
-    return found.unionByName(missing.withColumn("content", F.lit(None).cast("binary")))
+    named = _named(tenders).join(_stored(archives), "archive_name", "left")
+    if "content" not in archives.columns:
+        return named
+    wanted = named.filter(F.col("path").isNotNull())
+    with_content = wanted.join(archives.select("path", "content"), "path")
+    missing = named.filter(F.col("path").isNull()).withColumn("content", F.lit(None).cast("binary"))
+    return with_content.unionByName(missing)
 
 
 def missing_archives(tenders: DataFrame, archives: DataFrame) -> DataFrame:
@@ -85,18 +92,23 @@ def _named(tenders: DataFrame) -> DataFrame:
     return tenders.withColumn("archive_name", archive_name(*[F.col(c) for c in IDENTITY]))
 
 
-def _stored(archives: DataFrame, *columns: str) -> DataFrame:
-    return archives.select(F.element_at(F.split("path", "/"), -1).alias("archive_name"), *columns)
+def _stored(archives: DataFrame) -> DataFrame:
+    names = archives.select(F.element_at(F.split("path", "/"), -1).alias("archive_name"), "path")
+    return names.groupBy("archive_name").agg(F.min("path").alias("path"))
 
 
 def expand_archives(archives: DataFrame, key: str, convert: Converter | None = None) -> DataFrame:
     """Every file of every archive, nested archives included, in archive order.
 
-    Takes ``key`` (bigint) and ``content``. Returns key, position, path, file_type, error and
-    either the file's ``content`` or, with a converter, its ``sections`` and ``supported``: the
-    bytes then never leave the Python worker. An archive that cannot be opened gives one row
-    without a position. A file that cannot be read has an error and stops nothing else.
+    Takes ``key`` (bigint) and either ``content`` or the ``path`` of an archive in storage. An
+    archive with a path is opened by the task and read member by member: it never passes the JVM,
+    and may be larger than memory. Returns key, position, path, file_type, error and either the
+    file's ``content`` or, with a converter, its ``sections`` and ``supported``: the bytes then
+    never leave the Python worker. An archive that cannot be opened gives one row without a
+    position. A file that cannot be read, or is larger than ``MEMBER_BYTES``, has an error and
+    stops nothing else.
     """
+    source = "content" if "content" in archives.columns else "path"
     body = [("content", pa.binary())]
     body_sql = "content binary"
     if convert is not None:
@@ -110,7 +122,7 @@ def expand_archives(archives: DataFrame, key: str, convert: Converter | None = N
         rows, size = [], 0
         for batch in batches:
             for key_value, content in zip(batch.column(0), batch.column(1)):
-                for row in _files(content.as_py()):
+                for row in _files(_opener(content.as_py())):
                     size += len(row.get("content") or b"")
                     rows.append({"key": key_value.as_py(), **_converted(row, convert)})
                     if size >= FLUSH_BYTES:
@@ -118,7 +130,7 @@ def expand_archives(archives: DataFrame, key: str, convert: Converter | None = N
                         rows, size = [], 0
         yield pa.RecordBatch.from_pylist(rows, schema)
 
-    files = archives.select(F.col(key).cast("bigint"), "content").mapInArrow(
+    files = archives.select(F.col(key).cast("bigint"), source).mapInArrow(
         expand, f"key bigint, position int, path string, error string, {body_sql}"
     )
     rest = ["content"] if convert is None else ["supported", "sections"]
@@ -127,13 +139,27 @@ def expand_archives(archives: DataFrame, key: str, convert: Converter | None = N
     )
 
 
-def _files(content: bytes | None) -> Iterator[dict]:
+def _opener(source: bytes | str | None) -> Callable[[], object] | None:
+    """Opens the bytes of an archive, or the archive at a path, when called."""
+    if source is None:
+        return None
+    if isinstance(source, bytes):
+        return lambda: io.BytesIO(source)
+
+    def opened():
+        storage, path = filesystem(source)
+        return storage.open_input_file(path)
+
+    return opened
+
+
+def _files(opener: Callable[[], object] | None) -> Iterator[dict]:
     """The files of one archive, in order, as rows without their key."""
-    if content is None:
+    if opener is None:
         yield {"error": "archive not found"}
         return
     try:
-        top = zipfile.ZipFile(io.BytesIO(content))
+        top = zipfile.ZipFile(opener())
     except Exception as error:
         yield {"error": f"{type(error).__name__}: {error}"}
         return
@@ -150,13 +176,15 @@ def _files(content: bytes | None) -> Iterator[dict]:
             continue
         row = {"position": position, "path": prefix + member.filename}
         try:
+            if member.file_size > MEMBER_BYTES:
+                raise ValueError(f"{member.file_size} bytes are more than a file may have")
             row["content"] = archive.read(member)
             if re.search(r"[^/]\.zip$", row["path"], re.IGNORECASE):
                 nested = zipfile.ZipFile(io.BytesIO(row.pop("content")))
                 open_archives.append((row["path"] + "/", nested, iter(nested.infolist())))
                 continue
         except Exception as error:
-            row["error"] = f"Could not extract: {type(error).__name__}: {error}"
+            row["error"] = f"unreadable member: {type(error).__name__}: {error}"
         position += 1
         yield row
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bidscope.operators.embedding import WORD_BREAK
 from bidscope.operators.filters import in_range
-from bidscope.operators.numbering import running_totals
+from bidscope.operators.numbering import join_on, running_totals
 from bidscope.session import staged
 
 # Most words in a chunk.
@@ -30,13 +30,14 @@ def chunk_texts(df: DataFrame, text: str = "text", max_tokens: int = MAX_TOKENS)
     others = [name for name in df.columns if name != text]
     split = df.select(*others, words(F.col(text)).alias("_words")).filter(F.size("_words") > 0)
     starts = F.sequence(F.lit(0), F.size("_words") - 1, F.lit(max_tokens))
-    cut = split.select(*others, "_words", F.posexplode(starts).alias("chunk_index", "_start"))
-    piece = F.slice(F.col("_words"), F.col("_start") + 1, max_tokens)
+    # Cut first, then exploded: a row of the result never carries the words of the whole text.
+    pieces = F.transform(starts, lambda start: F.slice(F.col("_words"), start + 1, max_tokens))
+    cut = split.select(*others, F.posexplode(pieces).alias("chunk_index", "_piece"))
     return cut.select(
         *others,
         "chunk_index",
-        F.array_join(piece, " ").alias(text),
-        F.size(piece).alias("n_words"),
+        F.array_join("_piece", " ").alias(text),
+        F.size("_piece").alias("n_words"),
     )
 
 
@@ -60,11 +61,21 @@ def chunk_blocks(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     ``max_tokens`` words. Where a block begins is a running total of words, so no document is
     ever gathered: blocks meet by runs of positions, and then by the chunk they belong to. One
     pass over the text counts words per run; the counts are written down, and a second pass cuts.
+
+    Null counts as before all others in section and position, and as no headings. Blocks without
+    words leave no trace.
     """
     in_range("max_tokens", max_tokens, 1)
     run = ["doc_id", "section_no", "run"]
     split = (
-        blocks.select(*run[:2], "position", "page", "headings", words(F.col("text")).alias("words"))
+        blocks.select(
+            "doc_id",
+            "section_no",
+            "position",
+            "page",
+            F.coalesce("headings", F.array().cast("array<string>")).alias("headings"),
+            words(F.col("text")).alias("words"),
+        )
         .filter(F.size("words") > 0)
         .withColumn("run", F.floor(F.col("position") / BLOCK_RUN))
     )
@@ -73,22 +84,28 @@ def chunk_blocks(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     starts = _run_starts(counts, max_tokens)
 
     inside = W.partitionBy(*run).orderBy("position").rowsBetween(W.unboundedPreceding, -1)
-    begin = F.col("run_begin") + F.coalesce(F.sum(size).over(inside), F.lit(0))
-    placed = split.join(starts, run).withColumn("begin", begin)
+    before = F.coalesce(F.sum(size).over(inside), F.lit(0))
+    placed = join_on(split.withColumn("_before", before), starts, run)
+    placed = placed.withColumn("begin", F.col("run_begin") + F.col("_before"))
     end = F.col("begin") + size
     first, last = F.floor(F.col("begin") / max_tokens), F.floor((end - 1) / max_tokens)
-    pieces = placed.select("*", F.explode(F.sequence(first, last)).alias("part"))
-    # The words of this block that fall into this part, which starts ``offset`` words in.
-    offset = F.col("part") * max_tokens - F.col("begin")
-    skip = F.greatest(offset, F.lit(0))
-    taken = F.slice(
-        F.col("words"), (skip + 1).cast("int"), (offset + max_tokens - skip).cast("int")
-    )
+
+    # The words of a block that fall into a part, which starts ``offset`` words in. They are cut
+    # out before rows are made, so that a long block is not copied for each of its parts.
+    def share(part: Column) -> Column:
+        offset = part * max_tokens - F.col("begin")
+        skip = F.greatest(offset, F.lit(0))
+        cut = F.slice(F.col("words"), (skip + 1).cast("int"), (offset + max_tokens - skip).cast("int"))
+        return F.struct(part.alias("part"), cut.alias("cut"))
+
+    shares = F.transform(F.sequence(first, last), share)
+    others = ["doc_id", "section_no", "first_part", "position", "page", "headings"]
+    pieces = placed.select(*others, F.explode(shares).alias("share")).select(*others, "share.*")
     text = F.array_join(F.flatten("taken.words"), " ")
     return (
         pieces.groupBy("doc_id", "section_no", "first_part", "part")
         .agg(
-            F.array_sort(F.collect_list(F.struct("position", taken.alias("words")))).alias("taken"),
+            F.sort_array(F.collect_list(F.struct("position", F.col("cut").alias("words")))).alias("taken"),
             F.array_sort(F.collect_set("page")).alias("page_numbers"),
             F.first("headings").alias("heading_path"),
         )
@@ -112,11 +129,9 @@ def _run_starts(counts: DataFrame, max_tokens: int) -> DataFrame:
         sections, ["doc_id"], F.floor(F.col("section_no") / BLOCK_RUN), ["section_no"], first_part=parts
     )
     earlier = W.partitionBy(*section).orderBy("run").rowsBetween(W.unboundedPreceding, -1)
-    return (
-        counts.withColumn("run_begin", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
-        .join(numbered.select(*section, "first_part"), section)
-        .select(*section, "run", "run_begin", "first_part")
-    )
+    begun = counts.withColumn("run_begin", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
+    placed = join_on(begun, numbered.select(*section, "first_part"), section)
+    return placed.select(*section, "run", "run_begin", "first_part")
 
 
 def chunk_sections(sections: Column, max_tokens: int = MAX_TOKENS) -> Column:

@@ -1,13 +1,14 @@
 """Predicates over tenders, as Columns, and argument rules."""
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidscope.errors import InvalidRowsError, NotFoundError
-from bidscope.functions.dates import instant, local_date
+from bidscope.functions.dates import MOROCCO, instant, local_date
 from bidscope.schemas import ARCHIVED_STATUSES, IDENTITY
 
 # Periods and the calendar days each covers; "all" has no bounds.
@@ -51,6 +52,14 @@ class InsightsFilter:
         today = local_date(instant(now))
         return (published > F.date_sub(today, days)) & (published <= today)
 
+    def days(self, now: datetime) -> tuple[date, date] | None:
+        """First and last day of the period, for scans laid out by month; None for ``all``."""
+        length = PERIODS[self.period]
+        if length is None:
+            return None
+        today = now.astimezone(ZoneInfo(MOROCCO)).date()
+        return today - timedelta(days=length - 1), today
+
     def predicate(self, now: datetime) -> Column:
         return self.in_period(now) & is_open(now) if self.open_only else self.in_period(now)
 

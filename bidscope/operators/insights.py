@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bidscope.functions.dates import instant, response_window
-from bidscope.functions.text import group_key, share_percent, spelling
+from bidscope.functions.dates import format_date, instant, response_window
+from bidscope.functions.text import group_key, plural, share_percent, spelling
 from bidscope.operators.filters import (
     TOP_DIMENSIONS,
     TOP_LIMIT,
@@ -217,3 +217,24 @@ def status_report(tenders: DataFrame) -> DataFrame:
 def file_report(dce_files: DataFrame) -> DataFrame:
     """Files per outcome and type."""
     return dce_files.groupBy("status", "file_type").agg(F.count("*").alias("file_count"))
+
+
+def coverage_text(coverage: DataFrame, open_only: bool) -> DataFrame:
+    """The coverage row as the sentence and the note people read."""
+    # The words of the sentence and the note.
+    noun = "open tender" if open_only else "tender"
+    earliest, latest = F.col("earliest_publication_date"), F.col("latest_publication_date")
+    based = F.concat(
+        F.lit("Based on "),
+        plural(F.col("tender_count"), noun),
+        F.lit(" published between "),
+        format_date(earliest),
+        F.lit(" and "),
+        format_date(latest),
+        F.lit("."),
+    )
+    without = F.col("without_deadline_count")
+    shown = earliest.isNotNull()
+    note = F.when(shown & (without > 0), F.concat(plural(without, "tender"), F.lit(" without a deadline.")))
+    nothing = f"No {noun} was published in this period."
+    return coverage.select(F.when(shown, based).otherwise(nothing).alias("sentence"), note.alias("note"))

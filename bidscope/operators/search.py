@@ -1,6 +1,7 @@
 """Nearest chunks by cosine distance: exact, many queries at once, and approximate."""
 
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +19,10 @@ from bidscope.session import scratch_path
 # Default numbers of hits.
 SEARCH_LIMIT = 10
 RETRIEVE_LIMIT = 5
-#: Up to this many hits are broadcast to the joins that look up their citations.
-BROADCAST_HITS = 10_000
-#: Up to this many bytes of query vectors go to every task; more are taken in blocks.
-QUERY_BYTES = 64 * 1024 * 1024
+#: Queries are taken in blocks of this many: what one block holds does not depend on how many come.
+QUERY_BLOCK = 4096
+#: The hits of all tasks meet in this many groups per query before they meet in one.
+MERGE_GROUPS = 64
 #: Queries multiplied at a time.
 QUERY_SLICE = 256
 
@@ -60,7 +61,7 @@ def search(
     """
     if tender is not None:
         chunks = in_tender(chunks, dce_files, tender_key(tenders, *tender))
-    return cite(nearest(chunks, query, model, limit), dce_files, tenders, limit).orderBy(*nearest_first())
+    return cite(nearest(chunks, query, model, limit), dce_files, tenders).orderBy(*nearest_first())
 
 
 def in_tender(chunks: DataFrame, dce_files: DataFrame, key: int) -> DataFrame:
@@ -71,15 +72,18 @@ def in_tender(chunks: DataFrame, dce_files: DataFrame, key: int) -> DataFrame:
     return chunks.join(owned.select(F.col("id").alias("dce_file_id")), "dce_file_id", "left_semi")
 
 
-def cite(hits: DataFrame, dce_files: DataFrame, tenders: DataFrame, limit: int) -> DataFrame:
-    """Look up file and tender of the hits: the limit comes first, the joins after."""
-    small = F.broadcast if limit <= BROADCAST_HITS else (lambda df: df)
+def cite(hits: DataFrame, dce_files: DataFrame, tenders: DataFrame) -> DataFrame:
+    """Look up file and tender of the hits: the limit comes first, the joins after.
+
+    Nothing is broadcast by hint, since a hit's text has no bound: adaptive execution measures the
+    hits and decides.
+    """
     files = dce_files.select(
         F.col("id").alias("dce_file_id"), "tender_record_id", F.col("path").alias("dce_file_path")
     )
     owners = tenders.select(F.col("id").alias("tender_record_id"), *IDENTITY)
-    located = files.join(small(hits), "dce_file_id")
-    return owners.join(small(located), "tender_record_id").drop("tender_record_id")
+    located = files.join(hits, "dce_file_id")
+    return owners.join(located, "tender_record_id").drop("tender_record_id")
 
 
 def with_rank(hits: DataFrame) -> DataFrame:
@@ -95,6 +99,7 @@ def hit_text() -> Column:
     """A ranked hit as the text people read."""
     pages = F.array_join(F.col("page_numbers").cast("array<string>"), ", ")
     headings = F.array_join("heading_path", " > ")
+    # The layout of a hit.
     dash = F.lit("-")
     return F.format_string(
         "#%d  similarity %.3f\nTender:   %s (%s)\nFile:     %s\nPages:    %s\nHeadings: %s\n\n%s\n",
@@ -111,35 +116,37 @@ def hit_text() -> Column:
 def search_many(chunks: DataFrame, queries: DataFrame, model: str, limit: int = SEARCH_LIMIT) -> DataFrame:
     """The nearest chunks of each query (query_id, embedding), ranked from 1.
 
-    Each task multiplies its vectors with all query vectors and hands on ``limit`` rows per
-    query; no pair is ever a row. Query vectors beyond ``QUERY_BYTES`` are taken block by block,
-    one scan each, with every block's hits written down before the next one is loaded.
+    Queries come in blocks of ``QUERY_BLOCK``, one exact scan each, and the hits of a block are
+    written down before the next one is loaded: the driver holds one block at a time, however many
+    queries there are. Each task multiplies its vectors with the block's and hands on ``limit``
+    rows per query; no pair is ever a row. Those meet in two steps, so that no task orders the
+    hits of all tasks. Null ids name a query like any other value.
     """
     in_range("limit", limit, 1)
     rows = chunks.filter(same_model(model)).select(*CHUNK_KEY, "embedding")
-    first = queries.select(F.size("embedding")).take(1)
-    per_block = max(1, QUERY_BYTES // (8 * max(1, first[0][0]))) if first else 1
-    loaded = queries.select("query_id", "embedding").take(per_block + 1)
-    if len(loaded) <= per_block:
-        return _ranked(_search_block(rows, loaded, limit), limit)
-    del loaded
-    blocks = 2 * (queries.count() // per_block + 1)
     path = scratch_path(chunks.sparkSession, "hits")
-    for block in range(blocks):
-        part = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        _ranked(_search_block(rows, part.select("query_id", "embedding").collect(), limit), limit).write.mode(
-            "append"
-        ).parquet(path)
-    return chunks.sparkSession.read.parquet(path)
+    waiting = queries.select("query_id", "embedding").toLocalIterator()
+    block = list(islice(waiting, QUERY_BLOCK))
+    while True:
+        _ranked(_search_block(rows, block, limit), limit).write.mode("append").parquet(path)
+        block = list(islice(waiting, QUERY_BLOCK))
+        if not block:
+            return chunks.sparkSession.read.parquet(path)
 
 
 def _ranked(hits: DataFrame, limit: int) -> DataFrame:
-    order = W.partitionBy("query_id").orderBy(*nearest_first())
-    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
+    """The nearest of all tasks' hits: first of each group of tasks, then of the groups."""
+
+    def top(rows: DataFrame, *keys) -> DataFrame:
+        order = W.partitionBy("query_id", *keys).orderBy(*nearest_first())
+        return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
+
+    grouped = hits.withColumn("_group", F.spark_partition_id() % MERGE_GROUPS)
+    return top(top(grouped, "_group").drop("_group", "rank"))
 
 
 def _search_block(rows: DataFrame, loaded: list, limit: int) -> DataFrame:
-    ids = np.array([row.query_id for row in loaded], dtype=np.int64)
+    ids = pa.array([row.query_id for row in loaded], pa.int64())
     vectors = np.array([row.embedding for row in loaded], dtype=np.float64)
 
     def search_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,9 +161,10 @@ def _search_block(rows: DataFrame, loaded: list, limit: int) -> DataFrame:
         for part, kept in zip(slices, best):
             at, files, positions, distances = kept.rows()
             missing = ~np.isfinite(distances)
-            columns = [ids[part][at], files, positions.astype(np.int32)]
+            asked = ids[part].take(pa.array(at))
+            keys = [pa.array(files), pa.array(positions.astype(np.int32))]
             yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, columns), pa.array(distances, mask=missing)],
+                [asked, *keys, pa.array(distances, mask=missing)],
                 ["query_id", *CHUNK_KEY, "distance"],
             )
 
@@ -209,41 +217,51 @@ class CellIndex:
     def __init__(self, spark, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
 
-    def build(
-        self, chunks: DataFrame, model: str, cells: int, training_rows: int = 1_000_000, seed: int = 7
-    ) -> None:
-        """Store the chunks by cell. Only the centres are learnt from a sample."""
+    def build(self, chunks: DataFrame, model: str, cells: int, seed: int = 7) -> None:
+        """Store the chunks by cell. The centres are learnt from all vectors that have a direction."""
         rows = chunks.filter(same_model(model) & F.col("embedding").isNotNull())
         rows = rows.select(*CHUNK_KEY, "text", "page_numbers", "heading_path", "embedding_model", "embedding")
         points = rows.withColumn("point", array_to_vector(F.col("embedding").cast("array<double>")))
-        # Directions only: a vector of zeros has none and goes to the first cell.
+        # A vector of zeros has no direction and goes to the first cell.
         has_direction = F.exists("embedding", lambda x: x != 0)
         directed = points.filter(has_direction)
-        count = directed.count()
-        sample = directed if count <= training_rows else directed.sample(training_rows / count, seed)
         means = KMeans(
             k=cells, seed=seed, featuresCol="point", predictionCol="cell", distanceMeasure="cosine"
-        ).fit(sample.select("point"))
+        ).fit(directed.select("point"))
         placed = means.transform(directed).unionByName(
             points.filter(~has_direction).withColumn("cell", F.lit(0))
         )
         # Ranges are of equal size: a crowded cell is written by many tasks.
-        spread = placed.drop("point").repartitionByRange(F.col("cell"), F.xxhash64(*CHUNK_KEY))
-        spread.write.partitionBy("cell").parquet(f"{self.path}/chunks")
+        ranges = placed.drop("point").repartitionByRange(F.col("cell"), F.xxhash64(*CHUNK_KEY))
+        ranges.write.partitionBy("cell").parquet(f"{self.path}/chunks")
+        # The folders are the cells, so counting reads no column.
+        stored = self.spark.read.parquet(f"{self.path}/chunks").groupBy("cell").agg(F.count("*").alias("rows"))
         centres = [(i, [float(x) for x in c]) for i, c in enumerate(means.clusterCenters())]
-        self.spark.createDataFrame(centres, "cell int, centre array<double>").write.parquet(f"{self.path}/centres")
+        found = self.spark.createDataFrame(centres, "cell int, centre array<double>").join(stored, "cell", "left")
+        found.withColumn("rows", F.coalesce("rows", F.lit(0))).write.parquet(f"{self.path}/centres")
 
     def search(self, query: Sequence[float], model: str, limit: int = SEARCH_LIMIT, probes: int = 4) -> DataFrame:
+        """The nearest chunks in the ``probes`` cells whose centres are nearest.
+
+        Where those hold fewer than ``limit`` chunks, further cells are read until they do, or
+        until there are no more.
+        """
         in_range("probes", probes, 1)
         centres = self.spark.read.parquet(f"{self.path}/centres")
         closest = (
-            centres.select("cell", distance_to(query, F.col("centre")).alias("distance"))
+            centres.select("cell", "rows", distance_to(query, F.col("centre")).alias("distance"))
             .orderBy("distance", "cell")
-            .limit(probes)
-            .collect()
+            .collect()  # one row per cell, the number given to build
         )
+        held = 0
+        chosen = []
+        for row in closest:
+            if len(chosen) >= probes and held >= limit:
+                break
+            chosen.append(row.cell)
+            held += row.rows
         stored = self.spark.read.parquet(f"{self.path}/chunks")
-        return nearest(stored.filter(F.col("cell").isin([row.cell for row in closest])), query, model, limit)
+        return nearest(stored.filter(F.col("cell").isin(chosen)), query, model, limit)
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:

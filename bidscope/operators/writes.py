@@ -25,64 +25,77 @@ from bidscope.session import staged
 FIELDS = TENDER_FIELDS.fieldNames()
 #: Columns a repeated tender overwrites; every other column keeps its first value.
 REFRESHED = ["tender_object", "public_buyer", "publication_date"]
-#: New rows are numbered in runs of this many sequence numbers, one task per run.
-NUMBERING_RUN = 1_000_000
 
 
 def dedupe_last(tenders: DataFrame, order: tuple[str, ...] = ("seq",)) -> DataFrame:
     """One row per identity: the values of its last occurrence, and ``first_seen`` of its first.
 
-    An aggregate rather than a window: repeats of one tender collapse before the shuffle.
+    An aggregate rather than a window: repeats of one tender collapse before the shuffle. Of
+    occurrences in the same place the one with the greatest values is the last; null places come
+    before all others.
     """
-    place = F.struct(*order)
     others = [name for name in tenders.columns if name not in (*IDENTITY, *order)]
+    place = F.struct(*order)
+    decided = F.struct(*order, *others)
     return (
         tenders.groupBy(*IDENTITY)
-        .agg(F.max_by(F.struct(*others), place).alias("last"), F.min(place).alias("first_seen"))
+        .agg(F.max_by(F.struct(*others), decided).alias("last"), F.min(place).alias("first_seen"))
         .select(*IDENTITY, "last.*", "first_seen")
     )
 
 
-def upsert(
+def upsert_changes(
     tenders: DataFrame,
     batch: DataFrame,
     now: datetime,
     order: tuple[str, ...] = ("seq",),
-    run: int = NUMBERING_RUN,
     strict: bool = True,
 ) -> DataFrame:
-    """The table after saving ``batch``: the ten tender fields, and what puts them in ``order``.
+    """The rows that saving ``batch`` changes or adds: the ten tender fields, and their ``order``.
 
     A known tender takes a new object, buyer and publication date and nothing else; a new one is
-    DISCOVERED and numbered after the highest id, in order of first appearance. ``run`` is the
-    span of the first order column, a whole number, that one task numbers.
+    DISCOVERED and numbered after the highest id, in order of first appearance, then of identity.
+    The order columns may be of any type; null comes first. The table is scanned once for the
+    tenders of the batch, and once for its ids.
     """
-    # Written once, since it is joined twice and numbered; the batch itself is read only once.
+    # Written once, since it is joined twice; the batch itself is read only once.
     latest = staged(dedupe_last(batch.select(*FIELDS, *order), order), "upsert-batch")
     incoming, _ = identified(latest, strict)
     clock = instant(now)
 
-    fresh = incoming.select(
-        *IDENTITY, F.lit(True).alias("seen"), *[F.col(c).alias(f"new_{c}") for c in REFRESHED]
+    fresh = incoming.select(*IDENTITY, *[F.col(c).alias(f"new_{c}") for c in REFRESHED])
+    new = {c: F.col(f"new_{c}") for c in REFRESHED} | {"updated_at": clock}
+    known = staged(
+        tenders.join(fresh, IDENTITY).select(*[new.get(c, F.col(c)).alias(c) for c in tenders.columns]),
+        "upsert-known",
     )
-    seen = F.col("seen").isNotNull()
-    refreshed = {c: F.when(seen, F.col(f"new_{c}")).otherwise(F.col(c)) for c in REFRESHED}
-    refreshed["updated_at"] = F.when(seen, clock).otherwise(F.col("updated_at"))
-    kept = tenders.join(fresh, IDENTITY, "left").select(
-        *[refreshed.get(c, F.col(c)).alias(c) for c in tenders.columns]
-    )
-
-    unknown = incoming.join(tenders.select(*IDENTITY), IDENTITY, "left_anti")
+    unknown = incoming.join(known.select(*IDENTITY), IDENTITY, "left_anti")
     highest = F.coalesce(tenders.agg(F.max("id")).scalar(), F.lit(0))
-    bucket = F.floor(F.col("first_seen")[order[0]] / run)
-    added = dense_ids(unknown, bucket, ["first_seen"], highest).select(
+    added = dense_ids(unknown, ["first_seen", *IDENTITY], highest).select(
         *FIELDS,
         "id",
         F.lit("DISCOVERED").alias("status"),
         clock.alias("created_at"),
         clock.alias("updated_at"),
     )
-    return kept.unionByName(added, allowMissingColumns=True)
+    return known.unionByName(added, allowMissingColumns=True)
+
+
+def upsert(
+    tenders: DataFrame,
+    batch: DataFrame,
+    now: datetime,
+    order: tuple[str, ...] = ("seq",),
+    strict: bool = True,
+) -> DataFrame:
+    """The whole table after saving ``batch``; see ``upsert_changes``."""
+    return with_changes(tenders, staged(upsert_changes(tenders, batch, now, order, strict), "upsert"))
+
+
+def with_changes(tenders: DataFrame, changes: DataFrame) -> DataFrame:
+    """The table with some rows, told by their id, in place of its own or added."""
+    kept = tenders.join(changes.select("id"), "id", "left_anti").select(*tenders.columns)
+    return kept.unionByName(changes, allowMissingColumns=True)
 
 
 def status_rule() -> Column:
@@ -107,29 +120,28 @@ def rejected_updates(tenders: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def latest_updates(updates: DataFrame) -> DataFrame:
-    """The last sound update of each tender, by ``seq``."""
+    """The last sound update of each tender, by ``seq``; at a tie, the greatest status."""
     return (
         updates.filter(status_rule())
         .groupBy(*IDENTITY)
         .agg(
-            F.max_by(F.struct("status", "last_status"), F.col("seq")).alias("new"),
+            F.max_by(F.struct("status", "last_status"), F.struct("seq", "status", "last_status")).alias("new"),
             F.max("seq").alias("seq"),
         )
     )
 
 
-def apply_status_updates(
+def status_changes(
     tenders: DataFrame, updates: DataFrame, now: datetime, strict: bool = True
 ) -> DataFrame:
-    """The table after the updates. Strict refuses all of them if any would be rejected.
+    """The rows that the updates change. Strict refuses all of them if any would be rejected.
 
     Where the table has ``status_seq``, the number of the last update applied, an update that
     comes late changes nothing.
     """
     if strict and not rejected_updates(tenders, updates).isEmpty():
         raise InvalidRowsError("some updates break the status rule or name an unknown tender")
-    latest = latest_updates(updates).withColumnRenamed("seq", "new_seq")
-    changed = F.col("new").isNotNull()
+    met = tenders.join(latest_updates(updates).withColumnRenamed("seq", "new_seq"), IDENTITY)
     new = {
         "status": F.col("new.status"),
         # A status other than FAILED clears the last status.
@@ -137,12 +149,16 @@ def apply_status_updates(
         "updated_at": instant(now),
     }
     if "status_seq" in tenders.columns:
-        changed = changed & (F.col("new_seq") > F.coalesce("status_seq", F.lit(-1)))
+        met = met.filter(F.col("new_seq") > F.coalesce("status_seq", F.lit(-1)))
         new["status_seq"] = F.col("new_seq")
-    applied = {c: F.when(changed, value).otherwise(F.col(c)) for c, value in new.items()}
-    return tenders.join(latest, IDENTITY, "left").select(
-        *[applied.get(c, F.col(c)).alias(c) for c in tenders.columns]
-    )
+    return met.select(*[new.get(c, F.col(c)).alias(c) for c in tenders.columns])
+
+
+def apply_status_updates(
+    tenders: DataFrame, updates: DataFrame, now: datetime, strict: bool = True
+) -> DataFrame:
+    """The whole table after the updates; see ``status_changes``."""
+    return with_changes(tenders, staged(status_changes(tenders, updates, now, strict), "status-changes"))
 
 
 def _remap(tenders: DataFrame, **rules: list[tuple[tuple[str, ...], str]]) -> DataFrame:

@@ -5,13 +5,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from bidscope.operators.pages import page_tenders, parse_pages, strict_pages
-from bidscope.operators.writes import upsert
+from bidscope.operators.writes import upsert_changes
 from bidscope.session import staged
 from bidscope.sources.store import TenderStore
 
-#: New tenders are numbered in runs of this many pages, one task per run.
-PAGE_RUN = 10_000
-
 
 def discover(
     pages: DataFrame,
@@ -20,17 +17,17 @@ def discover(
     page: str = "page_id",
     strict: bool = True,
     batch: int | None = None,
+    stream: str | None = None,
 ) -> DataFrame:
     """Save the tenders of all pages, in the order of page and row, and return them.
 
-    Strict: an empty page, or a tender without identity, stops the run before anything is saved.
+    ``page`` orders the pages: a number, or the ``url`` of page files. Only the rows that change
+    are written. Strict: an empty page, or a tender without identity, stops the run before anything is saved.
     """
     parsed = staged(parse_pages(pages), "parsed-pages")
     if strict:
         strict_pages(parsed)
     found = page_tenders(parsed, page)
     if not found.isEmpty():
-        store.write(
-            upsert(store.read(), found, now, order=(page, "row_no"), run=PAGE_RUN, strict=strict), batch
-        )
+        store.apply(upsert_changes(store.read(), found, now, (page, "row_no"), strict), batch, stream)
     return found

@@ -9,7 +9,7 @@ from bidscope.operators.archives import Converter, attach_archives, chunk_files,
 from bidscope.operators.chunking import MAX_TOKENS
 from bidscope.operators.embedding import Embedder
 from bidscope.operators.lookup import find_for_indexing
-from bidscope.operators.writes import apply_status_updates
+from bidscope.operators.writes import status_changes
 from bidscope.schemas import IDENTITY
 from bidscope.session import staged
 from bidscope.sources.store import FileStore, TenderStore
@@ -39,9 +39,11 @@ def run_indexing(
     """Index the tenders that are ready, oldest first, and return the new status of each.
 
     A tender whose archive fails is FAILED after UPLOADED, one whose chunks cannot be embedded
-    FAILED after CHUNKED and keeps what was stored; the others go on. A run that is cut short
+    FAILED after CHUNKED and keeps what was stored; the others go on. Archives that belong to no
+    tender of the batch are not opened. A model whose vectors do not fit the store is an error. A run that is cut short
     leaves every status as it was, so the next run starts again with the same tenders.
     """
+    files.accept(embedder)
     current = tenders.read()
     batch = staged(find_for_indexing(current, limit).select("id", *IDENTITY), "index-batch")
     outcomes = staged(file_outcomes(batch, archives, convert, max_tokens), "file-outcomes")
@@ -50,10 +52,10 @@ def run_indexing(
         broken, "tender_record_id", "left_anti"
     )
     stored = files.replace(
-        chunked, outcomes.filter(F.col("position").isNotNull()), embedder, strict=False
+        chunked, outcomes.filter(F.col("position").isNotNull()), embedder, strict=False, tenders=current
     )
     updates = staged(_updates(batch, stored), "status-updates")
-    tenders.write(apply_status_updates(current, updates, now, strict=False))
+    tenders.apply(status_changes(current, updates, now, strict=False))
     return updates.drop("seq")
 
 

@@ -1,53 +1,27 @@
-"""All sections of the insights page, from one narrow projection."""
+"""All sections of the insights page."""
 
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from bidscope.operators import insights
 from bidscope.operators.filters import TOP_DIMENSIONS, WINDOW_DIMENSIONS, InsightsFilter
 
-COLUMNS = [
-    "id",
-    "reference_number",
-    "tender_object",
-    "public_buyer",
-    "category",
-    "location",
-    "publication_date",
-    "deadline",
-]
 
-
-class InsightsPage:
-    """Holds the projection for as long as its sections are asked; use with ``with``.
-
-    It is cached on memory and disk. A block lost with its executor is computed again.
-    """
-
-    def __init__(self, tenders: DataFrame, now: datetime, which: InsightsFilter = InsightsFilter()) -> None:
-        self.now, self.which = now, which
-        self.rows = tenders.select(*COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def __enter__(self) -> "InsightsPage":
-        return self
-
-    def __exit__(self, *_) -> None:
-        self.rows.unpersist()
-
-    def sections(self) -> dict[str, DataFrame]:
-        rows, now, which = self.rows, self.now, self.which
-        sections = {
-            "coverage": insights.coverage(rows, now, which),
-            "closing_soon": insights.closing_soon_buckets(rows, now),
-            "new_this_week": insights.new_this_week(rows, now, which.open_only),
-            "short_response_windows": insights.short_response_windows(rows, now, which),
-        }
-        for dimension in TOP_DIMENSIONS:
-            sections[f"top_{dimension}"] = insights.with_shares(insights.top(rows, now, dimension, which))
-        for dimension in WINDOW_DIMENSIONS:
-            sections[f"response_windows_{dimension}"] = insights.response_window_groups(
-                rows, now, dimension, which
-            )
-        return sections
+def insights_page(
+    tenders: DataFrame, now: datetime, which: InsightsFilter = InsightsFilter()
+) -> dict[str, DataFrame]:
+    """Every section by name. Each one scans its own columns, with its own filter pushed down."""
+    sections = {
+        "coverage": insights.coverage(tenders, now, which),
+        "closing_soon": insights.closing_soon_buckets(tenders, now),
+        "new_this_week": insights.new_this_week(tenders, now, which.open_only),
+        "short_response_windows": insights.short_response_windows(tenders, now, which),
+    }
+    for dimension in TOP_DIMENSIONS:
+        sections[f"top_{dimension}"] = insights.with_shares(insights.top(tenders, now, dimension, which))
+    for dimension in WINDOW_DIMENSIONS:
+        sections[f"response_windows_{dimension}"] = insights.response_window_groups(
+            tenders, now, dimension, which
+        )
+    return sections

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame
 
-from bidscope.operators.embedding import Embedder
+from bidscope.operators.embedding import Embedder, check_dimension
 from bidscope.operators.filters import in_range
 from bidscope.operators.search import RETRIEVE_LIMIT, search
 
@@ -24,8 +24,14 @@ def retrieve(
     top_k: int = RETRIEVE_LIMIT,
     tender_id: str | None = None,
     organization: str | None = None,
+    dimension: int | None = None,
 ) -> DataFrame:
-    """The nearest chunks to a text, in one tender when both parts of its identity are given."""
+    """The nearest chunks to a text, in one tender when both parts of its identity are given.
+
+    With a ``dimension``, a model whose vectors have another size is an error.
+    """
+    if dimension is not None:
+        check_dimension(embedder, dimension)
     in_range("top_k", top_k, 1)
     if (tender_id is None) != (organization is None):
         raise ValueError("a tender needs both its id and its organization")

@@ -34,6 +34,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+# Names and order of the columns of all tables below.
 _FIELDS = {
     "tender_id": TEXT,
     "organization_acronym": TEXT,

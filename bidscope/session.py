@@ -61,10 +61,8 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a small scan that feeds costly per-row work.
+    """Deal the rows out evenly, for costly work per row on files of few large row groups.
 
-    For a frame read straight from files. A file with one row group is one task however many
-    cores wait. A table of many splits is returned as it is: nothing is shuffled at scale.
+    The session's number of shuffle partitions says how finely, as for every other shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= 4 * cores else df.repartition(2 * cores)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -1,21 +1,22 @@
 """Archives in storage."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def _scan(spark: SparkSession, folder: str) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
+    return reader.option("recursiveFileLookup", "true").load(folder)
 
 
 def archive_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Every ``*.zip`` under a folder: path, modificationTime, length and content.
+    """Every ``*.zip`` under a folder: path, modificationTime and length. No content is read."""
+    return _scan(spark, folder).select("path", "modificationTime", "length")
 
-    Contents are read only by plans that use the column.
-    """
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.zip")
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-    )
 
+def load_archive(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The archives of that name with their content; no row when storage has none.
 
-def load_archive(archives: DataFrame, name: str) -> DataFrame:
-    """The archive of that name; no row when storage has none."""
-    return archives.filter(archives.path.endswith("/" + name))
+    The name is a property of the file, so no other file is opened.
+    """
+    return _scan(spark, folder).filter(F.col("_metadata.file_name") == name)

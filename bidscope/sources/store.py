@@ -10,15 +10,17 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidscope.errors import InvalidRowsError
-from bidscope.operators.embedding import embed
-from bidscope.operators.numbering import running_totals
-from bidscope.schemas import CHUNKS, DCE_FILES, INT, LONG, TENDERS, TEXT
+from bidscope.errors import InvalidRowsError, NotFoundError
+from bidscope.operators.embedding import check_dimension, embed
+from bidscope.operators.numbering import totals_before
+from bidscope.schemas import CHUNKS, DAY, DCE_FILES, INT, LONG, TENDERS, TEXT
+from bidscope.sources.tables import by_month, in_months
 
 _COMMITS = T.StructType(
     [
-        T.StructField(name, LONG)
-        for name in ("version", "batch", "last_file_id", "last_chunk_id")
+        *[T.StructField(name, LONG) for name in ("version", "batch", "last_file_id", "last_chunk_id")],
+        T.StructField("stream", TEXT),
+        T.StructField("full", T.BooleanType()),
     ]
 )
 
@@ -37,42 +39,74 @@ class _Versions:
 
     def _last(self) -> Row:
         found = self._commits().orderBy(F.desc("version")).take(1)
-        return found[0] if found else Row(version=0, batch=None, last_file_id=0, last_chunk_id=0)
+        return found[0] if found else Row(version=0, last_file_id=0, last_chunk_id=0)
 
     def version(self) -> int:
         """The last committed version; 0 before the first."""
         return self._last().version
 
-    def has_batch(self, batch: int) -> bool:
-        """Whether a streaming batch was committed before, so that a replay can be skipped."""
-        return not self._commits().filter(F.col("batch") == batch).isEmpty()
+    def has_batch(self, batch: int, stream: str) -> bool:
+        """Whether a batch of this stream was committed before, so that a replay can be skipped.
 
-    def _commit(self, version, batch, last_file_id=None, last_chunk_id=None) -> None:
-        row = self.spark.createDataFrame([(version, batch, last_file_id, last_chunk_id)], _COMMITS)
+        Every stream counts its batches from 0, so a number means nothing without its stream.
+        """
+        same = (F.col("batch") == batch) & (F.col("stream") == stream)
+        return not self._commits().filter(same).isEmpty()
+
+    def _commit(self, version, batch=None, stream=None, files=None, chunks=None, full=None) -> None:
+        row = self.spark.createDataFrame([(version, batch, files, chunks, stream, full)], _COMMITS)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
 
 class TenderStore(_Versions):
-    """The tenders table, one folder per version."""
+    """The tenders table: a whole state by publication month, and the rows changed since then.
+
+    ``write`` stores a whole state, ``apply`` only the rows of a batch, so a small batch costs what
+    it changes. A read takes the newest row of each id; ``compact`` makes a whole state again.
+    """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType = TENDERS) -> None:
         super().__init__(spark, root)
         self.schema = schema
 
-    def read(self) -> DataFrame:
-        version = self.version()
-        if version == 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/version={version}")
+    def read(self, published: tuple | None = None) -> DataFrame:
+        """The current state. With ``published`` (first and last day), other months are not read."""
+        columns = self.schema.fieldNames()
+        last = self.version()
+        full = self._commits().agg(F.max(F.when(F.col("full"), F.col("version")))).first()[0] or 0
+        rows = self.spark.createDataFrame([], self.schema)
+        if full:
+            dated = T.StructType([*self.schema, T.StructField("month", DAY)])
+            rows = self.spark.read.schema(dated).parquet(f"{self.root}/full/version={full}")
+            rows = in_months(rows, published).select(*columns)
+        if last == full:
+            return rows
+        versioned = T.StructType([*self.schema, T.StructField("version", INT)])
+        changes = self.spark.read.schema(versioned).parquet(f"{self.root}/changes")
+        changes = changes.filter((F.col("version") > full) & (F.col("version") <= last))
+        newest = changes.groupBy("id").agg(F.max_by(F.struct(*columns), "version").alias("row")).select("row.*")
+        return rows.join(newest.select("id"), "id", "left_anti").select(*columns).unionByName(newest)
+
+    def write(self, tenders: DataFrame, batch: int | None = None, stream: str | None = None) -> int:
+        """Commit a whole new state, which may be computed from the current one."""
+        version = self.version() + 1
+        by_month(tenders.select(*self.schema.fieldNames())).write.mode("overwrite").partitionBy(
+            "month"
+        ).parquet(f"{self.root}/full/version={version}")
+        self._commit(version, batch, stream, full=True)
+        return version
 
-    def write(self, tenders: DataFrame, batch: int | None = None) -> int:
-        """Commit a new state, which may be computed from the current one."""
+    def apply(self, changes: DataFrame, batch: int | None = None, stream: str | None = None) -> int:
+        """Commit new rows and changed ones, told by their id. All other rows stay as they are."""
         version = self.version() + 1
-        rows = tenders.select(*self.schema.fieldNames())
-        rows.write.mode("overwrite").parquet(f"{self.root}/version={version}")
-        self._commit(version, batch)
+        rows = changes.select(*self.schema.fieldNames())
+        rows.write.mode("overwrite").parquet(f"{self.root}/changes/version={version}")
+        self._commit(version, batch, stream, full=False)
         return version
 
+    def compact(self) -> int:
+        return self.write(self.read())
+
 
 _REPLACED = T.StructType(
     [
@@ -98,8 +132,19 @@ class FileStore(_Versions):
     A replacement appends the new rows under a new version, plus one ``replaced`` row for each
     tender. Rows of an older version of the same tender no longer count, so a write costs what
     its batch costs, whatever the table holds, and an empty new set needs no rows at all.
+
+    With a ``dimension``, only models whose vectors have that size are accepted.
     """
 
+    def __init__(self, spark: SparkSession, root: str, dimension: int | None = None) -> None:
+        super().__init__(spark, root)
+        self.dimension = dimension
+
+    def accept(self, embedder) -> None:
+        """An error unless the model's vectors have the size of the stored ones."""
+        if self.dimension is not None:
+            check_dimension(embedder, self.dimension)
+
     def _rows(self, name: str, schema: T.StructType, upto: int) -> DataFrame:
         if upto == 0:
             return self.spark.createDataFrame([], schema)
@@ -135,17 +180,26 @@ class FileStore(_Versions):
         return self._live("chunks", _CHUNK_ROWS).select(*CHUNKS.fieldNames(), "tender_record_id")
 
     def replace(
-        self, tender_ids: DataFrame, files: DataFrame, embedder, strict: bool = True, batch: int | None = None
+        self,
+        tender_ids: DataFrame,
+        files: DataFrame,
+        embedder,
+        strict: bool = True,
+        tenders: DataFrame | None = None,
     ) -> DataFrame:
         """Replace everything stored for the given tenders (column ``tender_record_id``).
 
         ``files`` has tender_record_id, position (from 0), path, file_type, status, reason and
         ``chunks``, an array of struct(chunk_index, text, embedding_text, page_numbers,
-        heading_path). It is read several times: pass a staged frame if it is costly.
+        heading_path). It is read several times: pass a staged frame if it is costly. A file of
+        another tender, one without tender or position, or a second one in the same position is an
+        error. Where ``tenders`` is given, so is a tender it does not hold.
 
         Strict: one chunk without a sound vector, and nothing changes for any tender. Otherwise
         only its tender keeps what it had. Returns the tenders with the error of each, if any.
         """
+        self.accept(embedder)
+        _refuse(tender_ids, files, tenders)
         last = self._last()
         version = last.version + 1
         numbered = _numbered(files, last.last_file_id, last.last_chunk_id)
@@ -164,30 +218,38 @@ class FileStore(_Versions):
             F.count("*").alias("files"),
             F.coalesce(F.sum(F.size("chunks")), F.lit(0)).alias("chunks"),
         ).first()
-        self._commit(version, batch, last.last_file_id + counted.files, last.last_chunk_id + counted.chunks)
+        self._commit(
+            version, files=last.last_file_id + counted.files, chunks=last.last_chunk_id + counted.chunks
+        )
         return replaced.select("tender_record_id", "error")
 
     def _write(self, name: str, version: int, rows: DataFrame) -> None:
         rows.write.mode("overwrite").parquet(f"{self.root}/{name}/version={version}")
 
 
+def _refuse(tender_ids: DataFrame, files: DataFrame, tenders: DataFrame | None) -> None:
+    """Errors before anything is written."""
+    named = tender_ids.select("tender_record_id").distinct().withColumn("_named", F.lit(True))
+    if tenders is not None:
+        known = tenders.select(F.col("id").alias("tender_record_id"))
+        if not named.join(known, "tender_record_id", "left_anti").isEmpty():
+            raise NotFoundError("some tenders are not stored")
+    counts = files.groupBy("tender_record_id", "position").agg(F.count("*").alias("_n"))
+    wrong = F.col("_named").isNull() | F.col("position").isNull() | (F.col("_n") > 1)
+    if not counts.join(named, "tender_record_id", "left").filter(wrong).isEmpty():
+        raise InvalidRowsError("a file needs a named tender and a position of its own")
+
+
 def _numbered(files: DataFrame, last_file: int, last_chunk: int) -> DataFrame:
     """Give every file its id, and the id its first chunk starts from."""
-    run = F.struct(F.floor(F.col("tender_record_id") / 1_000), F.floor(F.col("position") / 100_000))
-    numbers = running_totals(
-        files.select("tender_record_id", "position", F.size("chunks").alias("n")),
-        [],
-        run,
-        ["tender_record_id", "position"],
-        files_before=F.lit(1).cast("bigint"),
-        chunks_before=F.col("n").cast("bigint"),
-    ).select(
-        "tender_record_id",
-        "position",
-        (F.col("files_before") + 1 + last_file).alias("id"),
+    order = ["tender_record_id", "position"]
+    sizes = files.select(*order, F.size("chunks").alias("n"))
+    numbers = totals_before(sizes, order, chunks_before=F.col("n").cast("bigint")).select(
+        *order,
+        (F.col("rows_before") + 1 + last_file).alias("id"),
         (F.col("chunks_before") + 1 + last_chunk).alias("first_chunk_id"),
     )
-    return files.join(numbers, ["tender_record_id", "position"])
+    return files.join(numbers, order)
 
 
 def _chunk_rows(numbered: DataFrame, embedder) -> DataFrame:

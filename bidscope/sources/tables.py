@@ -18,8 +18,24 @@ def as_instants(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("timestamp") for name in plain}) if plain else df
 
 
-def tenders(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, schemas.TENDERS)
+def tenders(spark: SparkSession, path: str, published: tuple | None = None) -> DataFrame:
+    """Tenders as ``write_tenders`` lays them out, or in any other way.
+
+    With ``published`` (first and last day, as ``InsightsFilter.days`` gives them), only the
+    folders of those months are read; the days themselves are left to the filter.
+    """
+    if published is None:
+        return read_table(spark, path, schemas.TENDERS)
+    dated = T.StructType([*schemas.TENDERS, T.StructField("month", schemas.DAY)])
+    return in_months(read_table(spark, path, dated), published).select(*schemas.TENDERS.fieldNames())
+
+
+def in_months(rows: DataFrame, published: tuple | None) -> DataFrame:
+    """Rows of the months from the first to the last day, by their folder."""
+    if published is None:
+        return rows
+    first, last = (day.replace(day=1) for day in published)
+    return rows.filter((F.col("month") >= F.lit(first)) & (F.col("month") <= F.lit(last)))
 
 
 def dce_files(spark: SparkSession, path: str) -> DataFrame:
@@ -36,18 +52,25 @@ def result_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def result_page_files(spark: SparkSession, path: str) -> DataFrame:
-    """Saved result pages, one per text file; the file name orders them."""
+    """Saved result pages, one per text file; ``url`` is the file's, and its order is theirs.
+
+    Pages of a run should have names that sort as they were fetched: ``discover(page="url")``.
+    """
     pages = spark.read.text(path, wholetext=True)
     return pages.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
 
 
-def write_tenders(tenders: DataFrame, path: str) -> None:
-    """Partitioned by publication month and sorted inside, for skipping files and row groups.
+def by_month(tenders: DataFrame) -> DataFrame:
+    """Add the publication month and lay rows out by it, sorted by day and id.
 
     Ranges of (month, date, id) are of equal size, so a busy month fills several files and a
     quiet one shares its task with others.
     """
     order = ["month", "publication_date", "id"]
-    by_month = tenders.withColumn("month", F.trunc("publication_date", "month"))
-    ranges = by_month.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranges.write.mode("errorifexists").partitionBy("month").parquet(path)
+    rows = tenders.withColumn("month", F.trunc("publication_date", "month"))
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def write_tenders(tenders: DataFrame, path: str) -> None:
+    """Partitioned by publication month and sorted inside, for skipping files and row groups."""
+    by_month(tenders).write.mode("errorifexists").partitionBy("month").parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from bidscope.plans.discovery import discover
 from bidscope.schemas import RESULT_PAGES
 from bidscope.sources.store import TenderStore
+from bidscope.streaming.once import each_batch_once
 
 
 def stream_discovery(
@@ -29,13 +30,7 @@ def stream_discovery(
         .parquet(folder)
     )
 
-    def save(batch: DataFrame, number: int) -> None:
-        if not store.has_batch(number):
-            discover(batch, store, clock(), strict=False, batch=number)
+    def save(batch: DataFrame, number: int, stream: str) -> None:
+        discover(batch, store, clock(), strict=False, batch=number, stream=stream)
 
-    return (
-        pages.writeStream.foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return each_batch_once(pages, store, checkpoint, save)

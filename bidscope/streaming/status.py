@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from bidscope.operators.writes import apply_status_updates
+from bidscope.operators.writes import status_changes
 from bidscope.schemas import LONG, STATUS_UPDATES, TENDERS
 from bidscope.sources.store import TenderStore
+from bidscope.streaming.once import each_batch_once
 
 #: Tenders with the number of the last update applied to each.
 TRACKED_TENDERS = T.StructType([*TENDERS, T.StructField("status_seq", LONG)])
@@ -33,13 +34,7 @@ def stream_status(
         .parquet(folder)
     )
 
-    def apply(batch: DataFrame, number: int) -> None:
-        if not store.has_batch(number):
-            store.write(apply_status_updates(store.read(), batch, clock(), strict=False), number)
+    def save(batch: DataFrame, number: int, stream: str) -> None:
+        store.apply(status_changes(store.read(), batch, clock(), strict=False), number, stream)
 
-    return (
-        updates.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return each_batch_once(updates, store, checkpoint, save)

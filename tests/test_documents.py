@@ -8,7 +8,7 @@ from helpers import at, column, tender_rows, updates
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from bidscope.errors import InvalidRowsError
+from bidscope.errors import InvalidRowsError, NotFoundError
 from bidscope.operators import chunking
 from bidscope.operators.archives import TextConverter, attach_archives, expand_archives, missing_archives
 from bidscope.operators.embedding import HashEmbedder, check_dimension, embed, unit
@@ -24,7 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NOW = at(2026, 2, 1)
 CONVERTER = TextConverter(("pdf", "txt"))
-TWO_PAGES = b"# Article 1 - Objet du marche\nles travaux\n\f# Article 2 - Prix et paiement\nle prix"
+TWO_PAGES = b"# Part 1: scope\nthe bridge\n\f# Part 2: fees\nthe fee"
 
 
 def packed_items(items):
@@ -47,13 +47,13 @@ def expanded(spark, content, **options):
 
 
 def test_nested_archives_in_order(spark):
-    deep = packed_items([("BPU.pdf", b"c")])
-    inner = packed_items([("RC.pdf", b"b"), ("lots/", b""), ("lots/deep.zip", deep)])
-    rows = expanded(spark, packed_items([("CPS.pdf", b"a"), ("annexes.ZIP", inner), ("last.txt", b"d")]))
+    deep = packed_items([("prices.pdf", b"c")])
+    inner = packed_items([("rules.pdf", b"b"), ("lots/", b""), ("lots/deep.zip", deep)])
+    rows = expanded(spark, packed_items([("terms.pdf", b"a"), ("extra.ZIP", inner), ("last.txt", b"d")]))
     assert [(r.position, r.path, bytes(r.content)) for r in rows] == [
-        (0, "CPS.pdf", b"a"),
-        (1, "annexes.ZIP/RC.pdf", b"b"),
-        (2, "annexes.ZIP/lots/deep.zip/BPU.pdf", b"c"),
+        (0, "terms.pdf", b"a"),
+        (1, "extra.ZIP/rules.pdf", b"b"),
+        (2, "extra.ZIP/lots/deep.zip/prices.pdf", b"c"),
         (3, "last.txt", b"d"),
     ]
     assert [r.file_type for r in rows] == ["pdf", "pdf", "pdf", "txt"]
@@ -61,16 +61,16 @@ def test_nested_archives_in_order(spark):
 
 def test_unreadable_members_stop_nothing(spark):
     inner = flipped(packed_items([("bad.pdf", b"payload-in"), ("ok.pdf", b"x")]), b"payload-in")
-    data = packed_items([("annexes.zip", b"not a zip"), ("broken.pdf", b"payload-top"), ("n.zip", inner), ("z.pdf", b"y")])
+    data = packed_items([("extra.zip", b"not a zip"), ("broken.pdf", b"payload-top"), ("n.zip", inner), ("z.pdf", b"y")])
     rows = expanded(spark, flipped(data, b"payload-top"))
     assert [(r.path, r.file_type, r.error is not None) for r in rows] == [
-        ("annexes.zip", "zip", True),
+        ("extra.zip", "zip", True),
         ("broken.pdf", "pdf", True),
         ("n.zip/bad.pdf", "pdf", True),
         ("n.zip/ok.pdf", "pdf", False),
         ("z.pdf", "pdf", False),
     ]
-    assert rows[0].error.startswith("Could not extract: BadZipFile")
+    assert rows[0].error.startswith("unreadable member: BadZipFile")
 
 
 @pytest.mark.parametrize("content", [b"not a zip", None])
@@ -84,12 +84,49 @@ def test_storage(spark, tmp_path):
     (tmp_path / "other.txt").write_text("x")
     archives = archive_files(spark, str(tmp_path))
     assert archives.count() == 1
-    assert bytes(load_archive(archives, "T1_ORG.zip").first().content).startswith(b"PK")
-    assert load_archive(archives, "T2_ORG.zip").isEmpty()
+    found = load_archive(spark, str(tmp_path), "T1_ORG.zip").first()
+    assert bytes(found.content).startswith(b"PK")
+    assert load_archive(spark, str(tmp_path), "T2_ORG.zip").isEmpty()
     tenders = tender_rows(spark, [{}, {}]).select("id", "tender_id", "organization_acronym")
     assert column(missing_archives(tenders, archives), "archive_name") == ["T2_ORG.zip"]
-    attached = {r.id: r.content for r in attach_archives(tenders, archives).collect()}
-    assert attached[1] is not None and attached[2] is None
+    attached = {r.id: r.path for r in attach_archives(tenders, archives).collect()}
+    assert attached[1].endswith("/T1_ORG.zip") and attached[2] is None
+
+
+def test_only_the_asked_archives_are_opened(spark, tmp_path):
+    """An archive too large to read, of a tender that is not asked for, does not matter."""
+    (tmp_path / "T1_ORG.zip").write_bytes(packed_items([("a.txt", b"# H\nbody")]))
+    (tmp_path / "T2_ORG.zip").write_bytes(b"x" * 5000)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        assert load_archive(spark, str(tmp_path), "T1_ORG.zip").count() == 1
+        tenders = tender_rows(spark, [{}, {}]).select("id", "tender_id", "organization_acronym")
+        archives = archive_files(spark, str(tmp_path))
+        one = attach_archives(tenders.filter("id = 1"), archives)
+        assert [r.path for r in expand_archives(one, "id").collect()] == ["a.txt"]
+        both = expand_archives(attach_archives(tenders, archives), "id", TextConverter()).collect()
+        assert {(r.id, r.path, r.error is None) for r in both} == {(1, "a.txt", True), (2, None, False)}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_one_object_counts_for_each_name(spark, tmp_path):
+    for folder, text in (("b", b"second"), ("a", b"first")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "T1_ORG.zip").write_bytes(packed_items([("x.txt", text), ("y.txt", text)]))
+    tenders = tender_rows(spark, [{}]).select("id", "tender_id", "organization_acronym")
+    rows = expand_archives(attach_archives(tenders, archive_files(spark, str(tmp_path))), "id").collect()
+    assert sorted((r.position, bytes(r.content)) for r in rows) == [(0, b"first"), (1, b"first")]
+    with_content = spark.createDataFrame([(f"{k}/T1_ORG.zip", k.encode()) for k in "ba"], ARCHIVES)
+    assert [bytes(r.content) for r in attach_archives(tenders, with_content).collect()] == [b"a"]
+
+
+def test_a_member_too_large_is_reported(spark, tmp_path, monkeypatch):
+    from bidscope.operators import archives as ops
+
+    monkeypatch.setattr(ops, "MEMBER_BYTES", 3)
+    rows = list(ops._files(ops._opener(packed_items([("big.txt", b"1234"), ("ok.txt", b"123")]))))
+    assert [("error" in r, r["path"]) for r in rows] == [(True, "big.txt"), (False, "ok.txt")]
 
 
 def cut(spark, sections, size):
@@ -101,10 +138,10 @@ def cut(spark, sections, size):
 def test_chunks_of_a_two_page_document(spark):
     chunks = cut(spark, CONVERTER("a.pdf", TWO_PAGES), 512)
     assert [(c.chunk_index, c.text, c.page_numbers, c.heading_path) for c in chunks] == [
-        (0, "les travaux", [1], ["Article 1 - Objet du marche"]),
-        (1, "le prix", [2], ["Article 2 - Prix et paiement"]),
+        (0, "the bridge", [1], ["Part 1: scope"]),
+        (1, "the fee", [2], ["Part 2: fees"]),
     ]
-    assert chunks[1].embedding_text == "Article 2 - Prix et paiement\nle prix"
+    assert chunks[1].embedding_text == "Part 2: fees\nthe fee"
 
 
 def test_headings_nest():
@@ -142,6 +179,34 @@ def test_blocks_give_the_same_chunks_as_whole_texts(spark):
     assert {(c.doc_id, c.chunk_index): (c.text, c.page_numbers, c.heading_path) for c in chunks} == expected
 
 
+def test_blocks_without_section_or_headings_keep_their_text(spark):
+    rows = [
+        (1, None, None, 1, 0, "a b"),
+        (1, None, None, 1, None, "z"),
+        (1, 2, ["h"], 1, 0, "c"),
+        (None, None, None, None, 0, "d e"),
+        (2, 0, None, 1, 0, None),
+    ]
+    found = chunking.chunk_blocks(spark.createDataFrame(rows, BLOCKS), 10).collect()
+    assert sorted(((c.doc_id, c.chunk_index, c.text, c.embedding_text, c.heading_path) for c in found), key=str) == sorted(
+        [(1, 0, "z a b", "z a b", []), (1, 1, "c", "h\nc", ["h"]), (None, 0, "d e", "d e", [])], key=str
+    )
+
+
+def test_one_very_long_block(spark):
+    """Its words are cut before rows are made of it, so they are not copied for every chunk."""
+    n = 300_000
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.lit("w")), " ")
+    headings = F.array().cast("array<string>")
+    block = spark.range(1).select(
+        F.lit(1).cast("long").alias("doc_id"), F.lit(0).alias("section_no"), headings.alias("headings"),
+        F.lit(1).alias("page"), F.lit(0).alias("position"), text.alias("text"),
+    )
+    chunks = chunking.chunk_blocks(block)
+    assert chunks.agg(F.count("*"), F.sum(F.length("text"))).first()[:] == (-(-n // 512), 2 * n - -(-n // 512))
+    assert chunking.chunk_texts(block.select("doc_id", "text")).agg(F.sum("n_words")).first()[0] == n
+
+
 def test_chunk_texts_skips_empty_texts(spark):
     df = spark.createDataFrame([(1, "a  b\nc"), (2, " \n"), (3, None)], "id int, text string")
     rows = chunking.chunk_texts(df, max_tokens=2).collect()
@@ -214,7 +279,7 @@ def contents(store):
 def test_replacing_files(spark, tmp_path):
     store, model = FileStore(spark, str(tmp_path)), HashEmbedder(8)
     assert store.files().isEmpty() and store.chunks().isEmpty()
-    first = files(spark, (1, 0, "CPS.pdf", ["a", "b"]), (1, 1, "RC.pdf", ["c", "d", "e"]), (2, 0, "x.pdf", ["f"]))
+    first = files(spark, (1, 0, "terms.pdf", ["a", "b"]), (1, 1, "rules.pdf", ["c", "d", "e"]), (2, 0, "x.pdf", ["f"]))
     store.replace(owners(spark, 1, 2), first, model)
     before = contents(store)
     assert len(before) == 6
@@ -241,9 +306,29 @@ def test_replacing_files(spark, tmp_path):
     assert column(store.files(), "path") == ["new.pdf"]
 
 
+def test_replacing_refuses_files_out_of_place(spark, tmp_path):
+    store, model = FileStore(spark, str(tmp_path), dimension=8), HashEmbedder(8)
+    for wrong in (
+        files(spark, (1, 0, "a", ["x"]), (1, 0, "b", ["y"])),
+        files(spark, (2, 0, "a", ["x"])),
+        files(spark, (None, 0, "a", ["x"])),
+        files(spark, (1, None, "a", ["x"])),
+    ):
+        with pytest.raises(InvalidRowsError):
+            store.replace(owners(spark, 1), wrong, model)
+    good = files(spark, (1, 0, "a", ["x"]))
+    with pytest.raises(InvalidRowsError, match="dimension"):
+        store.replace(owners(spark, 1), good, HashEmbedder(16))
+    with pytest.raises(NotFoundError):
+        store.replace(owners(spark, 1), good, model, tenders=tender_rows(spark, []))
+    assert store.version() == 0
+    store.replace(owners(spark, 1), good, model, tenders=tender_rows(spark, [{}]))
+    assert contents(store) == [(1, "a", 0, "x")]
+
+
 ARCHIVE = {
-    "A": packed_items([("CPS.pdf", TWO_PAGES), ("plans/plan.dwg", b"\0"), ("signature.png", b"\0")]),
-    "B": packed_items([("CCAP.pdf", b"\xff\xfe broken"), ("annexes.zip", b"not a zip"), ("RC.pdf", b"good")]),
+    "A": packed_items([("terms.pdf", TWO_PAGES), ("draw/sketch.dwg", b"\0"), ("stamp.png", b"\0")]),
+    "B": packed_items([("clauses.pdf", b"\xff\xfe broken"), ("extra.zip", b"not a zip"), ("rules.pdf", b"good")]),
     "C": b"not a zip",
     "E": packed_items([("x.pdf", b"poison"), ("y.pdf", b"fine")]),
     "F": packed_items([]),
@@ -290,14 +375,14 @@ def test_indexing_run(spark, stores):
     assert statuses(tenders) == INDEXED
     rows = store.files().orderBy("id").collect()
     assert [(r.tender_record_id, r.path, r.status, r.reason is None) for r in rows] == [
-        (1, "CPS.pdf", "chunked", True),
-        (1, "plans/plan.dwg", "skipped", False),
-        (1, "signature.png", "skipped", False),
-        (2, "CCAP.pdf", "failed", False),
-        (2, "annexes.zip", "failed", False),
-        (2, "RC.pdf", "chunked", True),
+        (1, "terms.pdf", "chunked", True),
+        (1, "draw/sketch.dwg", "skipped", False),
+        (1, "stamp.png", "skipped", False),
+        (2, "clauses.pdf", "failed", False),
+        (2, "extra.zip", "failed", False),
+        (2, "rules.pdf", "chunked", True),
     ]
-    assert contents(store) == [(1, "CPS.pdf", 0, "les travaux"), (1, "CPS.pdf", 1, "le prix"), (2, "RC.pdf", 0, "good")]
+    assert contents(store) == [(1, "terms.pdf", 0, "the bridge"), (1, "terms.pdf", 1, "the fee"), (2, "rules.pdf", 0, "good")]
 
 
 def test_indexing_again_retries_what_failed(spark, stores):
@@ -321,11 +406,13 @@ def test_retrieving_what_was_indexed(spark, stores):
     model = HashEmbedder(64)
     run_indexing(tenders, store, archives, CONVERTER, model, NOW)
     found = (store.chunks(), store.files(), tenders.read())
-    hits = retrieve(*found, "Article 2 - Prix et paiement : le prix", model, top_k=2).collect()
-    assert (hits[0].tender_id, hits[0].dce_file_path, hits[0].page_numbers) == ("A", "CPS.pdf", [2])
-    scoped = retrieve(*found, "le prix", model, tender_id="B", organization="ORG").collect()
+    hits = retrieve(*found, "Part 2: fees : the fee", model, top_k=2).collect()
+    assert (hits[0].tender_id, hits[0].dce_file_path, hits[0].page_numbers) == ("A", "terms.pdf", [2])
+    scoped = retrieve(*found, "the fee", model, tender_id="B", organization="ORG").collect()
     assert [h.text for h in scoped] == ["good"]
-    assert retrieve(*found, "le prix", model, tender_id="F", organization="ORG").isEmpty()
+    assert retrieve(*found, "the fee", model, tender_id="F", organization="ORG").isEmpty()
+    with pytest.raises(InvalidRowsError):
+        retrieve(*found, "the fee", model, dimension=1024)
     for bad in ({"query": " "}, {"query": "x", "top_k": 0}, {"query": "x", "tender_id": "A"}):
         with pytest.raises(ValueError):
             retrieve(*found, embedder=model, **bad)

@@ -9,35 +9,37 @@ from bidscope.operators.pages import page_counters, page_tenders, page_text, par
 from bidscope.plans.discovery import discover
 from bidscope.schemas import RESULT_PAGES
 from bidscope.sources.store import TenderStore
+from bidscope.sources.tables import result_page_files
 from bidscope.streaming.discovery import stream_discovery
 
-NOW = at(2026, 9, 1)
+NOW = at(2031, 5, 2)
 
 
+# The names, ids and headers of the site's markup.
 def row(tender, org, reference, category, published, place, closes):
-    return f"""<tr class="on"><td headers="check"><input type="hidden" name="a$refCons" value="{tender}">
-      <input type="hidden" name="a$orgCons" value="{org}"/></td>
-      <td headers="cons_ref"><div class="line"><span id="x_type_procedure">Appel d'offres
-        ouvert</span></div><div id="x_panelBlocCategorie">{category}</div>
-        <div>{published}</div><div>01/01/2000</div></td>
-      <td headers="cons_obj"><span class="ref bold">{reference}</span>
-        <div id="x_panelBlocObjet"><strong>Objet :</strong> Travaux &amp; <b>voirie</b>
-          <span class="tip">Objet : more</span></div>
-        <div id="x_panelBlocDenomination"><strong>Acheteur public</strong> :&nbsp;Commune  de
-          Rabat </div></td>
-      <td headers="cons_lieu"><div id="x_panelBlocLieuxExec">{place}</div></td>
+    return f"""<tr class="odd"><td headers="check"><input type="hidden" name="r$1$refCons" value="{tender}">
+      <input type="hidden" name="r$1$orgCons" value="{org}"/></td>
+      <td headers="cons_ref"><div class="line"><span id="r1_type_procedure">Open  call
+        above threshold</span></div><div id="r1_panelBlocCategorie">{category}</div>
+        <div>{published}</div><div>09/09/1999</div></td>
+      <td headers="cons_obj"><span class="wide ref">{reference}</span>
+        <div id="r1_panelBlocObjet"><strong>Objet :</strong> Bridge &amp; <b>pier</b>
+          <span class="tip">Objet : all of it</span></div>
+        <div id="r1_panelBlocDenomination"><strong>Acheteur public</strong> :&nbsp;Harbour  of
+          Larache </div></td>
+      <td headers="cons_lieu"><div id="r1_panelBlocLieuxExec">{place}</div></td>
       <td headers="cons_dateEnd"><div class="cloture-line">{closes}</div>
-        <div class="cloture-line" style="display:none">01/01/2001 00:00</div></td></tr>
-      <tr><td colspan="5">detail</td></tr>"""
+        <div class="cloture-line" style="display:none">08/08/1998 00:00</div></td></tr>
+      <tr><td colspan="5">more</td></tr>"""
 
 
 SAMPLE = (
-    """<html><body><input id="c_numPageTop" value="3"><span id="c_nombrePageTop">51</span>
-    <span id="c_nombreElement">501</span><table><tr><th id="cons_ref">R</th>
-    <td headers="cons_ref">in a head row</td></tr>"""
-    + row("1013506", "g3h", "12/SAP/2026", "Services", "19/08/2026", "KENITRA", "20/10/2026<br>11:00")
-    + row("1032618", "q1s", "46045903", "Travaux", "19/08/2026", "\n MEKNES<br>FES<div class=tip>MEKNES, FES</div>", "07/10/2026 <br/> 14:00")
-    + row("1030723", "d0q", "04/2026", "Travaux", "06/08/2026", "<span>TAZA</span>", "07/10/2026 11:00")
+    """<html><body><input id="v_numPageTop" value="8"><span id="v_nombrePageTop">77</span>
+    <span id="v_nombreElement">766</span><table><tr><th id="cons_ref">R</th>
+    <td headers="cons_ref">not a tender</td></tr>"""
+    + row("880001", "ha1", "3/L/31", "Supplies", "28/04/2031", "LARACHE", "30/06/2031<br>10:30")
+    + row("880007", "ha2", "X-77", "Works", "27/04/2031", "\n TETOUAN<br>LARACHE<div class=tip>TETOUAN, LARACHE</div>", "15/07/2031 <br/> 16:00")
+    + row("880003", "ha1", "4/L/31", "Works", "01/03/2031", "<span>ASILAH</span>", "16/07/2031 08:15")
     + "</table></body></html>"
 )
 
@@ -48,25 +50,23 @@ def pages(spark, *html):
 
 def test_sample_page(spark):
     rows = page_tenders(parse_pages(pages(spark, SAMPLE))).orderBy("row_no").collect()
-    shown = [
-        (r.tender_id, r.organization_acronym, r.reference_number, r.procurement_type, r.category, r.publication_date, r.location, r.deadline)
-        for r in rows
-    ]
-    kind = "Appel d'offres ouvert"
-    assert shown == [
-        ("1013506", "g3h", "12/SAP/2026", kind, "Services", date(2026, 8, 19), "KENITRA", datetime(2026, 10, 20, 10)),
-        ("1032618", "q1s", "46045903", kind, "Travaux", date(2026, 8, 19), "MEKNES", datetime(2026, 10, 7, 13)),
-        ("1030723", "d0q", "04/2026", kind, "Travaux", date(2026, 8, 6), "TAZA", datetime(2026, 10, 7, 10)),
+    names = ("tender_id", "organization_acronym", "reference_number", "category", "publication_date", "location", "deadline")
+    assert [tuple(r[n] for n in names) for r in rows] == [
+        ("880001", "ha1", "3/L/31", "Supplies", date(2031, 4, 28), "LARACHE", datetime(2031, 6, 30, 9, 30)),
+        ("880007", "ha2", "X-77", "Works", date(2031, 4, 27), "TETOUAN", datetime(2031, 7, 15, 15)),
+        ("880003", "ha1", "4/L/31", "Works", date(2031, 3, 1), "ASILAH", datetime(2031, 7, 16, 7, 15)),
     ]
+    assert {r.procurement_type for r in rows} == {"Open call above threshold"}
     # Stripped pieces are joined without a separator; only the first label is removed.
-    assert {r.tender_object for r in rows} == {"Travaux &voirieObjet : more"}
-    assert {r.public_buyer for r in rows} == {"Commune de Rabat"}
+    assert {r.tender_object for r in rows} == {"Bridge &pierObjet : all of it"}
+    assert {r.public_buyer for r in rows} == {"Harbour of Larache"}
 
 
 def test_counters(spark):
-    broken = '<input id="numPageTop" value="x"><b id="nombrePageTop"> 7 </b>'
+    broken = '<input id="numPageTop" value="x"><b id="nombrePageTop"> 12 </b>'
     parsed = page_counters(parse_pages(pages(spark, SAMPLE, "<p>none</p>", broken))).orderBy("page_id")
-    assert [(r.current_page, r.total_pages, r.total_results) for r in parsed.collect()] == [(3, 51, 501), (None, None, None), (None, 7, None)]
+    shown = [(r.current_page, r.total_pages, r.total_results) for r in parsed.collect()]
+    assert shown == [(8, 77, 766), (None, None, None), (None, 12, None)]
 
 
 def test_page_without_table_has_no_rows(spark):
@@ -84,9 +84,9 @@ def test_empty_page_is_an_error(spark):
 @pytest.mark.parametrize(
     ("published", "closes", "expected"),
     [
-        ("15/01/2026", "30/01/2026", (date(2026, 1, 15), datetime(2026, 1, 30, 22, 59))),
-        ("31/02/2026", "à préciser", (None, None)),
-        ("15/01/2026", "31/02/2026 10:00", (date(2026, 1, 15), None)),
+        ("03/12/2030", "19/12/2030", (date(2030, 12, 3), datetime(2030, 12, 19, 22, 59))),
+        ("30/02/2030", "later", (None, None)),
+        ("03/12/2030", "31/11/2030 10:00", (date(2030, 12, 3), None)),
     ],
 )
 def test_dates_of_a_row(spark, published, closes, expected):
@@ -118,17 +118,29 @@ def test_page_text(spark):
 
 def test_discover_saves_all_pages_in_order(spark, tmp_path):
     store = TenderStore(spark, str(tmp_path))
-    again = SAMPLE.replace("46045903", "changed").replace("voirie", "ponts")
+    again = SAMPLE.replace("X-77", "renamed").replace("pier", "quay")
     found = discover(pages(spark, SAMPLE, again), store, NOW)
     assert found.count() == 6
     saved = store.read().orderBy("id").collect()
-    assert [(r.id, r.tender_id) for r in saved] == [(1, "1013506"), (2, "1032618"), (3, "1030723")]
-    assert saved[1].tender_object.startswith("Travaux &ponts") and saved[1].reference_number == "changed"
+    assert [(r.id, r.tender_id) for r in saved] == [(1, "880001"), (2, "880007"), (3, "880003")]
+    assert saved[1].tender_object.startswith("Bridge &quay") and saved[1].reference_number == "renamed"
+
+
+def test_discover_from_page_files(spark, tmp_path):
+    """The names of the files order the pages."""
+    folder = tmp_path / "saved"
+    folder.mkdir()
+    for name, first in (("run1-002.html", "91"), ("run1-010.html", "92"), ("run1-001.html", "90")):
+        (folder / name).write_text(SAMPLE.replace("880001", first))
+    store = TenderStore(spark, str(tmp_path / "tenders"))
+    discover(result_page_files(spark, str(folder)), store, NOW, page="url")
+    saved = [(r.id, r.tender_id) for r in store.read().orderBy("id").collect()]
+    assert saved == [(1, "90"), (2, "880007"), (3, "880003"), (4, "91"), (5, "92")]
 
 
 def test_discover_refuses_bad_batches(spark, tmp_path):
     store = TenderStore(spark, str(tmp_path))
-    nameless = SAMPLE.replace('value="q1s"', 'value=""')
+    nameless = SAMPLE.replace('value="ha2"', 'value=""')
     for bad in ("", nameless):
         with pytest.raises(InvalidRowsError):
             discover(pages(spark, SAMPLE, bad), store, NOW)
@@ -136,7 +148,7 @@ def test_discover_refuses_bad_batches(spark, tmp_path):
     discover(pages(spark, "<p>no rows</p>"), store, NOW)
     assert store.version() == 0
     discover(pages(spark, nameless, ""), store, NOW, strict=False)
-    assert sorted(column(store.read(), "tender_id")) == ["1013506", "1030723"]
+    assert sorted(column(store.read(), "tender_id")) == ["880001", "880003"]
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
@@ -150,9 +162,23 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     run()
     run()
     assert store.version() == 1 and store.read().count() == 3
-    other = SAMPLE.replace("1013506", "99").replace("voirie", "ponts")
+    other = SAMPLE.replace("880001", "99").replace("pier", "quay")
     pages(spark, other).coalesce(1).write.mode("append").parquet(folder)
     run()
     rows = store.read().orderBy("id")
     assert column(rows, "id") == [1, 2, 3, 4]
-    assert column(rows.select(F.col("tender_object").contains("ponts").alias("p")), "p") == [False, True, True, True]
+    shown = rows.select(F.col("tender_object").contains("quay").alias("p"))
+    assert column(shown, "p") == [False, True, True, True]
+
+
+def test_two_streams_and_a_new_checkpoint_lose_nothing(spark, tmp_path):
+    """Every stream counts its batches from 0."""
+    store = TenderStore(spark, str(tmp_path / "tenders"))
+    for name, first in (("a", "71"), ("b", "72")):
+        folder = str(tmp_path / name)
+        pages(spark, SAMPLE.replace("880001", first)).coalesce(1).write.parquet(folder)
+        stream_discovery(spark, folder, store, str(tmp_path / f"checkpoint-{name}"), lambda: NOW).awaitTermination()
+    assert sorted(column(store.read(), "tender_id")) == ["71", "72", "880003", "880007"]
+    pages(spark, SAMPLE.replace("880001", "73")).coalesce(1).write.mode("append").parquet(str(tmp_path / "a"))
+    stream_discovery(spark, str(tmp_path / "a"), store, str(tmp_path / "fresh"), lambda: NOW).awaitTermination()
+    assert sorted(column(store.read(), "tender_id")) == ["71", "72", "73", "880003", "880007"]

@@ -109,17 +109,16 @@ def brute(rows, queries, k):
     return out
 
 
-@pytest.mark.parametrize("limited", [False, True])
-def test_many_queries(spark, monkeypatch, limited):
-    """A third of all vectors are copies of one another; with and without query blocks."""
+@pytest.mark.parametrize("block", [4096, 6])
+def test_many_queries(spark, monkeypatch, block):
+    """A third of all vectors are copies of one another; in one block of queries, and in several."""
     rng = np.random.default_rng(5)
     copy = rng.normal(size=8).tolist()
     rows = [(n % 7, n, copy if n % 3 == 0 else rng.normal(size=8).astype(np.float32).tolist()) for n in range(300)]
     rows.append((9, 999, [0.0] * 8))
     queries = [(n, rng.normal(size=8).astype(np.float32).tolist()) for n in range(20)] + [(77, np.float32(copy).tolist())]
     rows = [(f, i, np.float32(v).tolist()) for f, i, v in rows]
-    if limited:
-        monkeypatch.setattr(search, "QUERY_BYTES", 8 * 8 * 6)
+    monkeypatch.setattr(search, "QUERY_BLOCK", block)
     asked = spark.createDataFrame(queries, "query_id long, embedding array<float>")
     hits = search.search_many(chunk_rows(spark, rows), asked, "m", 12).orderBy("query_id", "rank").collect()
     found = {}
@@ -153,3 +152,23 @@ def test_cells(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(cell" in plan
     with pytest.raises(ValueError):
         index.search(query, "m", probes=0)
+
+
+def test_a_search_by_cells_goes_on_until_it_has_enough(spark, tmp_path):
+    """Cells of one vector each: one probe alone would give one hit."""
+    chunks = chunk_rows(spark, [(1, n, np.eye(8)[n].tolist()) for n in range(8)])
+    index = search.CellIndex(spark, str(tmp_path / "cells"))
+    index.build(chunks, "m", cells=8)
+    query = [1.0, 0.5, 0.2, 0.1, 0.0, 0.0, 0.0, 0.0]
+    assert column(index.search(query, "m", limit=3, probes=1), "chunk_index") == [0, 1, 2]
+    assert index.search(query, "m", limit=50, probes=1).count() == 8
+
+
+def test_hits_of_many_tasks_meet_in_two_steps(spark):
+    chunks = chunk_rows(spark, [(n % 5, n, [1.0, float(n)]) for n in range(400)]).repartition(100)
+    hits = search._ranked(search._search_block(chunks.select(*search.CHUNK_KEY, "embedding"), [], 3), 3)
+    text = hits._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Window ") >= 2 and "_group" in text
+    asked = spark.createDataFrame([(1, [1.0, 0.0]), (None, [0.0, 1.0])], "query_id long, embedding array<double>")
+    found = search.search_many(chunks, asked, "m", 3).orderBy("query_id", "rank").collect()
+    assert [r.chunk_index for r in found] == [399, 398, 397, 0, 1, 2]

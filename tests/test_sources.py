@@ -39,8 +39,7 @@ def test_zoneless_timestamps_are_utc(spark, tmp_path):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    assert configured is None or shared_dir(spark) == configured.rstrip("/")
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     rows = staged(spark.range(5), "test")
     assert sorted(column(rows, "id")) == list(range(5))
 
@@ -51,11 +50,10 @@ def test_settings_on_a_foreign_session(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
-def test_spread_leaves_large_scans_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 2 * cores
-    many = spark.range(1000, numPartitions=4 * cores)
-    assert spread(many) is many
+def test_spread_follows_the_session(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for rows in (spark.range(10, numPartitions=1), spark.range(1000, numPartitions=40)):
+        assert spread(rows).rdd.getNumPartitions() == parts
 
 
 def test_resolving_a_batch(spark):

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidscope.errors import InvalidRowsError
-from bidscope.operators import contract, writes
+from bidscope.operators import contract, insights, writes
+from bidscope.operators.filters import InsightsFilter
 from bidscope.operators.numbering import dense_ids, running_totals
 from bidscope.schemas import CHUNKS, DCE_FILES, TENDER_FIELDS
 from bidscope.sources.store import TenderStore
@@ -89,11 +90,46 @@ def test_empty_batch(spark, old):
     assert writes.upsert(old, batch(spark), NOW).collect() == old.collect()
 
 
-def test_dense_ids_do_not_depend_on_runs(spark):
-    rows = spark.range(1000).select((F.col("id") * 37 % 1009).alias("seq"))
-    for run in (1, 10, 10_000):
-        numbered = dense_ids(rows, F.floor(F.col("seq") / run), ["seq"], F.lit(5)).orderBy("seq")
+def test_dense_ids_in_any_order(spark):
+    """However the values lie: close together, far apart, texts, equal or null."""
+    rows = spark.range(1000).select((F.col("id") * 37 % 1009).alias("seq"), "id")
+    for order in ("seq", "seq * 1000000000", "lpad(seq, 9, '0')", "seq - 2000"):
+        numbered = dense_ids(rows.withColumn("o", F.expr(order)), ["o"], F.lit(5)).orderBy("seq")
         assert column(numbered, "id") == list(range(6, 1006))
+    tied = rows.withColumn("o", F.when(F.col("id") >= 500, 7))
+    numbered = dense_ids(tied, ["o", "seq"], F.lit(0), "n").orderBy("o", "seq")
+    assert column(numbered, "n") == list(range(1, 1001))
+
+
+def test_only_one_row_per_range_meets_in_one_task(spark):
+    rows = spark.range(20_000).select((F.col("id") * 1_000_003).alias("seq"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = dense_ids(rows, ["seq"], F.lit(0))
+        assert numbered.agg(F.max("id"), F.countDistinct("id")).first()[:] == (20_000, 20_000)
+        text = numbered._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    # The window over everything stands above the counts per range.
+    assert text.count("SinglePartition") == 1
+    assert text.index("SinglePartition") < text.index("hashpartitioning(_range")
+
+
+def test_null_order_values_lose_no_tender(spark):
+    rows = batch(spark, known(tender_id="A"), known(tender_id="B")).withColumn(
+        "seq", F.when(F.col("tender_id") == "A", 1)
+    )
+    saved = writes.upsert(tender_rows(spark, []), rows, NOW).orderBy("id").collect()
+    assert [(r.id, r.tender_id) for r in saved] == [(1, "B"), (2, "A")]
+
+
+def test_equal_order_values_are_decided_by_content(spark):
+    def last(*objects):
+        rows = batch(spark, *[known(tender_object=o) for o in objects]).withColumn("seq", F.lit(1))
+        return writes.upsert(tender_rows(spark, []), rows.coalesce(1), NOW).first().tender_object
+
+    assert last("a", "b") == last("b", "a") == "b"
 
 
 def test_running_totals_of_a_hot_group(spark):
@@ -242,8 +278,8 @@ def test_contract(spark):
 def test_store_versions(spark, tmp_path):
     store = TenderStore(spark, str(tmp_path / "tenders"))
     assert store.version() == 0 and store.read().isEmpty()
-    store.write(tracked(spark), batch=5)
-    assert store.has_batch(5) and not store.has_batch(6)
+    store.write(tracked(spark), batch=5, stream="s")
+    assert store.has_batch(5, "s") and not store.has_batch(6, "s") and not store.has_batch(5, "t")
     # A write that fails leaves what was there; its leftovers are replaced by the next one.
     with pytest.raises(Exception, match="boom"):
         store.write(store.read().withColumn("status", F.raise_error(F.lit("boom")).cast("string")))
@@ -256,3 +292,35 @@ def test_deadline_survives_the_store(spark, tmp_path):
     store = TenderStore(spark, str(tmp_path / "tenders"))
     store.write(tender_rows(spark, [{"deadline": D1 + timedelta(minutes=1)}]))
     assert column(store.read(), "deadline") == [(D1 + timedelta(minutes=1)).replace(tzinfo=None)]
+
+
+def test_changes_are_stored_alone_and_the_newest_counts(spark, tmp_path):
+    store = TenderStore(spark, str(tmp_path / "tenders"))
+    rows = [{"publication_date": D1.date().replace(month=1 + n % 12), "status": "DISCOVERED"} for n in range(36)]
+    store.write(tender_rows(spark, rows))
+    for status in ("DOWNLOADING", "UPLOADED"):
+        changed = store.read().filter("id IN (3, 5)").withColumn("status", F.lit(status))
+        store.apply(changed)
+    store.apply(store.read().filter("id = 5").withColumn("status", F.lit("CHUNKING")))
+    added = tender_rows(spark, [{"status": "DISCOVERED"}]).withColumn("id", F.lit(99).cast("bigint"))
+    store.apply(added)
+    expected = {n: "DISCOVERED" for n in range(1, 37)} | {3: "UPLOADED", 5: "CHUNKING", 99: "DISCOVERED"}
+    assert {r.id: r.status for r in store.read().collect()} == expected
+    written = [spark.read.parquet(f"{tmp_path}/tenders/changes/version={v}").count() for v in (2, 3, 4, 5)]
+    assert written == [2, 2, 1, 1]
+    store.compact()
+    assert {r.id: r.status for r in store.read().collect()} == expected and store.version() == 6
+
+
+def test_a_period_reads_its_months_only(spark, tmp_path):
+    store = TenderStore(spark, str(tmp_path / "tenders"))
+    rows = [{"publication_date": D1.date().replace(month=1 + n % 12, day=1 + n % 28)} for n in range(60)]
+    store.write(tender_rows(spark, [*rows, {"publication_date": None}]))
+    now = D1.replace(month=6, day=20)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    for name in ("7d", "30d", "90d", "all"):
+        which = InsightsFilter(name)
+        near, whole = store.read(which.days(now)), store.read()
+        assert insights.coverage(near, now, which).collect() == insights.coverage(whole, now, which).collect()
+        text = near._jdf.queryExecution().toString()
+        assert ("PartitionFilters: [isnotnull(month" in text) == (name != "all")
