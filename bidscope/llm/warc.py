@@ -227,9 +227,14 @@ def _read(folder: str):
 def read_records(selected: DataFrame, folder: str) -> DataFrame:
     """The records that rows of the index point to; a row selected twice is read twice.
 
-    Revisits have no payload here; its length and digest are in the record.
+    Revisits have no payload here; its length and digest are in the record. Tasks read about as
+    many bytes as the session lets a scan's tasks read (spark.sql.files.maxPartitionBytes).
     """
-    ordered = selected.select("archive", "offset", "length").repartitionByRange("archive", "offset")
+    conf = selected.sparkSession._jsparkSession.sessionState().conf()
+    total = selected.agg(F.sum("length")).first()[0] or 0
+    tasks = -(-total // conf.filesMaxPartitionBytes()) or 1
+    rows = selected.select("archive", "offset", "length")
+    ordered = rows.repartitionByRange(tasks, "archive", "offset")
     return ordered.sortWithinPartitions("archive", "offset").mapInArrow(_read(folder), RECORDS)
 
 
