@@ -15,7 +15,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from bidscope import catalog  # noqa: E402
-from bidscope.session import build_session  # noqa: E402
+from bidscope.session import build_session, release  # noqa: E402
 
 HEADLINE = [
     "coverage_30d",
@@ -67,6 +67,7 @@ def main() -> None:
             start = time.perf_counter()
             catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
+            release(spark)
         seconds[name] = round(statistics.median(taken[1:]), 3)
         print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
     print(

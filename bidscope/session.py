@@ -44,9 +44,20 @@ def shared_dir(spark: SparkSession) -> str:
     return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged").rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where this application stages its tables."""
+    return f"{shared_dir(spark)}/bidscope/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A new folder name in the shared folder, never used before."""
-    return f"{shared_dir(spark)}/bidscope/{purpose}-{uuid.uuid4().hex}"
+    """A new folder name in the run folder, never used before."""
+    return f"{run_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything this application has staged, once its results are no longer read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from helpers import at, column, tender_rows
@@ -8,7 +9,7 @@ from bidscope.errors import NotFoundError
 from bidscope.operators.embedding import HashEmbedder
 from bidscope.operators.filters import resolve_all
 from bidscope.schemas import TENDER_FIELDS
-from bidscope.session import prepare, shared_dir, spread, staged
+from bidscope.session import prepare, release, run_folder, shared_dir, spread, staged
 from bidscope.sources import export, tables
 from bidscope.sources.store import FileStore
 
@@ -44,6 +45,15 @@ def test_shared_folder_comes_from_the_session(spark):
     assert sorted(column(rows, "id")) == list(range(5))
 
 
+def test_staged_tables_can_be_released(spark):
+    staged(spark.range(5), "test")
+    folder = Path(run_folder(spark).removeprefix("file:"))
+    assert any(folder.iterdir()) and str(folder).startswith(shared_dir(spark).removeprefix("file:"))
+    release(spark)
+    assert not folder.exists()
+    assert staged(spark.range(3), "test").count() == 3
+
+
 def test_settings_on_a_foreign_session(spark):
     spark.conf.set("spark.sql.session.timeZone", "Africa/Casablanca")
     prepare(spark)
