@@ -405,7 +405,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     ends = classes.filter("differ").select("key", "n", "one.*", "weight")
     few = _with_rows(texts, ends.filter(F.col("n") <= HOT), "key", "start", "starts", "weight")
-    few = few.mapInArrow(_windows(length), WINDOWS).repartition("key").sortWithinPartitions("key")
+    # Few bytes, much work: as many tasks as the session asks for, not as their bytes suggest.
+    parts_wanted = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few = few.mapInArrow(_windows(length), WINDOWS).repartition(parts_wanted, "key").sortWithinPartitions("key")
     found = few.mapInArrow(_expand(length), SPANS)
 
     many = _with_rows(texts, ends.filter(F.col("n") > HOT), "start", "starts", "weight")
