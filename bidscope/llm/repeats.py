@@ -34,6 +34,8 @@ from bidscope.session import staged
 LENGTH = 400
 PIECE = 16
 HOT = 512
+#: Parts that the rows of a crowded key are dealt into.
+SALTS = 64
 #: Bytes sorted together in step 4, rounded up to whole cores.
 BLOCK_BYTES = 1 << 18
 #: Bits of the bitmaps that thin out rows before shuffles.
@@ -371,10 +373,17 @@ def _classes(rows: DataFrame, weight, *fields: str) -> DataFrame:
 
 
 def _counted_spans(rows: DataFrame, classes: DataFrame, length: int) -> DataFrame:
-    """Spans of the rows that have an equal one."""
-    twice = classes.filter(F.col("weight") > 1).select("key", "win")
+    """Spans of the rows that have an equal one.
+
+    Rows of a key that very many share are dealt into ``SALTS`` parts, and their class to each.
+    """
+    hot = F.col("n") > HOT
+    salt = F.when(hot, F.pmod(F.xxhash64("text_hash", "start"), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    twice = classes.filter(F.col("weight") > 1)
+    twice = twice.select("key", "win", F.explode(salts.cast("array<bigint>")).alias("salt"))
     begin = F.col("start").cast("long")
-    return rows.join(twice, ["key", "win"], "left_semi").select(
+    return rows.withColumn("salt", salt).join(twice, ["key", "win", "salt"], "left_semi").select(
         "doc_id", "text_hash", begin.alias("begin"), (begin + F.col("starts") - 1 + length).alias("end")
     )
 
@@ -412,7 +421,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     many = _with_rows(texts, ends.filter(F.col("n") > HOT), "start", "starts", "weight")
     many = staged(many.mapInArrow(_single(length), PIECES), "starts")
-    counts = many.groupBy("key", "win").agg(F.sum("weight").alias("weight"))
+    many = many.withColumn("n", F.lit(HOT + 1))  # all of them come from crowded cores
+    counts = many.groupBy("key", "win").agg(F.sum("weight").alias("weight"), F.max("n").alias("n"))
     return whole.union(parts).union(found).union(_counted_spans(many, counts, length))
 
 
