@@ -39,7 +39,7 @@ SALTS = 64
 #: Bytes sorted together in step 4, rounded up to whole cores.
 BLOCK_BYTES = 1 << 18
 #: Bits of the bitmaps that thin out rows before shuffles.
-BITS = 27
+BITS = 26
 
 _TABLES = [constants(256, 41), constants(256, 42)]
 _BASES = [int(b) for b in constants(2, 43)]

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are worked on in slices of about this many bytes, so memory does not follow the batch.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
