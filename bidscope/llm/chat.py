@@ -4,8 +4,9 @@ Turns are packed into spans by running sums of their tokens; a span never splits
 window shows the system turn, a limited history of the turns before its span, and the span. Only
 the assistant turns of the span carry loss, so each of them is a target once, in one window.
 
-A conversation is packed in runs of ``RUN`` turn numbers, so one that holds a third of all rows is
-spread over many tasks: a window's history and budget never reach beyond its run.
+Turns are put into order by ranges and dealt into groups of ``GROUP`` places, so a conversation that
+holds a third of all rows is spread over many tasks. What a group does to the open span is a short
+step function; these are chained, so windows are those of the uncut conversation.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -13,11 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidscope.llm.registry import query, table
+from bidscope.operators.numbering import totals_before
 
 BUDGET = 512
 HISTORY_TURNS = 2
 HISTORY_TOKENS = 128
-RUN = 256
+#: Places of the overall order that one group holds; windows do not depend on it.
+GROUP = 256
 
 #: Fixed values of the template: ``<turn role>`` line, text, ``</turn>`` line.
 OPEN, HEAD_END, CLOSE = "<turn ", ">\n", "\n</turn>\n"
@@ -59,71 +62,216 @@ def token_count(text: Column) -> Column:
     return (F.ceil(F.octet_length(text) / 4) + 1).cast("int")
 
 
+#: What some turns do to the open span, by its tokens: the first step whose ``above`` they exceed
+#: gives the tokens and first place of the span then open; below all steps, ``total`` is added.
+STEPS = "array<struct<above:bigint,used:bigint,start:bigint>>"
+
+
+def _span(used: Column, start: Column) -> Column:
+    return F.struct(used.cast("long").alias("used"), start.cast("long").alias("start"))
+
+
+def _after(change: Column, span: Column) -> Column:
+    """The open span after a change."""
+    step = F.get(F.filter(change["steps"], lambda e: span["used"] > e["above"]), F.lit(0))
+    return F.when(step.isNotNull(), _span(step["used"], step["start"])).otherwise(
+        _span(span["used"] + change["total"], span["start"])
+    )
+
+
+def _chained(first: Column, second: Column) -> Column:
+    """One change that does two, one after the other. A span has a token at least."""
+
+    def moved(e: Column) -> Column:
+        span = _after(second, e)
+        return F.struct(e["above"].alias("above"), span["used"].alias("used"), span["start"].alias("start"))
+
+    shifted = F.transform(
+        second["steps"],
+        lambda e: F.struct((e["above"] - first["total"]).alias("above"), e["used"].alias("used"), e["start"].alias("start")),
+    )
+    closed = (F.size(first["steps"]) > 0) & (F.try_element_at(first["steps"], F.lit(-1))["above"] <= 0)
+    steps = F.transform(first["steps"], moved)
+    return F.struct(
+        (first["total"] + second["total"]).alias("total"),
+        F.when(closed, steps).otherwise(F.concat(steps, shifted)).alias("steps"),
+    )
+
+
+def _no_change() -> Column:
+    return F.struct(F.lit(0).cast("long").alias("total"), F.array().cast(STEPS).alias("steps"))
+
+
+def _open_spans(groups: DataFrame, group: int) -> DataFrame:
+    """For each group that its predecessor may continue into: the open span, and whose it is.
+
+    Only one sequence reaches the end of a group's places, so there is one row per ``cell``. Changes
+    are chained in blocks of ``group`` groups, and blocks along the sequence.
+    """
+    keys = ["conv_id", "run"]
+    turn = lambda t: F.struct(
+        t["size"].alias("total"),
+        F.array(
+            F.struct((F.col("room") - t["size"]).alias("above"), t["size"].alias("used"), t["place"].alias("start"))
+        ).alias("steps"),
+    )
+    changes = groups.filter(F.col("last") == (F.col("cell") + 1) * group - 1).select(
+        *keys,
+        "room",
+        "first",
+        F.floor(F.col("cell") / group).alias("block"),
+        "cell",
+        F.aggregate("own", _no_change(), lambda c, t: _chained(c, turn(t))).alias("change"),
+    )
+    blocks = changes.groupBy(*keys, "block").agg(
+        F.min("first").alias("first"),
+        F.min("room").alias("room"),
+        F.sort_array(F.collect_list(F.struct("cell", "change"))).alias("changes"),
+    )
+    blocks = blocks.withColumn("change", F.aggregate("changes", _no_change(), lambda c, x: _chained(c, x["change"])))
+    # A sequence starts as if a span without room were open.
+    scan = "array<struct<at:bigint,used:bigint,start:bigint>>"
+
+    def scanned(items: Column, used: Column, start: Column, at: str, before: bool) -> Column:
+        def step(s: Column, x: Column) -> Column:
+            span = _after(x["change"], s["span"])
+            out = s["span"] if before else span
+            place = F.struct(x[at].cast("long").alias("at"), out["used"].alias("used"), out["start"].alias("start"))
+            return F.struct(span.alias("span"), F.concat(s["out"], F.array(place)).alias("out"))
+
+        state = F.struct(_span(used, start).alias("span"), F.array().cast(scan).alias("out"))
+        return F.aggregate(items, state, step, lambda s: s["out"])
+
+    tops = blocks.groupBy(*keys).agg(
+        F.min("first").alias("origin"),
+        F.min("room").alias("room"),
+        F.sort_array(F.collect_list(F.struct("block", "change"))).alias("blocks"),
+    )
+    tops = tops.select(
+        *[F.col(k).alias(f"_{k}") for k in keys],
+        "origin",
+        F.explode(scanned(F.col("blocks"), F.col("room") + 1, F.lit(-1), "block", True)).alias("begin"),
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    inside = blocks.join(tops, [*same, F.col("block") == F.col("begin.at")])
+    inside = inside.select(
+        *keys,
+        "origin",
+        F.explode(scanned(F.col("changes"), F.col("begin.used"), F.col("begin.start"), "cell", False)).alias("end"),
+    )
+    return inside.select(
+        (F.col("end.at") + 1).alias("cell"),
+        F.struct(*keys, "origin", F.col("end.used").alias("used"), F.col("end.start").alias("start")).alias("open"),
+    )
+
+
 def windows(
     turns: DataFrame,
     budget: int = BUDGET,
     history_turns: int = HISTORY_TURNS,
     history_tokens: int = HISTORY_TOKENS,
-    run: int = RUN,
+    run: int | None = None,
+    group: int = GROUP,
 ) -> DataFrame:
     """One row per window: conv_id, run, window, n_repeated, formatted and loss_spans.
 
-    ``loss_spans`` are (start, length) in characters of ``formatted``, from 1. ``n_repeated`` is
-    the number of turns at its start that other windows already hold: history, and the system
-    turn in all but the window it belongs to. A window holds at most ``budget`` tokens, unless a
-    single turn with what is retained is longer. The system turn is the conversation's first one
-    of role ``system``.
+    ``window`` is the place, from 0, of the window's first new turn. ``loss_spans`` are
+    (start, length) in characters of ``formatted``, from 1. ``n_repeated`` is the number of turns
+    at its start that other windows already hold: history, and the system turn in all but the
+    window it belongs to. A window holds at most ``budget`` tokens, unless a single turn with what
+    is retained is longer. The system turn is the conversation's first one of role ``system``.
 
     Turns are ordered by turn number (null first), then role and text; equal rows are all kept.
     Null roles and texts count as empty. A null conv_id is a conversation of its own. No rows
     give no windows. Other columns of the input are ignored.
+
+    A conversation is one sequence, its ``run`` 0. A caller who gives ``run`` asks for a sequence
+    per that many turn numbers, each with windows, history and places of its own. ``group`` bounds
+    what one task gathers and changes no window.
     """
+    number = F.lit(0) if run is None else F.floor(F.col("turn") / run)
     rows = turns.select(
         "conv_id",
-        F.floor(F.coalesce(F.col("turn"), F.lit(0)) / run).cast("long").alias("run"),
-        F.struct(
-            F.col("turn").cast("long").alias("turn"),
-            F.coalesce("role", F.lit("")).alias("role"),
-            F.coalesce("text", F.lit("")).alias("text"),
-        ).alias("t"),
+        number.cast("long").alias("run"),
+        F.col("turn").cast("long").alias("turn"),
+        F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        # Equal rows are told apart, so many of them do not share a range.
+        F.monotonically_increasing_id().alias("_row_id"),
     )
-    rows = rows.withColumn("run", F.when(F.col("t.turn").isNull(), F.lit(None)).otherwise(F.col("run")))
+    placed = totals_before(rows, ["conv_id", "run", "turn", "role", "text", "_row_id"])
     systems = (
-        rows.filter(F.col("t.role") == "system")
+        placed.filter(F.col("role") == "system")
         .groupBy("conv_id")
-        .agg(F.min("t").alias("system"))
+        .agg(F.min(F.struct("turn", "role", "text")).alias("system"))
         .withColumnRenamed("conv_id", "_sys_conv")
     )
-    runs = rows.groupBy("conv_id", "run").agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    runs = runs.join(systems, F.col("conv_id").eqNullSafe(F.col("_sys_conv")), "left").drop("_sys_conv")
-    runs = runs.withColumns(
+    # The last turns of a group are history in the next ones too.
+    place = F.col("rows_before")
+    cells = F.sequence(F.floor(place / group), F.floor((place + history_turns) / group))
+    item = F.struct(
+        place.alias("place"),
+        token_count(F.col("text")).cast("long").alias("size"),
+        F.struct("turn", "role", "text").alias("t"),
+    )
+    groups = (
+        placed.select("conv_id", "run", F.explode(cells).alias("cell"), item.alias("item"))
+        .groupBy("conv_id", "run", "cell")
+        .agg(F.sort_array(F.collect_list("item")).alias("items"), F.max("item.place").alias("last"))
+        .filter(F.col("last") >= F.col("cell") * group)
+    )
+    groups = groups.join(systems, F.col("conv_id").eqNullSafe(F.col("_sys_conv")), "left").drop("_sys_conv")
+    kept_tokens = F.coalesce(token_count(F.col("system.text")), F.lit(0))
+    groups = groups.withColumns(
+        {
+            "room": F.greatest(F.lit(budget - history_tokens) - kept_tokens, F.lit(1)).cast("long"),
+            "own": F.filter("items", lambda i: i["place"] >= F.col("cell") * group),
+        }
+    ).withColumn("first", F.get("own", F.lit(0))["place"])
+    groups = groups.join(_open_spans(groups, group), "cell", "left")
+    continues = (
+        F.col("open").isNotNull()
+        & (F.col("first") == F.col("cell") * group)
+        & F.col("conv_id").eqNullSafe(F.col("open.conv_id"))
+        & F.col("run").eqNullSafe(F.col("open.run"))
+    )
+    groups = groups.withColumns(
         {
-            "sizes": F.transform("ts", lambda t: token_count(t["text"])),
-            "kept_tokens": F.coalesce(token_count(F.col("system.text")), F.lit(0)),
+            "origin": F.when(continues, F.col("open.origin")).otherwise(F.col("first")),
+            "used": F.when(continues, F.col("open.used")).otherwise(F.col("room") + 1),
+            "sizes": F.transform("items", lambda i: i["size"]),
+            "before": F.size("items") - F.size("own"),
         }
     )
-    room = F.greatest(F.lit(budget - history_tokens) - F.col("kept_tokens"), F.lit(1))
     state = F.struct(
-        F.lit(0).alias("used"), F.array().cast("array<int>").alias("starts"), F.lit(0).alias("at")
+        F.col("used").alias("used"), F.array().cast("array<int>").alias("starts"), F.col("before").alias("at")
     )
 
-    def step(s: Column, size: Column) -> Column:
-        fits = (s["at"] > 0) & (s["used"] + size <= room)
+    def step(s: Column, t: Column) -> Column:
+        fits = s["used"] + t["size"] <= F.col("room")
         return F.struct(
-            F.when(fits, s["used"] + size).otherwise(size).alias("used"),
+            F.when(fits, s["used"] + t["size"]).otherwise(t["size"]).alias("used"),
             F.when(fits, s["starts"]).otherwise(F.concat(s["starts"], F.array(s["at"]))).alias("starts"),
             (s["at"] + 1).alias("at"),
         )
 
-    runs = runs.withColumn("starts", F.aggregate("sizes", state, step, lambda s: s["starts"]))
-    spans = runs.select("*", F.posexplode("starts").alias("window", "start")).withColumn(
-        "end", F.coalesce(F.get(F.col("starts"), F.col("window") + 1), F.size("ts"))
+    groups = groups.withColumn("starts", F.aggregate("own", state, step, lambda s: s["starts"]))
+    # What comes before a group's first start belongs to the open span.
+    headless = F.coalesce(F.get("starts", F.lit(0)) > F.col("before"), F.lit(True))
+    groups = groups.withColumn("headless", headless).withColumn(
+        "starts", F.when(F.col("headless"), F.concat(F.array("before"), F.col("starts"))).otherwise(F.col("starts"))
+    )
+    spans = groups.select("*", F.posexplode("starts").alias("piece", "start")).withColumns(
+        {
+            "end": F.coalesce(F.get(F.col("starts"), F.col("piece") + 1), F.size("items")),
+            "goes_on": F.col("headless") & (F.col("piece") == 0),
+        }
     )
     # History: as many of the turns before as fit, nearest first.
     back = F.least(F.lit(history_turns), F.col("start"))
     reach = F.aggregate(
         F.sequence(F.lit(1), F.lit(max(history_turns, 1))),
-        F.struct(F.lit(0).alias("n"), F.lit(0).alias("tokens"), F.lit(True).alias("open")),
+        F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("tokens"), F.lit(True).alias("open")),
         lambda s, k: F.when(
             s["open"] & (k <= back) & (s["tokens"] + F.get(F.col("sizes"), F.col("start") - k) <= history_tokens),
             F.struct(
@@ -134,15 +282,36 @@ def windows(
         ).otherwise(F.struct(s["n"].alias("n"), s["tokens"].alias("tokens"), F.lit(False).alias("open"))),
         lambda s: s["n"],
     )
-    spans = spans.withColumn("history", F.when(F.lit(history_turns) > 0, reach).otherwise(F.lit(0)))
+    spans = spans.withColumn(
+        "history", F.when(F.lit(history_turns > 0) & ~F.col("goes_on"), reach).otherwise(F.lit(0))
+    )
     first = F.col("start") - F.col("history")
-    shown = F.slice("ts", first + 1, F.col("end") - first)
+    begun = F.get(F.col("items"), F.col("start"))["place"]
+    pieces = spans.select(
+        "conv_id",
+        "run",
+        "origin",
+        "system",
+        "history",
+        F.when(F.col("goes_on"), F.col("open.start")).otherwise(begun).alias("start"),
+        F.struct(
+            "cell", F.transform(F.slice("items", first + 1, F.col("end") - first), lambda i: i["t"]).alias("ts")
+        ).alias("part"),
+    )
+    # A span's pieces lie in one group, or in several that follow each other.
+    spans = pieces.groupBy("conv_id", "run", "start").agg(
+        F.min("origin").alias("origin"),
+        F.min("system").alias("system"),
+        F.max("history").alias("history"),
+        F.flatten(F.transform(F.sort_array(F.collect_list("part")), lambda p: p["ts"])).alias("shown"),
+    )
     # The system turn leads the window unless it is among the turns shown anyway.
+    shown = F.col("shown")
     lead = F.col("system").isNotNull() & ~F.coalesce(F.array_contains(shown, F.col("system")), F.lit(False))
     spans = spans.select(
         "conv_id",
         "run",
-        "window",
+        (F.col("start") - F.col("origin")).alias("window"),
         (F.col("history") + lead.cast("int")).alias("n_repeated"),
         F.when(lead, F.concat(F.array("system"), shown)).otherwise(shown).alias("shown"),
     )

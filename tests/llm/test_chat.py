@@ -82,3 +82,41 @@ def test_a_long_conversation_is_many_groups(spark):
 def test_extra_columns_do_not_matter(spark):
     df = frame(spark, [(1, 0, "assistant", "a")]).selectExpr("*", "1 as run", "2 as window", "3 as starts")
     assert digests(df)[1] == expected([("assistant", "a")])
+
+
+def uncut(rows, budget, history_turns, history_tokens):
+    """Windows of one conversation, packed turn by turn: (first place, n_repeated, formatted)."""
+    rows = sorted(((r[1], r[2] or "", r[3] or "") for r in rows), key=lambda t: (t[0] is not None, t))
+    size = [-(-len(t[2].encode()) // 4) + 1 for t in rows]
+    system = min((t for t in rows if t[1] == "system"), default=None)
+    room = max(budget - history_tokens - (-(-len(system[2].encode()) // 4) + 1 if system else 0), 1)
+    starts, used = [], room + 1
+    for k, n in enumerate(size):
+        used += n
+        if used > room:
+            starts, used = [*starts, k], n
+    out = []
+    for start, end in zip(starts, [*starts[1:], len(rows)]):
+        h = 0
+        while h < min(history_turns, start) and sum(size[start - h - 1 : start]) <= history_tokens:
+            h += 1
+        shown = rows[start - h : end]
+        lead = system is not None and system not in shown
+        shown = [system, *shown] if lead else shown
+        out.append((start, h + lead, "".join(f"<turn {r}>\n{t}\n</turn>\n" for _, r, t in shown)))
+    return out
+
+
+def test_windows_are_those_of_the_uncut_conversation(spark):
+    """Neither the size of a group nor the distance of turn numbers shows in a window."""
+    rows = [(1, k * 1000, ("user", "assistant")[k % 2], f"t{k} " + "x" * (k * k % 61)) for k in range(700)]
+    rows += [(2, k, "assistant", "ok") for k in range(300)] + [(3, 5, "system", "rules"), (3, None, "user", "a")]
+    rows += [(3, 10**12 + k // 3, "user", "y" * (k % 7) * 9) for k in range(120)] + [(None, 0, "user", "z" * 900)] * 9
+    for kw in ((512, 2, 128), (40, 3, 20), (9, 0, 0)):
+        names = dict(zip(("budget", "history_turns", "history_tokens"), kw))
+        want = sorted(
+            (str(c), *w) for c in (1, 2, 3, None) for w in uncut([r for r in rows if r[0] == c], *kw)
+        )
+        for group in (2, 64, 10**9):
+            got = chat.windows(frame(spark, rows), group=group, **names)
+            assert sorted((str(r.conv_id), r.window, r.n_repeated, r.formatted) for r in got.collect()) == want
