@@ -3,14 +3,15 @@
 The probability of a word after another mixes three maximum-likelihood estimates: that of the pair,
 of the word alone, and the same for every word. How much each one counts depends on how often the
 context was seen: contexts fall into buckets by the logarithm of their count, and the weights of
-each bucket are learnt by expectation maximisation on documents that the counts leave out.
+each bucket are learnt by expectation maximisation on the training documents, each of them under
+the counts of all others ("deleted" counts). Held-out documents are scored and nothing else.
 
 1. Documents are packed into chunks of bounded bytes. A chunk sends each of its distinct n-grams
    once, with its count, to the part of the hash space that owns it: hot words and pairs are
    summed before the shuffle, and no group is larger than its share of distinct n-grams.
 2. Each part adds up its n-grams and sends every chunk the totals it asked for, in the same order.
 3. A chunk then has all counts for its own n-grams beside its own text, and needs no table of the
-   vocabulary. Held-out chunks give the histograms that the weights are learnt from; all chunks
+   vocabulary. Training chunks give the histograms that the weights are learnt from; all chunks
    are scored with them.
 
 N-grams are told apart by 64-bit hashes.
@@ -31,8 +32,8 @@ CHUNK_BYTES = 3 << 20
 FOLDS, HELD_OUT = 7, 2
 #: Context counts from 2 ** (CONTEXTS - 2) on share the last bucket; bucket 0 is for unseen ones.
 CONTEXTS = 24
-#: Held-out tokens are summed by octave of their own count, and by the ratio of the estimates of
-#: pair and token in steps of RATIO_STEP octaves: tables of fixed size, whatever the corpus.
+#: Training tokens are summed by octave of their own deleted count, and by the ratio of the estimates
+#: of pair and token in steps of RATIO_STEP octaves: tables of fixed size, whatever the corpus.
 OCTAVES, RATIOS, RATIO_STEP = 40, 512, 1 / 8
 EM_STEPS = 100
 
@@ -220,6 +221,33 @@ def _answer(asked: pa.Table) -> pa.Table:
     )
 
 
+def _within(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """How often each token's key occurs in its own document."""
+    width = int(place.max(initial=0)) + 1
+    _, at, counts = np.unique(doc * width + place, return_inverse=True, return_counts=True)
+    return counts[at]
+
+
+def _contexts(single: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The count of the token before; the one before a text is an end, and there is one per text."""
+    out = np.empty_like(single)
+    out[1:] = single[:-1]
+    out[first[:-1]] = single[first[1:] - 1]
+    return out
+
+
+class Estimates:
+    """Bucket of the context, and estimates by pair and by token, from training counts."""
+
+    def __init__(self, single: np.ndarray, pair: np.ndarray, context: np.ndarray, total):
+        self.bucket = np.where(
+            context > 0, np.minimum(np.log2(np.maximum(context, 1)).astype(np.int64) + 1, CONTEXTS - 1), 0
+        )
+        with np.errstate(divide="ignore", invalid="ignore"):
+            self.p_pair = np.where(context > 0, pair / context, 0.0)
+        self.p_single = single / np.maximum(total, 1)
+
+
 class Counted:
     """A chunk's texts with the training counts of every token, its pair and its context."""
 
@@ -227,23 +255,24 @@ class Counted:
         self.ids = _unpacked(row["ids"], np.int64)
         self.known_ids = _unpacked(row["known_ids"], bool)
         self.held_out = row["held_out"]
+        self.total = total
         texts = _texts(row)
-        _, _, one, two, self.first = _asked(texts)
+        _, _, self._one, self._two, self.first = _asked(texts)
         answers = sorted(row["answers"], key=lambda a: a["part"])
         counts = np.concatenate([_from_planes(a["totals"], np.int64) for a in answers])
-        self.single, self.pair = counts[one], counts[two]
-        # A context is the token before; the one before a text is an end, and there is one per text.
-        self.context = np.empty_like(self.single)
-        self.context[1:] = self.single[:-1]
-        self.context[self.first[:-1]] = self.single[self.first[1:] - 1]
-        self.bucket = np.where(
-            self.context > 0,
-            np.minimum(np.log2(np.maximum(self.context, 1)).astype(np.int64) + 1, CONTEXTS - 1),
-            0,
-        )
-        with np.errstate(divide="ignore", invalid="ignore"):
-            self.p_pair = np.where(self.context > 0, self.pair / self.context, 0.0)
-        self.p_single = self.single / max(total, 1)
+        self.single, self.pair = counts[self._one], counts[self._two]
+        self.context = _contexts(self.single, self.first)
+
+    def estimates(self) -> Estimates:
+        return Estimates(self.single, self.pair, self.context, self.total)
+
+    def deleted(self) -> Estimates:
+        """The estimates of a training document by all others: its own tokens leave every count."""
+        sizes = np.diff(self.first)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        single, pair = _within(doc, self._one), _within(doc, self._two)
+        context = self.context - _contexts(single, self.first)
+        return Estimates(self.single - single, self.pair - pair, context, self.total - np.repeat(sizes, sizes))
 
     def per_text(self, values: np.ndarray) -> np.ndarray:
         """Sums over each text; every text has a token, its end."""
@@ -251,22 +280,23 @@ class Counted:
 
 
 def _histogram(total: int):
-    """Held-out tokens by bucket of the context, octave of the token's count, and ratio class.
+    """Training tokens by bucket of the context, octave of the token's count, and ratio class.
 
-    Octave 0 is for unseen tokens, ratio class 0 for unseen pairs.
+    Counts are deleted ones, brought to the size of the whole. Octave 0 is for tokens unseen in
+    other documents, ratio class 0 for unseen pairs.
     """
 
     def run(batches):
         counts = np.zeros((CONTEXTS, OCTAVES, RATIOS), dtype=np.int64)
         for batch in batches:
             for row in _rows(batch):
-                c = Counted(row, total)
-                octave = np.log2(np.maximum(c.single, 1)).astype(np.int64) + 1
-                octave = np.where(c.single > 0, np.minimum(octave, OCTAVES - 1), 0)
-                seen = (c.pair > 0) & (c.single > 0)
-                ratio = np.log2(np.where(seen, c.p_pair, 1.0) / np.where(seen, c.p_single, 1.0))
+                e = Counted(row, total).deleted()
+                octave = np.log2(np.maximum(e.p_single * total, 1)).astype(np.int64) + 1
+                octave = np.where(e.p_single > 0, np.minimum(octave, OCTAVES - 1), 0)
+                seen = (e.p_pair > 0) & (e.p_single > 0)
+                ratio = np.log2(np.where(seen, e.p_pair, 1.0) / np.where(seen, e.p_single, 1.0))
                 place = np.clip(np.round(ratio / RATIO_STEP) + RATIOS // 2, 1, RATIOS - 1).astype(np.int64)
-                np.add.at(counts, (c.bucket, octave, np.where(seen, place, 0)), 1)
+                np.add.at(counts, (e.bucket, octave, np.where(seen, place, 0)), 1)
         at = np.argwhere(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(at[:, k]) for k in range(3)] + [pa.array(counts[tuple(at.T)])],
@@ -279,7 +309,7 @@ def _histogram(total: int):
 def learn_weights(histogram: np.ndarray, total: int, distinct: int) -> np.ndarray:
     """CONTEXTS x 3 weights of pair, token and uniform estimate, by expectation maximisation.
 
-    ``histogram`` counts held-out tokens as ``_histogram`` does. A bucket without any learns from
+    ``histogram`` counts tokens as ``_histogram`` does. A bucket without any learns from
     those of all buckets. One more unseen token in each keeps every token possible.
     """
     octave = np.arange(OCTAVES)[:, None]
@@ -307,8 +337,9 @@ def _scored(weights: np.ndarray, total: int, distinct: int):
         for batch in batches:
             for row in _rows(batch):
                 c = Counted(row, total)
-                w = weights[c.bucket]
-                mixed = w[:, 0] * c.p_pair + w[:, 1] * c.p_single + w[:, 2] * uniform
+                e = c.estimates()
+                w = weights[e.bucket]
+                mixed = w[:, 0] * e.p_pair + w[:, 1] * e.p_single + w[:, 2] * uniform
                 base = np.log10((c.single + 1) / (total + distinct + 1))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -347,7 +378,7 @@ def score(docs: DataFrame, parts: int | None = None) -> DataFrame:
     total, distinct = known[0] or 0, known[1] or 0
     answered = answers.groupBy("chunk").agg(F.collect_list(F.struct("part", "totals")).alias("answers"))
     counted = chunks.join(answered, "chunk")
-    cells = counted.filter("held_out").mapInArrow(_histogram(total), "bucket long, octave long, ratio long, n long")
+    cells = counted.filter("not held_out").mapInArrow(_histogram(total), "bucket long, octave long, ratio long, n long")
     cells = cells.groupBy("bucket", "octave", "ratio").agg(F.sum("n").alias("n")).toArrow()
     histogram = np.zeros((CONTEXTS, OCTAVES, RATIOS), dtype=np.int64)
     histogram[tuple(cells[c].to_numpy() for c in ("bucket", "octave", "ratio"))] = cells["n"].to_numpy()

@@ -111,3 +111,35 @@ def test_a_very_long_text(documents, words):
     rows = [(4, "a b c " * 100_000, "s"), (2, "a b", "s")]
     got = {r.doc_id: r for r in L.score(documents(rows)).collect()}
     assert got[4].n_tokens == 300_001 == got[4].n_known and not got[4].held_out
+
+
+def test_held_out_texts_change_no_other_score(documents, rows):
+    """The model is learnt from training documents alone, weights included."""
+
+    def training(changed):
+        held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _, _ in rows]
+        table = [(i, "other words " * 30 if h and changed else t, s) for (i, t, s), h in zip(rows, held)]
+        got = L.score(documents(table)).filter("not held_out").collect()
+        return sorted((str(r.doc_id), r.n_tokens, round(r.score, 9)) for r in got)
+
+    assert training(True) == training(False)
+
+
+def test_weights_are_learnt_from_deleted_counts(documents, words, rows, monkeypatch):
+    """Each training document counts under the counts of all others."""
+    seen = []
+    learn = L.learn_weights
+    monkeypatch.setattr(L, "learn_weights", lambda *a: seen.append(a[0]) or learn(*a))
+    monkeypatch.setattr(L, "CHUNK_BYTES", 500)
+    L.score(documents(rows), parts=5).collect()
+    texts, held, single, pair = counted(rows, words)
+    n = sum(single.values())
+    want = Counter()
+    for (_, t), h in zip(texts, held):
+        own, own_pair = Counter(t), Counter(zip([None, *t], t))
+        for a, b in zip([None, *t], t) if not h else ():
+            context, alone, both = single[a] - own[a], single[b] - own[b], pair[a, b] - own_pair[a, b]
+            octave = int(math.log2(alone / (n - len(t)) * n)) + 1 if alone else 0
+            ratio = round(math.log2(both / context / (alone / (n - len(t)))) / L.RATIO_STEP) + L.RATIOS // 2 if both else 0
+            want[int(math.log2(context)) + 1 if context else 0, octave, ratio] += 1
+    assert {tuple(at): seen[0][tuple(at)] for at in np.argwhere(seen[0]).tolist()} == dict(want)
