@@ -1,6 +1,6 @@
 """Shards by fixed virtual slots and a versioned map from slots to shards.
 
-A record's slot depends on its key alone and never changes. What changes is the map: each edit is
+A record's slot depends on its id and text alone and never changes. What changes is the map: each edit is
 a new version, and only the records of the slots it moves go elsewhere. Balancing works on the
 bytes of each slot, a table whose size is the number of slots whatever the number of records.
 """
@@ -116,9 +116,10 @@ def first_map(sizes, shards: int = SHARDS, slots: int = SLOTS) -> SlotMap:
     return SlotMap(0, shards, tuple(owner))
 
 
-def virtual_slot(key: Column, slots: int = SLOTS) -> Column:
-    """The slot of a key; null keys share one slot."""
-    return F.pmod(F.xxhash64(F.lit("slot"), key), F.lit(slots)).cast("int")
+def virtual_slot(key: Column, slots: int = SLOTS, text: Column | None = None) -> Column:
+    """The slot of a key, or of a key with a text; null keys without texts share one slot."""
+    parts = [key] if text is None else [key, text]
+    return F.pmod(F.xxhash64(F.lit("slot"), *parts), F.lit(slots)).cast("int")
 
 
 def text_bytes(text: Column) -> Column:
@@ -137,8 +138,8 @@ def assign(
     """The columns to keep, and size, text_crc32, virtual_slot, shard and slot of every row.
 
     ``slot`` numbers the rows of a shard from 0 without gaps. Without a map, one is made from the
-    bytes of this table. Every row gets a place: null ids share one slot, rows with the same id
-    stay together, null and empty texts weigh one byte. Ties in id are ordered by checksum and
+    bytes of this table. Every row gets a place: rows equal in id and text stay together, those of
+    one id or of none with different texts are dealt out, null and empty texts weigh one byte. Ties in id are ordered by checksum and
     size; rows equal in all three are interchangeable. An empty table gives an empty result.
     Kept columns named like an added one are replaced.
     """
@@ -150,7 +151,7 @@ def assign(
         F.col("doc_id").alias("_id"),
         text_bytes(F.col("text")).alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-        virtual_slot(F.col("doc_id"), len(slot_map.owner) if slot_map else SLOTS).alias("virtual_slot"),
+        virtual_slot(F.col("doc_id"), len(slot_map.owner) if slot_map else SLOTS, F.col("text")).alias("virtual_slot"),
         F.pmod(F.xxhash64(F.lit("part"), "doc_id", "text"), F.lit(PARTS)).cast("int").alias("_part"),
     )
     counted = rows.groupBy("virtual_slot", "_part").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
@@ -179,7 +180,7 @@ def assign(
 
 def write_shards(docs: DataFrame, slot_map: SlotMap, path: str) -> None:
     """Write whole rows in folders ``shard=…``, each in as many files as writing tasks hold it."""
-    placed = docs.withColumn("virtual_slot", virtual_slot(F.col("doc_id"), len(slot_map.owner)))
+    placed = docs.withColumn("virtual_slot", virtual_slot(F.col("doc_id"), len(slot_map.owner), F.col("text")))
     owners = F.broadcast(slot_map.frame(docs.sparkSession))
     placed.join(owners, "virtual_slot").repartition("virtual_slot").write.partitionBy("shard").parquet(path)
 

@@ -67,3 +67,16 @@ def test_repeated_rows_and_other_columns(documents, spark, tmp_path):
     assert sharding.assign(df.limit(0)).collect() == []
     sharding.write_shards(documents(rows), sharding.first_map({}, 4), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 51
+
+
+def test_one_id_with_many_texts_fills_all_shards(documents, prose, spark, tmp_path):
+    for one in (None, 7):
+        df = documents([(one, t, s) for _, t, s in texts(prose, 3000)])
+        loads = Counter()
+        for r in sharding.assign(df).collect():
+            loads[r.shard] += r.size
+        assert set(loads) == set(range(16))
+        assert max(loads.values()) < 1.01 * sum(loads.values()) / 16
+        path = str(tmp_path / f"of-{one}")
+        sharding.write_shards(df, sharding.first_map({}), path)
+        assert spark.read.parquet(path).select("shard").distinct().count() == 16
