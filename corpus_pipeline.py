@@ -27,11 +27,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id.
 
-    Rows of one id are one document; the one with the smallest text stays. A document without an
-    id counts as one with an id above all others that depends on its text.
+    A document is its id and text; of equal rows one stays. Where an id has several texts, one of
+    them goes by the id. The others, and documents without an id, count as having ids above all
+    others that depend on id and text.
     """
-    late = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    known = docs.select(F.coalesce("doc_id", late).alias("_id"), F.struct(*docs.columns).alias("_row"))
+    own = F.xxhash64("text")
+    late = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    several = docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(own).alias("_lo"), F.max(own).alias("_hi"))
+    several = several.filter("_lo < _hi").select(F.col("doc_id").alias("_several"), "_lo")
+    known = docs.select("doc_id", own.alias("_own"), late.alias("_late"), F.struct(*docs.columns).alias("_row"))
+    known = known.join(several, F.col("doc_id") == F.col("_several"), "left")
+    known = known.select(
+        F.when(F.col("_own") != F.col("_lo"), F.col("_late")).otherwise(F.coalesce("doc_id", "_late")).alias("_id"), "_row"
+    )
     found = near_dedup.near_duplicates(known.select(F.col("_id").alias("doc_id"), "_row.text"), SIMILAR)
     first = found.filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
     kept = known.join(first, F.col("_id") == F.col("_kept"), "left_semi")

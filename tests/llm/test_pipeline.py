@@ -87,6 +87,17 @@ def test_near_duplicates(stages, words):
     assert ids(stages[1]) - ids(stages[2]) == Counter({200: 1, 201: 1, 202: 1, 4: 1, None: 1})
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark, documents, prose):
+    """Only rows whose texts are linked go, whatever their ids."""
+    shared = [" ".join(prose(50, 600 + k)) for k in range(12)]
+    near = [t + " more" for t in shared[:6]]
+    rows = [(7, t, "s") for t in shared] + [(7, shared[0], "s")]
+    rows += [(20 + k, t, "s") for k, t in enumerate(near)] + [(90, " ".join(prose(50, 700)), "s")]
+    kept = [r.text for r in P.near_deduplicate(spark, documents(rows), "").collect()]
+    assert len(kept) == 13
+    assert sorted(t.removesuffix(" more") for t in kept) == sorted([*shared, rows[-1][1]])
+
+
 def test_decontamination(stages):
     assert ids(stages[2]) - ids(stages[3]) == Counter({300: 1})
 
