@@ -5,8 +5,9 @@ from pyspark.sql import types as T
 
 from bidscope.catalog.base import WITH_TENDERS, query, table, tenders
 from bidscope.functions import vectors
-from bidscope.operators import search
-from bidscope.session import scratch_path
+from bidscope.operators import cells, search
+from bidscope.operators.batch_search import search_many
+from bidscope.session import scratch_path, staged
 
 MODEL = "given-64"
 _CHUNKS = """SELECT CAST(label AS BIGINT) AS dce_file_id, CAST(vec_id AS INT) AS chunk_index,
@@ -125,7 +126,7 @@ def knn_batch(spark, sf_dir):
     queries = means.groupBy(F.col("label").cast("bigint").alias("query_id")).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("k", "m"))), lambda x: x["m"]).alias("embedding")
     )
-    hits = search.search_many(chunks(spark, sf_dir), queries, MODEL, limit=5)
+    hits = search_many(chunks(spark, sf_dir), queries, MODEL, limit=5)
     return hits.withColumn("distance", F.round("distance", 6) + 0)
 
 
@@ -170,14 +171,59 @@ def unit_vectors(spark, sf_dir):
     )
 
 
+_ASKED = "(SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS qe FROM embeddings WHERE vec_id % 100 = 0)"
+_CELLS = 32
+
+
+def _index(spark, sf_dir):
+    index = cells.CellIndex(spark, scratch_path(spark, "cells"))
+    index.build(chunks(spark, sf_dir), MODEL, cells=_CELLS)
+    return index
+
+
+def _asked(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").filter("vec_id % 100 = 0")
+    return rows.select(F.col("vec_id").alias("query_id"), "embedding")
+
+
 @query(
     "knn_approximate",
     f"""{_WITH} SELECT dce_file_id, chunk_index, round(distance, 6) + 0 AS distance FROM measured
       WHERE embedding_model = '{MODEL}' ORDER BY distance, dce_file_id, chunk_index LIMIT 10""",
 )
 def knn_approximate(spark, sf_dir):
-    """The search by cells with every cell probed, which must be the exact one."""
-    index = search.CellIndex(spark, scratch_path(spark, "cells"))
-    index.build(chunks(spark, sf_dir), MODEL, cells=10)
-    hits = index.search(query_vector(spark, sf_dir), MODEL, probes=10)
+    """The search by cells, going on until it is proved to be the exact one."""
+    hits = _index(spark, sf_dir).search(query_vector(spark, sf_dir), MODEL, exact=True)
     return hits.select("dce_file_id", "chunk_index", (F.round("distance", 6) + 0).alias("distance"))
+
+
+@query(
+    "knn_cells",
+    f"""{_WITH}, v AS (SELECT query_id, dce_file_id, chunk_index, CAST(c.embedding AS DOUBLE[]) AS e, qe
+      FROM chunks c CROSS JOIN {_ASKED} WHERE embedding_model = '{MODEL}'),
+    d AS (SELECT query_id, dce_file_id, chunk_index, round(1 - list_dot_product(e, qe)
+        / sqrt(list_dot_product(e, e) * list_dot_product(qe, qe)), 12) AS distance FROM v),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id
+      ORDER BY distance, dce_file_id, chunk_index) AS rank FROM d)
+    SELECT query_id, dce_file_id, chunk_index, rank, round(distance, 6) + 0 AS distance
+    FROM r WHERE rank <= 10""",
+)
+def knn_cells(spark, sf_dir):
+    """The ten chunks nearest to every vector whose id is divisible by 100, by cells and proved."""
+    hits = _index(spark, sf_dir).search_many(_asked(spark, sf_dir), MODEL, exact=True)
+    return hits.withColumn("distance", F.round("distance", 6) + 0)
+
+
+@query(
+    "knn_recall",
+    f"""{_WITH} SELECT query_id, (SELECT least(count(*), 10) FROM chunks WHERE embedding_model = '{MODEL}')
+      AS exact_hits, true AS enough_found, true AS cells_left_out FROM {_ASKED}""",
+)
+def knn_recall(spark, sf_dir):
+    """Recall of the calibrated search, of all those queries against all rows."""
+    index, asked = _index(spark, sf_dir), _asked(spark, sf_dir)
+    exact = search_many(chunks(spark, sf_dir), asked, MODEL)
+    found = staged(cells.recall_by_query(index.search_many(asked, MODEL), exact), "recall")
+    read = index.cells_read(asked).agg((F.sum("cells_read") < F.sum("cells_stored")).alias("cells_left_out"))
+    share = found.agg((F.sum("found_hits") >= 0.9 * F.sum("exact_hits")).alias("enough_found"))
+    return found.select("query_id", "exact_hits", share.scalar().alias("enough_found"), read.scalar().alias("cells_left_out"))

@@ -1,30 +1,18 @@
-"""Nearest chunks by cosine distance: exact, many queries at once, and approximate."""
+"""Nearest chunks by cosine distance: exact, everywhere or within one tender."""
 
-from collections.abc import Iterator, Sequence
-from itertools import islice
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bidscope.functions.vectors import cosine_distances, distance_to, matrix
+from bidscope.functions.vectors import distance_to
 from bidscope.operators.filters import in_range, same_model, tender_key
 from bidscope.schemas import IDENTITY
-from bidscope.session import scratch_path
 
 # Default numbers of hits.
 SEARCH_LIMIT = 10
 RETRIEVE_LIMIT = 5
-#: Queries are taken in blocks of this many: what one block holds does not depend on how many come.
-QUERY_BLOCK = 4096
-#: The hits of all tasks meet in this many groups per query before they meet in one.
-MERGE_GROUPS = 64
-#: Queries multiplied at a time.
-QUERY_SLICE = 256
 
 CHUNK_KEY = ["dce_file_id", "chunk_index"]
 
@@ -111,165 +99,3 @@ def hit_text() -> Column:
         F.when(headings == "", dash).otherwise(headings),
         F.col("text"),
     )
-
-
-def search_many(chunks: DataFrame, queries: DataFrame, model: str, limit: int = SEARCH_LIMIT) -> DataFrame:
-    """The nearest chunks of each query (query_id, embedding), ranked from 1.
-
-    Queries come in blocks of ``QUERY_BLOCK``, one exact scan each, and the hits of a block are
-    written down before the next one is loaded: the driver holds one block at a time, however many
-    queries there are. Each task multiplies its vectors with the block's and hands on ``limit``
-    rows per query; no pair is ever a row. Those meet in two steps, so that no task orders the
-    hits of all tasks. Null ids name a query like any other value.
-    """
-    in_range("limit", limit, 1)
-    rows = chunks.filter(same_model(model)).select(*CHUNK_KEY, "embedding")
-    path = scratch_path(chunks.sparkSession, "hits")
-    waiting = queries.select("query_id", "embedding").toLocalIterator()
-    block = list(islice(waiting, QUERY_BLOCK))
-    while True:
-        _ranked(_search_block(rows, block, limit), limit).write.mode("append").parquet(path)
-        block = list(islice(waiting, QUERY_BLOCK))
-        if not block:
-            return chunks.sparkSession.read.parquet(path)
-
-
-def _ranked(hits: DataFrame, limit: int) -> DataFrame:
-    """The nearest of all tasks' hits: first of each group of tasks, then of the groups."""
-
-    def top(rows: DataFrame, *keys) -> DataFrame:
-        order = W.partitionBy("query_id", *keys).orderBy(*nearest_first())
-        return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
-
-    grouped = hits.withColumn("_group", F.spark_partition_id() % MERGE_GROUPS)
-    return top(top(grouped, "_group").drop("_group", "rank"))
-
-
-def _search_block(rows: DataFrame, loaded: list, limit: int) -> DataFrame:
-    ids = pa.array([row.query_id for row in loaded], pa.int64())
-    vectors = np.array([row.embedding for row in loaded], dtype=np.float64)
-
-    def search_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Queries are taken in slices, so that a matrix of distances stays small.
-        slices = [slice(at, at + QUERY_SLICE) for at in range(0, len(ids), QUERY_SLICE)]
-        best = [_Best(len(ids[part]), limit) for part in slices]
-        for batch in batches:
-            found, _ = matrix(batch.column(2), vectors.shape[1])
-            keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
-            for part, kept in zip(slices, best):
-                kept.add(cosine_distances(found, vectors[part]), *keys)
-        for part, kept in zip(slices, best):
-            at, files, positions, distances = kept.rows()
-            missing = ~np.isfinite(distances)
-            asked = ids[part].take(pa.array(at))
-            keys = [pa.array(files), pa.array(positions.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(
-                [asked, *keys, pa.array(distances, mask=missing)],
-                ["query_id", *CHUNK_KEY, "distance"],
-            )
-
-    if not loaded:
-        rows = rows.limit(0)
-    return rows.mapInArrow(
-        search_task, "query_id bigint, dce_file_id bigint, chunk_index int, distance double"
-    )
-
-
-class _Best:
-    """The nearest rows of each query seen so far by one task."""
-
-    def __init__(self, queries: int, limit: int) -> None:
-        self.limit = limit
-        self.reach = np.full(queries, np.inf)
-        self.kept = [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
-
-    def add(self, distances: np.ndarray, files: np.ndarray, positions: np.ndarray) -> None:
-        distances = np.where(np.isnan(distances), np.inf, distances)
-        reach = self.reach
-        if len(distances) > self.limit:
-            kth = np.partition(distances, self.limit - 1, axis=0)[self.limit - 1]
-            reach = np.minimum(reach, kth)
-        # Equal distances stay in: the keys decide among them below.
-        row, query = np.nonzero(distances <= reach[None, :])
-        new = (query, files[row], positions[row], distances[row, query])
-        query, file, position, distance = map(np.concatenate, zip(self.kept, new))
-        order = np.lexsort((position, file, distance, query))
-        query = query[order]
-        starts = np.searchsorted(query, np.arange(len(self.reach)))
-        place = np.arange(len(query)) - starts[query]
-        top = place < self.limit
-        self.kept = [query[top], file[order][top], position[order][top], distance[order][top]]
-        last = place[top] == self.limit - 1
-        self.reach[self.kept[0][last]] = self.kept[3][last]
-
-    def rows(self) -> list[np.ndarray]:
-        return self.kept
-
-
-class CellIndex:
-    """Approximate search: chunks stored by nearest centre, of which a query reads only a few.
-
-    Cells are folders, so the rest of the table is not read at all. Within the cells read,
-    distances are exact. How many cells to probe trades time for recall; probing all of them is
-    the exact search.
-    """
-
-    def __init__(self, spark, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def build(self, chunks: DataFrame, model: str, cells: int, seed: int = 7) -> None:
-        """Store the chunks by cell. The centres are learnt from all vectors that have a direction."""
-        rows = chunks.filter(same_model(model) & F.col("embedding").isNotNull())
-        rows = rows.select(*CHUNK_KEY, "text", "page_numbers", "heading_path", "embedding_model", "embedding")
-        points = rows.withColumn("point", array_to_vector(F.col("embedding").cast("array<double>")))
-        # A vector of zeros has no direction and goes to the first cell.
-        has_direction = F.exists("embedding", lambda x: x != 0)
-        directed = points.filter(has_direction)
-        means = KMeans(
-            k=cells, seed=seed, featuresCol="point", predictionCol="cell", distanceMeasure="cosine"
-        ).fit(directed.select("point"))
-        placed = means.transform(directed).unionByName(
-            points.filter(~has_direction).withColumn("cell", F.lit(0))
-        )
-        # Ranges are of equal size: a crowded cell is written by many tasks.
-        ranges = placed.drop("point").repartitionByRange(F.col("cell"), F.xxhash64(*CHUNK_KEY))
-        ranges.write.partitionBy("cell").parquet(f"{self.path}/chunks")
-        # The folders are the cells, so counting reads no column.
-        stored = self.spark.read.parquet(f"{self.path}/chunks").groupBy("cell").agg(F.count("*").alias("rows"))
-        centres = [(i, [float(x) for x in c]) for i, c in enumerate(means.clusterCenters())]
-        found = self.spark.createDataFrame(centres, "cell int, centre array<double>").join(stored, "cell", "left")
-        found.withColumn("rows", F.coalesce("rows", F.lit(0))).write.parquet(f"{self.path}/centres")
-
-    def search(self, query: Sequence[float], model: str, limit: int = SEARCH_LIMIT, probes: int = 4) -> DataFrame:
-        """The nearest chunks in the ``probes`` cells whose centres are nearest.
-
-        Where those hold fewer than ``limit`` chunks, further cells are read until they do, or
-        until there are no more.
-        """
-        in_range("probes", probes, 1)
-        centres = self.spark.read.parquet(f"{self.path}/centres")
-        closest = (
-            centres.select("cell", "rows", distance_to(query, F.col("centre")).alias("distance"))
-            .orderBy("distance", "cell")
-            .collect()  # one row per cell, the number given to build
-        )
-        held = 0
-        chosen = []
-        for row in closest:
-            if len(chosen) >= probes and held >= limit:
-                break
-            chosen.append(row.cell)
-            held += row.rows
-        stored = self.spark.read.parquet(f"{self.path}/chunks")
-        return nearest(stored.filter(F.col("cell").isin(chosen)), query, model, limit)
-
-
-def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
-    """One row: the share of the exact hits that the approximate search found."""
-    found = exact.select(*CHUNK_KEY).join(
-        approximate.select(*CHUNK_KEY, F.lit(1).alias("found")), CHUNK_KEY, "left"
-    )
-    return found.agg(
-        F.count("*").alias("exact_hits"),
-        F.coalesce(F.sum("found"), F.lit(0)).alias("found_hits"),
-    ).withColumn("recall", F.try_divide("found_hits", "exact_hits"))

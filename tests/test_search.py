@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from bidscope.errors import NotFoundError
 from bidscope.functions import vectors
-from bidscope.operators import search
+from bidscope.operators import batch_search, cells, search
 from bidscope.schemas import CHUNKS, DCE_FILES
 
 SIZE = 80
@@ -109,7 +109,7 @@ def brute(rows, queries, k):
     return out
 
 
-@pytest.mark.parametrize("block", [4096, 6])
+@pytest.mark.parametrize("block", [4 << 20, 400])
 def test_many_queries(spark, monkeypatch, block):
     """A third of all vectors are copies of one another; in one block of queries, and in several."""
     rng = np.random.default_rng(5)
@@ -118,20 +118,21 @@ def test_many_queries(spark, monkeypatch, block):
     rows.append((9, 999, [0.0] * 8))
     queries = [(n, rng.normal(size=8).astype(np.float32).tolist()) for n in range(20)] + [(77, np.float32(copy).tolist())]
     rows = [(f, i, np.float32(v).tolist()) for f, i, v in rows]
-    monkeypatch.setattr(search, "QUERY_BLOCK", block)
+    monkeypatch.setattr(batch_search, "BLOCK_BYTES", block)
+    monkeypatch.setattr(batch_search, "QUERY_SLICE", 7)
     asked = spark.createDataFrame(queries, "query_id long, embedding array<float>")
-    hits = search.search_many(chunk_rows(spark, rows), asked, "m", 12).orderBy("query_id", "rank").collect()
+    hits = batch_search.search_many(chunk_rows(spark, rows), asked, "m", 12).orderBy("query_id", "rank").collect()
     found = {}
     for hit in hits:
         found.setdefault(hit.query_id, []).append((hit.dce_file_id, hit.chunk_index))
     assert found == brute(rows, queries, 12)
-    everything = search.search_many(chunk_rows(spark, rows), asked.limit(1), "m", 1000)
+    everything = batch_search.search_many(chunk_rows(spark, rows), asked.limit(1), "m", 1000)
     assert everything.count() == 301 and everything.filter("distance IS NULL").count() == 1
 
 
 def test_no_queries(spark, scoped):
     none = spark.createDataFrame([], "query_id long, embedding array<float>")
-    assert search.search_many(scoped[0], none, "m", 3).isEmpty()
+    assert batch_search.search_many(scoped[0], none, "m", 3).isEmpty()
 
 
 def test_cells(spark, tmp_path):
@@ -139,15 +140,15 @@ def test_cells(spark, tmp_path):
     centres = rng.normal(size=(6, 16)) * 4
     rows = [(n % 3, n, (centres[n % 6] + rng.normal(size=16)).tolist()) for n in range(600)]
     chunks = chunk_rows(spark, [*rows, (5, 1000, [0.0] * 16)])
-    index = search.CellIndex(spark, str(tmp_path / "cells"))
+    index = cells.CellIndex(spark, str(tmp_path / "cells"))
     index.build(chunks, "m", cells=6)
     query = (centres[2] + rng.normal(size=16)).tolist()
     exact = search.nearest(chunks, query, "m")
-    assert search.recall(index.search(query, "m", probes=2), exact).first().recall >= 0.8
+    assert cells.recall(index.search(query, "m", probes=2), exact).first().recall >= 0.8
     # Probing every cell is the exact search.
     everything = index.search(query, "m", probes=6)
     assert column(everything, "chunk_index") == column(exact, "chunk_index")
-    assert search.recall(everything, exact).first().asDict() == {"exact_hits": 10, "found_hits": 10, "recall": 1.0}
+    assert cells.recall(everything, exact).first().asDict() == {"exact_hits": 10, "found_hits": 10, "recall": 1.0}
     plan = index.search(query, "m", probes=1)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(cell" in plan
     with pytest.raises(ValueError):
@@ -157,7 +158,7 @@ def test_cells(spark, tmp_path):
 def test_a_search_by_cells_goes_on_until_it_has_enough(spark, tmp_path):
     """Cells of one vector each: one probe alone would give one hit."""
     chunks = chunk_rows(spark, [(1, n, np.eye(8)[n].tolist()) for n in range(8)])
-    index = search.CellIndex(spark, str(tmp_path / "cells"))
+    index = cells.CellIndex(spark, str(tmp_path / "cells"))
     index.build(chunks, "m", cells=8)
     query = [1.0, 0.5, 0.2, 0.1, 0.0, 0.0, 0.0, 0.0]
     assert column(index.search(query, "m", limit=3, probes=1), "chunk_index") == [0, 1, 2]
@@ -166,9 +167,77 @@ def test_a_search_by_cells_goes_on_until_it_has_enough(spark, tmp_path):
 
 def test_hits_of_many_tasks_meet_in_two_steps(spark):
     chunks = chunk_rows(spark, [(n % 5, n, [1.0, float(n)]) for n in range(400)]).repartition(100)
-    hits = search._ranked(search._search_block(chunks.select(*search.CHUNK_KEY, "embedding"), [], 3), 3)
+    none = spark.createDataFrame([], "query_id long, embedding array<double>")
+    hits = batch_search.search_many(chunks, none, "m", 3)
     text = hits._jdf.queryExecution().executedPlan().toString()
     assert text.count("Window ") >= 2 and "_group" in text
     asked = spark.createDataFrame([(1, [1.0, 0.0]), (None, [0.0, 1.0])], "query_id long, embedding array<double>")
-    found = search.search_many(chunks, asked, "m", 3).orderBy("query_id", "rank").collect()
+    found = batch_search.search_many(chunks, asked, "m", 3).orderBy("query_id", "rank").collect()
     assert [r.chunk_index for r in found] == [399, 398, 397, 0, 1, 2]
+
+
+def directions(rng, n, size, groups):
+    """Vectors around a few directions, with copies of one of them and one without direction."""
+    centres = rng.normal(size=(groups, size)) * 2
+    rows = [(k % 4, k, np.float32(centres[k % groups] + rng.normal(size=size)).tolist()) for k in range(n)]
+    return rows + [(8, n + k, rows[0][2]) for k in range(n // 3)] + [(9, 5 * n, [0.0] * size)]
+
+
+def found_by(hits):
+    out = {}
+    for hit in hits.orderBy("query_id", "rank").collect():
+        out.setdefault(hit.query_id, []).append((hit.dce_file_id, hit.chunk_index))
+    return out
+
+
+@pytest.fixture(scope="module")
+def indexed(spark, tmp_path_factory):
+    rng = np.random.default_rng(21)
+    rows = directions(rng, 600, 12, 20)
+    index = cells.CellIndex(spark, str(tmp_path_factory.mktemp("cells")))
+    index.build(chunk_rows(spark, rows), "m", cells=24)
+    queries = [(k, rows[7 * k][2]) for k in range(30)] + [(None, rng.normal(size=12).tolist())]
+    return index, rows, queries, spark.createDataFrame(queries, "query_id long, embedding array<double>")
+
+
+def test_exact_search_by_cells_is_proved(spark, indexed):
+    index, rows, queries, asked = indexed
+    for limit in (1, 10):
+        want = {i: v for i, v in brute(rows, queries, limit).items()}
+        assert found_by(index.search_many(asked, "m", limit, probes=1, exact=True)) == want
+        one = index.search(queries[3][1], "m", limit, probes=1, exact=True)
+        assert column(one, "chunk_index") == [i for _, i in want[3]]
+    # More than there are with a direction: every cell must be read.
+    everything = index.search_many(asked.limit(1), "m", 2000, exact=True)
+    assert everything.count() == len(rows)
+
+
+def test_reach_leaves_out_cells(indexed):
+    index, rows, _, _ = indexed
+    known, vectors = index.centres, np.array([v for _, _, v in rows[:50]])
+    angles = known.angles(vectors)
+    chosen = known.within(angles, np.zeros(50))  # only what is as near as a copy
+    assert chosen.any(axis=1).all() and chosen.mean() < 0.5
+    assert (known.within(angles, np.full(50, np.nan)) == (known.rows > 0)).all()
+
+
+def test_calibrated_recall(indexed):
+    index, rows, queries, asked = indexed
+    assert 1 <= index.centres.probes < 24
+    exact = batch_search.search_many(chunk_rows(asked.sparkSession, rows), asked, "m")
+    found = cells.recall_by_query(index.search_many(asked, "m"), exact).toPandas()
+    assert found.found_hits.sum() >= 0.9 * found.exact_hits.sum() and set(found.exact_hits) == {10}
+    read = index.cells_read(asked).toPandas()
+    assert len(read) == len(queries) and (read.cells_read < read.cells_stored).any()
+    with pytest.raises(ValueError):
+        index.search_many(asked, "m", probes=0)
+
+
+def test_one_scan_however_many_queries(spark, indexed):
+    _, rows, _, asked = indexed
+    chunks = chunk_rows(spark, rows[:50])
+    texts = []
+    for queries in (asked.limit(1), asked, asked.union(asked).union(asked)):
+        hits = batch_search.search_many(chunks, queries, "m", 3)
+        texts.append(hits._jdf.queryExecution().executedPlan().toString().count("MapInArrow"))
+    assert len(set(texts)) == 1
