@@ -6,6 +6,7 @@ from bidscope.catalog.base import (
     LOCAL_DEADLINE,
     NOW,
     NOW_SQL,
+    ORACLES,
     WITH_TENDERS,
     query,
     table,
@@ -14,7 +15,9 @@ from bidscope.catalog.base import (
 from bidscope.functions.dates import parse_deadline, parse_publication_date
 from bidscope.operators import contract, writes
 from bidscope.operators.insights import file_report
-from bidscope.session import staged
+from bidscope.schemas import TENDERS
+from bidscope.session import scratch_path, staged
+from bidscope.sources.store import TenderStore
 
 # What was known at NOW, and every line item as a later sighting of its tender.
 KNOWN = "(publication_date IS NULL OR publication_date <= DATE '2000-06-15')"
@@ -89,6 +92,21 @@ def upsert_tenders(spark, sf_dir):
     )
 
 
+@query("store_upsert", ORACLES["upsert_tenders"])
+def store_upsert(spark, sf_dir):
+    """The same sightings saved to a store in two batches, which open their own buckets of keys only.
+
+    Orders are cut in two, so that batches do not repeat a tender and ids stay in order.
+    """
+    store = TenderStore(spark, scratch_path(spark, "tenders"))
+    store.write(tenders(spark, sf_dir).filter(KNOWN).select(*TENDERS.fieldNames()))
+    found = staged(sightings(spark, sf_dir), "sightings")
+    middle = found.agg(F.max("seq")).first()[0] // 32 * 16
+    for part in (F.col("seq") < middle, F.col("seq") >= middle):
+        store.upsert(found.filter(part), NOW)
+    return store.read().select(*[name.strip() for name in _STATE.split(",")])
+
+
 _UPDATES = """SELECT e.event_id AS seq, CAST(e.user_id * 101 AS {text}) AS tender_id,
     coalesce(t.organization_acronym, 'NONE') AS organization_acronym,
     CASE e.event_type WHEN 'view' THEN 'DOWNLOADING' WHEN 'click' THEN 'UPLOADED'

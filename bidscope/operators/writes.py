@@ -58,27 +58,33 @@ def upsert_changes(
     The order columns may be of any type; null comes first. The table is scanned once for the
     tenders of the batch, and once for its ids.
     """
-    # Written once, since it is joined twice; the batch itself is read only once.
-    latest = staged(dedupe_last(batch.select(*FIELDS, *order), order), "upsert-batch")
-    incoming, _ = identified(latest, strict)
-    clock = instant(now)
-
+    incoming, clock = _latest(batch, order, strict), instant(now)
     fresh = incoming.select(*IDENTITY, *[F.col(c).alias(f"new_{c}") for c in REFRESHED])
     new = {c: F.col(f"new_{c}") for c in REFRESHED} | {"updated_at": clock}
     known = staged(
         tenders.join(fresh, IDENTITY).select(*[new.get(c, F.col(c)).alias(c) for c in tenders.columns]),
         "upsert-known",
     )
-    unknown = incoming.join(known.select(*IDENTITY), IDENTITY, "left_anti")
+    added = _added(tenders, incoming.join(known.select(*IDENTITY), IDENTITY, "left_anti"), clock)
+    return known.unionByName(added, allowMissingColumns=True)
+
+
+def _latest(batch: DataFrame, order: tuple[str, ...], strict: bool) -> DataFrame:
+    """The batch's tenders, one row each, written once since they are joined twice."""
+    latest = staged(dedupe_last(batch.select(*FIELDS, *order), order), "upsert-batch")
+    return identified(latest, strict)[0]
+
+
+def _added(tenders: DataFrame, unknown: DataFrame, clock: Column) -> DataFrame:
+    """New tenders as rows of the table, numbered after its highest id."""
     highest = F.coalesce(tenders.agg(F.max("id")).scalar(), F.lit(0))
-    added = dense_ids(unknown, ["first_seen", *IDENTITY], highest).select(
+    return dense_ids(unknown, ["first_seen", *IDENTITY], highest).select(
         *FIELDS,
         "id",
         F.lit("DISCOVERED").alias("status"),
         clock.alias("created_at"),
         clock.alias("updated_at"),
     )
-    return known.unionByName(added, allowMissingColumns=True)
 
 
 def upsert(
@@ -88,8 +94,17 @@ def upsert(
     order: tuple[str, ...] = ("seq",),
     strict: bool = True,
 ) -> DataFrame:
-    """The whole table after saving ``batch``; see ``upsert_changes``."""
-    return with_changes(tenders, staged(upsert_changes(tenders, batch, now, order, strict), "upsert"))
+    """The whole table after saving ``batch``; see ``upsert_changes``.
+
+    Known rows take their new values in one join; only the batch itself is ever written down.
+    """
+    incoming, clock = _latest(batch, order, strict), instant(now)
+    fresh = incoming.select(*IDENTITY, F.lit(True).alias("_met"), *[F.col(c).alias(f"new_{c}") for c in REFRESHED])
+    new = {c: F.col(f"new_{c}") for c in REFRESHED} | {"updated_at": clock}
+    new = {c: F.when(F.col("_met"), value).otherwise(F.col(c)) for c, value in new.items()}
+    kept = tenders.join(fresh, IDENTITY, "left").select(*[new.get(c, F.col(c)).alias(c) for c in tenders.columns])
+    unknown = incoming.join(tenders.select(*IDENTITY), IDENTITY, "left_anti")
+    return kept.unionByName(_added(tenders, unknown, clock), allowMissingColumns=True)
 
 
 def with_changes(tenders: DataFrame, changes: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from bidscope.operators.pages import page_tenders, parse_pages, strict_pages
-from bidscope.operators.writes import upsert_changes
 from bidscope.session import staged
 from bidscope.sources.store import TenderStore
 
@@ -29,5 +28,5 @@ def discover(
         strict_pages(parsed)
     found = page_tenders(parsed, page)
     if not found.isEmpty():
-        store.apply(upsert_changes(store.read(), found, now, (page, "row_no"), strict), batch, stream)
+        store.upsert(found, now, (page, "row_no"), strict, batch, stream)
     return found

@@ -9,7 +9,6 @@ from bidscope.operators.archives import Converter, attach_archives, chunk_files,
 from bidscope.operators.chunking import MAX_TOKENS
 from bidscope.operators.embedding import Embedder
 from bidscope.operators.lookup import find_for_indexing
-from bidscope.operators.writes import status_changes
 from bidscope.schemas import IDENTITY
 from bidscope.session import staged
 from bidscope.sources.store import FileStore, TenderStore
@@ -55,7 +54,7 @@ def run_indexing(
         chunked, outcomes.filter(F.col("position").isNotNull()), embedder, strict=False, tenders=current
     )
     updates = staged(_updates(batch, stored), "status-updates")
-    tenders.apply(status_changes(current, updates, now, strict=False))
+    tenders.update_status(updates, now, strict=False)
     return updates.drop("seq")
 
 

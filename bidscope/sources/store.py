@@ -5,22 +5,29 @@ What a failed attempt left behind has no commit and is overwritten by the next a
 writer at a time; any number of readers.
 """
 
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidscope.errors import InvalidRowsError, NotFoundError
+from bidscope.functions.dates import instant
 from bidscope.operators.embedding import check_dimension, embed
-from bidscope.operators.numbering import totals_before
-from bidscope.schemas import CHUNKS, DAY, DCE_FILES, INT, LONG, TENDERS, TEXT
+from bidscope.operators.filters import identified
+from bidscope.operators.numbering import dense_ids, totals_before
+from bidscope.operators.writes import REFRESHED, dedupe_last, latest_updates, status_rule
+from bidscope.schemas import CHUNKS, DAY, DCE_FILES, IDENTITY, INT, LONG, TENDER_FIELDS, TENDERS, TEXT
+from bidscope.session import staged
 from bidscope.sources.tables import by_month, in_months
 
 _COMMITS = T.StructType(
     [
-        *[T.StructField(name, LONG) for name in ("version", "batch", "last_file_id", "last_chunk_id")],
+        *[T.StructField(name, LONG) for name in ("version", "batch", "last_file_id", "last_chunk_id", "last_id", "buckets")],
         T.StructField("stream", TEXT),
         T.StructField("full", T.BooleanType()),
+        T.StructField("kinds", T.ArrayType(TEXT)),
     ]
 )
 
@@ -53,39 +60,139 @@ class _Versions:
         same = (F.col("batch") == batch) & (F.col("stream") == stream)
         return not self._commits().filter(same).isEmpty()
 
-    def _commit(self, version, batch=None, stream=None, files=None, chunks=None, full=None) -> None:
-        row = self.spark.createDataFrame([(version, batch, files, chunks, stream, full)], _COMMITS)
+    def _commit(self, **fields) -> None:
+        row = self.spark.createDataFrame([tuple(fields.get(name) for name in _COMMITS.names)], _COMMITS)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
 
+#: Tenders per bucket of the keys, about.
+BUCKET_ROWS = 1 << 16
+#: Buckets of a store that began without a whole state.
+FIRST_BUCKETS = 16
+
+_REFRESHED = T.StructType(
+    [T.StructField("id", LONG), *[TENDERS[name] for name in (*REFRESHED, "updated_at")], T.StructField("month", DAY), T.StructField("version", INT)]
+)
+_STATUSES = T.StructType(
+    [
+        *[T.StructField(name, LONG) for name in ("id", "seq")],
+        *[TENDERS[name] for name in ("status", "last_status", "updated_at")],
+        T.StructField("version", INT),
+    ]
+)
+_KEYS = T.StructType(
+    [
+        *[TENDERS[name] for name in (*IDENTITY, "id")],
+        T.StructField("month", DAY),
+        *[T.StructField(name, INT) for name in ("version", "bucket")],
+    ]
+)
+
+
 class TenderStore(_Versions):
-    """The tenders table: a whole state by publication month, and the rows changed since then.
+    """The tenders table: a whole state by publication month, and what changed since then.
 
-    ``write`` stores a whole state, ``apply`` only the rows of a batch, so a small batch costs what
-    it changes. A read takes the newest row of each id; ``compact`` makes a whole state again.
+    ``write`` stores a whole state, with a narrow table of keys beside it: identity, id and month, in
+    folders by a hash of the identity. Batches are stored as they come: whole rows of new tenders,
+    the refreshed fields of known ones, and statuses with their number. A batch looks up its own
+    identities in its own buckets, so it costs what it holds, and no tender is read for it. A read
+    lays the newest of each kind over the whole state; ``compact`` makes a whole state again.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType = TENDERS) -> None:
         super().__init__(spark, root)
         self.schema = schema
 
+    def _state(self) -> Row:
+        """Versions of the last commit, the last whole state and the last change of each kind."""
+        full = F.when(F.col("full"), F.col("version"))
+        newest = lambda kind: F.max(F.when(F.array_contains("kinds", kind), F.col("version")))
+        found = self._commits().agg(
+            F.max("version").alias("version"),
+            F.max(full).alias("full"),
+            F.max_by("last_id", "version").alias("last_id"),
+            F.max_by("buckets", full).alias("buckets"),
+            *[newest(kind).alias(kind) for kind in ("changes", "refreshed", "statuses")],
+        )
+        found = found.select(*[F.coalesce(c, F.lit(FIRST_BUCKETS if c == "buckets" else 0)).alias(c) for c in found.columns])
+        return found.first()
+
+    def _since(self, state: Row, kind: str, schema: T.StructType) -> DataFrame:
+        """What was committed of a kind since the last whole state."""
+        if state[kind] <= state.full:
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(f"{self.root}/{kind}")
+        rows = rows.filter((F.col("version") > state.full) & (F.col("version") <= state.version))
+        return rows.join(self._versions(kind), "version", "left_semi").select(*schema.names)
+
+    def _versions(self, kind: str) -> DataFrame:
+        held = self._commits().filter(F.array_contains("kinds", kind))
+        return held.select(F.col("version").cast("int").alias("version"))
+
+    def _full(self, version: int) -> DataFrame:
+        dated = T.StructType([*self.schema, T.StructField("month", DAY)])
+        if not version:
+            return self.spark.createDataFrame([], dated)
+        return self.spark.read.schema(dated).parquet(f"{self.root}/full/version={version}")
+
     def read(self, published: tuple | None = None) -> DataFrame:
-        """The current state. With ``published`` (first and last day), other months are not read."""
-        columns = self.schema.fieldNames()
-        last = self.version()
-        full = self._commits().agg(F.max(F.when(F.col("full"), F.col("version")))).first()[0] or 0
-        rows = self.spark.createDataFrame([], self.schema)
-        if full:
-            dated = T.StructType([*self.schema, T.StructField("month", DAY)])
-            rows = self.spark.read.schema(dated).parquet(f"{self.root}/full/version={full}")
-            rows = in_months(rows, published).select(*columns)
-        if last == full:
-            return rows
-        versioned = T.StructType([*self.schema, T.StructField("version", INT)])
-        changes = self.spark.read.schema(versioned).parquet(f"{self.root}/changes")
-        changes = changes.filter((F.col("version") > full) & (F.col("version") <= last))
-        newest = changes.groupBy("id").agg(F.max_by(F.struct(*columns), "version").alias("row")).select("row.*")
-        return rows.join(newest.select("id"), "id", "left_anti").select(*columns).unionByName(newest)
+        """The current state. With ``published`` (first and last day), other months are not read.
+
+        A tender whose date was moved into the period is found in the month where it lies.
+        """
+        columns, state = self.schema.fieldNames(), self._state()
+        refreshed = self._since(state, "refreshed", _REFRESHED)
+        rows = self._full(state.full)
+        if published is not None:
+            near = in_months(F.col("month"), published)
+            if state.refreshed > state.full:
+                moved = refreshed.filter(F.col("publication_date").between(*published)).select("month").distinct()
+                months = [row.month for row in moved.collect()]  # at most as many as there are months
+                near |= F.col("month").isin([m for m in months if m]) | (F.col("month").isNull() & F.lit(None in months))
+            rows = rows.filter(near)
+        rows = rows.select(*columns, F.lit(state.full).cast("int").alias("_row"))
+        if state.changes > state.full:
+            versioned = T.StructType([*self.schema, T.StructField("version", INT)])
+            newest = self._since(state, "changes", versioned).groupBy("id")
+            newest = newest.agg(F.max_by(F.struct(*columns, F.col("version").alias("_row")), "version").alias("row")).select("row.*")
+            rows = rows.join(newest.select("id"), "id", "left_anti").select(*columns, "_row").unionByName(newest)
+        if state.refreshed > state.full:
+            values = F.struct(*[c for c in _REFRESHED.names if c not in ("id", "month")])
+            newest = refreshed.groupBy("id").agg(F.max_by(values, "version").alias("_new"))
+            rows = rows.join(newest, "id", "left")
+        else:
+            rows = rows.withColumn("_new", F.lit(None).cast(T.StructType([f for f in _REFRESHED if f.name not in ("id", "month")])))
+        if state.statuses > state.full:
+            rows = rows.join(self._newest_statuses(state, rows), "id", "left")
+        else:
+            rows = rows.withColumn("_status", F.lit(None).cast(T.StructType([f for f in _STATUSES if f.name != "id"])))
+        return rows.select(*[self._laid_over().get(c, F.col(c)).alias(c) for c in columns])
+
+    def _newest_statuses(self, state: Row, rows: DataFrame) -> DataFrame:
+        """id and the status that counts: the one of the highest number where numbers are tracked, else the last."""
+        statuses = self._since(state, "statuses", _STATUSES)
+        if state.changes > state.full:  # a whole row that came later has a status of its own
+            whole = rows.filter(F.col("_row") > state.full).select("id", "_row")
+            statuses = statuses.join(whole, "id", "left").filter(F.col("version") > F.coalesce("_row", F.lit(0)))
+        places = ["seq", "version"] if "status_seq" in self.schema.names else ["version", "seq"]
+        order = F.struct(*places, "status", "last_status")
+        values = F.struct(*[c for c in _STATUSES.names if c != "id"])
+        return statuses.groupBy("id").agg(F.max_by(values, order).alias("_status"))
+
+    def _laid_over(self) -> dict:
+        new, status = F.col("_new"), F.col("_status")
+        refreshes = F.coalesce(new["version"] > F.col("_row"), F.lit(False))
+        counts = status["version"].isNotNull()
+        if "status_seq" in self.schema.names:
+            counts = counts & (status["seq"] > F.coalesce("status_seq", F.lit(-1)))
+        last = refreshes & (~counts | (new["version"] > status["version"]))
+        updated = F.when(last, new["updated_at"]).when(counts, status["updated_at"]).otherwise(F.col("updated_at"))
+        return {
+            **{c: F.when(refreshes, new[c]).otherwise(F.col(c)) for c in REFRESHED},
+            **{c: F.when(counts, status[c]).otherwise(F.col(c)) for c in ("status", "last_status")},
+            "status_seq": F.when(counts, status["seq"]).otherwise(F.col("status_seq")),
+            "updated_at": updated,
+        }
 
     def write(self, tenders: DataFrame, batch: int | None = None, stream: str | None = None) -> int:
         """Commit a whole new state, which may be computed from the current one."""
@@ -93,20 +200,113 @@ class TenderStore(_Versions):
         by_month(tenders.select(*self.schema.fieldNames())).write.mode("overwrite").partitionBy(
             "month"
         ).parquet(f"{self.root}/full/version={version}")
-        self._commit(version, batch, stream, full=True)
+        rows = self._full(version)
+        known = rows.agg(F.count("*").alias("n"), F.coalesce(F.max("id"), F.lit(0)).alias("last")).first()
+        buckets = -(-known.n // BUCKET_ROWS) or 1
+        self._add_keys(rows, version, version, buckets)
+        self._commit(version=version, batch=batch, stream=stream, full=True, last_id=known.last, buckets=buckets, kinds=["keys"])
         return version
 
     def apply(self, changes: DataFrame, batch: int | None = None, stream: str | None = None) -> int:
         """Commit new rows and changed ones, told by their id. All other rows stay as they are."""
-        version = self.version() + 1
-        rows = changes.select(*self.schema.fieldNames())
-        rows.write.mode("overwrite").parquet(f"{self.root}/changes/version={version}")
-        self._commit(version, batch, stream, full=False)
+        state = self._state()
+        version = state.version + 1
+        rows = self._write("changes", version, changes.select(*self.schema.fieldNames()))
+        self._add_keys(rows.withColumn("month", F.lit(None).cast("date")), state.full, version, state.buckets)
+        last = rows.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+        self._commit(
+            version=version, batch=batch, stream=stream, full=False, last_id=max(last, state.last_id), kinds=["changes", "keys"]
+        )
+        return version
+
+    def upsert(
+        self,
+        found: DataFrame,
+        now: datetime,
+        order: tuple[str, ...] = ("seq",),
+        strict: bool = True,
+        batch: int | None = None,
+        stream: str | None = None,
+    ) -> int:
+        """Save a batch of found tenders: the ten fields, and their ``order``; see ``upsert_changes``.
+
+        Only the buckets of the batch's identities are opened, and of them only the keys.
+        """
+        state, clock = self._state(), instant(now)
+        version = state.version + 1
+        latest = staged(dedupe_last(found.select(*TENDER_FIELDS.names, *order), order), "upsert-batch")
+        incoming, _ = identified(latest, strict)
+        met = staged(self._with_keys(incoming, state), "upsert-matched")
+        refreshed = met.filter(F.col("id").isNotNull())
+        self._write("refreshed", version, refreshed.select("id", *REFRESHED, clock.alias("updated_at"), "month"))
+        new = dense_ids(met.filter(F.col("id").isNull()).drop("id", "month"), ["first_seen", *IDENTITY], F.lit(state.last_id))
+        filled = {"status": F.lit("DISCOVERED"), "created_at": clock, "updated_at": clock}
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in self.schema if f.name not in new.columns}
+        rows = new.select(*[filled.get(c, missing.get(c, F.col(c))).alias(c) for c in self.schema.names])
+        rows = self._write("changes", version, rows)
+        self._add_keys(rows.withColumn("month", F.lit(None).cast("date")), state.full, version, state.buckets)
+        self._commit(
+            version=version,
+            batch=batch,
+            stream=stream,
+            full=False,
+            last_id=state.last_id + rows.count(),
+            kinds=["changes", "refreshed", "keys"],
+        )
+        return version
+
+    def update_status(
+        self, updates: DataFrame, now: datetime, strict: bool = True, batch: int | None = None, stream: str | None = None
+    ) -> int:
+        """Save status updates. Strict refuses all of them if any breaks the rule or names no tender.
+
+        Otherwise those are left out. With ``status_seq`` in the schema the update with the highest
+        number counts, whenever it came; else the last one that came.
+        """
+        state = self._state()
+        version = state.version + 1
+        if strict and not updates.filter(~status_rule()).isEmpty():
+            raise InvalidRowsError("some updates break the status rule")
+        latest = staged(latest_updates(updates).select(*IDENTITY, "seq", "new.status", "new.last_status"), "status-batch")
+        met = self._with_keys(latest, state)
+        if strict and not met.filter(F.col("id").isNull()).isEmpty():
+            raise InvalidRowsError("some updates name an unknown tender")
+        rows = met.filter(F.col("id").isNotNull()).withColumn("updated_at", instant(now))
+        self._write("statuses", version, rows.select(*[c for c in _STATUSES.names if c != "version"]))
+        self._commit(version=version, batch=batch, stream=stream, full=False, last_id=state.last_id, kinds=["statuses"])
         return version
 
     def compact(self) -> int:
         return self.write(self.read())
 
+    def _write(self, kind: str, version: int, rows: DataFrame) -> DataFrame:
+        path = f"{self.root}/{kind}/version={version}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _add_keys(self, rows: DataFrame, full: int, version: int, buckets: int) -> None:
+        keys = rows.select(*IDENTITY, "id", "month", _bucket(buckets)).repartition("bucket")
+        keys.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/keys/full={full}/version={version}")
+
+    def _with_keys(self, rows: DataFrame, state: Row) -> DataFrame:
+        """Rows with the id of their tender and its month in the whole state; null where it is new.
+
+        ``rows`` is read twice: once for its buckets.
+        """
+        if not max(state.full, state.changes):
+            return rows.withColumns({"id": F.lit(None).cast("long"), "month": F.lit(None).cast("date")})
+        touched = [row.bucket for row in rows.select(_bucket(state.buckets)).distinct().collect()]  # at most all
+        keys = self.spark.read.schema(_KEYS).parquet(f"{self.root}/keys/full={state.full}")
+        keys = keys.filter((F.col("version") <= state.version) & F.col("bucket").isin(touched))
+        keys = keys.join(self._versions("keys"), "version", "left_semi")
+        if state.changes > state.full:  # a tender may have been stored again since
+            keys = keys.groupBy(*IDENTITY, "id").agg(F.max_by("month", "version").alias("month"))
+        return rows.join(keys.select(*IDENTITY, "id", "month"), IDENTITY, "left")
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*IDENTITY), F.lit(buckets)).cast("int").alias("bucket")
+
 
 _REPLACED = T.StructType(
     [
@@ -219,7 +419,9 @@ class FileStore(_Versions):
             F.coalesce(F.sum(F.size("chunks")), F.lit(0)).alias("chunks"),
         ).first()
         self._commit(
-            version, files=last.last_file_id + counted.files, chunks=last.last_chunk_id + counted.chunks
+            version=version,
+            last_file_id=last.last_file_id + counted.files,
+            last_chunk_id=last.last_chunk_id + counted.chunks,
         )
         return replaced.select("tender_record_id", "error")
 

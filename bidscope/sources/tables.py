@@ -1,6 +1,6 @@
 """Scans. A given schema spares the footer reads of inference and prunes at the file."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,15 +27,14 @@ def tenders(spark: SparkSession, path: str, published: tuple | None = None) -> D
     if published is None:
         return read_table(spark, path, schemas.TENDERS)
     dated = T.StructType([*schemas.TENDERS, T.StructField("month", schemas.DAY)])
-    return in_months(read_table(spark, path, dated), published).select(*schemas.TENDERS.fieldNames())
+    rows = read_table(spark, path, dated).filter(in_months(F.col("month"), published))
+    return rows.select(*schemas.TENDERS.fieldNames())
 
 
-def in_months(rows: DataFrame, published: tuple | None) -> DataFrame:
-    """Rows of the months from the first to the last day, by their folder."""
-    if published is None:
-        return rows
+def in_months(month: Column, published: tuple) -> Column:
+    """Whether a month, a folder's name, lies between those of the first and the last day."""
     first, last = (day.replace(day=1) for day in published)
-    return rows.filter((F.col("month") >= F.lit(first)) & (F.col("month") <= F.lit(last)))
+    return (month >= F.lit(first)) & (month <= F.lit(last))
 
 
 def dce_files(spark: SparkSession, path: str) -> DataFrame:

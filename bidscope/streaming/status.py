@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from bidscope.operators.writes import status_changes
 from bidscope.schemas import LONG, STATUS_UPDATES, TENDERS
 from bidscope.sources.store import TenderStore
 from bidscope.streaming.once import each_batch_once
@@ -26,7 +25,9 @@ def stream_status(
 ) -> StreamingQuery:
     """Apply every update file not seen yet to a store of tracked tenders, then stop.
 
-    Updates that break the status rule or name no tender are left out.
+    Updates that break the status rule or name no tender are left out. A batch reads its own rows
+    and the keys of its own tenders; which update of a tender counts is decided by number when the
+    store is read, so batches may come in any order and cut.
     """
     updates = (
         spark.readStream.schema(STATUS_UPDATES)
@@ -35,6 +36,6 @@ def stream_status(
     )
 
     def save(batch: DataFrame, number: int, stream: str) -> None:
-        store.apply(status_changes(store.read(), batch, clock(), strict=False), number, stream)
+        store.update_status(batch, clock(), strict=False, batch=number, stream=stream)
 
     return each_batch_once(updates, store, checkpoint, save)

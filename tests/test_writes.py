@@ -1,3 +1,4 @@
+import random
 from datetime import date, timedelta
 
 import pytest
@@ -9,8 +10,9 @@ from bidscope.errors import InvalidRowsError
 from bidscope.operators import contract, insights, writes
 from bidscope.operators.filters import InsightsFilter
 from bidscope.operators.numbering import dense_ids, running_totals
-from bidscope.schemas import CHUNKS, DCE_FILES, TENDER_FIELDS
+from bidscope.schemas import CHUNKS, DCE_FILES, IDENTITY, STATUS_UPDATES, TENDER_FIELDS
 from bidscope.sources.store import TenderStore
+from bidscope.streaming.status import TRACKED_TENDERS
 
 NOW = at(2026, 2, 1)
 D1, D2 = at(2026, 3, 1), at(2026, 4, 1)
@@ -324,3 +326,93 @@ def test_a_period_reads_its_months_only(spark, tmp_path):
         assert insights.coverage(near, now, which).collect() == insights.coverage(whole, now, which).collect()
         text = near._jdf.queryExecution().toString()
         assert ("PartitionFilters: [isnotnull(month" in text) == (name != "all")
+
+
+def states(store):
+    names = ["id", "tender_object", "publication_date", "status", "last_status"]
+    return sorted(tuple(r) for r in store.read().select(*names).collect())
+
+
+def test_batches_lie_over_the_whole_state(spark, old, tmp_path):
+    store = TenderStore(spark, str(tmp_path))
+    store.write(tender_rows(spark, [{"publication_date": date(2026, 1, 1), "tender_object": "a"} for _ in range(4)]))
+    found = [{"tender_id": t, "organization_acronym": "ORG", "tender_object": "n", "publication_date": date(2026, 5, 2)} for t in ("T2", "N1", "N0")]
+    store.upsert(batch(spark, *found), NOW)
+    assert [r[:3] for r in states(store) if r[0] in (1, 2, 5, 6)] == [
+        (1, "a", date(2026, 1, 1)), (2, "n", date(2026, 5, 2)), (5, "n", date(2026, 5, 2)), (6, "n", date(2026, 5, 2)),
+    ]
+    assert {r.id: r.tender_id for r in store.read().filter("id > 4").collect()} == {5: "N1", 6: "N0"}
+    updates = [(1, "T2", "ORG", "UPLOADED", None), (2, "N1", "ORG", "FAILED", "CHUNKED"), (3, "N9", "ORG", "INDEXED", None)]
+    updates = spark.createDataFrame(updates, STATUS_UPDATES)
+    with pytest.raises(InvalidRowsError):
+        store.update_status(updates, NOW)
+    store.update_status(updates, NOW, strict=False)
+    store.upsert(batch(spark, {**found[1], "tender_object": "again"}), NOW)
+    assert [r for r in states(store) if r[0] in (2, 5)] == [
+        (2, "n", date(2026, 5, 2), "UPLOADED", None), (5, "again", date(2026, 5, 2), "FAILED", "CHUNKED"),
+    ]
+    # A whole row that comes later counts alone; a compacted store holds the same.
+    store.apply(store.read().filter("id = 5").withColumn("tender_object", F.lit("whole")))
+    store.update_status(spark.createDataFrame([(1, "N1", "ORG", "INDEXED", None)], STATUS_UPDATES), NOW)
+    before = states(store)
+    assert before[4][1:] == ("whole", date(2026, 5, 2), "INDEXED", None)
+    store.compact()
+    assert states(store) == before
+    store.upsert(batch(spark, {**found[0], "tender_id": "N2"}), NOW)
+    assert column(store.read().filter("tender_id = 'N2'"), "id") == [7]
+
+
+def test_a_tender_that_moved_into_a_period_is_read(spark, tmp_path):
+    store = TenderStore(spark, str(tmp_path))
+    days = [date(2026, 1, 3), date(2026, 2, 3), None, date(2026, 6, 10)]
+    store.write(tender_rows(spark, [{"publication_date": d} for d in days]))
+    moved = [{"tender_id": f"T{n}", "organization_acronym": "ORG", "publication_date": date(2026, 6, 12)} for n in (1, 3)]
+    store.upsert(batch(spark, *moved), NOW)
+    near = store.read((date(2026, 6, 1), date(2026, 6, 30)))
+    assert sorted(column(near.filter("publication_date >= '2026-06-01'"), "id")) == [1, 3, 4]
+    assert sorted(column(near, "id")) == [1, 3, 4]  # February is not read
+
+
+def test_a_batch_opens_its_buckets_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("bidscope.sources.store.BUCKET_ROWS", 10)
+    store = TenderStore(spark, str(tmp_path))
+    store.write(tender_rows(spark, [{} for _ in range(200)]))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    met = store._with_keys(spark.createDataFrame([("T7", "ORG"), ("X", "ORG")], IDENTITY), store._state())
+    assert {r.tender_id: r.id for r in met.collect()} == {"T7": 7, "X": None}
+    text = met._jdf.queryExecution().executedPlan().toString()
+    assert "/full" not in text.split("keys")[0] and "bucket" in text and "IN (" in text
+    assert len([p for p in (tmp_path / "keys" / "full=1" / "version=1").iterdir() if p.name.startswith("bucket=")]) == 20
+
+
+def test_what_a_failed_batch_left_is_not_read(spark, tmp_path):
+    store = TenderStore(spark, str(tmp_path))
+    store.write(tender_rows(spark, [{"tender_object": "a"}]))
+    one = {"tender_id": "T1", "organization_acronym": "ORG", "tender_object": "lost"}
+    store._write("refreshed", 2, store._with_keys(batch(spark, one), store._state()).selectExpr(
+        "id", "tender_object", "public_buyer", "publication_date", "current_timestamp() AS updated_at", "month"))
+    store.update_status(spark.createDataFrame([(1, "T1", "ORG", "INDEXED", None)], STATUS_UPDATES), NOW)
+    store.upsert(batch(spark, {**one, "tender_id": "T2"}), NOW)
+    assert sorted((r.tender_object, r.status) for r in store.read().collect()) == [("a", "INDEXED"), ("lost", "DISCOVERED")]
+
+
+def test_status_batches_in_any_cut_and_order(spark, tmp_path):
+    rng = random.Random(3)
+    events = []
+    for seq in range(60):
+        status = rng.choice(["DOWNLOADING", "UPLOADED", "FAILED", "INDEXED"])
+        last = rng.choice(["CHUNKED", "FAILED"]) if status == "FAILED" else None
+        events.append((seq, f"T{rng.randint(1, 5)}", "ORG", status, last))
+    ends = []
+    for cuts in (1, 4):
+        rng.shuffle(events)
+        store = TenderStore(spark, str(tmp_path / str(cuts)), TRACKED_TENDERS)
+        store.write(tender_rows(spark, [{} for _ in range(4)]).withColumn("status_seq", F.lit(None).cast("bigint")))
+        for k in range(cuts):
+            store.update_status(spark.createDataFrame(events[k::cuts], STATUS_UPDATES), NOW, strict=False)
+            if k == 1:
+                store.compact()
+        ends.append(sorted((r.id, r.status, r.last_status, r.status_seq) for r in store.read().collect()))
+    sound = [e for e in events if e[4] != "FAILED"]
+    last = {t: max(e for e in sound if e[1] == t) for t in ("T1", "T2", "T3", "T4")}
+    assert ends[0] == ends[1] == [(int(t[1:]), e[3], e[4], e[0]) for t, e in sorted(last.items())]
