@@ -7,7 +7,12 @@ the document does not matter.
 1. Every ``MIN_TILE`` words in a row of an item are a seed. A bitmap of fixed size holds all seeds.
 2. Each document keeps only the stretches of words whose seeds are in the bitmap, as one row per
    stretch: what is shuffled follows the overlap with the benchmark, not the size of the corpus.
-3. Stretches meet items by equality of seeds, and each pair of a document and an item is tiled.
+3. Stretches meet items by equality of seeds. A tile of n words holds n - 4 of the item's seed
+   places, at least a fifth of n, so a leak shares a known least number k of them: of an item's m
+   places, only the m - k + 1 rarest create pairs. A phrase that very many documents and items
+   share creates none.
+4. Tiles lie within the words that shared seed places cover. Pairs in which these are too few are
+   dropped before any text is joined; the others are tiled.
 
 Words are compared in lower case and without ASCII punctuation around them, by 64-bit hash.
 """
@@ -17,6 +22,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,6 +204,33 @@ def _tile_pairs(batches):
         )
 
 
+def possible_pairs(seeds: DataFrame, items: DataFrame, coverage: float) -> DataFrame:
+    """doc_id, text_hash and _item of pairs whose shared seeds cover enough words of the item.
+
+    ``seeds`` has the distinct seeds of documents that items hold too. Nothing that tiling would
+    find is left out.
+    """
+    size = F.size("words")
+    # Of W words a leak covers ceil(coverage * W), each tile of n words with at least n / 5 places.
+    least = F.greatest(F.ceil(F.ceil(F.lit(coverage) * size) / MIN_TILE), F.lit(1))
+    places = items.select("_item", least.alias("k"), size.alias("n_words"), F.posexplode("seeds").alias("place", "seed"))
+    places = staged(places.distinct(), "places")  # equal items are one
+    often = seeds.groupBy("seed").agg(F.count("*").alias("n_docs"))
+    ranked = places.join(often, "seed", "left").withColumn("n_docs", F.coalesce("n_docs", F.lit(0)))
+    rarest = W.partitionBy("_item").orderBy("n_docs", "seed", "place")
+    ranked = ranked.withColumns({"rank": F.row_number().over(rarest), "m": F.count("*").over(W.partitionBy("_item"))})
+    first = ranked.filter((F.col("rank") <= F.col("m") - F.col("k") + 1) & (F.col("n_docs") > 0))
+    pairs = seeds.join(first.select("seed", "_item").distinct(), "seed").select("doc_id", "text_hash", "_item").distinct()
+    held = seeds.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "seed": "_seed"})
+    wanted = pairs.join(places, "_item")
+    same = (F.col("seed") == F.col("_seed")) & (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    shared = wanted.join(held, same, "left_semi").groupBy("doc_id", "text_hash", "_item")
+    shared = shared.agg(F.sort_array(F.collect_list("place")).alias("at"), F.max("n_words").alias("n_words"))
+    steps = F.transform("at", lambda p, i: F.least(F.lit(MIN_TILE), F.coalesce(F.get("at", i + 1) - p, F.lit(MIN_TILE))))
+    covered = F.aggregate(steps, F.lit(0), lambda total, step: total + step)
+    return shared.filter(covered >= F.lit(coverage) * F.col("n_words")).select("doc_id", "text_hash", "_item")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, text_hash, item_id, item_words, covered_words and n_tiles of contaminated documents.
 
@@ -216,8 +249,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.lower("text").alias("text"))
     stretches = staged(keyed.mapInArrow(_stretches(held), STRETCHES).distinct(), "stretches")
     key = ["doc_id", "text_hash"]
-    pairs = stretches.select(*key, F.explode("seeds").alias("seed")).distinct().join(seeds, "seed")
-    pairs = pairs.select(*key, "_item").distinct()
+    pairs = possible_pairs(stretches.select(*key, F.explode("seeds").alias("seed")).distinct(), items, coverage)
     found = stretches.groupBy(*key).agg(F.collect_list(F.struct("at", "words")).alias("stretches"))
     found = found.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     meet = (pairs["text_hash"] == F.col("_hash")) & pairs["doc_id"].eqNullSafe(F.col("_id"))
@@ -228,11 +260,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """The rows of ``docs`` that no benchmark item contaminates."""
-    found = contamination(docs, benchmark, coverage).select("doc_id", "text_hash").distinct()
+    """The rows of ``docs`` that no benchmark item contaminates, with all their columns.
+
+    Rows are told by id and text, as in ``contamination``: equal rows stay or go together, rows of
+    one id with different texts are judged each for itself, a null id is a value like any other.
+    Null and empty texts stay. Columns may have any name. An empty table gives an empty one.
+    """
+    found = contamination(docs.select("doc_id", "text"), benchmark, coverage).select("doc_id", "text_hash").distinct()
     found = found.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    same = (F.xxhash64(docs["text"]) == F.col("_hash")) & docs["doc_id"].eqNullSafe(F.col("_id"))
-    return docs.join(found, same, "left_anti")
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_doc_id"), F.xxhash64("text").alias("_text_hash")
+    )
+    same = (F.col("_text_hash") == F.col("_hash")) & F.col("_doc_id").eqNullSafe(F.col("_id"))
+    return rows.join(found, same, "left_anti").select("row.*")
 
 
 @query("op2_decontamination")

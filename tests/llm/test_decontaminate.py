@@ -108,3 +108,33 @@ def test_a_passage_in_very_many_texts_and_a_very_long_text(documents, benchmark,
     rows.append((998, " ".join(items[2] * 3000), "s"))
     got = found(documents(rows), benchmark)
     assert {k for k in got if k[1] is not None} == {(k, 1) for k in range(300)} | {(999, 4), (998, 2)}
+
+
+def test_a_phrase_of_very_many_texts_and_items_creates_no_pairs(spark, documents, prose, monkeypatch):
+    """Every item and document share a question's stem; some documents hold items. All pairs tiled tell the same."""
+    stem = ["which", "of", "the", "following", "is"]
+    items = {k: prose(4, 1) + stem + prose(8 + k % 30, 1000 + k) for k in range(60)}
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    rows = [(k, " ".join(prose(20, 5000 + k) + prose(4, 1) + stem + prose(20, 9000 + k)), "s") for k in range(200)]
+    for k in range(40):  # items whole, in part and cut up
+        w = items[k]
+        cut = len(w) * (k % 5 + 3) // 8
+        rows.append((500 + k, " ".join(prose(9, k) + w[cut:] + prose(3, k + 1) + w[: cut * (k % 3) // 2]), "s"))
+    df, tiled = documents(rows), []
+    run = D.possible_pairs
+    monkeypatch.setattr(D, "possible_pairs", lambda *a: tiled.append(run(*a)) or tiled[-1])
+    got = found(df, benchmark)
+    assert tiled[0].count() < 100  # of 14,400
+    every = lambda seeds, items, _: seeds.select("doc_id", "text_hash").distinct().join(items.select("_item").distinct(), F.lit(True))
+    monkeypatch.setattr(D, "possible_pairs", every)
+    assert got == found(df, benchmark) and len(got) > 15
+    assert found(df, benchmark, coverage=0.3) and all(k[0] >= 500 for k in got)
+
+
+def test_clashing_columns_pass_through(documents, benchmark, items, prose):
+    names = ["_key", "_id", "_hash", "_row", "_time", "row", "_doc_id", "_text_hash", "seed", "words"]
+    rows = [(1, " ".join(items[1]), "s"), (2, " ".join(prose(30, 8)), "s"), (None, None, "s")]
+    df = documents(rows, **{n: F.lit(f"own {n}") for n in names})
+    got = D.clean(df, benchmark).collect()
+    assert sorted(str(r.doc_id) for r in got) == ["2", "None"]
+    assert all(r[n] == f"own {n}" for r in got for n in names) and got[0].__fields__ == df.columns
