@@ -190,13 +190,21 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, **target) -> DataFrame:
-    """The rows of ``docs``, each as many times as the mixture shows it."""
-    times = mix(docs, **target).groupBy("source_key", "doc_id").agg(F.count("*").alias("_times"))
-    keyed = docs.withColumn("_key", source_key(F.col("source")))
+    """The rows of ``docs``, each as many times as the mixture shows it, with all their columns.
+
+    Rows without a source are a source of their own, rows without an id one document of it; null and
+    empty texts are shown like others. Rows of one source and id are shown equally often, and equal
+    rows each. There are no ties to break. Columns may have any name. An empty table gives an empty
+    one.
+    """
+    rows = docs.select("doc_id", "source", "text")
+    times = mix(rows, **target).groupBy("source_key", "doc_id").agg(F.count("*").alias("_times"))
     times = times.select(F.col("source_key").alias("_t_key"), F.col("doc_id").alias("_t_id"), "_times")
-    same = (F.col("_key") == F.col("_t_key")) & keyed["doc_id"].eqNullSafe(F.col("_t_id"))
-    repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))
-    return keyed.join(times, same).select(*[keyed[c] for c in docs.columns], repeated.alias("_time")).drop("_time")
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_id"), source_key(F.col("source")).alias("_key")
+    )
+    same = (F.col("_key") == F.col("_t_key")) & F.col("_id").eqNullSafe(F.col("_t_id"))
+    return keyed.join(times, same).select(F.inline(F.array_repeat("row", F.col("_times").cast("int"))))
 
 
 _DRAW = "md5('mix|' || {})"

@@ -48,17 +48,28 @@ def near_deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
+    """Documents that hold a passage of the benchmark go; other columns pass unchanged.
+
+    Equal rows stay or go together; null and empty texts, and rows without an id, are judged like others.
+    """
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document is there at least once; those of small sources are repeated."""
+    """Every document is there at least once; those of small sources are repeated.
+
+    Rows without a source are a source of their own, and rows without an id are shown too. Equal
+    rows are repeated each. Other columns pass unchanged.
+    """
     return mixing.mixed_documents(docs)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row gets its shard, and its place in the shard's order."""
+    """Every row gets its shard, and its place in the shard's order.
+
+    Null ids and texts are placed like others, equal rows in one shard but in places of their own.
+    Columns named like an added one are replaced; others pass unchanged.
+    """
     return sharding.assign(docs, keep=docs.columns)
 
 

@@ -92,3 +92,14 @@ def test_odd_rows(documents):
 def test_plan_is_native(documents, prose):
     plan = mixing.mix(documents(corpus(prose, {"a": 5})))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_clashing_columns_pass_through(documents, prose):
+    names = ["_key", "_id", "_hash", "_row", "_time", "row", "_t_key", "_t_id", "_times", "tokens", "rows"]
+    rows = [*corpus(prose, {"a": 40, "b": 3, None: 2}), (None, None, None), (1, "twice", "a")]
+    df = documents(rows).withColumns({n: F.lit(f"own {n}") for n in names})
+    got = mixing.mixed_documents(df).collect()
+    assert all(r[n] == f"own {n}" for r in got for n in names) and got[0].__fields__ == df.columns
+    shown = Counter((r.doc_id, r.text, r.source) for r in got)
+    assert set(shown) == {(i, t, s) for i, t, s in rows} and max(shown.values()) > 1
+    assert mixing.mixed_documents(df.limit(0)).collect() == []
