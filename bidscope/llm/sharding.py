@@ -8,16 +8,20 @@ bytes of each slot, a table whose size is the number of slots whatever the numbe
 import heapq
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from bidscope.llm.registry import query, table
+from bidscope.session import scratch_path
 
 SLOTS = 4096
 #: Rows of a slot are numbered in this many parts, so that a slot is never ordered by one task.
 PARTS = 8
 SHARDS = 16
+#: Loads are even when the fullest and the emptiest shard differ by less than this share of the mean.
+EVEN = 1e-4
 
 
 @dataclass(frozen=True)
@@ -90,10 +94,10 @@ class SlotMap:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Add this version to the maps stored in ``path``; an earlier one is never changed."""
-        moved = F.array(*[F.lit(s) for s in self.moved]).cast("array<int>")
-        self.frame(spark).select("*", F.lit(self.shards).alias("shards"), moved.alias("moved")).coalesce(
-            1
-        ).write.mode("error").parquet(f"{path}/version={self.version}")
+        moved = set(self.moved)
+        rows = [(slot, shard, self.shards, slot in moved) for slot, shard in enumerate(self.owner)]
+        frame = spark.createDataFrame(rows, "virtual_slot int, shard int, shards int, moved boolean")
+        frame.coalesce(1).write.mode("error").parquet(f"{path}/version={self.version}")
 
 
 def load_map(spark: SparkSession, path: str, version: int | None = None) -> SlotMap:
@@ -102,7 +106,8 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Slot
     if version is None:
         version = maps.agg(F.max("version")).first()[0]
     rows = sorted(maps.filter(F.col("version") == version).collect(), key=lambda r: r["virtual_slot"])
-    return SlotMap(version, rows[0]["shards"], tuple(r["shard"] for r in rows), tuple(rows[0]["moved"]))
+    moved = tuple(r["virtual_slot"] for r in rows if r["moved"])
+    return SlotMap(version, rows[0]["shards"], tuple(r["shard"] for r in rows), moved)
 
 
 def first_map(sizes, shards: int = SHARDS, slots: int = SLOTS) -> SlotMap:
@@ -185,10 +190,30 @@ def write_shards(docs: DataFrame, slot_map: SlotMap, path: str) -> None:
     placed.join(owners, "virtual_slot").repartition("virtual_slot").write.partitionBy("shard").parquet(path)
 
 
+def balanced_map(docs: DataFrame, path: str, shards: int = SHARDS) -> SlotMap:
+    """The newest map in ``path`` after evening out the bytes of ``docs``, which becomes a version of its own.
+
+    Where there is no map yet, version 0 gives each shard as many slots.
+    """
+    spark = docs.sparkSession
+    slots = virtual_slot(F.col("doc_id"), text=F.col("text")).alias("virtual_slot")
+    sizes = slot_sizes(docs.select(slots, text_bytes(F.col("text")).alias("size")))
+    try:
+        newest = load_map(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        newest = first_map({}, shards)
+        newest.save(spark, path)
+    newest.rebalanced(sizes, EVEN).save(spark, path)
+    return load_map(spark, path)
+
+
 @query("op9_sharding")
 def sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return assign(docs).select(
+    slot_map = balanced_map(docs, scratch_path(spark, "slot-maps"))
+    return assign(docs, slot_map).select(
         "doc_id",
         "size",
         "text_crc32",

@@ -80,3 +80,20 @@ def test_one_id_with_many_texts_fills_all_shards(documents, prose, spark, tmp_pa
         path = str(tmp_path / f"of-{one}")
         sharding.write_shards(df, sharding.first_map({}), path)
         assert spark.read.parquet(path).select("shard").distinct().count() == 16
+
+
+def test_the_map_is_stored_edited_and_read_back(documents, prose, spark, tmp_path):
+    path = str(tmp_path / "maps")
+    first = documents(texts(prose, 3000))
+    one = sharding.balanced_map(first, path)
+    zero = sharding.load_map(spark, path, 0)
+    assert (zero.version, one.version) == (0, 1) and {zero.owner.count(s) for s in range(16)} == {256}
+    assert set(one.moved) == {s for s in range(4096) if zero.owner[s] != one.owner[s]}
+    loads = Counter()
+    for r in sharding.assign(first, one).collect():
+        loads[r.shard] += r.size
+    assert max(loads.values()) - min(loads.values()) < 0.01 * sum(loads.values()) / 16
+    # More documents: the next version moves only what evens them out.
+    two = sharding.balanced_map(first.union(documents([(9000 + i, t, s) for i, t, s in texts(prose, 500)])), path)
+    assert two.version == 2 and len(two.moved) < len(one.moved)
+    assert sharding.load_map(spark, path, 1) == one
