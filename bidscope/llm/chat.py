@@ -108,7 +108,7 @@ def _open_spans(groups: DataFrame, group: int) -> DataFrame:
     Only one sequence reaches the end of a group's places, so there is one row per ``cell``. Changes
     are chained in blocks of ``group`` groups, and blocks along the sequence.
     """
-    keys = ["conv_id", "run"]
+    keys = ["conv_id"]
     turn = lambda t: F.struct(
         t["size"].alias("total"),
         F.array(
@@ -170,10 +170,9 @@ def windows(
     budget: int = BUDGET,
     history_turns: int = HISTORY_TURNS,
     history_tokens: int = HISTORY_TOKENS,
-    run: int | None = None,
     group: int = GROUP,
 ) -> DataFrame:
-    """One row per window: conv_id, run, window, n_repeated, formatted and loss_spans.
+    """One row per window: conv_id, window, n_repeated, formatted and loss_spans.
 
     ``window`` is the place, from 0, of the window's first new turn. ``loss_spans`` are
     (start, length) in characters of ``formatted``, from 1. ``n_repeated`` is the number of turns
@@ -185,21 +184,17 @@ def windows(
     Null roles and texts count as empty. A null conv_id is a conversation of its own. No rows
     give no windows. Other columns of the input are ignored.
 
-    A conversation is one sequence, its ``run`` 0. A caller who gives ``run`` asks for a sequence
-    per that many turn numbers, each with windows, history and places of its own. ``group`` bounds
-    what one task gathers and changes no window.
+    ``group`` bounds what one task gathers and changes no window.
     """
-    number = F.lit(0) if run is None else F.floor(F.col("turn") / run)
     rows = turns.select(
         "conv_id",
-        number.cast("long").alias("run"),
         F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
         # Equal rows are told apart, so many of them do not share a range.
         F.monotonically_increasing_id().alias("_row_id"),
     )
-    placed = totals_before(rows, ["conv_id", "run", "turn", "role", "text", "_row_id"])
+    placed = totals_before(rows, ["conv_id", "turn", "role", "text", "_row_id"])
     systems = (
         placed.filter(F.col("role") == "system")
         .groupBy("conv_id")
@@ -215,8 +210,8 @@ def windows(
         F.struct("turn", "role", "text").alias("t"),
     )
     groups = (
-        placed.select("conv_id", "run", F.explode(cells).alias("cell"), item.alias("item"))
-        .groupBy("conv_id", "run", "cell")
+        placed.select("conv_id", F.explode(cells).alias("cell"), item.alias("item"))
+        .groupBy("conv_id", "cell")
         .agg(F.sort_array(F.collect_list("item")).alias("items"), F.max("item.place").alias("last"))
         .filter(F.col("last") >= F.col("cell") * group)
     )
@@ -233,7 +228,6 @@ def windows(
         F.col("open").isNotNull()
         & (F.col("first") == F.col("cell") * group)
         & F.col("conv_id").eqNullSafe(F.col("open.conv_id"))
-        & F.col("run").eqNullSafe(F.col("open.run"))
     )
     groups = groups.withColumns(
         {
@@ -289,7 +283,6 @@ def windows(
     begun = F.get(F.col("items"), F.col("start"))["place"]
     pieces = spans.select(
         "conv_id",
-        "run",
         "origin",
         "system",
         "history",
@@ -299,7 +292,7 @@ def windows(
         ).alias("part"),
     )
     # A span's pieces lie in one group, or in several that follow each other.
-    spans = pieces.groupBy("conv_id", "run", "start").agg(
+    spans = pieces.groupBy("conv_id", "start").agg(
         F.min("origin").alias("origin"),
         F.min("system").alias("system"),
         F.max("history").alias("history"),
@@ -310,7 +303,6 @@ def windows(
     lead = F.col("system").isNotNull() & ~F.coalesce(F.array_contains(shown, F.col("system")), F.lit(False))
     spans = spans.select(
         "conv_id",
-        "run",
         (F.col("start") - F.col("origin")).alias("window"),
         (F.col("history") + lead.cast("int")).alias("n_repeated"),
         F.when(lead, F.concat(F.array("system"), shown)).otherwise(shown).alias("shown"),
@@ -351,7 +343,6 @@ def windows(
     )
     return spans.select(
         "conv_id",
-        "run",
         "window",
         "n_repeated",
         F.array_join(
@@ -384,8 +375,7 @@ def digest(windowed: DataFrame) -> DataFrame:
     read = windowed.select(
         "conv_id",
         F.struct(
-            "run",
-            "window",
+                "window",
             read_turns(F.col("formatted"), F.col("n_repeated")).alias("turns"),
             loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
             F.length("formatted").alias("chars"),

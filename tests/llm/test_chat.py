@@ -35,7 +35,7 @@ NASTY = [
 
 def test_round_trip_of_any_text(spark):
     rows = [(1, k, r, t) for k, (r, t) in enumerate(NASTY)] + [(2, 0, "assistant", "alone")]
-    for kw in ({}, {"budget": 20, "history_turns": 1}, {"budget": 40, "run": 2}, {"history_turns": 0}):
+    for kw in ({}, {"budget": 20, "history_turns": 1}, {"budget": 40, "group": 2}, {"history_turns": 0}):
         assert digests(frame(spark, rows), **kw) == {1: expected(NASTY), 2: expected([("assistant", "alone")])}
 
 
@@ -74,9 +74,8 @@ def test_order_nulls_ties_and_empty_tables(spark):
 
 def test_a_long_conversation_is_many_groups(spark):
     rows = [(9, k, ("user", "assistant")[k % 2], f"t{k}") for k in range(1000)]
-    windowed = chat.windows(frame(spark, rows), run=64)
-    assert windowed.select("run").distinct().count() == 16
-    assert digests(frame(spark, rows), run=64)[9] == expected([(r, t) for _, _, r, t in rows])
+    assert digests(frame(spark, rows), group=64)[9] == expected([(r, t) for _, _, r, t in rows])
+    assert chat.windows(frame(spark, rows), group=64).count() == chat.windows(frame(spark, rows)).count()
 
 
 def test_extra_columns_do_not_matter(spark):
