@@ -17,6 +17,10 @@ Equal strings must meet in one task, and no task may hold an unbounded group:
    something else) is cut further into single starts, which need only be counted.
 
 Anchors, cores and counts use two independent 64-bit hashes.
+
+Passages of words are found in the same way: a text's words become a string of two bytes each, from
+their hashes, and a passage of more than ``PASSAGE`` words that occurs again is a repeated string of
+that. They are reported, not removed: a passage may be shorter than ``LENGTH`` bytes.
 """
 
 import hashlib
@@ -28,10 +32,15 @@ from pyspark.sql import functions as F
 
 from bidscope.llm import bitmap
 from bidscope.llm.registry import query, table
-from bidscope.llm.words import constants, mix, powers, raw, slices
+from bidscope.llm.words import constants, each, mix, powers, raw, slices
 from bidscope.session import staged
 
 LENGTH = 400
+#: Passages of more than this many words that occur again are reported.
+PASSAGE = 50
+#: Bytes of the code of a word, and words whose least hash is the anchor of a passage.
+CODE = 2
+CODE_WORDS = 8
 PIECE = 16
 HOT = 512
 #: Parts that the rows of a crowded key are dealt into.
@@ -82,8 +91,7 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[:n], before[width - 1 : width - 1 + n])
 
 
-def _anchors(length: int):
-    part = length // 2
+def _anchors(length: int, part: int):
     width = length - part + 1
 
     def run(batches):
@@ -393,9 +401,45 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     ``docs`` needs doc_id and text; text_hash is xxhash64 of the text.
     """
-    one = F.lit(1).cast("long")
+    return _spans(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), length, length // 2)
+
+
+def _word_codes(shortest: int):
+    """Texts of at least so many words to the codes of their words."""
+
+    def run(batches):
+        for batch in batches:
+            for lo, _, w in each(batch.column(2)):
+                rows = np.flatnonzero(np.diff(w.first) >= shortest)
+                codes = (w.hash >> np.uint64(64 - 8 * CODE)).astype(f"<u{CODE}")
+                at = pa.array(rows + lo)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(at),
+                        batch.column(1).take(at),
+                        pa.array([codes[w.first[k] : w.first[k + 1]].tobytes() for k in rows], type=pa.binary()),
+                    ],
+                    names=["doc_id", "text_hash", "text"],
+                )
+
+    return run
+
+
+def repeated_passages(docs: DataFrame, words: int = PASSAGE) -> DataFrame:
+    """doc_id, text_hash, begin and end, in bytes of word codes, of passages of more than ``words`` words.
+
+    Words are lower-cased and told apart by 16 bits of their hash: a word that differs inside a
+    passage is overlooked once in 65,536 times.
+    """
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    anchors = staged(keyed.mapInArrow(_anchors(length), ANCHORS), "anchors")
+    codes = staged(keyed.mapInArrow(_word_codes(words + 1), "doc_id long, text_hash long, text binary"), "word-codes")
+    return _spans(codes, CODE * (words + 1), CODE * min(CODE_WORDS, words))
+
+
+def _spans(keyed: DataFrame, length: int, part: int) -> DataFrame:
+    """Spans of the texts of ``keyed``; anchors are the least of strings of ``part`` bytes."""
+    one = F.lit(1).cast("long")
+    anchors = staged(keyed.mapInArrow(_anchors(length, part), ANCHORS), "anchors")
     again = _met_again(anchors, one, "again")
     classes = staged(_classes(again, one, "start", "offset", "starts"), "windows")
     whole = _counted_spans(again, classes, length)
@@ -415,7 +459,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ends = classes.filter("differ").select("key", "n", "one.*", "weight")
     few = _with_rows(texts, ends.filter(F.col("n") <= HOT), "key", "start", "starts", "weight")
     # Few bytes, much work: as many tasks as the session asks for, not as their bytes suggest.
-    parts_wanted = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts_wanted = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     few = few.mapInArrow(_windows(length), WINDOWS).repartition(parts_wanted, "key").sortWithinPartitions("key")
     found = few.mapInArrow(_expand(length), SPANS)
 
@@ -426,7 +470,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return whole.union(parts).union(found).union(_counted_spans(many, counts, length))
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin:long,end:long>>"
+RESULT = (
+    "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string,"
+    " n_passage_words long, spans array<struct<begin:long,end:long>>"
+)
 _SPAN_LIST = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
 
@@ -440,18 +487,23 @@ def _merged(spans) -> list[tuple[int, int]]:
     return out
 
 
+def _whole_words(codes) -> int:
+    """Words whose code lies within spans of codes."""
+    return sum(end // CODE - -(-begin // CODE) for begin, end in _merged(codes))
+
+
 def _cut(batches):
     for batch in batches:
         rows = []
-        for text, spans in zip(batch.column(1), batch.column(2).to_pylist()):
+        for text, spans, codes in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             data = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
             kept, at, runs = hashlib.sha256(), 0, _merged(spans)
             for begin, end in runs:
                 kept.update(data[at:begin])
                 at = end
             kept.update(data[at:])
-            rows.append((len(data), sum(e - b for b, e in runs), len(runs), kept.hexdigest(), runs))
-        sizes, removed, counts, digests, runs = zip(*rows) if rows else [()] * 5
+            rows.append((len(data), sum(e - b for b, e in runs), len(runs), kept.hexdigest(), _whole_words(codes), runs))
+        sizes, removed, counts, digests, words, runs = zip(*rows) if rows else [()] * 6
         spans = [[{"begin": b, "end": e} for b, e in r] for r in runs]
         yield pa.RecordBatch.from_arrays(
             [
@@ -460,30 +512,39 @@ def _cut(batches):
                 pa.array(removed, type=pa.int64()),
                 pa.array(counts, type=pa.int64()),
                 pa.array(digests, type=pa.string()),
+                pa.array(words, type=pa.int64()),
                 pa.array(spans, type=_SPAN_LIST),
             ],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"],
+            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_words", "spans"],
         )
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the removed spans.
+def remove_repeats(docs: DataFrame, length: int = LENGTH, passage: int | None = PASSAGE) -> DataFrame:
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_words and the removed spans.
 
     All occurrences of a repeated string go, the first one too. Texts are taken as UTF-8 bytes, so
-    a cut may fall inside a character. Null texts count as empty; texts shorter than ``length``
-    keep all their bytes. Equal rows are documents of their own, so what they share repeats. A null
-    id is a value like any other. An empty table gives an empty result. Other columns are ignored.
+    a cut may fall inside a character. ``n_passage_words`` counts the words of passages of more than
+    ``passage`` words that occur again in any text, the same one included (0 where None is given).
+    Null texts count as empty; texts shorter than ``length`` keep all their bytes. Equal rows are
+    documents of their own, so what they share repeats. A null id is a value like any other. An
+    empty table gives an empty result. Other columns are ignored.
     """
-    spans = staged(repeated_spans(docs, length), "spans")
+    span = F.struct("begin", "end")
+    spans = repeated_spans(docs, length).withColumn("words", F.lit(False))
+    if passage is not None:
+        spans = spans.union(repeated_passages(docs, passage).withColumn("words", F.lit(True)))
+    spans = staged(spans, "spans")
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     held = bitmap.build(spans.select("text_hash"), BITS)
     hit = bitmap.may_hold(held, F.col("text_hash"))
-    listed = spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-    listed = listed.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    listed = spans.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
+        F.collect_set(F.when(~F.col("words"), span)).alias("spans"), F.collect_set(F.when(F.col("words"), span)).alias("codes")
+    )
     touched = keyed.filter(hit)
-    touched = touched.join(listed, _same_text(touched, listed), "left").select("doc_id", "text", "spans")
-    none = F.lit(None).cast("array<struct<begin:bigint,end:bigint>>").alias("spans")
-    return touched.union(keyed.filter(~hit).select("doc_id", "text", none)).mapInArrow(_cut, RESULT)
+    touched = touched.join(listed, _same_text(touched, listed), "left").select("doc_id", "text", "spans", "codes")
+    none = F.lit(None).cast("array<struct<begin:bigint,end:bigint>>")
+    rest = keyed.filter(~hit).select("doc_id", "text", none.alias("spans"), none.alias("codes"))
+    return touched.union(rest).mapInArrow(_cut, RESULT)
 
 
 @query("op5_suffix_dedup")

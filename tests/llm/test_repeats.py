@@ -25,7 +25,7 @@ def expected(texts, length):
 
 
 def found(df, length):
-    got = R.remove_repeats(df, length).collect()
+    got = R.remove_repeats(df, length, passage=None).collect()
     return [tuple(r)[1:5] for r in sorted(got, key=lambda r: r.doc_id)]
 
 
@@ -65,8 +65,35 @@ def test_expansion_equals_counting():
 def test_ids_and_empty_tables(documents, prose):
     text = " ".join(prose(60, 1))
     df = documents([(1, text, "s"), (1, text, "s"), (None, text[:300], "s"), (None, "", "s"), (2, None, "s")])
-    got = R.remove_repeats(df, 50).collect()
+    got = R.remove_repeats(df, 50, passage=None).collect()
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in got) == sorted(
         [("1", len(text), len(text))] * 2 + [("None", 300, 300), ("None", 0, 0), ("2", 0, 0)]
     )
     assert R.remove_repeats(df.limit(0), 50).collect() == []
+    shared = sum(a == b for a, b in zip(text[:300].split(), text.split()))  # the last word may be cut
+    assert {r.n_passage_words for r in R.remove_repeats(df, 50, 6).collect()} == {0, shared, 60}
+
+
+def passage_words(texts, words, more_than):
+    """Words in passages of more than so many words that occur again, by counting all of them."""
+    split, size = [words(t) for t in texts], more_than + 1
+    seen = Counter(tuple(w[k : k + size]) for w in split for k in range(len(w) - size + 1))
+    out = []
+    for w in split:
+        held = set()
+        for k in range(len(w) - size + 1):
+            if seen[tuple(w[k : k + size])] > 1:
+                held |= set(range(k, k + size))
+        out.append(len(held))
+    return out
+
+
+def test_passages_shorter_than_removed_strings_are_reported(documents, prose, words):
+    passage, other = prose(51, 1), prose(50, 2)
+    texts = [" ".join(prose(30, 10 + k) + passage + prose(20, 50 + k)) for k in range(12)]
+    texts += [" ".join(prose(9, 90 + k) + other + prose(9, 95 + k)) for k in range(3)]  # too short a passage
+    texts += [" ".join(passage[:40] + ["edit"] + passage[40:]), " ".join(w.upper() for w in passage), None, "", " "]
+    texts += [" ".join(prose(60, 7)), " ".join(prose(60, 7) + prose(200, 8)), " ".join(prose(55, 9) * 3), " ".join(prose(400, 11))]
+    got = R.remove_repeats(documents([(i, t, "s") for i, t in enumerate(texts)]), 10_000).orderBy("doc_id").collect()
+    assert [r.n_passage_words for r in got] == passage_words(texts, words, 50)
+    assert got[0].n_passage_words == 51 and got[0].n_removed == 0 and got[12].n_passage_words == 0
