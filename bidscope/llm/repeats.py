@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from bidscope.llm import bitmap
 from bidscope.llm.registry import query, table
 from bidscope.llm.words import constants, each, mix, powers, raw, slices
-from bidscope.session import staged
+from bidscope.session import scratch_path, staged
 
 LENGTH = 400
 #: Passages of more than this many words that occur again are reported.
@@ -247,22 +247,29 @@ def _windows(length: int):
 
 
 def suffix_array(symbols: np.ndarray, length: int) -> np.ndarray:
-    """Suffixes in the order of at least their first ``length`` symbols, by doubled prefixes."""
-    n, size = len(symbols), 1
-    rank = symbols.astype(np.int64)
+    """Suffixes in the order of at least their first ``length`` symbols, by doubled prefixes.
+
+    The first prefixes are as many symbols as fit into one number.
+    """
+    n, bits = len(symbols), max(1, int(symbols.max()).bit_length())
+    size = min(62 // bits, length)
+    key = np.zeros(n, dtype=np.int64)
+    for k in range(size):
+        key <<= bits
+        key[: max(n - k, 0)] |= symbols[k:]
     while True:
-        after = np.zeros(n, dtype=np.int64)
-        after[: n - size] = rank[size:] + 1 if size < n else 0
-        pair = rank * (int(rank.max()) + 2) + after
-        order = np.argsort(pair)
-        ordered = pair[order]
+        order = np.argsort(key)
+        ordered = key[order]
         new = np.zeros(n, dtype=np.int64)
         new[1:] = ordered[1:] != ordered[:-1]
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(new)
-        size *= 2
         if size >= length or rank[order[-1]] == n - 1 or size >= n:
             return order
+        after = np.zeros(n, dtype=np.int64)
+        after[: n - size] = rank[size:] + 1
+        key = rank * (int(rank.max()) + 2) + after
+        size *= 2
 
 
 def repeated_suffixes(symbols: np.ndarray, length: int) -> np.ndarray:
@@ -350,6 +357,23 @@ def _expand(length: int):
     return run
 
 
+class _Scratch:
+    """Staged tables of one search; they go once its spans are written, so disk does not add up."""
+
+    def __init__(self, spark) -> None:
+        self.spark, self.paths = spark, []
+
+    def staged(self, df: DataFrame, purpose: str) -> DataFrame:
+        self.paths.append(scratch_path(self.spark, purpose))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def drop(self) -> None:
+        for name in self.paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _same_text(left: DataFrame, right: DataFrame):
     return left["doc_id"].eqNullSafe(right["_id"]) & (left["text_hash"] == right["_hash"])
 
@@ -361,15 +385,15 @@ def _with_rows(texts: DataFrame, rows: DataFrame, *fields: str) -> DataFrame:
     return texts.join(listed, _same_text(texts, listed)).select("doc_id", "text_hash", "text", "rows")
 
 
-def _met_again(rows: DataFrame, weight, purpose: str) -> DataFrame:
+def _met_again(rows: DataFrame, weight, staged) -> DataFrame:
     """Rows whose key occurs again, with ``differ`` (not all of the key are equal) and ``n``."""
     keys = rows.groupBy("key").agg(
         F.sum(weight).alias("_all"), F.min("win").alias("_lo"), F.max("win").alias("_hi"), F.count("*").alias("n")
     )
     keys = keys.filter(F.col("_all") > 1).select("key", "n", (F.col("_lo") != F.col("_hi")).alias("differ"))
-    keys = staged(keys, purpose)
+    keys = staged(keys, "keys")
     held = bitmap.build(keys.select("key"), BITS)
-    return staged(rows.filter(bitmap.may_hold(held, F.col("key"))).join(keys, "key"), purpose)
+    return staged(rows.filter(bitmap.may_hold(held, F.col("key"))).join(keys, "key"), "again")
 
 
 def _classes(rows: DataFrame, weight, *fields: str) -> DataFrame:
@@ -401,7 +425,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     ``docs`` needs doc_id and text; text_hash is xxhash64 of the text.
     """
-    return _spans(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), length, length // 2)
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return _spans(keyed, length, length // 2, _Scratch(docs.sparkSession))
 
 
 def _word_codes(shortest: int):
@@ -432,15 +457,22 @@ def repeated_passages(docs: DataFrame, words: int = PASSAGE) -> DataFrame:
     passage is overlooked once in 65,536 times.
     """
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    codes = staged(keyed.mapInArrow(_word_codes(words + 1), "doc_id long, text_hash long, text binary"), "word-codes")
-    return _spans(codes, CODE * (words + 1), CODE * min(CODE_WORDS, words))
+    scratch = _Scratch(docs.sparkSession)
+    codes = keyed.mapInArrow(_word_codes(words + 1), "doc_id long, text_hash long, text binary")
+    return _spans(scratch.staged(codes, "word-codes"), CODE * (words + 1), CODE * min(CODE_WORDS, words), scratch)
+
+
+def _spans(keyed: DataFrame, length: int, part: int, scratch: _Scratch) -> DataFrame:
+    """Spans of the texts of ``keyed``, written down; anchors are the least of strings of ``part`` bytes."""
+    spans = staged(_searched(keyed, length, part, scratch.staged), "spans")
+    scratch.drop()
+    return spans
 
 
-def _spans(keyed: DataFrame, length: int, part: int) -> DataFrame:
-    """Spans of the texts of ``keyed``; anchors are the least of strings of ``part`` bytes."""
+def _searched(keyed: DataFrame, length: int, part: int, staged) -> DataFrame:
     one = F.lit(1).cast("long")
     anchors = staged(keyed.mapInArrow(_anchors(length, part), ANCHORS), "anchors")
-    again = _met_again(anchors, one, "again")
+    again = _met_again(anchors, one, staged)
     classes = staged(_classes(again, one, "start", "offset", "starts"), "windows")
     whole = _counted_spans(again, classes, length)
 
@@ -452,7 +484,7 @@ def _spans(keyed: DataFrame, length: int, part: int) -> DataFrame:
 
     pieces = _with_rows(texts, several, "start", "offset", "starts", "weight")
     pieces = staged(pieces.mapInArrow(_pieces(length), PIECES), "pieces")
-    again = _met_again(pieces, F.col("weight"), "again")
+    again = _met_again(pieces, F.col("weight"), staged)
     classes = staged(_classes(again, F.col("weight"), "start", "starts"), "cores")
     parts = _counted_spans(again, classes, length)
 
@@ -533,7 +565,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, passage: int | None =
     spans = repeated_spans(docs, length).withColumn("words", F.lit(False))
     if passage is not None:
         spans = spans.union(repeated_passages(docs, passage).withColumn("words", F.lit(True)))
-    spans = staged(spans, "spans")
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     held = bitmap.build(spans.select("text_hash"), BITS)
     hit = bitmap.may_hold(held, F.col("text_hash"))
