@@ -39,9 +39,24 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; where none is set, a folder in Spark's warehouse."""
+    """The cluster's checkpoint folder; where none is set, a folder in Spark's warehouse.
+
+    A warehouse on the driver's own disk serves a local session only: executors elsewhere would
+    not see what lies there, so that is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged").rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    path = spark._jvm.org.apache.hadoop.fs.Path(warehouse)
+    scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+    return _shared(f"{warehouse}/_staged".rstrip("/"), scheme, spark.sparkContext.master)
+
+
+def _shared(folder: str, scheme: str, master: str) -> str:
+    if scheme == "file" and master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder
 
 
 def run_folder(spark: SparkSession) -> str:

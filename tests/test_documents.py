@@ -121,11 +121,10 @@ def test_one_object_counts_for_each_name(spark, tmp_path):
     assert [bytes(r.content) for r in attach_archives(tenders, with_content).collect()] == [b"a"]
 
 
-def test_a_member_too_large_is_reported(spark, tmp_path, monkeypatch):
+def test_a_member_too_large_is_reported():
     from bidscope.operators import archives as ops
 
-    monkeypatch.setattr(ops, "MEMBER_BYTES", 3)
-    rows = list(ops._files(ops._opener(packed_items([("big.txt", b"1234"), ("ok.txt", b"123")]))))
+    rows = list(ops._files(packed_items([("big.txt", b"1234"), ("ok.txt", b"123")]), 3))
     assert [("error" in r, r["path"]) for r in rows] == [(True, "big.txt"), (False, "ok.txt")]
 
 
@@ -437,3 +436,29 @@ def test_status_stream_in_any_order(spark, tmp_path):
     version = store.version()
     stream_status(spark, folder, store, checkpoint, lambda: NOW).awaitTermination()
     assert store.version() == version
+
+
+def test_members_of_one_archive_are_dealt_to_many_tasks(spark, tmp_path):
+    """Nested archives, broken ones and empty files among them; as bytes and by path the same."""
+    inner = packed_items([("deep/x.txt", b"x" * 90), ("more.zip", packed_items([("y.txt", b"yy"), ("z.txt", b"")])), ("bad.zip", b"no")])
+    items = [(f"n{k:04}.txt", b"t%d" % k) for k in range(900)]
+    items[100:100] = [("one.zip", inner), ("broken.zip", b"not a zip"), ("folder/", b""), ("big.txt", b"b" * 400)]
+    items.append(("last.ZIP", inner))
+    (tmp_path / "a.zip").write_bytes(packed_items(items))
+    (tmp_path / "empty.zip").write_bytes(packed_items([]))
+    (tmp_path / "none.zip").write_bytes(b"no archive")
+    stored = archive_files(spark, str(tmp_path)).withColumn("id", F.ascii(F.element_at(F.split("path", "/"), -1)).cast("long"))
+    loaded = spark.read.format("binaryFile").load(str(tmp_path)).withColumn("id", F.ascii(F.element_at(F.split("path", "/"), -1)).cast("long"))
+    want = expand_archives(loaded.select("id", "content"), "id", member_bytes=300).orderBy("id", "position").collect()
+    columns = ["id", "position", "path", "file_type", "content"]
+    for bounds in ({}, {"piece_bytes": 50}, {"piece_bytes": 700}):
+        got = expand_archives(stored, "id", member_bytes=300, **bounds).withColumn("task", F.spark_partition_id())
+        rows = got.orderBy("id", "position").collect()
+        assert [[r[c] for c in columns] for r in rows] == [[r[c] for c in columns] for r in want]
+        assert [r.error is None for r in rows] == [r.error is None for r in want]
+        assert len({r.task for r in rows if r.id == ord("a")}) > 1
+    assert [r.position for r in want if r.id == ord("a")] == list(range(900 + 2 * 4 + 2))
+    assert [r.path for r in want if r.error and r.id == ord("a")] == ["one.zip/bad.zip", "broken.zip", "big.txt", "last.ZIP/bad.zip"]
+    # The nested archives are larger than a file may be: taken apart as streams.
+    small = expand_archives(stored, "id", member_bytes=95).filter("error IS NULL").select("path").collect()
+    assert {"one.zip/deep/x.txt", "last.ZIP/more.zip/y.txt"} <= {r.path for r in small} and len(inner) > 95

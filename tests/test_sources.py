@@ -104,3 +104,24 @@ def test_first_replacement_may_be_empty(spark, tmp_path):
     outcome = store.replace(spark.range(1, 3).select(F.col("id").alias("tender_record_id")), none, HashEmbedder(4))
     assert outcome.count() == 2 and store.version() == 1
     assert store.files().isEmpty() and store.chunks().isEmpty()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from bidscope.session import _shared
+
+    assert _shared("/w", "file", "local[8]") == "/w" and _shared("hdfs://w", "hdfs", "yarn") == "hdfs://w"
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            _shared("/w", "file", master)
+
+
+def test_schemes_of_storage():
+    from bidscope.functions import paths
+
+    assert paths.known_uri("s3a://bucket/a/b.zip") == "s3://bucket/a/b.zip"
+    assert paths.known_uri("wasbs://c@h/a:/b") == "abfss://c@h/a:/b" and paths.known_uri("/a/b:/c") == "/a/b:/c"
+    for local in ("/tmp/a.zip", "file:/tmp/a.zip", "file:///tmp/a.zip"):
+        kind, path = paths.filesystem(local)
+        assert kind.type_name == "local" and path == "/tmp/a.zip"
+    with pytest.raises(ValueError, match="dbfs"):
+        paths.filesystem("dbfs:/a.zip")
