@@ -14,10 +14,10 @@ import zlib
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bidscope.functions.paths import filesystem
 from bidscope.llm.registry import query, table
 from bidscope.session import scratch_path, staged
 
@@ -44,13 +44,6 @@ def _names(schema: str) -> list[str]:
     return [field.split()[0] for field in schema.split(", ")]
 
 
-def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a folder, which executors open by themselves, and the path in it."""
-    if folder.startswith("file:/") and not folder.startswith("file://"):
-        folder = "file://" + folder.removeprefix("file:")
-    return pafs.FileSystem.from_uri(folder)
-
-
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -125,7 +118,7 @@ def _write(folder: str):
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        filesystem, path = _filesystem(folder)
+        filesystem, path = filesystem(folder)
         filesystem.create_dir(path)
         name, n, out, at = f"{context.partitionId():06d}-{context.taskAttemptId()}", 0, None, 0
         try:
@@ -190,7 +183,7 @@ def coalesce_ranges(ranges: list[tuple[int, int]], gap: int = GAP_BYTES, most: i
 
 def _read(folder: str):
     def run(batches):
-        filesystem, path = _filesystem(folder)
+        filesystem, path = filesystem(folder)
         opened, name = None, None
         for batch in batches:
             archives, offsets, lengths = (batch.column(c).to_pylist() for c in ("archive", "offset", "length"))
