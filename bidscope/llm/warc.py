@@ -118,8 +118,8 @@ def _write(folder: str):
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        filesystem, path = filesystem(folder)
-        filesystem.create_dir(path)
+        storage, path = filesystem(folder)
+        storage.create_dir(path)
         name, n, out, at = f"{context.partitionId():06d}-{context.taskAttemptId()}", 0, None, 0
         try:
             for batch in batches:
@@ -133,7 +133,7 @@ def _write(folder: str):
                             out.close()
                             n += 1
                         archive = f"{name}-{n}.warc.gz"
-                        out, at = filesystem.open_output_stream(f"{path}/{archive}", compression=None), 0
+                        out, at = storage.open_output_stream(f"{path}/{archive}", compression=None), 0
                     found = digest(payload)
                     revisit = keeper is not None
                     packer = zlib.compressobj(6, zlib.DEFLATED, 31)  # 31: a gzip member of its own
@@ -183,7 +183,7 @@ def coalesce_ranges(ranges: list[tuple[int, int]], gap: int = GAP_BYTES, most: i
 
 def _read(folder: str):
     def run(batches):
-        filesystem, path = filesystem(folder)
+        storage, path = filesystem(folder)
         opened, name = None, None
         for batch in batches:
             archives, offsets, lengths = (batch.column(c).to_pylist() for c in ("archive", "offset", "length"))
@@ -196,7 +196,7 @@ def _read(folder: str):
                     if opened is not None:
                         opened.close()
                     name = archives[begin]
-                    opened = filesystem.open_input_file(f"{path}/{name}")
+                    opened = storage.open_input_file(f"{path}/{name}")
                 ranges = list(zip(offsets[begin:end], lengths[begin:end]))
                 for group in coalesce_ranges(ranges):
                     first = ranges[group[0]][0]
