@@ -216,6 +216,29 @@ def local_dates_events(spark, sf_dir):
     return events.select("event_id", dates.local_date(F.col("ts")).alias("local_day"))
 
 
+_LOCAL_TS = "((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Africa/Casablanca')"
+
+
+@query(
+    "display_dates_events",
+    f"""SELECT event_id, strftime({_LOCAL_TS}, '%d/%m/%Y') AS day, strftime({_LOCAL_TS}, '%H:%M') AS time,
+      strftime({_LOCAL_TS}, '%d/%m/%Y %H:%M') AS shown,
+      strftime({_LOCAL_TS}, '%Y-%m-%dT%H:%M:%S')
+        || CASE WHEN {_LOCAL_TS} > ts THEN '+01:00' ELSE '+00:00' END AS iso
+    FROM events""",
+)
+def display_dates_events(spark, sf_dir):
+    """Instants of a time of the year when the local clock is an hour ahead."""
+    ts = F.date_trunc("second", "ts")
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        dates.format_date(dates.local_time(ts)).alias("day"),
+        dates.format_time(ts).alias("time"),
+        dates.format_deadline(ts).alias("shown"),
+        dates.iso_local(ts).alias("iso"),
+    )
+
+
 @query(
     "known_tenders",
     f"""{WITH_TENDERS} SELECT event_id, user_id * 101 IN (SELECT id FROM tenders) AS known,
