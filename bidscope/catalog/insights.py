@@ -1,5 +1,6 @@
 """Insight queries over the tender view."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bidscope.catalog.base import (
@@ -249,36 +250,78 @@ def status_report(spark, sf_dir):
     return insights.status_report(tenders(spark, sf_dir))
 
 
+def _all_time_top(dimension):
+    return f"""{WITH_TENDERS}, counts AS (
+      SELECT {key_sql(dimension)} AS key, {spelling_sql(dimension)} AS spelling, count(*) AS n
+      FROM tenders WHERE {period_sql('all')} GROUP BY 1, 2 HAVING key <> ''
+    ), best AS (
+      SELECT key, arg_min(spelling, (-n, spelling)) AS label, CAST(sum(n) AS BIGINT) AS tender_count
+      FROM counts GROUP BY key ORDER BY tender_count DESC, label LIMIT 10
+    )
+    SELECT label, tender_count, tender_count * 100.0 / greatest(1, max(tender_count) OVER ()) AS share,
+      row_number() OVER (ORDER BY tender_count DESC, label) AS place FROM best"""
+
+
+# Every section of the page: its SQL, and its fields in the order in which the row is written out.
 _SECTIONS = {
-    "coverage": "coverage_all",
-    "closing_soon": "closing_soon_buckets",
-    "new_this_week": "new_this_week",
-    "short_response_windows": "short_response_windows_all_time",
-    "response_windows_category": "response_window_category",
-    "response_windows_public_buyer": "response_window_public_buyer",
+    "coverage": (
+        ORACLES["coverage_all"],
+        "tender_count earliest_publication_date latest_publication_date without_deadline_count",
+    ),
+    "closing_soon": (
+        ORACLES["closing_soon_buckets"],
+        "id reference_number tender_object public_buyer deadline bucket",
+    ),
+    "new_this_week": (
+        ORACLES["new_this_week"],
+        "id reference_number tender_object public_buyer publication_date deadline",
+    ),
+    "short_response_windows": (
+        ORACLES["short_response_windows_all_time"],
+        "id reference_number tender_object public_buyer category response_window_days category_median_days",
+    ),
+    "response_windows_category": (ORACLES["response_window_category"], "label median_days tender_count"),
+    "response_windows_public_buyer": (
+        ORACLES["response_window_public_buyer"],
+        "label median_days tender_count",
+    ),
+    **{
+        f"top_{dimension}": (_all_time_top(dimension), "place label tender_count share")
+        for dimension in ("category", "location", "public_buyer")
+    },
 }
+# Numbers with a fraction are written with six decimals.
+_FRACTIONS = ("median_days", "category_median_days", "share")
+
+
+def _written_sql(fields):
+    texts = [
+        f"coalesce(CAST({f'CAST({name} AS DECIMAL(18, 6))' if name in _FRACTIONS else name} AS VARCHAR), '-')"
+        for name in fields.split()
+    ]
+    return "concat_ws('|', " + ", ".join(texts) + ")"
+
+
+def _written(fields):
+    values = [F.col(name).cast("decimal(18,6)") if name in _FRACTIONS else F.col(name) for name in fields.split()]
+    return F.concat_ws("|", *[F.coalesce(value.cast("string"), F.lit("-")) for value in values])
 
 
 @query(
     "insights_page",
     " UNION ALL ".join(
-        f"SELECT '{section}' AS section, count(*) AS row_count FROM ({ORACLES[name]}) AS s"
-        for section, name in _SECTIONS.items()
-    )
-    + "".join(
-        f""" UNION ALL SELECT 'top_{dimension}', least(10, count(*)) FROM ({WITH_TENDERS}
-        SELECT DISTINCT {key_sql(dimension)} AS key FROM tenders
-        WHERE publication_date IS NOT NULL AND {key_sql(dimension)} <> '') AS s"""
-        for dimension in ("category", "location", "public_buyer")
+        f"SELECT '{section}' AS section, {_written_sql(fields)} AS fields FROM ({sql}) AS s"
+        for section, (sql, fields) in _SECTIONS.items()
     ),
 )
 def insights_page_query(spark, sf_dir):
-    """How many rows each section of the all-time page has."""
-    counts = [
-        rows.agg(F.count("*").alias("row_count")).select(F.lit(section).alias("section"), "row_count")
-        for section, rows in insights_page(tenders(spark, sf_dir), NOW, InsightsFilter("all")).items()
-    ]
-    combined = counts[0]
-    for other in counts[1:]:
-        combined = combined.unionByName(other)
+    """All rows of every section of the all-time page, fields as text; tops with their place."""
+    sections = insights_page(tenders(spark, sf_dir), NOW, InsightsFilter("all"))
+    combined = None
+    for section, rows in sections.items():
+        if section.startswith("top_"):  # a report of ten rows
+            place = F.row_number().over(W.orderBy(F.desc("tender_count"), "label"))
+            rows = rows.withColumn("place", place)
+        written = rows.select(F.lit(section).alias("section"), _written(_SECTIONS[section][1]).alias("fields"))
+        combined = written if combined is None else combined.unionByName(written)
     return combined

@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -116,12 +116,12 @@ def top(
     one_of("dimension", dimension, TOP_DIMENSIONS)
     in_range("limit", limit, 1, TOP_LIMIT[1])
     counts = spelling_counts(tenders.filter(which.predicate(now)), dimension)
-    return (
-        label_by_key(counts)
-        .select("label", "tender_count")
-        .orderBy(F.desc("tender_count"), "label")
-        .limit(limit)
-    )
+    return most_tenders(label_by_key(counts)).limit(limit)
+
+
+def most_tenders(groups: DataFrame, *others: str) -> DataFrame:
+    """Groups as a report: most tenders first, ties by label."""
+    return groups.select("label", *others, "tender_count").orderBy(F.desc("tender_count"), "label")
 
 
 def with_shares(top_values: DataFrame) -> DataFrame:
@@ -134,13 +134,13 @@ def response_windows(
     tenders: DataFrame, now: datetime, which: InsightsFilter = InsightsFilter()
 ) -> DataFrame:
     """The filtered tenders that have a deadline, with their response window in days."""
-    return (
-        tenders.filter(which.predicate(now) & F.col("deadline").isNotNull())
-        .withColumn(
-            "response_window_days",
-            response_window(F.col("deadline"), F.col("publication_date")).cast("bigint"),
-        )
-    )
+    return with_window(tenders.filter(which.predicate(now) & F.col("deadline").isNotNull()))
+
+
+def with_window(tenders: DataFrame, counted: Column | None = None) -> DataFrame:
+    """Tenders with their response window in days; null where they do not count."""
+    days = response_window(F.col("deadline"), F.col("publication_date")).cast("bigint")
+    return tenders.withColumn("response_window_days", days if counted is None else F.when(counted, days))
 
 
 def median_windows(windowed: DataFrame, dimension: str) -> DataFrame:
@@ -158,6 +158,10 @@ def median_windows(windowed: DataFrame, dimension: str) -> DataFrame:
         .groupBy("key", "spelling", "response_window_days")
         .agg(F.count("*").alias("pair_count"))
     )
+    return _median_labels(pairs)
+
+
+def _median_labels(pairs: DataFrame) -> DataFrame:
     spellings = pairs.groupBy("key", "spelling").agg(F.sum("pair_count").alias("n"))
     medians = pairs.groupBy("key").agg(
         F.percentile("response_window_days", F.lit(0.5), F.col("pair_count")).alias("median_days")
@@ -173,11 +177,7 @@ def response_window_groups(
 ) -> DataFrame:
     """Median response window per value, most tenders first, ties by label."""
     one_of("dimension", dimension, WINDOW_DIMENSIONS)
-    return (
-        median_windows(response_windows(tenders, now, which), dimension)
-        .select("label", "median_days", "tender_count")
-        .orderBy(F.desc("tender_count"), "label")
-    )
+    return most_tenders(median_windows(response_windows(tenders, now, which), dimension), "median_days")
 
 
 def short_response_windows(
@@ -189,26 +189,106 @@ def short_response_windows(
     that the join is a shuffle whose hot categories adaptive execution splits.
     """
     windowed = response_windows(tenders, now, which)
-    medians = median_windows(windowed, "category").select(
+    medians = category_medians(median_windows(windowed, "category"))
+    keyed = windowed.withColumn("category_key", group_key(F.col("category")))
+    return shorter_than_half(keyed.join(medians, "category_key").filter(is_short()))
+
+
+def category_medians(medians: DataFrame) -> DataFrame:
+    return medians.select(
         F.col("key").alias("category_key"), F.col("median_days").alias("category_median_days")
     )
+
+
+def is_short() -> Column:
+    return F.col("response_window_days") < F.col("category_median_days") / 2
+
+
+def shorter_than_half(short: DataFrame) -> DataFrame:
+    """The short windows as a report: shortest first, then by id."""
+    return short.select(
+        "id",
+        "reference_number",
+        "tender_object",
+        "public_buyer",
+        "category",
+        "response_window_days",
+        "category_median_days",
+    ).orderBy("response_window_days", "id")
+
+
+def page_counts(
+    tenders: DataFrame, now: datetime, which: InsightsFilter = InsightsFilter()
+) -> DataFrame:
+    """Counts of every dimension in one scan and one shuffle.
+
+    One row per (dimension, key, spelling, response window), the last null without a deadline, and
+    one row without a dimension that counts the period. Each task combines its rows first, so a
+    value held by very many tenders reaches the shuffle as a few rows of each task.
+    """
+    counted = is_open(now) if which.open_only else F.lit(True)
+    days = F.col("response_window_days")
+
+    def group(dimension: str) -> Column:
+        # Windows do not matter where no median is asked for, and would only make more groups.
+        window = days if dimension in WINDOW_DIMENSIONS else F.lit(None).cast("bigint")
+        value = F.col(dimension)
+        return F.struct(
+            F.lit(dimension).alias("dimension"),
+            group_key(value).alias("key"),
+            spelling(value).alias("spelling"),
+            window.alias("response_window_days"),
+        )
+
+    void = F.lit(None).cast("string")
+    period = F.struct(
+        void.alias("dimension"),
+        void.alias("key"),
+        void.alias("spelling"),
+        F.lit(None).cast("bigint").alias("response_window_days"),
+    )
+    groups = [F.when(F.col("counted"), group(dimension)) for dimension in TOP_DIMENSIONS]
+    published = F.when(F.col("counted"), F.col("publication_date"))
+    exploded = (
+        with_window(tenders.filter(which.in_period(now)))
+        .withColumn("counted", F.coalesce(counted, F.lit(False)))
+        .select("counted", "publication_date", "deadline", F.explode(F.array(period, *groups)).alias("g"))
+    )
     return (
-        windowed.withColumn("category_key", group_key(F.col("category")))
-        .join(medians, "category_key")
-        .filter(F.col("response_window_days") < F.col("category_median_days") / 2)
-        .select(
-            "id",
-            "reference_number",
-            "tender_object",
-            "public_buyer",
-            "category",
-            "response_window_days",
-            "category_median_days",
+        exploded.filter(F.col("g").isNotNull() & (F.col("g.dimension").isNull() | (F.col("g.key") != "")))
+        .groupBy("g.dimension", "g.key", "g.spelling", "g.response_window_days")
+        .agg(
+            F.count_if("counted").alias("n"),
+            F.min(published).alias("earliest_publication_date"),
+            F.max(published).alias("latest_publication_date"),
+            F.count_if(F.col("deadline").isNull()).alias("without_deadline_count"),
         )
-        .orderBy("response_window_days", "id")
     )
 
 
+def counted_coverage(counts: DataFrame) -> DataFrame:
+    """``coverage`` from ``page_counts``; one row even if nothing was counted."""
+    return counts.filter(F.col("dimension").isNull()).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("tender_count"),
+        F.min("earliest_publication_date").alias("earliest_publication_date"),
+        F.max("latest_publication_date").alias("latest_publication_date"),
+        F.coalesce(F.sum("without_deadline_count"), F.lit(0)).alias("without_deadline_count"),
+    )
+
+
+def counted_spellings(counts: DataFrame, dimension: str) -> DataFrame:
+    """``spelling_counts`` from ``page_counts``."""
+    chosen = counts.filter(F.col("dimension") == dimension)
+    return chosen.groupBy("key", "spelling").agg(F.sum("n").alias("n"))
+
+
+def counted_medians(counts: DataFrame, dimension: str) -> DataFrame:
+    """``median_windows`` from ``page_counts``."""
+    one_of("dimension", dimension, WINDOW_DIMENSIONS)
+    windowed = (F.col("dimension") == dimension) & F.col("response_window_days").isNotNull()
+    return _median_labels(counts.filter(windowed).withColumnRenamed("n", "pair_count"))
+
+
 def status_report(tenders: DataFrame) -> DataFrame:
     """Tenders per status and last status."""
     return tenders.groupBy("status", "last_status").agg(F.count("*").alias("tender_count"))
