@@ -17,7 +17,12 @@ from bidscope.catalog.base import (
 )
 from bidscope.functions import dates, text
 from bidscope.operators import filters, lookup
+from bidscope.plans import paging
+from bidscope.schemas import TENDERS
+from bidscope.session import scratch_path
 from bidscope.sources import export
+from bidscope.sources.keywords import KeywordIndex
+from bidscope.sources.store import TenderStore
 
 _SUMMARY = f"""id, reference_number, tender_object, public_buyer, deadline,
   {HAS_ARCHIVE_SQL} AS has_dce_archive"""
@@ -63,6 +68,39 @@ def list_has_next(spark, sf_dir):
     return lookup.has_next_page(tenders(spark, sf_dir), 50, 40, closing_soon_at=NOW)
 
 
+_DEEP = f"""{WITH_TENDERS}, placed AS (SELECT {_SUMMARY},
+      row_number() OVER (ORDER BY publication_date DESC NULLS LAST, id) AS place, count(*) OVER () AS n
+    FROM tenders)"""
+
+
+def _stored(spark, sf_dir):
+    store = TenderStore(spark, scratch_path(spark, "tenders"))
+    store.write(tenders(spark, sf_dir).select(*TENDERS.fieldNames()))
+    return store
+
+
+@query(
+    "list_deep_page",
+    f"{_DEEP} SELECT * EXCLUDE (place, n) FROM placed WHERE place > n * 4 // 5 AND place <= n * 4 // 5 + 50",
+)
+def list_deep_page(spark, sf_dir):
+    """A page four fifths down the stored list."""
+    store = _stored(spark, sf_dir)
+    total = store.days().agg(F.sum("n")).first()[0]
+    return paging.list_page(store, offset=total * 4 // 5)
+
+
+@query(
+    "list_last_page",
+    f"{_DEEP} SELECT * EXCLUDE (place, n) FROM placed WHERE place > n - 20",
+)
+def list_last_page(spark, sf_dir):
+    """The end of the list, where tenders without a date lie."""
+    store = _stored(spark, sf_dir)
+    total = store.days().agg(F.sum("n")).first()[0]
+    return paging.list_page(store, offset=total - 20)
+
+
 _DETAIL = f"""id, tender_id, organization_acronym, reference_number, tender_object, public_buyer,
   location, category, procurement_type, publication_date, deadline,
   {HAS_ARCHIVE_SQL} AS has_dce_archive"""
@@ -93,6 +131,17 @@ def search_criteria(spark, sf_dir):
     return found.select("id", "tender_object", "public_buyer", "publication_date")
 
 
+@query("search_keyword", f"""{WITH_TENDERS} SELECT id, tender_object, public_buyer FROM tenders
+    WHERE contains(lower(tender_object), 'customer#00000001') AND contains(lower(public_buyer), '00017')""")
+def search_keyword(spark, sf_dir):
+    """The same search by postings: only the folders of the rarest pieces are opened."""
+    rows = tenders(spark, sf_dir)
+    index = KeywordIndex(spark, scratch_path(spark, "keywords"))
+    index.build(rows)
+    found = index.search(rows, filters.SearchCriteria("Customer#00000001", "00017"))
+    return found.select("id", "tender_object", "public_buyer")
+
+
 @query(
     "ready_to_index",
     f"{WITH_TENDERS} SELECT id, status, last_status FROM tenders WHERE {READY_SQL}",

@@ -8,6 +8,7 @@ import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,71 +37,114 @@ _NODES = T.ArrayType(
 )
 
 
-_LAST, _TAG = _NUMBERS.index("last"), len(_NUMBERS)
-_ROW = _NUMBERS.index("row")
+# A start or end tag whose meaning does not depend on what follows it: all values in plain quotes.
+_PLAIN_START = re.compile(r'<[a-zA-Z][a-zA-Z0-9]*(?:[ \t\r\n]+[a-zA-Z][\w:-]*="[^"<>]*")*[ \t\r\n]*/?>', re.ASCII)
+_PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)[ \t\r\n]*>")
+#: Distinct tags remembered at once.
+_REMEMBERED = 1 << 12
 
 
 class _Reader(HTMLParser):
-    """Collects the nodes of many pages, one list of values per node."""
+    """Collects the nodes of many pages, a list per number and one of the texts of each node.
+
+    Pages repeat their tags, so a plain tag is taken apart once and then known by its characters.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.nodes: list[list] = []
+        self.parents, self.lasts, self.rows, self.texts = [], [], [], []
+        self.starts, self.ends = {}, {}
 
     def read(self, page: str) -> int:
         """Take in one page; returns how many nodes there are so far."""
         self.reset()
-        self.first = len(self.nodes)
+        self.first = len(self.texts)
+        # Of every open element: its place, its tag, and the table row of what it holds.
         self.open, self.silent = [], 0
         self.feed(page)
         self.close()
         self._close_to(0)
-        return len(self.nodes)
-
-    def _add(self, *texts) -> list:
-        here = len(self.nodes) - self.first
-        parent = row = -1
-        if self.open:
-            above = self.open[-1]
-            parent = above[0]
-            row = parent if above[_TAG] == "tr" else above[_ROW]
-        node = [here, parent, here, row, *texts]
-        self.nodes.append(node)
-        return node
+        return len(self.texts)
+
+    def _add(self, texts: tuple) -> tuple:
+        """A node inside the innermost open element; its place and its table row."""
+        at = len(self.texts) - self.first
+        parent, _, row = self.open[-1] if self.open else (-1, None, -1)
+        self.parents.append(parent)
+        self.lasts.append(at)
+        self.rows.append(row)
+        self.texts.append(texts)
+        return at, row
+
+    def _start(self, texts: tuple, closed: bool) -> None:
+        tag = texts[0]
+        at, row = self._add(texts)
+        if tag not in VOID:
+            self.open.append((at, tag, at if tag == "tr" else row))
+            self.silent += tag in SILENT
+            if closed:
+                self._close_to(len(self.open) - 1)
 
     def _close_to(self, depth: int) -> None:
-        last = len(self.nodes) - self.first - 1
-        for node in self.open[depth:]:
-            node[_LAST] = last
-            self.silent -= node[_TAG] in SILENT
+        last = len(self.texts) - self.first - 1
+        for at, tag, _ in self.open[depth:]:
+            self.lasts[self.first + at] = last
+            self.silent -= tag in SILENT
         del self.open[depth:]
 
-    def handle_starttag(self, tag, attrs):
+    def parse_starttag(self, i):
+        end = self.rawdata.find(">", i) + 1
+        raw = self.rawdata[i:end]
+        known = self.starts.get(raw)
+        if known is not None:
+            self._start(*known)
+            return end
+        here = len(self.texts)
+        reached = super().parse_starttag(i)
+        # Not the ones that change how the text after them is read, as scripts do.
+        if self.cdata_elem is None and _PLAIN_START.fullmatch(raw):
+            if len(self.starts) == _REMEMBERED:
+                self.starts.clear()
+            self.starts[raw] = self.texts[here], raw.endswith("/>")
+        return reached
+
+    def parse_endtag(self, i):
+        if self.cdata_elem is not None:
+            return super().parse_endtag(i)
+        end = self.rawdata.find(">", i) + 1
+        raw = self.rawdata[i:end]
+        tag = self.ends.get(raw)
+        if tag is None:
+            plain = _PLAIN_END.fullmatch(raw)
+            if plain is None:
+                return super().parse_endtag(i)
+            if len(self.ends) == _REMEMBERED:
+                self.ends.clear()
+            tag = self.ends[raw] = plain[1].lower()
+        self.handle_endtag(tag)
+        return end
+
+    def handle_starttag(self, tag, attrs, closed=False):
         # Of a repeated attribute the last one counts; one without a value is empty.
         kept = {name: value or "" for name, value in attrs}
-        node = self._add(tag, *[kept.get(name) for name in ATTRIBUTES], None)
-        if tag not in VOID:
-            self.open.append(node)
-            self.silent += tag in SILENT
+        self._start((tag, *[kept.get(name) for name in ATTRIBUTES], None), closed)
 
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self._close_to(len(self.open) - 1)
+        self.handle_starttag(tag, attrs, closed=True)
 
     def handle_endtag(self, tag):
         # Closes everything opened inside; an end tag without a start is ignored.
         for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][_TAG] == tag:
+            if self.open[depth][1] == tag:
                 self._close_to(depth)
                 return
 
     def handle_data(self, data):
         if not self.silent and not data.isspace():  # blank text never counts
-            self._add("#text", *_NO_ATTRIBUTES, data)
+            self._add(("#text", *_NO_ATTRIBUTES, data))
 
     def handle_comment(self, data):
-        self._add("#comment", *_NO_ATTRIBUTES, data)
+        self._add(("#comment", *_NO_ATTRIBUTES, data))
 
 
 _NO_ATTRIBUTES = (None,) * len(ATTRIBUTES)
@@ -110,10 +154,12 @@ def _read_pages(pages: list[str | None]) -> pa.Array:
     reader, offsets = _Reader(), [0]
     for page in pages:
         offsets.append(reader.read(page) if page else offsets[-1])
-    columns = list(zip(*reader.nodes)) or [()] * len(_NODES.elementType)
-    kinds = [pa.int32()] * len(_NUMBERS) + [pa.string()] * len(_TEXTS)
-    arrays = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
-    nodes = pa.StructArray.from_arrays(arrays, [*_NUMBERS, *_TEXTS])
+    sizes = np.diff(offsets)
+    at = np.arange(offsets[-1]) - np.repeat(offsets[:-1], sizes)
+    numbers = [pa.array(values, pa.int32()) for values in (at, reader.parents, reader.lasts, reader.rows)]
+    columns = list(zip(*reader.texts)) or [()] * len(_TEXTS)
+    texts = [pa.array(values, pa.string()) for values in columns]
+    nodes = pa.StructArray.from_arrays([*numbers, *texts], [*_NUMBERS, *_TEXTS])
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), nodes)
 
 

@@ -80,6 +80,7 @@ _STATUSES = T.StructType(
         T.StructField("version", INT),
     ]
 )
+_DAYS = T.StructType([T.StructField("publication_date", DAY), T.StructField("n", LONG)])
 _KEYS = T.StructType(
     [
         *[TENDERS[name] for name in (*IDENTITY, "id")],
@@ -135,18 +136,29 @@ class TenderStore(_Versions):
             return self.spark.createDataFrame([], dated)
         return self.spark.read.schema(dated).parquet(f"{self.root}/full/version={version}")
 
-    def read(self, published: tuple | None = None) -> DataFrame:
+    def read(self, published: tuple | None = None, undated: bool = False) -> DataFrame:
         """The current state. With ``published`` (first and last day), other months are not read.
 
         A tender whose date was moved into the period is found in the month where it lies.
+        ``undated`` asks for tenders without a date: beside those of ``published``, or alone.
         """
+        if undated and published is None:
+            return self._read(F.col("month").isNull(), F.col("publication_date").isNull())
+        if published is None:
+            return self._read(None, None)
+        near, inside = in_months(F.col("month"), published), F.col("publication_date").between(*published)
+        if undated:
+            near, inside = near | F.col("month").isNull(), inside | F.col("publication_date").isNull()
+        return self._read(near, inside)
+
+    def _read(self, near: Column | None, inside: Column | None) -> DataFrame:
+        """``near`` picks months, and ``inside`` the changed dates that are looked for anywhere."""
         columns, state = self.schema.fieldNames(), self._state()
         refreshed = self._since(state, "refreshed", _REFRESHED)
         rows = self._full(state.full)
-        if published is not None:
-            near = in_months(F.col("month"), published)
+        if near is not None:
             if state.refreshed > state.full:
-                moved = refreshed.filter(F.col("publication_date").between(*published)).select("month").distinct()
+                moved = refreshed.filter(inside).select("month").distinct()
                 months = [row.month for row in moved.collect()]  # at most as many as there are months
                 near |= F.col("month").isin([m for m in months if m]) | (F.col("month").isNull() & F.lit(None in months))
             rows = rows.filter(near)
@@ -168,6 +180,17 @@ class TenderStore(_Versions):
             rows = rows.withColumn("_status", F.lit(None).cast(T.StructType([f for f in _STATUSES if f.name != "id"])))
         return rows.select(*[self._laid_over().get(c, F.col(c)).alias(c) for c in columns])
 
+    def days(self) -> DataFrame:
+        """How many tenders (``n``) each publication_date has; null for those without one.
+
+        Stored with a whole state, one row a day. Since then added or refreshed tenders are counted
+        by a scan of the dates, until ``compact``.
+        """
+        state = self._state()
+        if not state.full or max(state.changes, state.refreshed) > state.full:
+            return self.read().groupBy("publication_date").agg(F.count("*").alias("n"))
+        return self.spark.read.schema(_DAYS).parquet(f"{self.root}/days/version={state.full}")
+
     def _newest_statuses(self, state: Row, rows: DataFrame) -> DataFrame:
         """id and the status that counts: the one of the highest number where numbers are tracked, else the last."""
         statuses = self._since(state, "statuses", _STATUSES)
@@ -201,7 +224,9 @@ class TenderStore(_Versions):
             "month"
         ).parquet(f"{self.root}/full/version={version}")
         rows = self._full(version)
-        known = rows.agg(F.count("*").alias("n"), F.coalesce(F.max("id"), F.lit(0)).alias("last")).first()
+        days = rows.groupBy("publication_date").agg(F.count("*").alias("n"), F.max("id").alias("last"))
+        days = self._write("days", version, days.coalesce(1))
+        known = days.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.max("last"), F.lit(0)).alias("last")).first()
         buckets = -(-known.n // BUCKET_ROWS) or 1
         self._add_keys(rows, version, version, buckets)
         self._commit(version=version, batch=batch, stream=stream, full=True, last_id=known.last, buckets=buckets, kinds=["keys"])

@@ -1,10 +1,14 @@
 from datetime import date, datetime
+from html.parser import HTMLParser
 
 import pytest
 from helpers import at, column
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from bidscope.errors import InvalidRowsError
+from bidscope.functions import html
 from bidscope.operators.pages import page_counters, page_tenders, page_text, parse_pages, strict_pages
 from bidscope.plans.discovery import discover
 from bidscope.schemas import RESULT_PAGES
@@ -182,3 +186,33 @@ def test_two_streams_and_a_new_checkpoint_lose_nothing(spark, tmp_path):
     pages(spark, SAMPLE.replace("880001", "73")).coalesce(1).write.mode("append").parquet(str(tmp_path / "a"))
     stream_discovery(spark, str(tmp_path / "a"), store, str(tmp_path / "fresh"), lambda: NOW).awaitTermination()
     assert sorted(column(store.read(), "tender_id")) == ["71", "72", "73", "880003", "880007"]
+
+
+PIECES = [
+    "<div>", "</div>", '<td headers="a b">', "</td >", "<tr>", "</tr>", '<a href="x>y">', '<a href="x', '">', "<br/>", "<br>",
+    "<script>", "</script>", "<style>", "</style>", "<b/>", "<i a='1\">", "'>", "&amp;", "text ", "<title>", "</title>",
+    "<!-- c -->", "<!", "</", "<", ">", '"', '<input value="1" value="2" disabled>', '<p class="é">', "</P>", '<DIV ID="q">',
+    "<textarea>", "</textarea>", "<plaintext>", '<div id="a"/>', "&#65", "<?x>", "</1>", "<template>", '<a\n href="k" >',
+]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=25).map("".join), max_size=4))
+def test_remembered_tags_read_as_if_taken_apart(pages):
+    """Broken markup too: a tag is known by its characters only where nothing after it matters."""
+
+    class Plain(html._Reader):
+        parse_starttag, parse_endtag = HTMLParser.parse_starttag, HTMLParser.parse_endtag
+
+    readers = html._Reader(), Plain()
+    for reader in readers:
+        for page in [*pages, *pages]:
+            reader.read(page)
+    quick, plain = ((r.parents, r.lasts, r.rows, r.texts) for r in readers)
+    assert quick == plain
+
+
+def test_remembered_tags_are_bounded():
+    reader = html._Reader()
+    reader.read("".join(f'<input value="{n}">' for n in range(3 * html._REMEMBERED)))
+    assert len(reader.starts) <= html._REMEMBERED and len(reader.texts) == 3 * html._REMEMBERED
