@@ -339,6 +339,26 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return staged(found.distinct(), "texts")
 
 
-@query("op8_near_dedup")
+# Shared shingles of all pairs of different sets, then what links reach.
+_SQL = r"""WITH RECURSIVE found AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  tokens AS (SELECT doc_id, len(w) AS m, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM found),
+  windows AS (SELECT doc_id, m, k, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o,
+      lead(word, 4) OVER o) AS shingle FROM tokens WINDOW o AS (PARTITION BY doc_id ORDER BY k)),
+  held AS (SELECT doc_id, list_sort(list(DISTINCT shingle)) AS s FROM windows WHERE k <= greatest(m - 4, 1) GROUP BY doc_id),
+  sets AS (SELECT doc_id, coalesce(s, []) AS s FROM documents LEFT JOIN held USING (doc_id)),
+  signed AS (SELECT doc_id, len(s) AS n, sha256(array_to_string(s, chr(10))) AS k, s FROM sets),
+  classes AS (SELECT k, min(doc_id) AS id, any_value(n) AS n, any_value(s) AS s FROM signed WHERE n > 0 GROUP BY k),
+  entries AS (SELECT id, n, unnest(s) AS shingle FROM classes),
+  links AS (SELECT a.id AS a, b.id AS b FROM entries a JOIN entries b ON a.shingle = b.shingle AND a.id <> b.id
+    GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+  reach AS (SELECT id, id AS other FROM classes UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a),
+  components AS (SELECT id, min(other) AS component FROM reach GROUP BY id)
+SELECT doc_id, CAST(d.n AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id,
+  doc_id = coalesce(component, doc_id) AS kept
+FROM signed d LEFT JOIN (SELECT k, id FROM classes) c ON c.k = d.k AND d.n > 0 LEFT JOIN components USING (id)"""
+
+
+@query("op8_near_dedup", _SQL)
 def near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))

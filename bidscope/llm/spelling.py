@@ -417,6 +417,34 @@ def spelling_variants(docs: DataFrame, ratio: int = RATIO, **which) -> DataFrame
     return out.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
-@query("op11_spelling")
+# The checksum byte by byte; near words by what is left when a letter goes.
+_SQL = """WITH RECURSIVE runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(text,
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+  counted AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS label, run, count(*) AS n FROM runs
+    GROUP BY doc_id, run),
+  spelled AS (SELECT run, n, hex(encode(label)) AS h FROM counted),
+  checked AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295,
+      list_transform(range(1, len(h), 2), lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT))),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, z: xor(x >> 1, (x & 1) * 3988292384)))) AS h FROM spelled),
+  damaged AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+      ELSE run END AS word, n FROM checked),
+  vocabulary AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM damaged WHERE length(word) >= 6 GROUP BY word
+    HAVING sum(n) >= 5),
+  places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary),
+  shorter AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places),
+  less AS (SELECT DISTINCT s.word AS a, s.n AS na, v.word AS b, v.n AS nb FROM shorter s JOIN vocabulary v ON v.word = s.rest),
+  near AS (SELECT a AS word, b AS other, nb AS other_n FROM less UNION ALL SELECT b, a, na FROM less
+    UNION ALL SELECT x.word, y.word, y.n FROM shorter x JOIN shorter y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word),
+  best AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n
+    FROM near GROUP BY word),
+  forms AS (SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * n THEN other END AS form,
+      CASE WHEN other_n >= 5 * n THEN other_n END AS form_n FROM vocabulary v LEFT JOIN best USING (word)),
+  ways AS (SELECT word, word AS root FROM forms WHERE form IS NULL
+    UNION ALL SELECT f.word, w.root FROM forms f JOIN ways w ON f.form = w.word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ways USING (word)"""
+
+
+@query("op11_spelling", _SQL)
 def spelling(spark, sf_dir):
     return spelling_variants(table(spark, sf_dir, "documents"))
