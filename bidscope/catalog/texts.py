@@ -54,8 +54,8 @@ def _blocks_sql(section: str, headings: str) -> str:
     FROM parts"""
 
 
-def _chunked_blocks(blocks):
-    return chunking.chunk_blocks(blocks, max_tokens=24).select(
+def _chunked_blocks(blocks, max_tokens=24, counter=None):
+    return chunking.chunk_blocks(blocks, max_tokens, counter).select(
         "doc_id",
         "chunk_index",
         "text",
@@ -88,6 +88,37 @@ def chunk_blocks_unplaced(spark, sf_dir):
     )
 
 
+# Budget 64: long words become pieces of 4 letters; the headings "Conversation" and a section's
+# number of up to four digits have 4 tokens, which leaves cells of 64 - 4 - 16.
+@query(
+    "chunk_blocks_by_tokens",
+    rf"""WITH blocks AS (SELECT conv_id AS doc_id, CAST(floor(turn / 3) AS BIGINT) AS section_no,
+        CAST(floor(turn / 2) + 1 AS BIGINT) AS page, turn, {_WORDS} AS w FROM conversations),
+    found AS (SELECT * EXCLUDE (w), unnest(w) AS word, generate_subscripts(w, 1) AS k FROM blocks),
+    cut AS (SELECT * EXCLUDE (word), CASE WHEN strlen(word) = len(word) AND len(word) <= 16
+          OR len(word) <= 8 AND NOT regexp_matches(word, '[\x{{800}}-\x{{10FFFF}}]') THEN [word]
+        ELSE list_transform(range(1, len(word) + 1, 4), lambda i: substr(word, i, 4)) END AS p FROM found),
+    tokens AS (SELECT * EXCLUDE (p), unnest(p) AS word, generate_subscripts(p, 1) AS j FROM cut),
+    weighed AS (SELECT *, CAST(ceil(strlen(word) / 4) AS BIGINT) AS weight FROM tokens),
+    placed AS (SELECT *, sum(weight) OVER (PARTITION BY doc_id, section_no ORDER BY turn, k, j) - weight
+      AS begun FROM weighed),
+    parts AS (SELECT doc_id, section_no, CAST(floor(begun / 44) AS BIGINT) AS part,
+        string_agg(word, ' ' ORDER BY begun) AS text, CAST(sum(weight) AS BIGINT) AS n_tokens,
+        string_agg(DISTINCT page, ',' ORDER BY page) AS pages
+      FROM placed GROUP BY ALL)
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY section_no, part) - 1 AS chunk_index,
+      text, pages, 'Conversation > ' || section_no AS headings, n_tokens,
+      'Conversation' || chr(10) || section_no || chr(10) || text AS embedding_text
+    FROM parts""",
+)
+def chunk_blocks_by_tokens(spark, sf_dir):
+    blocks = spark.sql(_BLOCKS, conversations=table(spark, sf_dir, "conversations"))
+    chunks = _chunked_blocks(blocks, 64, chunking.byte_tokens)
+    weights = chunking.byte_tokens(chunking.words(F.col("text")))
+    total = F.aggregate(weights, F.lit(0).cast("bigint"), lambda sum_, n: sum_ + n)
+    return chunks.withColumn("n_tokens", total)
+
+
 @query(
     "chunk_document_lines",
     f"""WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text,

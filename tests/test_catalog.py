@@ -30,6 +30,7 @@ SAMPLE = [
     "knn_approximate",
     "chunk_blocks",
     "chunk_blocks_unplaced",
+    "chunk_blocks_by_tokens",
     "hash_embed",
     "file_outcomes",
     "page_h1",

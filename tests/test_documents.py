@@ -1,6 +1,8 @@
 import io
+import random
 import sys
 import zipfile
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -157,8 +159,6 @@ def test_chunk_size_and_pages(spark):
 
 def test_blocks_give_the_same_chunks_as_whole_texts(spark):
     """One document holds most blocks; how its blocks are spread must not matter."""
-    import random
-
     rng = random.Random(3)
     rows, expected = [], {}
     for doc in range(5):
@@ -206,6 +206,99 @@ def test_one_very_long_block(spark):
     assert chunking.chunk_texts(block.select("doc_id", "text")).agg(F.sum("n_words")).first()[0] == n
 
 
+BYTE_PAIRS = Path("/opt/tokenizers/byte_bpe_50k.json")
+
+
+def load_byte_pairs():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(str(BYTE_PAIRS))
+    return lambda words: [len(t.ids) for t in tokenizer.encode_batch(words, add_special_tokens=False)]
+
+
+def load_letters():
+    return lambda words: [len(word) for word in words]
+
+
+def expected_by_tokens(rows, budget, count):
+    """Chunks by hand: one section after the other, word by word."""
+    letters = budget // 16
+    size = lambda word: max(count([word])[0], 1)
+    sections = {}
+    for doc, section, headings, page, position, text in rows:
+        sections.setdefault((doc, section), []).append((position, page, headings, text))
+    out, indexes = {}, {}
+    for doc, section in sorted(sections):
+        blocks = sorted(sections[doc, section])
+        heads = max(sum(size(w) for h in b[2] for w in h.split()) for b in blocks if b[3].split())
+        cell = max(budget - heads, budget // 4, 8 * letters + 1) - 4 * letters
+        at, cells = 0, {}
+        for _, page, headings, text in blocks:
+            for word in text.split():
+                most = 4 if word.isascii() else 2 if max(word) < "\u0800" else 1
+                step = len(word) if len(word) <= most * letters else letters
+                for piece in (word[i : i + step] for i in range(0, len(word), step)):
+                    words, pages = cells.setdefault(at // cell, ([], set()))
+                    words.append(piece)
+                    pages.add(page)
+                    at += size(piece)
+        for part in sorted(cells):
+            index = indexes[doc] = indexes.get(doc, -1) + 1
+            out[doc, index] = (" ".join(cells[part][0]), sorted(cells[part][1]), blocks[0][2])
+    return out
+
+
+@pytest.mark.parametrize("load", [load_letters, load_byte_pairs])
+def test_chunks_by_tokens_equal_chunks_by_hand_and_keep_to_the_budget(spark, load):
+    if load is load_byte_pairs and not BYTE_PAIRS.exists():
+        pytest.skip("no tokenizer files")
+    rng, budget = random.Random(5), 64
+    letters = ["road", "works", "é", "Straßenbau", "Straßenbauarbeiten", "x" * 90, "道路工事" * 2, "1997/2021-00", "a", "procurement", "öffentlich"]
+    rows = []
+    for doc in range(4):
+        for section in range(3):
+            # Some headings leave hardly any room, and runs of positions are many.
+            headings = [f"s{section}"] if section < 2 else ["A very long heading of many words"] * 3
+            for position in range(rng.randint(1, 60)):
+                found = " ".join(rng.choice(letters) for _ in range(rng.randint(0, 9)))
+                rows.append((doc, section, headings, position // 3 + 1, position * 1500, found))
+    count = load()
+    rng.shuffle(rows)
+    chunks = chunking.chunk_blocks(spark.createDataFrame(rows, BLOCKS), budget, chunking.model_tokens(load)).collect()
+    assert len(chunks) > 40
+    assert {(c.doc_id, c.chunk_index): (c.text, c.page_numbers, c.heading_path) for c in chunks} == expected_by_tokens(
+        rows, budget, count
+    )
+    for c in chunks:
+        text = sum(count(c.text.split()))
+        assert text <= budget
+        if c.heading_path == ["s0"]:
+            assert sum(count(c.embedding_text.split())) <= budget
+
+
+def test_chunks_by_tokens_of_odd_blocks(spark):
+    rows = [
+        (1, None, None, 1, 0, "a b"),
+        (1, None, None, 1, None, "z"),
+        (1, 2, ["h"], 1, 0, "c " * 100_000),
+        (None, None, None, None, 0, "d e"),
+        (2, 0, None, 1, 0, None),
+        (3, 0, [], 1, 0, " "),
+        (4, 0, [], 1, 0, "w" * 50_000),
+    ]
+    blocks = spark.createDataFrame(rows, BLOCKS)
+    found = {(c.doc_id, c.chunk_index): c.text for c in chunking.chunk_blocks(blocks, 64, chunking.byte_tokens).collect()}
+    assert found[1, 0] == "z a b" and found[None, 0] == "d e"
+    assert {doc for doc, _ in found} == {1, None, 4}
+    # Words of a token each: 64 less one for the heading less 16 for what the last word may weigh beyond one.
+    assert [found[1, i] for i in (1, 2)] == [" ".join("c" * 47)] * 2
+    assert sum(len(t.split()) for (doc, i), t in found.items() if doc == 1 and i) == 100_000
+    assert "".join(found[4, i].replace(" ", "") for i in range(len(found)) if (4, i) in found) == "w" * 50_000
+    assert chunking.chunk_blocks(blocks.limit(0), 64, chunking.byte_tokens).collect() == []
+    with pytest.raises(ValueError):
+        chunking.chunk_blocks(blocks, 63, chunking.byte_tokens)
+
+
 def test_chunk_texts_skips_empty_texts(spark):
     df = spark.createDataFrame([(1, "a  b\nc"), (2, " \n"), (3, None)], "id int, text string")
     rows = chunking.chunk_texts(df, max_tokens=2).collect()
