@@ -32,9 +32,9 @@ CHUNK_BYTES = 3 << 20
 FOLDS, HELD_OUT = 7, 2
 #: Context counts from 2 ** (CONTEXTS - 2) on share the last bucket; bucket 0 is for unseen ones.
 CONTEXTS = 24
-#: Training tokens are summed by octave of their own deleted count, and by the ratio of the estimates
-#: of pair and token in steps of RATIO_STEP octaves: tables of fixed size, whatever the corpus.
-OCTAVES, RATIOS, RATIO_STEP = 40, 512, 1 / 8
+#: Training tokens are summed by their own deleted count, and by the ratio of the estimates of pair
+#: and token, both in steps of STEP octaves: tables of fixed size, whatever the corpus.
+SINGLES, RATIOS, STEP = 320, 512, 1 / 8
 EM_STEPS = 100
 
 _END = np.uint64(0x5DEECE66D1CE4E5B)
@@ -280,27 +280,27 @@ class Counted:
 
 
 def _histogram(total: int):
-    """Training tokens by bucket of the context, octave of the token's count, and ratio class.
+    """Training tokens by bucket of the context, class of the token's count, and ratio class.
 
-    Counts are deleted ones, brought to the size of the whole. Octave 0 is for tokens unseen in
-    other documents, ratio class 0 for unseen pairs.
+    Counts are deleted ones, brought to the size of the whole, and classes are the nearest steps.
+    Class 0 is for tokens unseen in other documents, ratio class 0 for unseen pairs.
     """
 
     def run(batches):
-        counts = np.zeros((CONTEXTS, OCTAVES, RATIOS), dtype=np.int64)
+        counts = np.zeros((CONTEXTS, SINGLES, RATIOS), dtype=np.int64)
         for batch in batches:
             for row in _rows(batch):
                 e = Counted(row, total).deleted()
-                octave = np.log2(np.maximum(e.p_single * total, 1)).astype(np.int64) + 1
-                octave = np.where(e.p_single > 0, np.minimum(octave, OCTAVES - 1), 0)
+                single = np.round(np.log2(np.maximum(e.p_single * total, 1)) / STEP).astype(np.int64) + 1
+                single = np.where(e.p_single > 0, np.minimum(single, SINGLES - 1), 0)
                 seen = (e.p_pair > 0) & (e.p_single > 0)
                 ratio = np.log2(np.where(seen, e.p_pair, 1.0) / np.where(seen, e.p_single, 1.0))
-                place = np.clip(np.round(ratio / RATIO_STEP) + RATIOS // 2, 1, RATIOS - 1).astype(np.int64)
-                np.add.at(counts, (e.bucket, octave, np.where(seen, place, 0)), 1)
+                place = np.clip(np.round(ratio / STEP) + RATIOS // 2, 1, RATIOS - 1).astype(np.int64)
+                np.add.at(counts, (e.bucket, single, np.where(seen, place, 0)), 1)
         at = np.argwhere(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(at[:, k]) for k in range(3)] + [pa.array(counts[tuple(at.T)])],
-            names=["bucket", "octave", "ratio", "n"],
+            names=["bucket", "single", "ratio", "n"],
         )
 
     return run
@@ -312,19 +312,22 @@ def learn_weights(histogram: np.ndarray, total: int, distinct: int) -> np.ndarra
     ``histogram`` counts tokens as ``_histogram`` does. A bucket without any learns from
     those of all buckets. One more unseen token in each keeps every token possible.
     """
-    octave = np.arange(OCTAVES)[:, None]
-    single = np.where(octave > 0, 2.0 ** (octave - 0.5) / max(total, 1), 0.0)
-    ratio = 2.0 ** ((np.arange(RATIOS) - RATIOS // 2) * RATIO_STEP)
-    ratio[0] = 0.0
-    estimates = np.stack(np.broadcast_arrays(single * ratio, single, 1.0 / (distinct + 1)))
+    single = 2.0 ** ((np.arange(SINGLES) - 1) * STEP) / max(total, 1)
+    ratio = 2.0 ** ((np.arange(RATIOS) - RATIOS // 2) * STEP)
+    single[0] = ratio[0] = 0.0
+    everywhere = histogram.sum(axis=0)
     out = np.zeros((CONTEXTS, 3))
     for b in range(CONTEXTS):
-        n = (histogram[b] if histogram[b].any() else histogram.sum(axis=0)).astype(float)
-        n[0, 0] += 1
+        cells = histogram[b] if histogram[b].any() else everywhere
+        cells = cells.copy()
+        cells[0, 0] += 1
+        x, y = np.nonzero(cells)
+        n = cells[x, y]
+        estimates = np.stack([single[x] * ratio[y], single[x], np.full(len(x), 1.0 / (distinct + 1))])
         w = np.array([0.0, 0.5, 0.5]) if b == 0 else np.array([0.4, 0.4, 0.2])
         for _ in range(EM_STEPS):
-            parts = w[:, None, None] * estimates
-            shares = (parts / np.maximum(parts.sum(axis=0), 1e-300) * n).sum(axis=(1, 2))
+            parts = w[:, None] * estimates
+            shares = (parts / np.maximum(parts.sum(axis=0), 1e-300) * n).sum(axis=1)
             w = shares / shares.sum()
         out[b] = w
     return out
@@ -378,10 +381,10 @@ def score(docs: DataFrame, parts: int | None = None) -> DataFrame:
     total, distinct = known[0] or 0, known[1] or 0
     answered = answers.groupBy("chunk").agg(F.collect_list(F.struct("part", "totals")).alias("answers"))
     counted = chunks.join(answered, "chunk")
-    cells = counted.filter("not held_out").mapInArrow(_histogram(total), "bucket long, octave long, ratio long, n long")
-    cells = cells.groupBy("bucket", "octave", "ratio").agg(F.sum("n").alias("n")).toArrow()
-    histogram = np.zeros((CONTEXTS, OCTAVES, RATIOS), dtype=np.int64)
-    histogram[tuple(cells[c].to_numpy() for c in ("bucket", "octave", "ratio"))] = cells["n"].to_numpy()
+    cells = counted.filter("not held_out").mapInArrow(_histogram(total), "bucket long, single long, ratio long, n long")
+    cells = cells.groupBy("bucket", "single", "ratio").agg(F.sum("n").alias("n")).toArrow()
+    histogram = np.zeros((CONTEXTS, SINGLES, RATIOS), dtype=np.int64)
+    histogram[tuple(cells[c].to_numpy() for c in ("bucket", "single", "ratio"))] = cells["n"].to_numpy()
     weights = learn_weights(histogram, total, distinct)
     return counted.mapInArrow(_scored(weights, total, distinct), SCORES).withColumn(
         "train_tokens", F.lit(total).cast("long")

@@ -76,7 +76,7 @@ def test_held_out_texts_are_likelier_than_under_single_tokens(documents, rows):
 
 def test_weights_maximise_the_held_out_likelihood():
     rng = np.random.default_rng(0)
-    histogram = np.zeros((L.CONTEXTS, L.OCTAVES, L.RATIOS), dtype=np.int64)
+    histogram = np.zeros((L.CONTEXTS, L.SINGLES, L.RATIOS), dtype=np.int64)
     histogram[5, rng.integers(1, 8, 40), rng.integers(200, 330, 40)] = rng.integers(1, 50, 40)
     histogram[5, 1:8, 0] = 9
     total, distinct = 10_000, 900
@@ -84,9 +84,9 @@ def test_weights_maximise_the_held_out_likelihood():
     assert np.allclose(w.sum(axis=1), 1) and (w > 0)[1:].all() and w[0, 0] == 0
 
     def likelihood(weights):
-        octave = np.arange(L.OCTAVES)[:, None]
-        single = np.where(octave > 0, 2.0 ** (octave - 0.5) / total, 0)
-        ratio = 2.0 ** ((np.arange(L.RATIOS) - L.RATIOS // 2) * L.RATIO_STEP)
+        place = np.arange(L.SINGLES)[:, None]
+        single = np.where(place > 0, 2.0 ** ((place - 1) * L.STEP) / total, 0)
+        ratio = 2.0 ** ((np.arange(L.RATIOS) - L.RATIOS // 2) * L.STEP)
         ratio[0] = 0
         p = weights[0] * single * ratio + weights[1] * single + weights[2] / (distinct + 1)
         n = histogram[5].astype(float)
@@ -134,12 +134,29 @@ def test_weights_are_learnt_from_deleted_counts(documents, words, rows, monkeypa
     L.score(documents(rows), parts=5).collect()
     texts, held, single, pair = counted(rows, words)
     n = sum(single.values())
-    want = Counter()
+    want, exact = Counter(), {}
     for (_, t), h in zip(texts, held):
         own, own_pair = Counter(t), Counter(zip([None, *t], t))
         for a, b in zip([None, *t], t) if not h else ():
             context, alone, both = single[a] - own[a], single[b] - own[b], pair[a, b] - own_pair[a, b]
-            octave = int(math.log2(alone / (n - len(t)) * n)) + 1 if alone else 0
-            ratio = round(math.log2(both / context / (alone / (n - len(t)))) / L.RATIO_STEP) + L.RATIOS // 2 if both else 0
-            want[int(math.log2(context)) + 1 if context else 0, octave, ratio] += 1
+            bucket = int(math.log2(context)) + 1 if context else 0
+            p_single = alone / (n - len(t))
+            p_pair = both / context if context else 0.0
+            place = round(math.log2(p_single * n if p_single * n > 1 else 1) / L.STEP) + 1 if alone else 0
+            ratio = round(math.log2(p_pair / p_single) / L.STEP) + L.RATIOS // 2 if both else 0
+            want[bucket, place, ratio] += 1
+            exact.setdefault(bucket, []).append((p_pair, p_single))
     assert {tuple(at): seen[0][tuple(at)] for at in np.argwhere(seen[0]).tolist()} == dict(want)
+
+    # Steps of an eighth of an octave hardly move the weights from those of the estimates themselves.
+    distinct = sum(c > 0 for c in single.values())
+    learnt = learn(seen[0], n, distinct)
+    for bucket, found in exact.items():
+        p = np.array([*found, (0.0, 0.0)]).T
+        p = np.stack([p[0], p[1], np.full(p.shape[1], 1 / (distinct + 1))])
+        w = np.array([0.0, 0.5, 0.5]) if bucket == 0 else np.array([0.4, 0.4, 0.2])
+        for _ in range(L.EM_STEPS):
+            shares = w[:, None] * p
+            w = (shares / shares.sum(axis=0)).sum(axis=1)
+            w /= w.sum()
+        assert learnt[bucket] == pytest.approx(w, abs=0.02)
