@@ -3,11 +3,17 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character counted as white space in page text, Java regex syntax.
+# Every character counted as white space in page text, Java regex syntax. Visible ASCII
+# is ruled out first, by one comparison.
 SPACE = (
-    r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    r"[[^!-~]&&[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]"
 )
+# The same characters.
+_SPACES = "".join(
+    chr(n) for a, b in ((9, 13), (28, 32), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+                        (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)) for n in range(a, b + 1)
+)
 # Download address of a tender's archive.
 DOWNLOAD_PAGE = "entreprise.EntrepriseDownloadCompleteDce"
 # Visible name of a tender.
@@ -37,7 +43,7 @@ def group_key(value: Column) -> Column:
 
 def strip(value: Column) -> Column:
     """Remove leading and trailing white space, no-break spaces included."""
-    return F.regexp_replace(value, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(value, F.lit(_SPACES))
 
 
 def collapse(value: Column) -> Column:

@@ -43,8 +43,8 @@ def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """
     others = [name for name in pages.columns if name != html]
     empty = F.col(html).isNull() | (F.col(html) == "")
-    nodes, row, content = F.col("nodes"), F.col("row"), F.col("content")
-    cells = F.filter(nodes, lambda n: (n["tag"] == "td") & has_token(n["headers"], REFERENCE_CELL))
+    nodes, row, marked = F.col("nodes"), F.col("row"), F.col("marked")
+    cells = F.filter(marked, lambda n: (n["tag"] == "td") & has_token(n["headers"], REFERENCE_CELL))
     table_rows = F.transform(
         F.filter(cells, lambda cell: cell["row"] >= 0),
         lambda cell: subtree(nodes, F.get(nodes, cell["row"])),
@@ -54,26 +54,27 @@ def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
         pages.select(
             *others, F.when(empty, "empty page").alias("error"), html_nodes(F.col(html)).alias("nodes")
         )
+        .withColumn("marked", _marked(nodes))
         .select(
             *others,
             "error",
-            _counter(_by_id(nodes, CURRENT_PAGE)["value"]).alias("current_page"),
-            _counter(_text_at(nodes, TOTAL_PAGES)).alias("total_pages"),
-            _counter(_text_at(nodes, TOTAL_RESULTS)).alias("total_results"),
+            _counter(_by_id(marked, CURRENT_PAGE)["value"]).alias("current_page"),
+            _counter(clean_text(nodes, _by_id(marked, TOTAL_PAGES))).alias("total_pages"),
+            _counter(clean_text(nodes, _by_id(marked, TOTAL_RESULTS))).alias("total_results"),
             data_rows.alias("rows"),
         )
         .select(*others, "error", *COUNTERS, F.posexplode_outer("rows").alias("row_no", "row"))
-        .withColumn("content", F.slice(row, 2, F.size(row)))
+        .withColumn("marked", _marked(F.slice(row, 2, F.size(row))))
     )
     found = {
-        "cell": first(content, lambda n: (n["tag"] == "td") & has_token(n["headers"], REFERENCE_CELL)),
+        "cell": first(marked, lambda n: (n["tag"] == "td") & has_token(n["headers"], REFERENCE_CELL)),
         "reference": first(
-            content, lambda n: (n["tag"] == "span") & has_token(n["class"], REFERENCE_CLASS)
+            marked, lambda n: (n["tag"] == "span") & has_token(n["class"], REFERENCE_CLASS)
         ),
-        "closes": first(content, lambda n: (n["tag"] == "div") & has_token(n["class"], DEADLINE_CLASS)),
-        "object": _by_id(content, OBJECT),
-        "buyer": _by_id(content, BUYER),
-        "place": _by_id(content, LOCATION),
+        "closes": first(marked, lambda n: (n["tag"] == "div") & has_token(n["class"], DEADLINE_CLASS)),
+        "object": _by_id(marked, OBJECT),
+        "buyer": _by_id(marked, BUYER),
+        "place": _by_id(marked, LOCATION),
     }
     cell, within = F.col("cell"), F.col("within")
     dates = F.filter(
@@ -92,8 +93,8 @@ def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
         "closing": F.array_join(strings(inside(row, F.col("closes"))), " "),
     }
     fields = {
-        "tender_id": _input(content, TENDER_INPUT),
-        "organization_acronym": _input(content, ORGANIZATION_INPUT),
+        "tender_id": _input(marked, TENDER_INPUT),
+        "organization_acronym": _input(marked, ORGANIZATION_INPUT),
         "procurement_type": _text_at(within, PROCEDURE),
         "category": _text_at(within, CATEGORY),
         "publication_date": parse_publication_date(F.col("published")),
@@ -117,6 +118,11 @@ def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     )
 
 
+def _marked(nodes: Column) -> Column:
+    """The nodes that fields are found by, so that most are looked at once rather than for every field."""
+    return F.filter(nodes, lambda n: F.coalesce(n["id"], n["headers"], n["class"], n["name"]).isNotNull())
+
+
 def _by_id(nodes: Column, end: str) -> Column:
     return first(nodes, lambda n: n["id"].endswith(end))
 

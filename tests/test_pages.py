@@ -216,3 +216,42 @@ def test_remembered_tags_are_bounded():
     reader = html._Reader()
     reader.read("".join(f'<input value="{n}">' for n in range(3 * html._REMEMBERED)))
     assert len(reader.starts) <= html._REMEMBERED and len(reader.texts) == 3 * html._REMEMBERED
+
+
+MARKUP = [*PIECES, "<script>var a = '<b>';</script>", "<STYLE >p{}</style>", "<script/>", "<script>x</style>", "<!---->", "<!-->",
+          "<!--->", "<!-- <b> -->", "<!DOCTYPE html>", "<rt>", "</rt>", "&nbsp;", " ", "<i b='c' d>", "</div>", "</i>"]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(MARKUP), max_size=25).map("".join), max_size=4))
+def test_plain_pages_read_as_by_the_parser(pages):
+    """The pattern that cuts plain pages finds what the parser finds, or leaves the page to it."""
+
+    class Parsed(html._Reader):
+        def _read_plain(self, page):
+            return False
+
+    readers = html._Reader(), Parsed()
+    for reader in readers:
+        for page in [*pages, *pages]:
+            reader.read(page)
+    quick, parsed = ((r.parents, r.lasts, r.rows, r.texts) for r in readers)
+    assert quick == parsed
+
+
+def test_a_plain_page_is_not_left_to_the_parser():
+    reader = html._Reader()
+    reader.feed = None  # would be called
+    assert reader.read(SAMPLE) > 100
+
+
+def test_pages_are_read_in_slices(monkeypatch):
+    """What is held at once follows the slice, not the batch; no page is lost or moved."""
+    pages = html.pa.array(["<p>" + "x" * n for n in range(200)] + [None, "", "<i>last"])
+    monkeypatch.setattr(html, "SLICE_BYTES", 1000)
+    slices = list(html._slices(pages))
+    assert max(sum(len(page or "") for page in part.to_pylist()) for part in slices) < 1500 and len(slices) > 15
+    assert [page for part in slices for page in part.to_pylist()] == pages.to_pylist()
+    read = html._read_pages(slices[0].to_pylist()).to_pylist()
+    assert [nodes[-1]["text"] for nodes in read[1:]] == ["x" * n for n in range(1, len(read))]
+    assert list(html._slices(pages.slice(0, 0)))[0].to_pylist() == []
