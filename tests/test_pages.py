@@ -7,11 +7,13 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from bidscope.catalog import pages as catalog_pages
 from bidscope.errors import InvalidRowsError
 from bidscope.functions import html
 from bidscope.operators.pages import page_counters, page_tenders, page_text, parse_pages, strict_pages
 from bidscope.plans.discovery import discover
 from bidscope.schemas import RESULT_PAGES
+from bidscope.session import scratch_path
 from bidscope.sources.store import TenderStore
 from bidscope.sources.tables import result_page_files
 from bidscope.streaming.discovery import stream_discovery
@@ -255,3 +257,16 @@ def test_pages_are_read_in_slices(monkeypatch):
     read = html._read_pages(slices[0].to_pylist()).to_pylist()
     assert [nodes[-1]["text"] for nodes in read[1:]] == ["x" * n for n in range(1, len(read))]
     assert list(html._slices(pages.slice(0, 0)))[0].to_pylist() == []
+
+
+def test_more_pages_are_more_files_of_the_stream(spark, monkeypatch):
+    """A quarter is not one task's work, and a batch still holds two whole quarters."""
+    work = []
+    monkeypatch.setattr(catalog_pages, "PAGES_PER_FILE", 12)
+    monkeypatch.setattr(catalog_pages, "scratch_path", lambda *of: work.append(scratch_path(*of)) or work[-1])
+    rows = catalog_pages.stream_discovery_query(spark, "/root/testdata/sf0.001")
+    files = spark.read.parquet(f"{work[-1]}/pages").inputFiles()
+    assert len(files) > 4
+    added = rows.filter("status = 'DISCOVERED' AND created_at = updated_at").orderBy("id")
+    ids = [(r.id, int(r.tender_id)) for r in added.collect() if r.created_at.year == 2000 and r.created_at.month == 6]
+    assert len(ids) > 10 and [tender for _, tender in ids] == sorted(tender for _, tender in ids)
