@@ -6,12 +6,13 @@ from pyspark.sql import types as T
 
 from bidscope.operators.filters import SearchCriteria, search_tenders
 from bidscope.schemas import INT, LONG, TEXT
+from bidscope.session import spread, staged
 from bidscope.sources.store import _Versions
 
 #: The fields that criteria search inside, by the name of the criterion.
 FIELDS = {"keyword": "tender_object", "buyer": "public_buyer"}
 GRAM = 3
-#: Rows of postings in a bucket, about.
+#: Rows of postings and of holders in a bucket, about.
 BUCKET_POSTINGS = 1 << 22
 #: Pieces looked up for one criterion. Fewer pieces find more candidates, never fewer results.
 RAREST = 3
@@ -19,7 +20,14 @@ RAREST = 3
 _POSTINGS = T.StructType(
     [
         *[T.StructField(name, TEXT) for name in ("field", "gram")],
-        T.StructField("id", LONG),
+        T.StructField("text", LONG),
+        *[T.StructField(name, INT) for name in ("version", "bucket")],
+    ]
+)
+_HOLDERS = T.StructType(
+    [
+        T.StructField("field", TEXT),
+        *[T.StructField(name, LONG) for name in ("text", "id")],
         *[T.StructField(name, INT) for name in ("version", "bucket")],
     ]
 )
@@ -32,25 +40,25 @@ _GRAMS = T.StructType(
 )
 
 
-def grams(text: Column) -> Column:
-    """The distinct pieces of ``GRAM`` code points of a lower-cased text; none of a shorter one."""
-    lower = F.lower(text)
-    starts = F.when(F.length(lower) >= GRAM, F.sequence(F.lit(1), F.length(lower) - GRAM + 1))
-    return F.array_distinct(F.transform(starts, lambda at: F.substring(lower, at, GRAM)))
+def grams(lower: Column) -> Column:
+    """The distinct pieces of ``GRAM`` code points of a lower-cased text of as many at least.
 
-
-def _pieces(field: str) -> Column:
-    found = F.coalesce(grams(F.col(field)), F.array().cast("array<string>"))
-    return F.transform(found, lambda gram: F.struct(F.lit(field).alias("field"), gram.alias("gram")))
+    Pass a column, not an expression: Spark computes what a lambda names once for each piece.
+    """
+    starts = F.sequence(F.lit(1), F.length(lower) - GRAM + 1)
+    return F.array_distinct(F.transform(starts, lambda at: F.substring(lower, at, GRAM)))
 
 
 class KeywordIndex(_Versions):
-    """Postings (field, piece, id) in folders by a hash of field and piece, sorted inside.
-
-    ``build`` indexes all tenders anew, ``add`` those that are new or changed: postings only name
-    candidates, and every candidate is tested against the tender as it is now, so postings of an
-    earlier text do no harm. Beside the postings lie the counts of all pieces. A search looks up its
-    own pieces there, takes the rarest, and opens their folders alone.
+    """Postings (field, piece, text) in folders by a hash of field and piece, sorted inside, and
+    holders (field, text, id) in folders by a hash of the text.
+
+    A text is told by a hash of its lower-cased form, and a text that many tenders share is taken
+    apart once. ``build`` indexes all tenders anew, ``add`` those that are new or changed: postings
+    and holders only name candidates, and every candidate is tested against the tender as it is now,
+    so those of an earlier text, or of another one with the same hash, do no harm. Beside the
+    postings lie the counts of all pieces. A search looks up its own pieces there, takes the rarest,
+    and opens their folders alone, and the folders of the texts it finds.
     """
 
     def build(self, tenders: DataFrame) -> int:
@@ -61,25 +69,28 @@ class KeywordIndex(_Versions):
 
     def _add(self, tenders: DataFrame, full: bool) -> int:
         version = self.version() + 1
-        pieces = F.flatten(F.array(*[_pieces(field) for field in FIELDS.values()]))
-        found = tenders.select("id", F.explode(pieces).alias("piece")).select("piece.*", "id")
-        counts = found.groupBy("field", "gram").agg(F.count("*").alias("n"))
-        buckets = self._buckets(version, full, counts)
-        # Ranges of equal size: a piece of very many tenders fills several files of its folder.
-        order = ["bucket", "field", "gram", "id"]
-        rows = found.withColumn("bucket", _bucket(buckets)).repartitionByRange(*order).sortWithinPartitions(*order)
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/postings/version={version}")
+        lowered = [F.struct(F.lit(field).alias("field"), F.lower(field).alias("lower")) for field in FIELDS.values()]
+        said = tenders.select("id", F.explode(F.array(*lowered)).alias("said")).select("id", "said.*")
+        said = staged(said.filter(F.length("lower") >= GRAM).withColumn("text", F.xxhash64("lower")), "keyword-texts")
+        # Few small rows become many: dealt out, or a few tasks would cut all texts.
+        distinct = spread(said.select("field", "lower", "text").distinct())
+        cut = staged(distinct.select("field", "text", grams(F.col("lower")).alias("grams")), "keyword-pieces")
+        found = cut.select("field", F.explode("grams").alias("gram"), "text")
+        self._write("grams", version, found.groupBy("field", "gram").agg(F.count("*").alias("n")).sort("field", "gram"))
+        buckets = self._state().buckets
+        if full:
+            total = (cut.agg(F.sum(F.size("grams"))).first()[0] or 0) + said.count()
+            buckets = -(-total // BUCKET_POSTINGS) or 1
+        # Ranges of equal size: a piece of very many texts fills several files of its folder.
+        for name, rows, key in (("postings", found, "gram"), ("holders", said.select("field", "text", "id"), "text")):
+            order = ["bucket", "field", *rows.columns[1:]]
+            rows = rows.withColumn("bucket", _bucket(buckets, key)).repartitionByRange(*order).sortWithinPartitions(*order)
+            self._write(name, version, rows, "bucket")
         self._commit(version=version, full=full, buckets=buckets)
         return version
 
-    def _buckets(self, version: int, full: bool, counts: DataFrame) -> int:
-        """Write the counts of all pieces, and say how many folders the postings need."""
-        path = f"{self.root}/grams/version={version}"
-        counts.sort("field", "gram").write.mode("overwrite").parquet(path)
-        if not full:
-            return self._state().buckets
-        total = self.spark.read.schema(_GRAMS).parquet(path).agg(F.sum("n")).first()[0] or 0
-        return -(-total // BUCKET_POSTINGS) or 1
+    def _write(self, name: str, version: int, rows: DataFrame, *folders: str) -> None:
+        rows.write.mode("overwrite").partitionBy(*folders).parquet(f"{self.root}/{name}/version={version}")
 
     def _state(self):
         """The last build, its buckets, and the last version; all 0 before the first."""
@@ -107,18 +118,23 @@ class KeywordIndex(_Versions):
         if not wanted:
             return None
         state = self._state()
+        holders = self._read("holders", _HOLDERS, state)
         known = self._read("grams", _GRAMS, state).filter((F.col("field") == field) & F.col("gram").isin(wanted))
-        known = known.groupBy("gram").agg(F.sum("n").alias("n"), F.first(_bucket(state.buckets, F.lit(field))).alias("bucket"))
+        known = known.groupBy("gram").agg(F.sum("n").alias("n"), F.first(_bucket(state.buckets, "gram", F.lit(field))).alias("bucket"))
         known = sorted(known.collect(), key=lambda row: (row.n, row.gram))
         postings = self._read("postings", _POSTINGS, state)
         if len(known) < len(wanted):  # a piece that no text has
-            return postings.select("id").filter(F.lit(False))
+            return holders.select("id").filter(F.lit(False))
         rarest = known[:RAREST]
         chosen = F.col("gram").isin([row.gram for row in rarest]) & (F.col("field") == field)
         chosen &= F.col("bucket").isin(sorted({row.bucket for row in rarest}))
-        # A tender indexed again has the same piece in several versions.
-        found = postings.filter(chosen).groupBy("id").agg(F.count_distinct("gram").alias("n"))
-        return found.filter(F.col("n") == len(rarest)).select("id")
+        # A text indexed again has the same piece in several versions.
+        found = postings.filter(chosen).groupBy("text").agg(F.count_distinct("gram").alias("n"))
+        found = found.filter(F.col("n") == len(rarest)).select("text")
+        touched = found.select(_bucket(state.buckets, "text", F.lit(field)).alias("bucket")).distinct()
+        touched = [row.bucket for row in touched.collect()]  # at most all
+        holders = holders.filter((F.col("field") == field) & F.col("bucket").isin(touched))
+        return found.join(holders.select("text", "id"), "text").select("id").distinct()
 
     def search(self, tenders: DataFrame, criteria: SearchCriteria) -> DataFrame:
         """``search_tenders`` through the index, which must hold all of ``tenders``.
@@ -133,6 +149,6 @@ class KeywordIndex(_Versions):
         return search_tenders(tenders, criteria)
 
 
-def _bucket(buckets: int, field: Column | None = None) -> Column:
-    hashed = F.xxhash64(F.col("field") if field is None else field, "gram")
+def _bucket(buckets: int, key: str, field: Column | None = None) -> Column:
+    hashed = F.xxhash64(F.col("field") if field is None else field, key)
     return F.pmod(hashed, F.lit(buckets)).cast("int")

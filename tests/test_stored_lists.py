@@ -130,3 +130,11 @@ def test_equal_pieces_of_one_text_count_once(spark, tmp_path):
     index = KeywordIndex(spark, str(tmp_path / "k"))
     index.build(tenders)
     same(index, tenders, SearchCriteria("aaaa"))
+
+
+def test_a_text_of_many_tenders_is_cut_once(spark, tmp_path):
+    tenders = tender_rows(spark, [{"tender_object": ["Road works", "ROAD works"][n % 2], "public_buyer": f"b{n}"} for n in range(50)])
+    index = KeywordIndex(spark, str(tmp_path / "k"))
+    index.build(tenders)
+    assert spark.read.parquet(f"{index.root}/postings").filter("field = 'tender_object'").count() == 8
+    same(index, tenders, SearchCriteria("ad wor"), SearchCriteria("roads"))
