@@ -52,7 +52,7 @@ def model_tokens(load: Callable[[], Callable[[list[str]], list[int]]]) -> Counte
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, WORD_BREAK), lambda word: word != "")
+    return F.array_remove(F.split(text, WORD_BREAK), "")
 
 
 def embedding_text(headings: Column, text: Column) -> Column:
@@ -126,18 +126,21 @@ def chunk_blocks(blocks: DataFrame, max_tokens: int = MAX_TOKENS, counter: Count
         room = F.greatest(max_tokens - F.max("heading_tokens"), F.lit(max(max_tokens // 4, 8 * letters + 1)))
         size, last_word, cell = F.col("tokens"), F.element_at("weights", -1), room - 4 * letters
     else:
-        size, last_word, cell = F.size("words").cast("bigint"), F.lit(1), F.lit(max_tokens)
+        # As one text words take a third of the room in a shuffle.
+        split = split.withColumns({"size": F.size("words").cast("bigint"), "words": F.array_join("words", " ")})
+        size, last_word, cell = F.col("size"), F.lit(1), F.lit(max_tokens)
     counted = split.groupBy(*run).agg(
         F.sum(size).alias("total"),
         F.max(F.struct("position", last_word.alias("weight"))).alias("last"),
         cell.cast("bigint").alias("cell"),
     )
     starts = _run_starts(staged(counted, "words-per-run"))
-
-    inside = W.partitionBy(*run).orderBy("position").rowsBetween(W.unboundedPreceding, -1)
+    # Where a run starts is a row before its blocks, not a join: the text moves once for both.
+    met = split.withColumn("_block", F.lit(True)).unionByName(starts.withColumn("_block", F.lit(False)), allowMissingColumns=True)
+    inside = W.partitionBy(*run).orderBy("_block", "position").rowsBetween(W.unboundedPreceding, -1)
     before = F.coalesce(F.sum(size).over(inside), F.lit(0))
-    placed = join_on(split.withColumn("_before", before), starts, run)
-    placed = placed.withColumn("begin", F.col("run_begin") + F.col("_before"))
+    placed = met.withColumns({"_before": before, **{c: F.first(c).over(inside) for c in ("run_begin", "first_part", "cell")}})
+    placed = placed.filter("_block").withColumn("begin", F.col("run_begin") + F.col("_before"))
     # The words of a block that fall into a part are cut out before rows are made, so that a long
     # block is not copied for each of its parts.
     if counter:
@@ -148,16 +151,18 @@ def chunk_blocks(blocks: DataFrame, max_tokens: int = MAX_TOKENS, counter: Count
         first, last = F.floor(F.col("begin") / max_tokens), F.floor((end - 1) / max_tokens)
 
         # A part starts ``offset`` words in.
-        def share(part: Column) -> Column:
+        def share(found: Column, part: Column) -> Column:
             offset = part * max_tokens - F.col("begin")
             skip = F.greatest(offset, F.lit(0))
-            cut = F.slice(F.col("words"), (skip + 1).cast("int"), (offset + max_tokens - skip).cast("int"))
-            return F.struct(part.alias("part"), cut.alias("cut"))
+            cut = F.slice(found, (skip + 1).cast("int"), (offset + max_tokens - skip).cast("int"))
+            return F.struct(part.alias("part"), F.array_join(cut, " ").alias("cut"))
 
-        shares = F.transform(F.sequence(first, last), share)
+        # The words are the variable of a lambda: named there, they would be split for each part.
+        split_words = F.array(F.split("words", " "))
+        shares = F.transform(split_words, lambda found: F.transform(F.sequence(first, last), lambda part: share(found, part)))[0]
     others = ["doc_id", "section_no", "first_part", "position", "page", "headings"]
     pieces = placed.select(*others, F.explode(shares).alias("share")).select(*others, "share.*")
-    text = F.array_join(F.flatten("taken.words"), " ")
+    text = F.array_join(F.flatten("taken.words") if counter else F.col("taken.words"), " ")
     return (
         pieces.groupBy("doc_id", "section_no", "first_part", "part")
         .agg(
@@ -253,31 +258,38 @@ def chunk_sections(sections: Column, max_tokens: int = MAX_TOKENS) -> Column:
     is a transform of its own: what a lambda names twice, Spark would compute twice.
     """
 
-    def tokens(section: Column) -> Column:
-        paged = F.transform(
+    def paged(section: Column) -> Column:
+        pieces = F.transform(
             section["pieces"],
-            lambda piece: F.transform(
-                words(piece["text"]),
-                lambda word: F.struct(word.alias("word"), piece["page"].alias("page")),
-            ),
+            lambda piece: F.struct(words(piece["text"]).alias("words"), piece["page"].alias("page")),
+        )
+        return F.struct(section["headings"].alias("headings"), pieces.alias("pieces"))
+
+    # Two arrays, not one of pairs: no object for each word.
+    def tokens(section: Column) -> Column:
+        pages = F.transform(section["pieces"], lambda piece: F.array_repeat(piece["page"], F.size(piece["words"])))
+        return F.struct(
+            section["headings"].alias("headings"),
+            F.flatten(section["pieces"]["words"]).alias("words"),
+            F.flatten(pages).alias("pages"),
         )
-        return F.struct(section["headings"].alias("headings"), F.flatten(paged).alias("tokens"))
 
     def cut(section: Column) -> Column:
-        size = F.size(section["tokens"])
+        size = F.size(section["words"])
         starts = F.when(size > 0, F.sequence(F.lit(1), size, F.lit(max_tokens)))
         return F.transform(
             F.coalesce(starts, F.array().cast("array<int>")),
             lambda start: F.struct(
                 section["headings"].alias("headings"),
-                F.slice(section["tokens"], start, max_tokens).alias("tokens"),
+                F.slice(section["words"], start, max_tokens).alias("words"),
+                F.slice(section["pages"], start, max_tokens).alias("pages"),
             ),
         )
 
     def join(chunk: Column) -> Column:
         return F.struct(
-            F.array_join(chunk["tokens"]["word"], " ").alias("text"),
-            F.array_sort(F.array_distinct(chunk["tokens"]["page"])).alias("page_numbers"),
+            F.array_join(chunk["words"], " ").alias("text"),
+            F.array_sort(F.array_distinct(chunk["pages"])).alias("page_numbers"),
             chunk["headings"].alias("headings"),
         )
 
@@ -290,5 +302,5 @@ def chunk_sections(sections: Column, max_tokens: int = MAX_TOKENS) -> Column:
             chunk["headings"].alias("heading_path"),
         )
 
-    cuts = F.flatten(F.transform(F.transform(sections, tokens), cut))
+    cuts = F.flatten(F.transform(F.transform(F.transform(sections, paged), tokens), cut))
     return F.transform(F.transform(cuts, join), finish)
