@@ -40,10 +40,11 @@ _WITH_BATCH = f"""{WITH_TENDERS}, existing AS (SELECT * FROM tenders WHERE {KNOW
         ORDER BY seq DESC) = 1)"""
 
 
-def sightings(spark, sf_dir):
+def sightings(spark, sf_dir, rows=None):
+    """``rows`` is the tender view where it was computed before."""
     text = _BATCH.format(sighted=_SIGHTED, tenders="{tenders}", text="STRING")
     return spark.sql(
-        text, lineitem=table(spark, sf_dir, "lineitem"), tenders=tenders(spark, sf_dir)
+        text, lineitem=table(spark, sf_dir, "lineitem"), tenders=rows or tenders(spark, sf_dir)
     )
 
 
@@ -99,8 +100,9 @@ def store_upsert(spark, sf_dir):
     Orders are cut in two, so that batches do not repeat a tender and ids stay in order.
     """
     store = TenderStore(spark, scratch_path(spark, "tenders"))
-    store.write(tenders(spark, sf_dir).filter(KNOWN).select(*TENDERS.fieldNames()))
-    found = staged(sightings(spark, sf_dir), "sightings")
+    rows = staged(tenders(spark, sf_dir), "tender-view")
+    store.write(rows.filter(KNOWN).select(*TENDERS.fieldNames()))
+    found = staged(sightings(spark, sf_dir, rows), "sightings")
     middle = found.agg(F.max("seq")).first()[0] // 32 * 16
     for part in (F.col("seq") < middle, F.col("seq") >= middle):
         store.upsert(found.filter(part), NOW)
@@ -123,11 +125,12 @@ _WITH_UPDATES = f"""{WITH_TENDERS},
       PARTITION BY tender_id, organization_acronym ORDER BY seq DESC) = 1)"""
 
 
-def status_events(spark, sf_dir):
+def status_events(spark, sf_dir, rows=None):
+    """``rows`` is the tender view where it was computed before."""
     return spark.sql(
         _UPDATES.replace("{text}", "STRING"),
         events=table(spark, sf_dir, "events"),
-        tenders=tenders(spark, sf_dir),
+        tenders=rows or tenders(spark, sf_dir),
     )
 
 
