@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from bidscope.catalog.base import NOW, query, tenders
 from bidscope.catalog.writes import UPDATED_SQL, status_events
 from bidscope.schemas import STATUS_UPDATES
-from bidscope.session import scratch_path
+from bidscope.session import scratch_path, staged
 from bidscope.sources.store import TenderStore
 from bidscope.streaming.status import TRACKED_TENDERS, stream_status
 
@@ -29,9 +29,10 @@ def stream_status_query(spark, sf_dir):
 def stream_status_twice(spark, sf_dir):
     """Two streams with checkpoints of their own on one store, and the first one started again."""
     work = scratch_path(spark, "status-streams")
-    events = status_events(spark, sf_dir).select(*STATUS_UPDATES.fieldNames())
+    rows = staged(tenders(spark, sf_dir), "tender-view")
+    events = staged(status_events(spark, sf_dir, rows).select(*STATUS_UPDATES.fieldNames()), "status-events")
     store = TenderStore(spark, f"{work}/tenders", TRACKED_TENDERS)
-    untouched = tenders(spark, sf_dir).withColumn("status_seq", F.lit(None).cast("bigint"))
+    untouched = rows.withColumn("status_seq", F.lit(None).cast("bigint"))
     store.write(untouched.select(*TRACKED_TENDERS.fieldNames()))
     for half in (0, 1):
         own = events.filter(F.pmod("seq", F.lit(2)) == half)
