@@ -32,7 +32,7 @@ from bidscope.operators.embedding import HashEmbedder
 from bidscope.operators.filters import has_archive
 from bidscope.plans.indexing import run_indexing
 from bidscope.schemas import TENDERS
-from bidscope.session import scratch_path, spread, staged
+from bidscope.session import scratch_path, staged
 from bidscope.sources.archives import archive_files
 from bidscope.sources.store import FileStore, TenderStore
 
@@ -62,9 +62,12 @@ def _archive(texts: pa.Array, sources: pa.Array) -> pa.Array:
     return pa.array(made, pa.binary())
 
 
-def archives(spark, sf_dir):
-    """One archive per document, named after the tender with the document's number."""
-    owners = tenders(spark, sf_dir).select("id", "tender_id", "organization_acronym")
+def archives(spark, sf_dir, rows=None):
+    """One archive per document, named after the tender with the document's number.
+
+    ``rows`` is the tender view where it was computed before.
+    """
+    owners = (rows or tenders(spark, sf_dir)).select("id", "tender_id", "organization_acronym")
     documents = spread_table(spark, sf_dir, "documents")
     name = archive_name(F.col("tender_id"), F.col("organization_acronym"))
     return documents.join(owners, documents.doc_id == owners.id).select(
@@ -175,9 +178,10 @@ def missing_archives_query(spark, sf_dir):
 def indexed(spark, sf_dir, rounds=1):
     """The stores after indexing every tender that is ready, and what the last run reported."""
     tender_store = TenderStore(spark, scratch_path(spark, "tenders"))
-    tender_store.write(tenders(spark, sf_dir).select(*TENDERS.fieldNames()))
+    rows = staged(tenders(spark, sf_dir), "tender-view")
+    tender_store.write(rows.select(*TENDERS.fieldNames()))
     file_store = FileStore(spark, scratch_path(spark, "files"))
-    stored = spread(staged(archives(spark, sf_dir).select("path", "content"), "archives"))
+    stored = staged(archives(spark, sf_dir, rows).select("path", "content"), "archives")
     for _ in range(rounds):
         report = run_indexing(
             tender_store, file_store, stored, TextConverter(), HashEmbedder(DIMENSION), NOW

@@ -8,7 +8,7 @@ from bidscope.operators.embedding import HashEmbedder, embed
 from bidscope.operators.writes import remove_files
 from bidscope.plans.retrieval import retrieve
 from bidscope.session import scratch_path, staged
-from bidscope.sources.store import FileStore
+from bidscope.sources.store import FileStore, without_repeats
 
 DIMENSION = 64
 _WORDS = r"list_filter(regexp_split_to_array(text, '[ \t\n\r]+'), lambda w: w <> '')"
@@ -241,10 +241,10 @@ def replaced_store(spark, sf_dir):
     first = document_files(documents, 0, "v1/").unionByName(
         document_files(documents.withColumn("text", F.translate("text", "e", "E")), 1, "v1/copy_")
     )
-    store.replace(owners, staged(first, "first-files"), embedder)
+    store.replace(owners, staged(without_repeats(first), "first-files"), embedder)
     second = document_files(documents.filter("source = 'src4'"), 0, "v2/")
     replaced = owners.filter("source IN ('src4', 'src9')")
-    store.replace(replaced, staged(second, "second-files"), embedder)
+    store.replace(replaced, staged(without_repeats(second), "second-files"), embedder)
     return store
 
 

@@ -11,7 +11,7 @@ from bidscope.operators.embedding import Embedder
 from bidscope.operators.lookup import find_for_indexing
 from bidscope.schemas import IDENTITY
 from bidscope.session import staged
-from bidscope.sources.store import FileStore, TenderStore
+from bidscope.sources.store import FileStore, TenderStore, without_repeats
 
 
 def file_outcomes(
@@ -45,7 +45,7 @@ def run_indexing(
     files.accept(embedder)
     current = tenders.read()
     batch = staged(find_for_indexing(current, limit).select("id", *IDENTITY), "index-batch")
-    outcomes = staged(file_outcomes(batch, archives, convert, max_tokens), "file-outcomes")
+    outcomes = staged(without_repeats(file_outcomes(batch, archives, convert, max_tokens)), "file-outcomes")
     broken = outcomes.filter(F.col("position").isNull()).select("tender_record_id")
     chunked = batch.select(F.col("id").alias("tender_record_id")).join(
         broken, "tender_record_id", "left_anti"

@@ -9,8 +9,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Archive bytes travel through Arrow: bound a batch by bytes, not only by rows.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    # Texts and archive bytes travel through Arrow: bound a batch by bytes, not only by rows. A Python
+    # worker holds a few copies of a batch, as objects too.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024 * 1024),
     "spark.ui.enabled": "false",
 }
 

@@ -9,11 +9,13 @@ from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidscope.errors import InvalidRowsError, NotFoundError
 from bidscope.functions.dates import instant
+from bidscope.operators.chunking import embedding_text
 from bidscope.operators.embedding import check_dimension, embed
 from bidscope.operators.filters import identified
 from bidscope.operators.numbering import dense_ids, totals_before
@@ -416,7 +418,8 @@ class FileStore(_Versions):
 
         ``files`` has tender_record_id, position (from 0), path, file_type, status, reason and
         ``chunks``, an array of struct(chunk_index, text, embedding_text, page_numbers,
-        heading_path). It is read several times: pass a staged frame if it is costly. A file of
+        heading_path). Without an embedding_text, headings and text are embedded. It is read several
+        times: pass a staged frame if it is costly, ``without_repeats``. A file of
         another tender, one without tender or position, or a second one in the same position is an
         error. Where ``tenders`` is given, so is a tender it does not hold.
 
@@ -431,7 +434,7 @@ class FileStore(_Versions):
         created = F.current_timestamp().alias("created_at")
         file_rows = numbered.select(*[created if c == "created_at" else c for c in DCE_FILES.fieldNames()])
         self._write("files", version, file_rows)
-        self._write("chunks", version, _chunk_rows(numbered, embedder).withColumn("created_at", created))
+        self._write("chunks", version, _chunk_rows(files, numbered, embedder).withColumn("created_at", created))
 
         written = self._rows("chunks", _CHUNK_ROWS, version).filter(F.col("version") == version)
         errors = written.groupBy("tender_record_id").agg(F.min("error").alias("error"))
@@ -439,10 +442,7 @@ class FileStore(_Versions):
         replaced = self._rows("replaced", _REPLACED, version).filter(F.col("version") == version)
         if strict and not replaced.filter(F.col("error").isNotNull()).isEmpty():
             raise InvalidRowsError("some chunks have no sound vector; nothing was replaced")
-        counted = files.agg(
-            F.count("*").alias("files"),
-            F.coalesce(F.sum(F.size("chunks")), F.lit(0)).alias("chunks"),
-        ).first()
+        counted = numbered.agg(F.count("*").alias("files"), F.coalesce(F.sum("n"), F.lit(0)).alias("chunks")).first()
         self._commit(
             version=version,
             last_file_id=last.last_file_id + counted.files,
@@ -467,33 +467,53 @@ def _refuse(tender_ids: DataFrame, files: DataFrame, tenders: DataFrame | None)
         raise InvalidRowsError("a file needs a named tender and a position of its own")
 
 
+def without_repeats(files: DataFrame) -> DataFrame:
+    """Files whose chunks leave out an ``embedding_text`` that their headings and text give anyway."""
+
+    def kept(chunk: Column) -> Column:
+        same = chunk["embedding_text"] == embedding_text(chunk["heading_path"], chunk["text"])
+        return chunk.withField("embedding_text", F.when(~F.coalesce(same, F.lit(False)), chunk["embedding_text"]))
+
+    return files.withColumn("chunks", F.transform("chunks", kept))
+
+
+_PLACE = ["tender_record_id", "position"]
+
+
 def _numbered(files: DataFrame, last_file: int, last_chunk: int) -> DataFrame:
-    """Give every file its id, and the id its first chunk starts from."""
-    order = ["tender_record_id", "position"]
-    sizes = files.select(*order, F.size("chunks").alias("n"))
-    numbers = totals_before(sizes, order, chunks_before=F.col("n").cast("bigint")).select(
-        *order,
+    """Files without their chunks: the number ``n`` of these, the file's id, and the id its first chunk starts from."""
+    sizes = files.select(*[c for c in files.columns if c != "chunks"], F.size("chunks").cast("bigint").alias("n"))
+    numbers = totals_before(sizes, _PLACE, chunks_before=F.col("n"))
+    return numbers.select(
+        *sizes.columns,
         (F.col("rows_before") + 1 + last_file).alias("id"),
         (F.col("chunks_before") + 1 + last_chunk).alias("first_chunk_id"),
     )
-    return files.join(numbers, order)
 
 
-def _chunk_rows(numbered: DataFrame, embedder) -> DataFrame:
-    pieces = numbered.select(
-        "tender_record_id",
-        F.col("id").alias("dce_file_id"),
-        "first_chunk_id",
-        F.explode("chunks").alias("chunk"),
-    ).select(
+def _chunk_rows(files: DataFrame, numbered: DataFrame, embedder) -> DataFrame:
+    """Chunks in order, with their ids.
+
+    The numbers of a file travel as a row before its chunks, so that text moves once: the ranges
+    that put chunks in order also bring them to their numbers.
+    """
+    pieces = files.select(*_PLACE, F.explode("chunks").alias("chunk")).select(*_PLACE, F.lit(True).alias("_piece"), "chunk.*")
+    numbers = numbered.select(*_PLACE, F.lit(False).alias("_piece"), F.col("id").alias("dce_file_id"), "first_chunk_id")
+    # Ordered before the vectors exist, so that the sort moves text only.
+    ordered = pieces.unionByName(numbers, allowMissingColumns=True).repartitionByRange(*_PLACE)
+    ordered = ordered.sortWithinPartitions(*_PLACE, "_piece", "chunk_index")
+    before = W.partitionBy(*_PLACE).orderBy("_piece", "chunk_index").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ordered = ordered.withColumns({name: F.first(name).over(before) for name in ("dce_file_id", "first_chunk_id")})
+    ordered = ordered.filter("_piece").select(
         "tender_record_id",
         "dce_file_id",
-        (F.col("first_chunk_id") + F.col("chunk.chunk_index")).alias("id"),
-        "chunk.*",
+        (F.col("first_chunk_id") + F.col("chunk_index")).alias("id"),
+        "chunk_index",
+        "text",
+        F.coalesce("embedding_text", embedding_text(F.col("heading_path"), F.col("text"))).alias("embedding_text"),
+        "page_numbers",
+        "heading_path",
     )
-    # Ordered before the vectors exist, so that the sort moves text only.
-    ordered = pieces.repartitionByRange("tender_record_id", "dce_file_id", "chunk_index")
-    ordered = ordered.sortWithinPartitions("tender_record_id", "dce_file_id", "chunk_index")
     embedded = embed(ordered, "embedding_text", embedder).drop("embedding_text")
     size = F.size("embedding")
     wrong = F.when(size != embedder.dimension, F.concat(F.lit("vector of size "), size.cast("string")))

@@ -5,6 +5,7 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import at, column, tender_rows, updates
 from pyspark import cloudpickle
@@ -18,7 +19,8 @@ from bidscope.plans.indexing import run_indexing
 from bidscope.plans.retrieval import retrieve
 from bidscope.schemas import ARCHIVES, BLOCKS
 from bidscope.sources.archives import archive_files, load_archive
-from bidscope.sources.store import FileStore, TenderStore
+from bidscope.session import SETTINGS
+from bidscope.sources.store import FileStore, TenderStore, _chunk_rows, _numbered, without_repeats
 from bidscope.streaming.status import TRACKED_TENDERS, stream_status
 
 # The embedder below is sent to tasks, which cannot import a test module.
@@ -178,6 +180,15 @@ def test_blocks_give_the_same_chunks_as_whole_texts(spark):
     assert {(c.doc_id, c.chunk_index): (c.text, c.page_numbers, c.heading_path) for c in chunks} == expected
 
 
+def test_the_text_of_blocks_moves_twice(spark):
+    """To its run, and to its chunk."""
+    blocks = spark.createDataFrame([(7, 0, ["h"], 1, n, "a  b\tc") for n in range(3)], BLOCKS)
+    chunks = chunking.chunk_blocks(blocks, 4)
+    above = chunks._jdf.queryExecution().executedPlan().toString().split("Union")[0]
+    assert above.count("Exchange ") == 2
+    assert [r.text for r in chunks.orderBy("chunk_index").collect()] == ["a b c a", "b c a b", "c"]
+
+
 def test_blocks_without_section_or_headings_keep_their_text(spark):
     rows = [
         (1, None, None, 1, 0, "a b"),
@@ -398,6 +409,26 @@ def test_replacing_files(spark, tmp_path):
     assert column(store.files(), "path") == ["new.pdf"]
 
 
+def test_an_embedding_text_that_repeats_is_left_out(spark):
+    kinds = "array<struct<chunk_index:int,text:string,embedding_text:string,page_numbers:array<int>,heading_path:array<string>>>"
+    chunks = [(0, "a b", "H\na b", [1], ["H"]), (1, "c", "other", [1], ["H"]), (2, "d", "d", [1], [])]
+    files = spark.createDataFrame([(1, 0, chunks)], f"tender_record_id long, position int, chunks {kinds}")
+    kept = without_repeats(files).first().chunks
+    assert [c.embedding_text for c in kept] == [None, "other", None] and [c.text for c in kept] == ["a b", "c", "d"]
+
+
+def test_chunks_meet_their_numbers_in_one_shuffle(spark):
+    kinds = "array<struct<chunk_index:int,text:string,embedding_text:string,page_numbers:array<int>,heading_path:array<string>>>"
+    files = [(t, p, [(k, f"w{k}", None, [1], [f"t{t}"]) for k in range(p + t)]) for t in (1, 2) for p in (0, 1)]
+    files = spark.createDataFrame(files, f"tender_record_id long, position int, chunks {kinds}")
+    rows = _chunk_rows(files, _numbered(files, 10, 100), HashEmbedder(8))
+    above = rows._jdf.queryExecution().executedPlan().toString().split("Union")[0]
+    assert above.count("Exchange ") == 1
+    found = [(r.id, r.dce_file_id, r.chunk_index) for r in rows.orderBy("id").collect()]
+    places = [(11, 0), (12, 0), (12, 1), (13, 0), (13, 1), (14, 0), (14, 1), (14, 2)]
+    assert found == [(101 + n, *place) for n, place in enumerate(places)]
+
+
 def test_replacing_refuses_files_out_of_place(spark, tmp_path):
     store, model = FileStore(spark, str(tmp_path), dimension=8), HashEmbedder(8)
     for wrong in (
@@ -555,3 +586,15 @@ def test_members_of_one_archive_are_dealt_to_many_tasks(spark, tmp_path):
     # The nested archives are larger than a file may be: taken apart as streams.
     small = expand_archives(stored, "id", member_bytes=95).filter("error IS NULL").select("path").collect()
     assert {"one.zip/deep/x.txt", "last.ZIP/more.zip/y.txt"} <= {r.path for r in small} and len(inner) > 95
+
+
+def test_a_batch_for_python_is_bounded_by_bytes(spark):
+    """Twenty texts of 1 MB: a worker never holds more than a few."""
+
+    @F.arrow_udf("long")
+    def size(texts: pa.Array) -> pa.Array:
+        return pa.array([texts.nbytes] * len(texts))
+
+    rows = spark.range(0, 20, 1, 1).select(F.repeat(F.lit("abcdefgh"), 1 << 17).alias("text"))
+    assert rows.select(size("text").alias("n")).agg(F.max("n")).first()[0] < 8 << 20
+    assert int(SETTINGS["spark.sql.execution.arrow.maxBytesPerBatch"]) <= 4 << 20
