@@ -500,7 +500,9 @@ def _chunk_rows(files: DataFrame, numbered: DataFrame, embedder) -> DataFrame:
     pieces = files.select(*_PLACE, F.explode("chunks").alias("chunk")).select(*_PLACE, F.lit(True).alias("_piece"), "chunk.*")
     numbers = numbered.select(*_PLACE, F.lit(False).alias("_piece"), F.col("id").alias("dce_file_id"), "first_chunk_id")
     # Ordered before the vectors exist, so that the sort moves text only.
-    ordered = pieces.unionByName(numbers, allowMissingColumns=True).repartitionByRange(*_PLACE)
+    # As finely as ``spread`` deals out rows: few large ranges would leave tasks idle at the model.
+    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = pieces.unionByName(numbers, allowMissingColumns=True).repartitionByRange(parts, *_PLACE)
     ordered = ordered.sortWithinPartitions(*_PLACE, "_piece", "chunk_index")
     before = W.partitionBy(*_PLACE).orderBy("_piece", "chunk_index").rowsBetween(W.unboundedPreceding, W.currentRow)
     ordered = ordered.withColumns({name: F.first(name).over(before) for name in ("dce_file_id", "first_chunk_id")})
