@@ -2,6 +2,7 @@
 
 import io
 import zipfile
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -110,15 +111,25 @@ def _measured(files):
     )
 
 
+#: Folders that archives are written to, by a hash of their name.
+FOLDERS = 256
+
+
 def _written(folder: str):
     """Writes each archive as a file under its name; a task run again writes the same bytes."""
 
     def write(batches):
         storage, path = filesystem(folder)
         storage.create_dir(path)
+        made = set()
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                with storage.open_output_stream(f"{path}/{name.rsplit('/', 1)[-1]}") as out:
+                name = name.rsplit("/", 1)[-1]
+                home = f"{path}/{zlib.crc32(name.encode()) % FOLDERS:02x}"
+                if home not in made:
+                    storage.create_dir(home)
+                    made.add(home)
+                with storage.open_output_stream(f"{home}/{name}") as out:
                     out.write(content.as_buffer())
             yield pa.RecordBatch.from_arrays([batch.column(0)], ["path"])
 

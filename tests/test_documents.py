@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from helpers import at, column, tender_rows, updates
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from bidscope.errors import InvalidRowsError, NotFoundError
@@ -598,3 +599,21 @@ def test_a_batch_for_python_is_bounded_by_bytes(spark):
     rows = spark.range(0, 20, 1, 1).select(F.repeat(F.lit("abcdefgh"), 1 << 17).alias("text"))
     assert rows.select(size("text").alias("n")).agg(F.max("n")).first()[0] < 8 << 20
     assert int(SETTINGS["spark.sql.execution.arrow.maxBytesPerBatch"]) <= 4 << 20
+
+
+def test_tasks_list_the_archives(spark, tmp_path):
+    """The driver holds no archive's name; what is found is what Spark's own listing finds."""
+    names = ["T1_ORG.zip", "a/T2_ORG.zip", "a/b c/T3_ORG.zip", "a/b c/é.zip", "x.zip/T4.zip", "month=1/T5.zip", "_k=1/T6.zip"]
+    for name in [*names, "T7.ZIP", ".h.zip", "_h.zip", "_h/T8.zip", ".h/T9.zip", "T10.zip._COPYING_", "a/other.txt"]:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * len(name))
+    (tmp_path / "empty").mkdir()
+    found = archive_files(spark, f"{tmp_path}/")
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true")
+    want = reader.load(str(tmp_path)).select("path", "modificationTime", "length")
+    assert found.schema == want.schema and sorted(found.collect()) == sorted(want.collect()) and want.count() == len(names)
+    assert not [path for path in found.inputFiles() if path.endswith(".zip")]
+    one, some, none = (archive_files(spark, f"{tmp_path}/{path}") for path in ("T1_ORG.zip", "a/b*", "empty"))
+    assert [one.count(), some.count(), none.count()] == [1, 2, 0]
+    with pytest.raises(AnalysisException):
+        archive_files(spark, f"{tmp_path}/missing")
