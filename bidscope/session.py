@@ -4,6 +4,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes up to which a side of a join is broadcast by its estimate alone. Estimates are made of compressed files and
+#: of shares of their columns: ids of a table that also has texts and nulls weigh many times what is estimated, and
+#: all of it passes the driver.
+ESTIMATED_BYTES = 256 * 1024
+#: The same for a side that a shuffle has measured.
+MEASURED_BYTES = 10 * 1024 * 1024
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -14,6 +21,10 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024 * 1024),
     "spark.ui.enabled": "false",
 }
+BROADCASTS = {
+    "spark.sql.autoBroadcastJoinThreshold": str(ESTIMATED_BYTES),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(MEASURED_BYTES),
+}
 
 
 def build_session(app_name: str = "bidscope", master: str | None = None, **conf) -> SparkSession:
@@ -21,7 +32,7 @@ def build_session(app_name: str = "bidscope", master: str | None = None, **conf)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | BROADCASTS).items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -31,11 +42,18 @@ def build_session(app_name: str = "bidscope", master: str | None = None, **conf)
 def prepare(spark: SparkSession) -> SparkSession:
     """Set the library's run-time settings on a session built elsewhere.
 
-    Local-date rules need a UTC session.
+    Local-date rules need a UTC session. What that session allows to be broadcast holds for measured
+    sizes; for estimated ones it is only ever lowered.
     """
     for key, value in SETTINGS.items():
         if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
+    estimated, measured = BROADCASTS
+    allowed = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if allowed > ESTIMATED_BYTES:
+        if spark.conf.get(measured, None) is None:
+            spark.conf.set(measured, str(allowed))
+        spark.conf.set(estimated, str(ESTIMATED_BYTES))
     return spark
 
 

@@ -20,7 +20,7 @@ from bidscope.plans.indexing import run_indexing
 from bidscope.plans.retrieval import retrieve
 from bidscope.schemas import ARCHIVES, BLOCKS
 from bidscope.sources.archives import archive_files, load_archive
-from bidscope.session import SETTINGS
+from bidscope.session import SETTINGS, prepare, staged
 from bidscope.sources.store import FileStore, TenderStore, _chunk_rows, _numbered, without_repeats
 from bidscope.streaming.status import TRACKED_TENDERS, stream_status
 
@@ -617,3 +617,23 @@ def test_tasks_list_the_archives(spark, tmp_path):
     assert [one.count(), some.count(), none.count()] == [1, 2, 0]
     with pytest.raises(AnalysisException):
         archive_files(spark, f"{tmp_path}/missing")
+
+
+def test_ids_are_not_broadcast_by_the_size_of_their_file(spark):
+    """Ids of a stored table that also has texts weigh little by estimate, however many they are."""
+    texts = [F.lit(None).cast("string").alias(f"text{k}") for k in range(6)]
+    stored = staged(spark.range(400_000).select(F.xxhash64("id").alias("id"), *texts), "wide")
+    left = spark.range(1 << 40).select(F.xxhash64("id").alias("id")).join(stored.select("id"), "id", "left_anti")
+    plan = left._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("allowed, estimated, measured", [("10m", "262144", "10485760"), ("1000", "1000", None), ("-1", "-1", None)])
+def test_what_a_session_lets_be_broadcast_holds_for_measured_sizes(spark, allowed, estimated, measured):
+    session = spark.newSession()
+    names = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    session.conf.set(names[0], allowed)
+    session.conf.unset(names[1])
+    for _ in range(2):
+        prepare(session)
+        assert [session.conf.get(name, None) for name in names] == [estimated, measured]
