@@ -407,13 +407,15 @@ def _classes(rows: DataFrame, weight, *fields: str) -> DataFrame:
 def _counted_spans(rows: DataFrame, classes: DataFrame, length: int) -> DataFrame:
     """Spans of the rows that have an equal one.
 
-    Rows of a key that very many share are dealt into ``SALTS`` parts, and their class to each.
+    Rows of a key that very many share are dealt into ``SALTS`` parts, and their class to each. So
+    the classes are many times what Spark takes them for; unhinted, it would broadcast them through
+    the driver, and parts serve a shuffle only.
     """
     hot = F.col("n") > HOT
     salt = F.when(hot, F.pmod(F.xxhash64("text_hash", "start"), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
     salts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     twice = classes.filter(F.col("weight") > 1)
-    twice = twice.select("key", "win", F.explode(salts.cast("array<bigint>")).alias("salt"))
+    twice = twice.select("key", "win", F.explode(salts.cast("array<bigint>")).alias("salt")).hint("merge")
     begin = F.col("start").cast("long")
     return rows.withColumn("salt", salt).join(twice, ["key", "win", "salt"], "left_semi").select(
         "doc_id", "text_hash", begin.alias("begin"), (begin + F.col("starts") - 1 + length).alias("end")

@@ -97,3 +97,14 @@ def test_passages_shorter_than_removed_strings_are_reported(documents, prose, wo
     got = R.remove_repeats(documents([(i, t, "s") for i, t in enumerate(texts)]), 10_000).orderBy("doc_id").collect()
     assert [r.n_passage_words for r in got] == passage_words(texts, words, 50)
     assert got[0].n_passage_words == 51 and got[0].n_removed == 0 and got[12].n_passage_words == 0
+
+
+def test_classes_of_crowded_keys_are_not_broadcast(spark):
+    """Each is dealt to 64 parts, after Spark has measured them."""
+    fields = ["id AS doc_id", "xxhash64(id) AS text_hash", "id % 501 AS key", "1L AS win", "0 AS start", "2 AS starts"]
+    rows = spark.range(1000).selectExpr(*fields).withColumn("n", F.lit(R.HOT + 1))
+    classes = rows.groupBy("key", "win").agg(F.count("*").alias("weight"), F.max("n").alias("n"))
+    spans = R._counted_spans(rows, classes, 80)
+    assert sorted((r.doc_id, r.begin, r.end) for r in spans.collect()) == [(k, 0, 81) for k in range(1000) if k % 501 < 499]
+    plan = spans._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
